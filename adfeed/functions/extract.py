@@ -8,21 +8,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adfeed.functions.rules import LAND_RULES, RuleSet
-from adfeed.functions.text import SPACE, WORD, java_pattern, matches, strip
+from adfeed.functions.text import java_pattern, matches, strip
 from adfeed.functions.vocab import DOCUMENT_STATUSES, PROPERTY_TYPES, ZONES
 
 SQUARE_METRES_PER_HECTARE = 10_000
 
-PHONE = rf"(?U)(?<![\d+])(?:\+|00)?\d{{2,3}}(?:[ .-]?\d{{2,4}}){{2,5}}(?!\d)"
-AREA = rf"(?iU)(?<![\d.,])(\d+(?:[.,]\d+)?){SPACE}*(m2|m²|hectares?|ha)(?!{WORD})"
-PRICE = (
-    rf"(?iU)(?<![\d.,])(\d{{1,3}}(?:[\s.]\d{{3}})+|\d+){SPACE}*(?:f{SPACE}*cfa|cfa)(?!{WORD})"
-)
+# The last group of each amount catches a letter that follows the unit: such a
+# match is no amount ("5 habitants").  No look-around, so any engine agrees.
+PHONE = r"(?i)\+?[0-9][0-9 ()-]*[0-9](\s*f?\s*cfa)?"
+PHONE_DIGITS = (8, 15)
+AREA = r"(?i)([0-9]+(?:[.,][0-9]+)?)\s*(m2|m²|hectares?|ha)([\p{L}\p{N}_]?)"
+PRICE = r"(?i)([0-9]{1,3}(?:[\s.][0-9]{3})+|[0-9]+)\s*(f?\s*cfa)([\p{L}\p{N}_]?)"
 
 
-def contacts(col: Column, pattern: str = PHONE) -> Column:
-    """Phone numbers as written, in order of appearance, each once."""
-    return F.array_distinct(F.regexp_extract_all(col, F.lit(pattern), F.lit(0)))
+def contacts(col: Column) -> Column:
+    """Phone numbers as written, in order of appearance, each once.
+
+    A number of 8 to 15 digits that is neither a price nor grouped by thousands.
+    """
+    found = F.regexp_extract_all(col, F.lit(PHONE), F.lit(0))
+
+    def is_phone(item: Column) -> Column:
+        digits = F.length(F.regexp_replace(item, "[^0-9]", ""))
+        amount = F.lower(item).endswith("a") | item.rlike(r"^[0-9]{1,3}( [0-9]{3})+$")
+        return digits.between(*PHONE_DIGITS) & ~amount
+
+    return F.array_distinct(F.filter(found, is_phone))
 
 
 def only_value(values: Column) -> Column:
@@ -31,23 +42,30 @@ def only_value(values: Column) -> Column:
     return F.when(F.size(distinct) == 1, F.element_at(distinct, 1))
 
 
-def area_m2(col: Column, pattern: str = AREA) -> Column:
-    """Area in whole square metres, hectares converted; NULL if several are named."""
+def _amounts(col: Column, pattern: str) -> Column:
     found = F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
+    return F.filter(found, lambda item: F.regexp_extract(item, pattern, 3) == "")
+
+
+def area_m2(col: Column) -> Column:
+    """Area in whole square metres, hectares converted; NULL if several are named."""
 
     def in_m2(item: Column) -> Column:
-        number = F.replace(F.regexp_extract(item, pattern, 1), F.lit(","), F.lit(".")).try_cast("decimal(28,6)")
-        hectares = F.lower(F.regexp_extract(item, pattern, 2)).startswith("h")
+        number = F.replace(F.regexp_extract(item, AREA, 1), F.lit(","), F.lit(".")).try_cast("decimal(28,6)")
+        hectares = F.lower(F.regexp_extract(item, AREA, 2)).startswith("h")
         metres = F.when(hectares, number * SQUARE_METRES_PER_HECTARE).otherwise(number)
         return F.when(metres == F.floor(metres), metres.try_cast("bigint"))
 
-    return only_value(F.transform(found, in_m2))
+    return only_value(F.transform(_amounts(col, AREA), in_m2))
 
 
-def price(col: Column, pattern: str = PRICE) -> Column:
+def price(col: Column) -> Column:
     """Price in whole currency units; NULL if several are named."""
-    found = F.regexp_extract_all(col, F.lit(pattern), F.lit(1))
-    return only_value(F.transform(found, lambda item: F.regexp_replace(item, r"[^0-9]", "").try_cast("bigint")))
+
+    def units(item: Column) -> Column:
+        return F.regexp_replace(F.regexp_extract(item, PRICE, 1), "[^0-9]", "").try_cast("bigint")
+
+    return only_value(F.transform(_amounts(col, PRICE), units))
 
 
 def first_named(col: Column, vocab: Sequence[str]) -> Column:

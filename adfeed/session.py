@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on. All of them can be set on a running session.
@@ -23,7 +25,12 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply RUNTIME_CONF to an existing session and return it."""
+    """Apply RUNTIME_CONF to an existing session and return it.
+
+    Python functions of this package travel to the workers inside the tasks, so
+    that the package need not be installed there.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules["adfeed"])
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark

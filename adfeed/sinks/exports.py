@@ -11,7 +11,7 @@ from adfeed.functions.text import as_export_text
 from adfeed.operators.upsert import latest_first
 from adfeed.schemas import AD_COLUMNS, CANDIDATE_COLUMNS, MASTER
 
-BOM = "﻿"
+BOM = "\ufeff"
 CONTACTS = "contacts_whatsapp"
 
 
