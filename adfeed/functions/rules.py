@@ -39,7 +39,8 @@ TRANSACTION_WORDS = [
     r"n[ée]gociable",
 ]
 LAND_RULES = RuleSet(
-    include=r"\b(" + "|".join(LAND_WORDS + DOCUMENT_WORDS + TRANSACTION_WORDS) + r")\b",
+    # The boundary around the list makes the ones around its words superfluous.
+    include=r"\b(?:" + "|".join(LAND_WORDS + DOCUMENT_WORDS + TRANSACTION_WORDS).replace(r"\b", "") + r")\b",
     numeric=r"\d\s*(m2|m²|ha)(?=\D|$)",
     request=(
         r"\b(je\s+recherche|recherche\s+un[e]?|cherche\s+un[e]?|besoin\s+d[' ]un[e]?|"
@@ -52,13 +53,17 @@ LAND_RULES = RuleSet(
 
 
 def is_candidate(col: Column, rules: RuleSet = LAND_RULES) -> Column:
-    """True where a text passes the rules; branches are tried in this order."""
-    wanted = matches(col, rules.include) | matches(col, rules.numeric)
+    """True where a text passes the rules.
+
+    The result does not depend on the order of the tests, so the ones that are
+    cheap or settle most texts come first and the rest is not evaluated.
+    """
+    wanted = matches(col, rules.numeric) | matches(col, rules.include)
     pure_request = matches(col, rules.request) & ~matches(col, rules.override)
     return (
         F.when(F.coalesce(strip(col), F.lit("")) == "", False)
-        .when(matches(col, rules.spam), False)
         .when(~wanted, False)
+        .when(matches(col, rules.spam), False)
         .otherwise(~pure_request)
     )
 

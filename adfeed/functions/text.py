@@ -9,19 +9,27 @@ is spelled out.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = r"[\s\x1c-\x1f]"
 NOT_SPACE = r"[^\s\x1c-\x1f]"
 WORD = r"[\p{L}\p{N}_]"
-BOUNDARY = rf"(?:(?<!{WORD})(?={WORD})|(?<={WORD})(?!{WORD}))"
+WORD_START = rf"(?<!{WORD})"
+WORD_END = rf"(?!{WORD})"
 
 
 def java_pattern(pattern: str, ignore_case: bool = True) -> str:
-    """The Java form of a Unicode pattern, to be used with rlike and regexp_*."""
+    """The Java form of a Unicode pattern, to be used with rlike and regexp_*.
+
+    A ``\\b`` must touch a word character of the pattern, so that one look to the
+    other side decides it; the full test on both sides takes three times as long.
+    """
+    ends_replaced = re.sub(r"\\b(?=$|[|)])", lambda _: WORD_END, pattern)
     flags = "(?iU)" if ignore_case else "(?U)"
-    return flags + pattern.replace(r"\b", BOUNDARY).replace(r"\s", SPACE)
+    return flags + ends_replaced.replace(r"\b", WORD_START).replace(r"\s", SPACE)
 
 
 def matches(col: Column, pattern: str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,7 +33,8 @@ def dedup_last(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return grouped.select(key, "_valeurs.*", "_place.*").select(*df.columns)
 
 
-def _text_key(text: str):
+def text_key(text: str) -> Column:
+    """Exact-text key: a 256-bit hash, so that long texts need not be shuffled."""
     return F.sha2(F.col(text), 256)
 
 
@@ -44,7 +45,7 @@ def dedup_text(df: DataFrame, order: Sequence[str], text: str = "texte_nettoye")
     so the empty rows spread over all tasks.
     """
     blank = F.coalesce(F.col(text), F.lit("")) == ""
-    keyed = df.withColumn("_cle", F.when(~blank, _text_key(text))).withColumn(
+    keyed = df.withColumn("_cle", F.when(~blank, text_key(text))).withColumn(
         "_vide", F.when(blank, F.struct(*order))
     )
     return dedup_first(keyed, ["_cle", "_vide"], order).drop("_cle", "_vide")
@@ -59,7 +60,7 @@ def text_duplicates(
     hot text makes the other side skewed and AQE splits it.
     """
     narrow = df.filter(F.coalesce(F.col(text), F.lit("")) != "").select(
-        F.col(id_col).alias(id_col), _text_key(text).alias("_cle"), F.struct(*order).alias("_ordre")
+        F.col(id_col).alias(id_col), text_key(text).alias("_cle"), F.struct(*order).alias("_ordre")
     )
     firsts = narrow.groupBy("_cle").agg(
         F.min(F.struct("_ordre", F.col(id_col).alias("id_garde"))).alias("_garde"), F.count("*").alias("_n")

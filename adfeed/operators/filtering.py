@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adfeed.functions.rules import LAND_RULES, RuleSet, reject_reason
 from adfeed.functions.text import clean_text
-from adfeed.operators.dedup import _text_key, dedup_text
+from adfeed.operators.dedup import text_key, dedup_text
+from adfeed.session import with_computed
 
 
 def tag_posts(posts: DataFrame, rules: RuleSet = LAND_RULES) -> DataFrame:
@@ -18,8 +19,8 @@ def tag_posts(posts: DataFrame, rules: RuleSet = LAND_RULES) -> DataFrame:
     Map-only.  Write the result once before branching, or every branch runs the
     patterns again.
     """
-    cleaned = posts.withColumn("texte_nettoye", clean_text(F.col("texte")))
-    return cleaned.withColumn("motif_rejet", reject_reason(F.col("texte_nettoye"), rules))
+    cleaned = with_computed(posts, "texte_nettoye", clean_text(F.col("texte")))
+    return with_computed(cleaned, "motif_rejet", reject_reason(F.col("texte_nettoye"), rules))
 
 
 def candidates(tagged: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -42,46 +43,30 @@ def funnel(
 ) -> DataFrame:
     """Counts per group: raw, rejected, candidates after text dedup, copies, valid.
 
-    raw = candidates + rejects + copies holds in every total.  Only hashes and
-    positions are shuffled, and each part is aggregated before the union.
+    raw = candidates + rejects + copies holds in every total.  One pass over the
+    posts: they are counted per (text, group) before the shuffle, and the group
+    with the first copy of a text is the one it counts for.  Rejects have no
+    text key and are counted per group from the start.
     """
-    zero = F.lit(0).cast("bigint")
-    counted = tagged.groupBy(*by).agg(
-        F.count("*").alias("nb_bruts"),
-        F.count("motif_rejet").alias("nb_rejetes"),
-        F.count_if(F.col("motif_rejet").isNull()).alias("nb_acceptes"),
+    accepted_key = F.when(F.col("motif_rejet").isNull(), text_key("texte_nettoye"))
+    per_text = (
+        tagged.select(*by, accepted_key.alias("_cle"), F.struct(*order).alias("_ordre"), "motif_rejet")
+        .groupBy("_cle", *by)
+        .agg(F.count("*").alias("nb_bruts"), F.count("motif_rejet").alias("nb_rejetes"), F.min("_ordre").alias("_premier"))
     )
-    unique = (
-        tagged.filter("motif_rejet IS NULL")
-        .select(*by, _text_key("texte_nettoye").alias("_cle"), F.struct(*order).alias("_ordre"))
-        .groupBy("_cle")
-        .agg(F.min(F.struct("_ordre", *by)).alias("_premier"))
-        .select(*[F.col(f"_premier.{c}").alias(c) for c in by])
-        .groupBy(*by)
-        .agg(F.count("*").alias("nb_candidats"))
+    no_text = F.when(F.col("_cle").isNull(), F.struct(*by))
+    first = F.row_number().over(Window.partitionBy("_cle", no_text).orderBy("_premier")) == 1
+    counted = per_text.withColumn("_garde", F.col("_cle").isNotNull() & first).groupBy(*by).agg(
+        F.sum("nb_bruts").alias("nb_bruts"), F.sum("nb_rejetes").alias("nb_rejetes"),
+        F.count_if("_garde").alias("nb_candidats"),
     )
-    parts = [
-        counted.withColumn("nb_candidats", zero).withColumn("nb_valides", zero),
-        unique.select(
-            *by, zero.alias("nb_bruts"), zero.alias("nb_rejetes"), zero.alias("nb_acceptes"),
-            "nb_candidats", zero.alias("nb_valides"),
-        ),
-    ]
-    if valid is not None:
-        parts.append(
-            valid.groupBy(*by).agg(F.count("*").alias("nb_valides")).select(
-                *by, zero.alias("nb_bruts"), zero.alias("nb_rejetes"), zero.alias("nb_acceptes"),
-                zero.alias("nb_candidats"), "nb_valides",
-            )
-        )
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    names = ["nb_bruts", "nb_rejetes", "nb_acceptes", "nb_candidats", "nb_valides"]
-    total = united.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
-    return total.select(
+    if valid is None:
+        counted = counted.withColumn("nb_valides", F.lit(0).cast("bigint"))
+    else:
+        counted = counted.join(valid.groupBy(*by).agg(F.count("*").alias("nb_valides")), list(by), "left")
+    return counted.select(
         *by, "nb_bruts", "nb_rejetes", "nb_candidats",
-        (F.col("nb_acceptes") - F.col("nb_candidats")).alias("nb_doublons"),
-        "nb_valides",
+        (F.col("nb_bruts") - F.col("nb_rejetes") - F.col("nb_candidats")).alias("nb_doublons"),
+        F.coalesce("nb_valides", F.lit(0)).alias("nb_valides"),
         (100 * F.col("nb_candidats") / F.greatest("nb_bruts", F.lit(1))).alias("pct_candidats"),
     )

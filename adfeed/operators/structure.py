@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from adfeed.functions.model_output import validate_output
 from adfeed.functions.vocab import DOCUMENT_STATUSES, ZONES, canonicalise
 from adfeed.schemas import STRUCTURED
+from adfeed.session import with_computed
 
 # Call settings and reject reasons.
 IN_FLIGHT = 5
@@ -92,7 +93,7 @@ def route(
     answered, a failed one has none.
     """
     raw = F.col(answer) if isinstance(answer, str) else answer
-    read = answered.withColumn("_s", validate_output(raw, strict))
+    read = with_computed(answered, "_s", validate_output(raw, strict))
     valid = F.col("_s.est_une_annonce_valide")
     names = STRUCTURED.fieldNames()
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfeed.functions.rules import LAND_RULES, RuleSet
+from adfeed.session import spread
 
 # The test texts are invented words, so this rule set stands in for a market:
 # every branch of the decision has rows.
@@ -27,9 +28,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows cost much CPU each: see spread."""
+    return spread(table(spark, folder, name))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents in the shape of raw posts; doc_id is the input order."""
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder, "documents").select(
         F.col("doc_id").alias("id"), F.col("source").alias("groupe_id"), "lang", F.col("text").alias("texte")
     )
 
@@ -93,8 +99,8 @@ def sql_test_reason(text: str) -> str:
 
 
 def sql_land_reason(text: str) -> str:
-    """reject_reason under LAND_RULES (its inner \\b repeat the outer ones)."""
-    keywords = LAND_RULES.include.removeprefix(r"\b(").removesuffix(r")\b").replace(r"\b", "")
+    """reject_reason under LAND_RULES."""
+    keywords = LAND_RULES.include.removeprefix(r"\b(?:").removesuffix(r")\b")
     request = LAND_RULES.request.removeprefix(r"\b(").removesuffix(r")\b")
     sale, number = LAND_RULES.override.split(r")\b|")
     return _sql_decision(

@@ -14,7 +14,7 @@ from adfeed.operators.dedup import dedup_first, dedup_last, dedup_text, text_dup
 from adfeed.operators.filtering import candidates, funnel, reject_breakdown, rejects, tag_posts
 from adfeed.queries.base import (
     TEST_RULES, by_language, documents, sql_by_language, sql_clean, sql_land_reason, sql_strip,
-    sql_test_reason, sql_words, table,
+    sql_test_reason, sql_words, table, texts,
 )
 
 # White space that is not a blank: no-break space, file separator, em space.
@@ -94,7 +94,7 @@ def rental_tag_query(spark, folder):
 
 def page_status(spark, folder):
     """Signs of a bad capture, added to the pages by the language in their address."""
-    pages = table(spark, folder, "pages")
+    pages = texts(spark, folder, "pages")
     signs = (
         F.when(F.col("url").contains("/de/"), "<p>Confirmez votre Identité</p>")
         .when(F.col("url").contains("/es/"), '<script>{"USER_ID":"0"}</script>')
@@ -107,7 +107,7 @@ def page_status(spark, folder):
 
 def page_permalink(spark, folder):
     url = F.regexp_replace("url", "/en/", "/posts/")
-    return table(spark, folder, "pages").select("page_id", is_permalink(url).cast("int").alias("permalien"))
+    return texts(spark, folder, "pages").select("page_id", is_permalink(url).cast("int").alias("permalien"))
 
 
 def mask_credentials_query(spark, folder):

@@ -7,7 +7,8 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the operators rely on. All of them can be set on a running session.
 RUNTIME_CONF = {
@@ -42,6 +43,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("adfeed")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
@@ -73,3 +75,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(work_folder(df.sparkSession, "checkpoint"))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores if the input has fewer splits than that.
+
+    For work that costs far more than moving its input, such as patterns over
+    texts, on a file that cannot be split. Inputs with enough splits stay put.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def with_computed(df: DataFrame, name: str, col: Column) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    As a plain column it would be copied into every later filter and condition
+    that uses it, and be computed for each; a generator is not pushed around.
+    """
+    return df.select("*", F.explode(F.array(col)).alias(name))
