@@ -163,7 +163,7 @@ def source_health(
 
         line = part("a") * state_.confiance + part("b")
         kept = F.when(part("remise"), F.lit(1)).otherwise(state_.multiplicateur)
-        doubled = F.least(F.lit(MULTIPLIER_MAX), kept * F.shiftleft(F.lit(1), F.least(part("doubles"), F.lit(4))))
+        doubled = F.least(F.lit(MULTIPLIER_MAX), kept * F.call_function("shiftleft", F.lit(1), F.least(part("doubles"), F.lit(4))))
         return F.struct(
             F.least(part("haut"), F.greatest(part("bas"), line)).alias("confiance"),
             part("serie").alias("serie"),

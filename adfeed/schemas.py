@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "STRING": T.StringType(), "BOOLEAN": T.BooleanType(), "BIGINT": T.LongType(), "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(), "TIMESTAMP": T.TimestampType(), "ARRAY<STRING>": T.ArrayType(T.StringType()),
+}
+
+
 def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+    """A flat schema from "name TYPE, ..."; unlike fromDDL it needs no session."""
+    pairs = [column.split() for column in ddl.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 GROUPS = _schema("id STRING, nom STRING, url STRING, actif BOOLEAN")
