@@ -1,2 +1,234 @@
-QUERIES = {}
-ORACLE = {}
+"""Files, tables, streams and whole runs, written to the work folder and read back."""
+
+from __future__ import annotations
+
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from adfeed.operators.filtering import rejects, tag_posts
+from adfeed.operators.structure import invalid_posts, route, valid_ads
+from adfeed.plans.runs import Places, full_run, rules_only_run
+from adfeed.queries.base import TEST_RULES, documents, events, sql_search, sql_words, table, texts
+from adfeed.queries.filtering import TAGGED, _KEPT
+from adfeed.queries.structuring import _ROUTED_SQL, _answers
+from adfeed.schemas import AD_COLUMNS, CANDIDATE_COLUMNS, MASTER
+from adfeed.session import work_folder
+from adfeed.sinks.exports import export_ads, export_master, write_rejects
+from adfeed.sinks.tables import append_raw, upsert_master
+from adfeed.sources.groups import load_groups
+from adfeed.sources.posts import file_issues, load_raw_table, merge_posts, parse_post_files
+from adfeed.sources.state import load_master
+from adfeed.streaming.ingest import first_of_each_id, read_new_files, upsert_stream
+
+NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
+LATER = datetime(2024, 2, 1, tzinfo=timezone.utc)
+
+
+def active_groups_query(spark, folder):
+    """Suppliers as a group list in CSV, with placeholders and inactive groups."""
+    path = work_folder(spark, "groupes")
+    balance = F.col("s_acctbal")
+    rows = table(spark, folder, "supplier").select(
+        F.lit("x").alias("membres"),
+        F.when(balance < 0, F.lit("Vrai ")).when(balance < 5000, F.lit("1")).when(balance < 8000, F.lit("non")).otherwise("true").alias("actif"),
+        F.concat(F.when(balance > 9000, F.lit(" todo_")).otherwise(" "), F.col("s_suppkey").cast("string")).alias("id"),
+        F.concat("s_name", F.lit(', "suite" ')).alias("nom"), F.lit(" https://exemple.test/groups ").alias("url"),
+    )
+    rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return load_groups(spark, path).withColumn("actif", F.col("actif").cast("int"))
+
+
+def _post_files(spark, folder) -> DataFrame:
+    """Each document as a raw file: its lines are posts whose ids repeat across files.
+
+    German files are cut short and the first post of Spanish files has no id.
+    """
+    def post(line, i):
+        ident = F.when((F.col("lang") != "es") | (i > 0), F.concat("source", F.lit("-"), i.cast("string")))
+        return F.struct(ident.alias("id"), F.col("source").alias("groupe_id"), line.alias("texte"))
+
+    array = F.to_json(F.transform(F.split("text", "\n"), post))
+    value = F.when(F.col("lang") == "de", F.expr("left(a, length(a) - 1)")).otherwise(F.col("a"))
+    rows = texts(spark, folder, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("_file"), "lang", array.alias("a"))
+    return rows.select("_file", value.alias("value"))
+
+
+def raw_posts_merge(spark, folder):
+    return merge_posts(parse_post_files(_post_files(spark, folder))).select("id", "texte", "_file", "_pos")
+
+
+def raw_file_issues(spark, folder):
+    issues = file_issues(_post_files(spark, folder))
+    return issues.select("_file", F.col("lisible").cast("int").alias("lisible"), "sans_id")
+
+
+def raw_append_read(spark, folder):
+    """Two runs appended by group; the second corrects some posts of the first."""
+    path = work_folder(spark, "brut")
+    posts = table(spark, folder, "conversations").select(
+        F.col("conv_id").cast("string").alias("id"), F.col("role").alias("groupe_id"), F.lit("").alias("groupe_nom"),
+        F.lit(None).cast("string").alias("url"), F.col("text").alias("texte"), F.lit(None).cast("string").alias("date_publication"),
+        F.lit(True).alias("date_incertaine"), F.lit("").alias("scrape_le"), F.col("turn").alias("_pos"),
+    )
+    append_raw(posts.filter("groupe_id <> 'assistant'"), path, "20240101T000000Z")
+    append_raw(posts.filter("groupe_id = 'assistant'"), path, "20240102T000000Z")
+    return load_raw_table(spark, path).select("id", "groupe_id", "texte")
+
+
+def _ads(spark, folder) -> DataFrame:
+    return valid_ads(route(_answers(spark, folder))).select(
+        F.col("event_id").cast("string").alias("id"), "type_bien", "quartier_zone", "superficie_m2", "prix_fcfa", "statut_document",
+        "contacts_whatsapp", "mots_cles_pertinents", "resume_court", F.lit('un "mot", deux ').alias("texte_nettoye"),
+    )
+
+
+def _read_csv(spark, path, columns) -> DataFrame:
+    """Part files as text; an empty cell is ''."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    cells = spark.read.schema(schema).csv(
+        path, header=True, enforceSchema=True, escape='"', multiLine=True,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+    return cells.na.fill("")
+
+
+def export_ads_csv(spark, folder):
+    path = work_folder(spark, "export")
+    export_ads(_ads(spark, folder), path, contacts="raw")
+    return _read_csv(spark, path, AD_COLUMNS).select("id", "type_bien", "superficie_m2", "prix_fcfa", "contacts_whatsapp", "texte_nettoye", "url")
+
+
+def export_masked_csv(spark, folder):
+    path = work_folder(spark, "export")
+    export_ads(_ads(spark, folder), path)
+    return _read_csv(spark, path, AD_COLUMNS).select("id", "contacts_whatsapp")
+
+
+def export_master_csv(spark, folder):
+    """Two upserts into the master, then its consultation copy."""
+    path = work_folder(spark, "maitre")
+    ads = _ads(spark, folder)
+    upsert_master(ads.filter("type_bien = 'villa'"), f"{path}/t", NOW)
+    upsert_master(ads.filter("prix_fcfa < 50 OR prix_fcfa > 5000000000"), f"{path}/t", LATER)
+    export_master(load_master(spark, f"{path}/t"), f"{path}/vue")
+    return _read_csv(spark, f"{path}/vue", MASTER.fieldNames()).select("id", "date_incertaine", "prix_fcfa", "premiere_collecte", "derniere_maj")
+
+
+def rejects_audit(spark, folder):
+    path = work_folder(spark, "rejets")
+    level1 = rejects(tag_posts(documents(spark, folder), TEST_RULES)).select(F.col("id").cast("string").alias("id"), "motif_rejet", "texte")
+    level2 = invalid_posts(route(_answers(spark, folder))).select(F.col("event_id").cast("string").alias("id"), "motif_rejet", "type_bien")
+    write_rejects(level1, level2, path)
+    back = spark.read.schema("id STRING, texte STRING, type_bien STRING, motif_rejet STRING").json(path)
+    return back.groupBy("motif_rejet").agg(
+        F.count("*").alias("nb"), F.sum(F.length("texte")).alias("n_texte"), F.count("type_bien").alias("nb_types")
+    )
+
+
+def rules_only_candidates(spark, folder):
+    path = work_folder(spark, "candidats")
+    posts = documents(spark, folder).withColumn("id", F.lpad(F.col("id").cast("string"), 12, "0"))
+    rules_only_run(posts, path, ["id"], TEST_RULES)
+    return _read_csv(spark, f"{path}/candidats_sans_llm", CANDIDATE_COLUMNS).select("id", "texte_nettoye")
+
+
+def full_run_summary(spark, folder):
+    path = work_folder(spark, "run")
+    posts = documents(spark, folder).withColumn("id", F.lpad(F.col("id").cast("string"), 12, "0"))
+    places = Places(f"{path}/maitre", f"{path}/runs", f"{path}/sorties", f"{path}/vue")
+    summary = full_run(spark, posts, places, NOW, ["id"], rules=TEST_RULES)
+    master = load_master(spark, places.master).agg(F.count("*").alias("n"))
+    logged = spark.read.parquet(places.runs).agg(F.sum("nb_valides").alias("n"))
+    return summary.select(
+        "nb_posts_bruts", "nb_candidats", "nb_valides", master.select("n").scalar().alias("nb_maitre"),
+        logged.select("n").scalar().alias("nb_journal"),
+    )
+
+
+def _event_files(spark, folder, path: str) -> DataFrame:
+    """Events as files that arrive in three steps, ten days each."""
+    rows = events(spark, folder).select(
+        F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("id"), F.col("event_type").alias("groupe_nom"),
+        (F.col("value") * 100).cast("bigint").alias("prix_fcfa"), "ts", F.col("event_id").alias("_pos"),
+    )
+    bounds = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
+    for start, end in zip(bounds, bounds[1:]):
+        part = rows.filter((F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp")))
+        part.repartition(2).write.mode("append").parquet(path)
+    return rows
+
+
+def stream_dedup(spark, folder):
+    path = work_folder(spark, "flux")
+    rows = _event_files(spark, folder, f"{path}/entree")
+    stream = first_of_each_id(read_new_files(spark, f"{path}/entree", rows.schema, 2), "ts")
+    stream.select("id", "groupe_nom").writeStream.format("parquet").option("checkpointLocation", f"{path}/point").trigger(
+        availableNow=True
+    ).start(f"{path}/sortie").awaitTermination()
+    return spark.read.parquet(f"{path}/sortie")
+
+
+def stream_upsert(spark, folder):
+    path = work_folder(spark, "flux")
+    rows = _event_files(spark, folder, f"{path}/entree")
+    stream = read_new_files(spark, f"{path}/entree", rows.schema, 2)
+    upsert_stream(stream, f"{path}/maitre", f"{path}/point", NOW).awaitTermination()
+    return load_master(spark, f"{path}/maitre").select("id", "groupe_nom", "prix_fcfa", F.unix_micros("derniere_maj").alias("maj_us"))
+
+
+QUERIES = {
+    "active_groups": active_groups_query,
+    "raw_posts_merge": raw_posts_merge,
+    "raw_file_issues": raw_file_issues,
+    "raw_append_read": raw_append_read,
+    "export_ads_csv": export_ads_csv,
+    "export_masked_csv": export_masked_csv,
+    "export_master_csv": export_master_csv,
+    "rejects_audit": rejects_audit,
+    "rules_only_candidates": rules_only_candidates,
+    "full_run_summary": full_run_summary,
+    "stream_dedup": stream_dedup,
+    "stream_upsert": stream_upsert,
+}
+
+_LINES_SQL = """SELECT lpad(doc_id::VARCHAR, 12, '0') AS _file, source, lang, unnest(lines) AS texte, generate_subscripts(lines, 1) - 1 AS _pos
+    FROM (SELECT *, string_split(text, chr(10)) AS lines FROM documents)"""
+_VALID_SQL = f"""SELECT * FROM ({_KEPT}) WHERE {sql_words('t', 'est|ist|with')} OR {sql_search('t', '[0-9]{4,}')}"""
+_ADS_SQL = f"""SELECT event_id::VARCHAR AS id, kind, CASE kind WHEN 'click' THEN 'villa' WHEN 'purchase' THEN 'ferme' END AS type_bien,
+        aire::BIGINT::VARCHAR AS superficie_m2, prix, k FROM ({_ROUTED_SQL}) WHERE issue = 'valide'"""
+
+ORACLE = {
+    "active_groups": """SELECT s_suppkey::VARCHAR AS id, s_name || ', "suite"' AS nom, 'https://exemple.test/groups' AS url, 1 AS actif
+        FROM supplier WHERE s_acctbal < 5000 OR (s_acctbal >= 8000 AND s_acctbal <= 9000)""",
+    "raw_posts_merge": f"""SELECT id, arg_max(texte, _file || lpad(_pos::VARCHAR, 9, '0')) AS texte, min(_file) AS _file,
+            arg_min(_pos, _file || lpad(_pos::VARCHAR, 9, '0'))::BIGINT AS _pos
+        FROM (SELECT *, source || '-' || _pos AS id FROM ({_LINES_SQL})) WHERE lang <> 'de' AND (lang <> 'es' OR _pos > 0) GROUP BY id""",
+    "raw_file_issues": """SELECT lpad(doc_id::VARCHAR, 12, '0') AS _file, (lang <> 'de')::INT AS lisible, (lang = 'es')::INT AS sans_id
+        FROM documents WHERE lang IN ('de', 'es')""",
+    "raw_append_read": """SELECT conv_id::VARCHAR AS id,
+            arg_max(role, CASE role WHEN 'assistant' THEN 2000000 WHEN 'user' THEN 1000000 ELSE 0 END + turn) AS groupe_id,
+            arg_max(text, CASE role WHEN 'assistant' THEN 2000000 WHEN 'user' THEN 1000000 ELSE 0 END + turn) AS texte
+        FROM conversations GROUP BY 1""",
+    "export_ads_csv": f"""SELECT id, type_bien, coalesce(superficie_m2, '') AS superficie_m2, prix::VARCHAR AS prix_fcfa,
+            CASE WHEN kind = 'click' THEN '70 ' || k || '; x' ELSE '' END AS contacts_whatsapp, 'un "mot", deux ' AS texte_nettoye, '' AS url
+        FROM ({_ADS_SQL})""",
+    # All digits but the last two are hidden.
+    "export_masked_csv": f"""SELECT id, CASE WHEN kind <> 'click' THEN '' WHEN length(k) = 1 THEN '*0 ' || k || '; x'
+            ELSE '** ' || k || '; x' END AS contacts_whatsapp FROM ({_ADS_SQL})""",
+    "export_master_csv": f"""SELECT id, 'False' AS date_incertaine, prix::VARCHAR AS prix_fcfa,
+            CASE WHEN kind = 'click' THEN '2024-01-31' ELSE '2024-02-01' END || 'T00:00:00+00:00' AS premiere_collecte,
+            CASE WHEN prix < 50 OR prix > 5000000000 THEN '2024-02-01' ELSE '2024-01-31' END || 'T00:00:00+00:00' AS derniere_maj
+        FROM ({_ADS_SQL}) WHERE kind = 'click' OR prix < 50 OR prix > 5000000000""",
+    "rejects_audit": f"""SELECT motif AS motif_rejet, count(*) AS nb, sum(length(text))::BIGINT AS n_texte, 0::BIGINT AS nb_types
+        FROM ({TAGGED}) t JOIN documents d ON d.doc_id = t.id WHERE motif IS NOT NULL GROUP BY 1
+        UNION ALL SELECT issue, count(*), NULL, count(*) FILTER (ok) FROM ({_ROUTED_SQL}) WHERE issue <> 'valide' GROUP BY 1""",
+    "rules_only_candidates": f"SELECT lpad(id::VARCHAR, 12, '0') AS id, t AS texte_nettoye FROM ({_KEPT})",
+    "full_run_summary": f"""SELECT (SELECT count(*) FROM documents) AS nb_posts_bruts, (SELECT count(*) FROM ({_KEPT})) AS nb_candidats,
+            n AS nb_valides, n AS nb_maitre, n AS nb_journal FROM (SELECT count(*) AS n FROM ({_VALID_SQL}))""",
+    "stream_dedup": "SELECT DISTINCT user_id || '-' || event_type AS id, event_type AS groupe_nom FROM events",
+    "stream_upsert": """SELECT user_id || '-' || event_type AS id, event_type AS groupe_nom,
+            trunc(arg_max(value, event_id) * 100)::BIGINT AS prix_fcfa, epoch_us(TIMESTAMP '2024-01-31') AS maj_us FROM events GROUP BY 1, 2""",
+}

@@ -57,8 +57,10 @@ def load_raw_post_lines(spark: SparkSession, *paths: str) -> DataFrame:
 
 def load_raw_table(spark: SparkSession, path: str) -> DataFrame:
     """Posts appended by sinks.append_raw, one row per id."""
-    stored = spark.read.schema(T.StructType(RAW_POST.fields + [T.StructField("run_ts", T.StringType()), T.StructField("_pos", T.LongType())])).parquet(path)
-    return dedup_last(stored.withColumnRenamed("run_ts", "_file"), "id", ["_file", "groupe_id", "_pos"])
+    fields = [*RAW_POST.fields, T.StructField("run_ts", T.StringType()), T.StructField("_pos", T.LongType())]
+    stored = spark.read.schema(T.StructType(fields)).parquet(path)
+    placed = stored.withColumnRenamed("run_ts", "_file").withColumn("_groupe", F.col("groupe_id"))
+    return dedup_last(placed, "id", ["_file", "_groupe", "_pos"]).drop("_groupe")
 
 
 def merge_posts(posts: DataFrame) -> DataFrame:
