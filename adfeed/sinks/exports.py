@@ -42,7 +42,7 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], bom: bool = True
     """CSV part files: CRLF, minimal quoting, a header in each, also for no rows.
 
     With ``bom`` every part file starts with a byte order mark, as spreadsheet
-    programs want it.
+    programs want it.  A line break inside a cell is written as CRLF too.
     """
     texts = export_text(df, columns)
     if bom:
