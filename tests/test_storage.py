@@ -173,7 +173,7 @@ def test_raw_files(spark, folder):
     write(f"{folder}/2.json", json.dumps([{"texte": "sans id"}, {"id": "a", "texte": "un bis"}], indent=2))
     write(f"{folder}/3.json", '[{"id": "c", "texte": "coup')
     write(f"{folder}/4.json", '{"id": "d", "texte": "objet"}')
-    write(f"{folder}/5.json", "")
+    write(f"{folder}/5.json", " \n")
     posts = load_raw_posts(spark, f"{folder}/*.json").orderBy("_file", "_pos").collect()
     assert [(r["id"], r["texte"]) for r in posts] == [("a", "un bis"), ("b", "deux")] and posts[1]["date_incertaine"] is True
     files = spark.read.text(f"{folder}/*.json", wholetext=True).select(F.col("_metadata.file_name").alias("_file"), "value")
