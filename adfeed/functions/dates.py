@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from adfeed.functions.binding import let
 from adfeed.functions.text import SPACE, strip
 
 # Accepted words.
@@ -20,6 +22,7 @@ MONTHS = {
 UNIT_SECONDS = {"min": 60, "h": 3600, "j": 86400}
 DEFAULT_DAYS_BACK = {"daily": 1, "backfill": 7}
 
+_CUT = "\x1f"
 _CLOCK = rf"(?:{SPACE}+[àa]{SPACE}+([0-9]{{1,2}})[:h]([0-9]{{2}}))?"
 _AGE = rf"(?U)^([0-9]+){SPACE}*(min|h|j)$"
 _NEAR_DAY = rf"(?U)^(hier|aujourd'?hui){_CLOCK}$"
@@ -34,8 +37,19 @@ def _lookup(mapping: dict, key: Column) -> Column:
     return F.try_element_at(pairs, key)
 
 
-def _number(text: Column, pattern: str, group: int, kind: str = "int") -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast(kind)
+def _if_whole(text: Column, pattern: str, count: int, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the groups of a whole-text pattern ('' for an absent one); NULL without a match."""
+    marked = F.regexp_replace(text, pattern, "".join(f"{_CUT}${i + 1}" for i in range(count)))
+
+    # A stripped text does not start with the mark, so only a match does.
+    def read(result: Column) -> Column:
+        return F.when(result.startswith(_CUT), let(F.slice(F.split(result, _CUT), 2, count), body))
+
+    return let(marked, read)
+
+
+def _number(text: Column, kind: str = "int") -> Column:
+    return text.try_cast(kind)
 
 
 def parse_relative_ts(col: Column, now: Column | datetime) -> Column:
@@ -47,43 +61,44 @@ def parse_relative_ts(col: Column, now: Column | datetime) -> Column:
     not in the future.  Impossible days and hours give NULL.
     """
     at = now if isinstance(now, Column) else F.lit(now)
-    text = F.lower(strip(col))
-
-    seconds = _number(text, _AGE, 1, "bigint") * _lookup(UNIT_SECONDS, F.regexp_extract(text, _AGE, 2))
-    small = F.length(F.regexp_extract(text, _AGE, 1)) <= 12
-    reachable = seconds <= F.unix_seconds(at) + _FIRST_SECOND
-    aged = F.when(small & reachable, F.timestamp_micros(F.unix_micros(at) - seconds * 1_000_000))
-
-    near = F.when(F.regexp_extract(text, _NEAR_DAY, 1) == "hier", F.date_sub(at.cast("date"), 1)).otherwise(
-        at.cast("date")
-    )
-    near_day = _timestamp(
-        F.year(near), F.month(near), F.dayofmonth(near),
-        F.coalesce(_number(text, _NEAR_DAY, 2), F.lit(0)), F.coalesce(_number(text, _NEAR_DAY, 3), F.lit(0)),
-    )
-
-    def calendar(year: Column) -> Column:
+
+    def aged(parts: Column) -> Column:
+        seconds = _number(parts[0], "bigint") * _lookup(UNIT_SECONDS, parts[1])
+        reachable = (F.length(parts[0]) <= 12) & (seconds <= F.unix_seconds(at) + _FIRST_SECOND)
+        return F.when(reachable, F.timestamp_micros(F.unix_micros(at) - seconds * 1_000_000))
+
+    def near_day(parts: Column) -> Column:
+        today = at.cast("date")
+        day = F.when(parts[0] == "hier", F.date_sub(today, 1)).otherwise(today)
         return _timestamp(
-            year, _lookup(MONTHS, F.regexp_extract(text, _CALENDAR_DAY, 2)), _number(text, _CALENDAR_DAY, 1),
-            F.coalesce(_number(text, _CALENDAR_DAY, 4), F.lit(12)),
-            F.coalesce(_number(text, _CALENDAR_DAY, 5), F.lit(0)),
+            F.year(day), F.month(day), F.dayofmonth(day),
+            F.coalesce(_number(parts[1]), F.lit(0)), F.coalesce(_number(parts[2]), F.lit(0)),
         )
 
-    given_year = _number(text, _CALENDAR_DAY, 3)
-    this_year = calendar(F.year(at))
-    dated = (
+    def calendar_day(parts: Column) -> Column:
+        def in_year(year: Column) -> Column:
+            return _timestamp(
+                year, _lookup(MONTHS, parts[1]), _number(parts[0]),
+                F.coalesce(_number(parts[3]), F.lit(12)), F.coalesce(_number(parts[4]), F.lit(0)),
+            )
+
+        def this_or_last(this: Column) -> Column:
+            return F.when(this > at, in_year(F.year(at) - 1)).otherwise(this)
+
         # year 0 does not exist
-        F.when(given_year >= 1, calendar(given_year))
-        .when(given_year.isNull() & (this_year > at), calendar(F.year(at) - 1))
-        .when(given_year.isNull(), this_year)
-    )
-
-    return (
-        F.when(text.isin(*INSTANT_TEXTS), at)
-        .when(text.rlike(_AGE), aged)
-        .when(text.rlike(_NEAR_DAY), near_day)
-        .when(text.rlike(_CALENDAR_DAY), dated)
-    )
+        return F.when(parts[2] == "", let(in_year(F.year(at)), this_or_last)).when(
+            _number(parts[2]) >= 1, in_year(_number(parts[2]))
+        )
+
+    def parse(text: Column) -> Column:
+        return F.coalesce(
+            F.when(text.isin(*INSTANT_TEXTS), at),
+            _if_whole(text, _AGE, 2, aged),
+            _if_whole(text, _NEAR_DAY, 3, near_day),
+            _if_whole(text, _CALENDAR_DAY, 5, calendar_day),
+        )
+
+    return let(F.lower(strip(col)), parse)
 
 
 def _timestamp(year: Column, month: Column, day: Column, hour: Column, minute: Column) -> Column:

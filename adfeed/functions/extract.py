@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adfeed.functions.rules import LAND_RULES, RuleSet
 from adfeed.functions.text import java_pattern, matches, strip
-from adfeed.functions.vocab import DOCUMENT_STATUSES, PROPERTY_TYPES, ZONES
+from adfeed.functions.vocab import DOCUMENT_STATUSES, PROPERTY_TYPES, ZONES, canonicalise
 
 SQUARE_METRES_PER_HECTARE = 10_000
 
@@ -69,9 +69,10 @@ def price(col: Column) -> Column:
 
 
 def first_named(col: Column, vocab: Sequence[str]) -> Column:
-    """The longest vocabulary entry named as whole words in the text, else NULL."""
-    options = sorted(vocab, key=len, reverse=True)
-    return F.coalesce(*[F.when(matches(col, rf"\b{_literal(v)}\b"), F.lit(v)) for v in options])
+    """The first vocabulary entry named as whole words, the longest that starts there."""
+    options = "|".join(_literal(v) for v in sorted(vocab, key=len, reverse=True))
+    named = F.regexp_extract(col, java_pattern(rf"\b(?:{options})\b"), 0)
+    return F.when(named != "", canonicalise(named, vocab))
 
 
 def keywords(col: Column, rules: RuleSet = LAND_RULES) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from adfeed.functions.binding import let
 from adfeed.functions.checks import non_negative
 
 # Texts accepted where a boolean is expected.
@@ -28,23 +29,24 @@ FIELDS = {
     "resume_court": ("string", False),
 }
 NOT_NEGATIVE = ("superficie_m2", "prix_fcfa")
+_OBJECT = r"(?s)^\s*\{.*\}\s*$"
 
 
-def _read(variant: Column, name: str, kind: str, required: bool, strict: bool) -> tuple[Column, Column]:
+def _read(raw: Column, kind: str, required: bool, strict: bool) -> tuple[Column, Column]:
     """(is the field acceptable, its typed value)."""
-    path = f"$.{name}"
-    raw = F.try_variant_get(variant, path, "variant")
-    found = F.schema_of_variant(raw)
-    text = F.try_variant_get(variant, path, "string")
-    absent = raw.isNull()
+
+    def as_type(name: str) -> Column:
+        return F.try_variant_get(raw, "$", name)
+
+    found, text, absent = F.schema_of_variant(raw), as_type("string"), raw.isNull()
     is_text, is_bool = found == "STRING", found == "BOOLEAN"
     is_number = found.rlike(r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$")
 
     if kind == "boolean":
-        value = F.try_variant_get(variant, path, "boolean")
+        value = as_type("boolean")
         ok = is_bool
         if not strict:
-            number = F.try_variant_get(variant, path, "double")
+            number = as_type("double")
             value = (
                 F.when(is_bool, value)
                 .when(is_number, number == 1)
@@ -55,7 +57,7 @@ def _read(variant: Column, name: str, kind: str, required: bool, strict: bool) -
             )
     elif kind == "nullable integer":
         # An integral decimal (600.0) counts as an integer, 600.5 does not.
-        exact = F.try_variant_get(variant, path, "decimal(38,10)")
+        exact = as_type("decimal(38,10)")
         number = exact.try_cast("bigint")
         value = F.when(is_number, number)
         ok = is_number & number.isNotNull() & (exact == number)
@@ -66,7 +68,7 @@ def _read(variant: Column, name: str, kind: str, required: bool, strict: bool) -
             ok = ok | is_bool | (is_text & typed.isNotNull())
         ok = ok | (found == "VOID")
     elif kind == "string list":
-        items = F.try_variant_get(variant, path, "array<string>")
+        items = as_type("array<string>")
         value = F.when(absent, F.array().cast("array<string>")).otherwise(items)
         clean = F.coalesce(~F.exists(items, lambda item: item.isNull()), F.lit(False))
         ok = found.isin("ARRAY<STRING>", "ARRAY<VOID>") & clean
@@ -88,11 +90,15 @@ def validate_output(col: Column, strict: bool = False) -> Column:
     accepted: "12", 12.0 and true for an integer, and 0/1 or "yes"/"no" words
     for a boolean.
     """
-    variant = F.try_parse_json(col)
-    is_object = F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
-    accepted, fields = is_object, []
-    for name, (kind, required) in FIELDS.items():
-        ok, value = _read(variant, name, kind, required, strict)
-        accepted = accepted & ok
-        fields.append((non_negative(value) if name in NOT_NEGATIVE else value).alias(name))
-    return F.when(accepted, F.struct(*fields))
+    schema = ", ".join(f"{name} VARIANT" for name in FIELDS)
+    whole = F.when(col.rlike(_OBJECT), F.from_json(col, schema))
+
+    def typed(answer: Column) -> Column:
+        accepted, fields = answer.isNotNull(), []
+        for name, (kind, required) in FIELDS.items():
+            ok, value = _read(answer[name], kind, required, strict)
+            accepted = accepted & ok
+            fields.append((non_negative(value) if name in NOT_NEGATIVE else value).alias(name))
+        return F.when(accepted, F.struct(*fields))
+
+    return let(whole, typed)

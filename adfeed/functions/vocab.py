@@ -8,6 +8,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adfeed.functions.binding import let
 from adfeed.functions.text import strip
 
 # Accepted spellings.
@@ -31,8 +32,11 @@ def canonicalise(col: Column, vocab: Sequence[str]) -> Column:
     NULL and '' become NULL; a value of whitespace only becomes ''.
     """
     spelling = F.create_map(*[F.lit(x) for x in chain.from_iterable((v.lower(), v) for v in vocab)])
-    stripped = strip(col)
-    return F.when(col != "", F.coalesce(F.try_element_at(spelling, F.lower(stripped)), stripped))
+
+    def spelled(stripped: Column) -> Column:
+        return F.coalesce(F.try_element_at(spelling, F.lower(stripped)), stripped)
+
+    return F.when(col != "", let(strip(col), spelled))
 
 
 def canonicalise_join(df: DataFrame, column: str, vocab: DataFrame) -> DataFrame:

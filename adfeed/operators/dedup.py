@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adfeed.session import cut_lineage
+
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of every key."""
@@ -56,11 +58,14 @@ def text_duplicates(
 ) -> DataFrame:
     """The rows dedup_text drops: (id, id of the row that was kept instead).
 
-    Only narrow columns are shuffled; the kept side has one row per text, so a
-    hot text makes the other side skewed and AQE splits it.
+    The texts are reduced to hashes and positions once, and written.  The kept
+    side has one row per text, so a hot text makes the other side skewed and AQE
+    splits it.
     """
-    narrow = df.filter(F.coalesce(F.col(text), F.lit("")) != "").select(
-        F.col(id_col).alias(id_col), text_key(text).alias("_cle"), F.struct(*order).alias("_ordre")
+    narrow = cut_lineage(
+        df.filter(F.coalesce(F.col(text), F.lit("")) != "").select(
+            F.col(id_col).alias(id_col), text_key(text).alias("_cle"), F.struct(*order).alias("_ordre")
+        )
     )
     firsts = narrow.groupBy("_cle").agg(
         F.min(F.struct("_ordre", F.col(id_col).alias("id_garde"))).alias("_garde"), F.count("*").alias("_n")

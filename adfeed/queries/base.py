@@ -49,7 +49,7 @@ def by_language(col: Column, phrases: dict[str, str]) -> Column:
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return texts(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def sql_text(value: str) -> str:

@@ -16,6 +16,7 @@ from adfeed.queries.base import (
     TEST_RULES, by_language, documents, sql_by_language, sql_clean, sql_land_reason, sql_strip,
     sql_test_reason, sql_words, table, texts,
 )
+from adfeed.session import with_computed
 
 # White space that is not a blank: no-break space, file separator, em space.
 NBSP, FILE_SEPARATOR, EM_SPACE = chr(0xA0), chr(0x1C), chr(0x2003)
@@ -63,7 +64,7 @@ def reject_breakdown_query(spark, folder):
 
 
 def _cleaned(spark, folder):
-    return documents(spark, folder).withColumn("texte_nettoye", clean_text(F.col("texte")))
+    return with_computed(documents(spark, folder), "texte_nettoye", clean_text(F.col("texte")))
 
 
 def dedup_text_first(spark, folder):
