@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adfeed.functions.text import matches, strip
+from adfeed.functions.text import is_blank, matches
 
 EMPTY_TEXT = "texte_vide"
 FAILED_RULES = "regex_niveau1"
@@ -61,7 +61,7 @@ def is_candidate(col: Column, rules: RuleSet = LAND_RULES) -> Column:
     wanted = matches(col, rules.numeric) | matches(col, rules.include)
     pure_request = matches(col, rules.request) & ~matches(col, rules.override)
     return (
-        F.when(F.coalesce(strip(col), F.lit("")) == "", False)
+        F.when(is_blank(col), False)
         .when(~wanted, False)
         .when(matches(col, rules.spam), False)
         .otherwise(~pure_request)

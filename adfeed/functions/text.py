@@ -42,6 +42,11 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, rf"(?U)^{SPACE}+|{SPACE}+$", "")
 
 
+def is_blank(col: Column) -> Column:
+    """True for NULL, '' and whitespace only; stops at the first other character."""
+    return ~F.coalesce(col.rlike(rf"(?U){NOT_SPACE}"), F.lit(False))
+
+
 def clean_text(col: Column) -> Column:
     """Drop links, collapse whitespace, strip; NULL becomes the empty string."""
     without_links = F.regexp_replace(F.coalesce(col, F.lit("")), rf"(?U)https?://{NOT_SPACE}+", "")

@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from adfeed.session import cut_lineage
 
 
+def position(order: Sequence[str]) -> Column:
+    """A row's place as one value; a single column stays plain, which aggregates faster."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of every key."""
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -48,7 +53,7 @@ def dedup_text(df: DataFrame, order: Sequence[str], text: str = "texte_nettoye")
     """
     blank = F.coalesce(F.col(text), F.lit("")) == ""
     keyed = df.withColumn("_cle", F.when(~blank, text_key(text))).withColumn(
-        "_vide", F.when(blank, F.struct(*order))
+        "_vide", F.when(blank, position(order))
     )
     return dedup_first(keyed, ["_cle", "_vide"], order).drop("_cle", "_vide")
 
@@ -64,7 +69,7 @@ def text_duplicates(
     """
     narrow = cut_lineage(
         df.filter(F.coalesce(F.col(text), F.lit("")) != "").select(
-            F.col(id_col).alias(id_col), text_key(text).alias("_cle"), F.struct(*order).alias("_ordre")
+            F.col(id_col).alias(id_col), text_key(text).alias("_cle"), position(order).alias("_ordre")
         )
     )
     firsts = narrow.groupBy("_cle").agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adfeed.functions.rules import LAND_RULES, RuleSet, reject_reason
 from adfeed.functions.text import clean_text
-from adfeed.operators.dedup import text_key, dedup_text
+from adfeed.operators.dedup import dedup_text, position, text_key
 from adfeed.session import with_computed
 
 
@@ -50,11 +50,11 @@ def funnel(
     """
     accepted_key = F.when(F.col("motif_rejet").isNull(), text_key("texte_nettoye"))
     per_text = (
-        tagged.select(*by, accepted_key.alias("_cle"), F.struct(*order).alias("_ordre"), "motif_rejet")
+        tagged.select(*by, accepted_key.alias("_cle"), position(order).alias("_ordre"), "motif_rejet")
         .groupBy("_cle", *by)
         .agg(F.count("*").alias("nb_bruts"), F.count("motif_rejet").alias("nb_rejetes"), F.min("_ordre").alias("_premier"))
     )
-    no_text = F.when(F.col("_cle").isNull(), F.struct(*by))
+    no_text = F.when(F.col("_cle").isNull(), position(by))
     first = F.row_number().over(Window.partitionBy("_cle", no_text).orderBy("_premier")) == 1
     counted = per_text.withColumn("_garde", F.col("_cle").isNotNull() & first).groupBy(*by).agg(
         F.sum("nb_bruts").alias("nb_bruts"), F.sum("nb_rejetes").alias("nb_rejetes"),

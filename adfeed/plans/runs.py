@@ -69,7 +69,8 @@ def full_run(
         answered = chosen.withColumn("sortie_modele", rule_extract(F.col("texte_nettoye"), rules))
     else:
         answered = structure(chosen, extractor, **calls)
-    routed = route(_written(answered, f"{places.out}/reponses"), strict=strict)
+    answers = _written(answered, f"{places.out}/reponses")
+    routed = _written(route(answers, strict=strict), f"{places.out}/champs")
     valid = valid_ads(routed)
 
     counts = _written(

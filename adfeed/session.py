@@ -19,6 +19,10 @@ RUNTIME_CONF = {
     # later step would have liked to reuse the partitioning.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # 90 days of post ids do not fit into the heap of an executor.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # JSON blobs are a few hundred KB each; the default of 10,000 rows per Arrow
     # batch would put gigabytes into one Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",

@@ -8,10 +8,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adfeed.operators.dedup import dedup_last
 from adfeed.operators.markers import merge_markers
 from adfeed.operators.seen import RETENTION_DAYS, next_seen
 from adfeed.operators.upsert import merge_batch
 from adfeed.schemas import MASTER
+from adfeed.session import cut_lineage
 from adfeed.sources.state import load_markers, load_master, load_seen
 from adfeed.sources.tables import versions, write_table
 
@@ -38,18 +40,19 @@ def upsert_master(
     ``version`` names the snapshot to write, from the one before it: repeating
     the call replaces that snapshot instead of applying the batch twice.
     """
-    if batch.isEmpty():
+    names = batch.columns
+    full = batch.select(
+        *names, *[F.lit(None).cast(f.dataType).alias(f.name) for f in MASTER.fields if f.name not in names]
+    ).withColumn("date_incertaine", F.coalesce(F.col("date_incertaine").cast("boolean"), F.lit(False)))
+    # Read three times by the merge, and perhaps costly to compute.
+    latest = cut_lineage(dedup_last(full, "id", order) if order else full)
+    if latest.isEmpty():
         return None
     spark = batch.sparkSession
     if version is None:
         known = versions(spark, path)
         version = known[-1] + 1 if known else 0
-    old = load_master(spark, path, version - 1)
-    names = batch.columns
-    full = batch.select(
-        *names, *[F.lit(None).cast(f.dataType).alias(f.name) for f in MASTER.fields if f.name not in names]
-    ).withColumn("date_incertaine", F.coalesce(F.col("date_incertaine").cast("boolean"), F.lit(False)))
-    return write_table(merge_batch(old, full, now, order), path, version)
+    return write_table(merge_batch(load_master(spark, path, version - 1), latest, now), path, version)
 
 
 def save_seen(new_posts: DataFrame, path: str, now: datetime, days: int = RETENTION_DAYS) -> int:
