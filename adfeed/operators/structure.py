@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from adfeed.functions.model_output import validate_output
 from adfeed.functions.vocab import DOCUMENT_STATUSES, ZONES, canonicalise
+from adfeed.operators.dedup import text_key
 from adfeed.schemas import STRUCTURED
 from adfeed.session import with_computed
+from adfeed.sources.tables import path_exists
 
 # Call settings and reject reasons.
 IN_FLIGHT = 5
@@ -82,6 +84,30 @@ def structure(
     return candidates.withColumn(answer, answers.asNondeterministic()(F.col(text)))
 
 
+def structure_once(
+    candidates: DataFrame, extractor: Extractor, answers_path: str, text: str = "texte_nettoye",
+    answer: str = "sortie_modele", **calls,
+) -> DataFrame:
+    """The same, asking only for texts without a stored answer and storing the new ones.
+
+    Answers are kept by text hash, so a run that is started again after a failure
+    pays only for what is missing.  Failures are not stored.
+    """
+    spark = candidates.sparkSession
+    schema = f"_cle STRING, {answer} STRING"
+
+    def stored() -> DataFrame:
+        if not path_exists(spark, answers_path):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(answers_path).dropDuplicates(["_cle"])
+
+    keyed = candidates.withColumn("_cle", text_key(text))
+    asked = keyed.select("_cle", text).dropDuplicates(["_cle"]).join(stored(), "_cle", "left_anti")
+    answered = structure(asked, extractor, text, answer, **calls)
+    answered.select("_cle", answer).filter(F.col(answer).isNotNull()).write.mode("append").parquet(answers_path)
+    return keyed.join(stored(), "_cle", "left").drop("_cle")
+
+
 def route(
     answered: DataFrame, answer: str | Column = "sortie_modele", strict: bool = False,
     zones: Sequence[str] = tuple(ZONES), statuses: Sequence[str] = tuple(DOCUMENT_STATUSES),

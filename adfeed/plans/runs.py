@@ -9,14 +9,18 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adfeed.functions.capture import OK, capture_status
 from adfeed.functions.extract import rule_extract
 from adfeed.functions.rules import LAND_RULES, RuleSet
+from adfeed.functions.text import iso_text
 from adfeed.operators.catchup import Catchup, feed_catchup
 from adfeed.operators.filtering import candidates, funnel, rejects, tag_posts
+from adfeed.operators.records import body_records, page_records, with_group
 from adfeed.operators.runs import check_drift, run_row, run_summary
-from adfeed.operators.structure import Extractor, invalid_posts, route, structure, valid_ads
+from adfeed.operators.structure import Extractor, invalid_posts, route, structure_once, valid_ads
+from adfeed.session import cut_lineage
 from adfeed.sinks.exports import export_ads, export_candidates, export_master, write_rejects
-from adfeed.sinks.tables import log_run, save_markers, save_seen, upsert_master
+from adfeed.sinks.tables import append_raw, log_run, save_markers, save_seen, upsert_master
 from adfeed.sources.state import load_markers, load_master, load_runs, load_seen
 
 
@@ -59,7 +63,8 @@ def full_run(
     """Filter, structure, upsert, export, watch the volume; returns the one-row summary.
 
     Without an extractor the rule-based one fills the fields.  Every step that
-    has several readers is written first, in particular the extractor's answers.
+    has several readers is written first.  The extractor's answers are kept in
+    ``out``: a run started again with the same places does not ask twice.
     """
     if not places.master:
         raise ValueError("the master folder must be set before any paid call")
@@ -68,7 +73,7 @@ def full_run(
     if extractor is None:
         answered = chosen.withColumn("sortie_modele", rule_extract(F.col("texte_nettoye"), rules))
     else:
-        answered = structure(chosen, extractor, **calls)
+        answered = structure_once(chosen, extractor, f"{places.out}/appels", **calls)
     answers = _written(answered, f"{places.out}/reponses")
     routed = _written(route(answers, strict=strict), f"{places.out}/champs")
     valid = valid_ads(routed)
@@ -96,13 +101,59 @@ def _one_row(counts: DataFrame) -> DataFrame:
     return counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
-def collect_run(
-    captures: DataFrame, seen_path: str, marker_path: str, cutoff: datetime, now: datetime
+# Places of a record inside its capture, packed into one number.
+_PLACE = 100_000
+
+
+def captures_of(pages: DataFrame, responses: DataFrame, now: datetime) -> DataFrame:
+    """Post records of stored captures, written once, with their place in the feed.
+
+    ``pages``: groupe_id, url, html, the first page of each group; bad captures
+    are left out.  ``responses``: groupe_id, step, response_pos, body.
+    """
+    good = pages.filter(capture_status(F.col("url"), F.col("html")) == OK).select("groupe_id", "html")
+    fields = ["id", "url", "texte", "date_publication", "date_incertaine", "scrape_le"]
+    featured = page_records(good, ["groupe_id"], now).select(
+        "groupe_id", F.lit(None).cast("bigint").alias("step"),
+        (F.col("blob_pos").cast("bigint") * _PLACE + F.col("rec_pos")).alias("pos"), F.lit(True).alias("featured"), *fields,
+    )
+    place = (F.col("response_pos").cast("bigint") * _PLACE + F.col("doc_pos")) * _PLACE + F.col("rec_pos")
+    scrolled = body_records(responses, ["groupe_id", "step", "response_pos"], now).select(
+        "groupe_id", F.col("step").cast("bigint").alias("step"), place.alias("pos"), F.lit(False).alias("featured"), *fields
+    )
+    return cut_lineage(featured.unionByName(scrolled))
+
+
+def collect_posts(
+    pages: DataFrame, responses: DataFrame, groups: DataFrame, seen_path: str, marker_path: str, raw_path: str,
+    cutoff: datetime, now: datetime,
 ) -> Catchup:
-    """New posts of stored captures against the kept state, and the state after it.
+    """From stored captures to new raw posts: find records, stop where the feed is known, keep state.
 
-    ``captures`` also has scrape_le or gets ``now``.
+    Appends the new posts to ``raw_path`` and returns what was collected; the raw
+    posts are written before the state, so a failure in between loses nothing.
     """
+    captures = captures_of(pages, responses, now)
+    spark = captures.sparkSession
+    result = feed_catchup(captures, load_seen(spark, seen_path), load_markers(spark, marker_path), cutoff)
+    chosen = cut_lineage(result.posts.select("groupe_id", "id", "step", "pos", "featured"))
+    placed = captures.withColumn("step", F.when(F.col("featured"), F.lit(-1)).otherwise(F.col("step")).cast("bigint"))
+    posts = with_group(placed.join(chosen, ["groupe_id", "id", "step", "pos", "featured"], "left_semi"), groups)
+    raw = posts.select(
+        "id", "groupe_id", "groupe_nom", "url", "texte", iso_text(F.col("date_publication")).alias("date_publication"),
+        "date_incertaine", "scrape_le", (F.col("step") * _PLACE**3 + F.col("pos")).alias("_pos"),
+    )
+    append_raw(raw, raw_path, now.strftime("%Y%m%dT%H%M%SZ"))
+    markers = cut_lineage(result.groups.select("groupe_id", "post_id"))
+    save_seen(chosen.select("id", F.lit(now.isoformat()).alias("scrape_le")), seen_path, now)
+    save_markers(markers, marker_path)
+    return result
+
+
+def collect_run(
+    captures: DataFrame, seen_path: str, marker_path: str, cutoff: datetime, now: datetime
+) -> Catchup:
+    """New posts of a capture log against the kept state, and the state after it."""
     spark = captures.sparkSession
     result = feed_catchup(captures, load_seen(spark, seen_path), load_markers(spark, marker_path), cutoff)
     save_seen(result.posts.select("id", F.lit(now.isoformat()).alias("scrape_le")), seen_path, now)

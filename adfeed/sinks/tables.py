@@ -12,9 +12,9 @@ from adfeed.operators.dedup import dedup_last
 from adfeed.operators.markers import merge_markers
 from adfeed.operators.seen import RETENTION_DAYS, next_seen
 from adfeed.operators.upsert import merge_batch
-from adfeed.schemas import MASTER
+from adfeed.schemas import HEALTH, MASTER
 from adfeed.session import cut_lineage
-from adfeed.sources.state import load_markers, load_master, load_seen
+from adfeed.sources.state import load_health, load_markers, load_master, load_seen
 from adfeed.sources.tables import versions, write_table
 
 
@@ -61,3 +61,10 @@ def save_seen(new_posts: DataFrame, path: str, now: datetime, days: int = RETENT
 
 def save_markers(new: DataFrame, path: str) -> int:
     return write_table(merge_markers(load_markers(new.sparkSession, path), new), path)
+
+
+def save_health(health: DataFrame, path: str) -> int:
+    """Keep the scores of this run; sources without a run keep their old one."""
+    old = load_health(health.sparkSession, path)
+    kept = old.join(health.select("source"), "source", "left_anti")
+    return write_table(kept.unionByName(health.select(*HEALTH.fieldNames())), path)

@@ -4,11 +4,13 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
 
-from adfeed.plans.runs import Places, collect_run, full_run, rules_only_run
-from adfeed.sources.posts import ORDER, load_raw_posts
-from adfeed.sources.state import load_markers, load_master, load_runs, load_seen
+from adfeed.operators.health import source_health
+from adfeed.operators.structure import structure_once
+from adfeed.plans.runs import Places, collect_posts, collect_run, full_run, rules_only_run
+from adfeed.sinks.tables import save_health
+from adfeed.sources.posts import ORDER, load_raw_posts, load_raw_table
+from adfeed.sources.state import load_health, load_markers, load_master, load_runs, load_seen
 from adfeed.streaming.ingest import first_of_each_id, read_new_files, undated, upsert_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -131,3 +133,60 @@ def test_stream_drops_known_ids_and_keeps_undated_rows_apart(spark, folder):
     source = read_new_files(spark, f"{folder}/in", schema, 1)
     assert rows(first_of_each_id(source, "ts"), "dates") == ["a", "b", "c"]
     assert rows(undated(source, "ts"), "sans") == ["n", "n"]
+
+
+def record(ident, text, **more):
+    return {"id": ident, "comet_sections": {}, "message": {"text": text}, **more}
+
+
+def test_from_captures_to_raw_posts(spark, folder):
+    def page(group, *records, url="https://x/groups/1"):
+        return group, url, f'<script type="application/json">{json.dumps(list(records))}</script>'
+
+    seconds = int(NOW.timestamp())
+    pages = spark.createDataFrame(
+        [page("g", record("vieux", "épinglé", creation_time=1_500_000_000), record("a", "un")), page("bloque", record("x", "x"), url="https://x/checkpoint")],
+        "groupe_id STRING, url STRING, html STRING")
+    bodies = [
+        ("g", 0, 0, json.dumps(record("a", "un")) + "\n" + json.dumps(record("b", "deux", creation_time=seconds - 60))),
+        ("g", 1, 1, json.dumps([record("c", "trois", url="https://x/posts/c"), record("c", "trois bis")])),
+        ("g", 2, 2, json.dumps(record("d", "quatre", creation_time=seconds - 10 * 86400))), ("g", 3, 3, json.dumps(record("e", "cinq"))),
+    ]
+    responses = spark.createDataFrame(bodies, "groupe_id STRING, step INT, response_pos INT, body STRING")
+    groups = spark.createDataFrame([("g", "Groupe")], "id STRING, nom STRING")
+    paths = f"{folder}/vus", f"{folder}/reperes", f"{folder}/brut"
+    result = collect_posts(pages, responses, groups, *paths, NOW - timedelta(days=2), NOW)
+    assert result.groups.select("groupe_id", "stop_step", "stop_reason", "post_id").first()[:] == ("g", 2, "window", "b")
+    stored = load_raw_table(spark, paths[2]).orderBy("_pos").collect()
+    assert [(r["id"], r["texte"], r["groupe_nom"]) for r in stored] == [
+        ("vieux", "épinglé", "Groupe"), ("a", "un", "Groupe"), ("b", "deux", "Groupe"), ("c", "trois", "Groupe"), ("d", "quatre", "Groupe")]
+    assert stored[0]["date_publication"] == "2017-07-14T02:40:00+00:00" and stored[3]["url"] == "https://x/posts/c" and stored[3]["date_incertaine"]
+    assert sorted(r["id"] for r in load_seen(spark, paths[0]).collect()) == ["a", "b", "c", "d", "vieux"]
+    again = collect_posts(pages, responses, groups, *paths, NOW - timedelta(days=2), NOW + timedelta(hours=1))
+    assert again.posts.count() == 0 and load_markers(spark, paths[1]).first()["post_id"] == "b"
+
+
+def test_answers_are_asked_for_once(spark, folder):
+    calls = spark.sparkContext.accumulator(0)
+
+    def extractor(text):
+        calls.add(1)
+        return None if text == "panne" else '{"est_une_annonce_valide": true, "type_bien": "villa"}'
+
+    first = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", "panne"), ("4", "a")], "id STRING, texte_nettoye STRING")
+    assert {(r["id"], r["sortie_modele"] is None) for r in structure_once(first, extractor, f"{folder}/appels").collect()} == {
+        ("1", False), ("2", False), ("3", True), ("4", False)}
+    assert calls.value == 3
+    more = first.unionByName(spark.createDataFrame([("5", "c")], "id STRING, texte_nettoye STRING"))
+    assert structure_once(more, extractor, f"{folder}/appels").filter("sortie_modele IS NULL").count() == 1
+    assert calls.value == 5
+
+
+def test_health_scores_are_kept(spark, folder):
+    runs = spark.createDataFrame([("a", NOW, 5, 5, False, False), ("b", NOW, 0, 0, True, False)],
+                                 "source STRING, ts TIMESTAMP, anomalies BIGINT, total BIGINT, bloque BOOLEAN, session_expiree BOOLEAN")
+    path = f"{folder}/sante"
+    save_health(source_health(runs, load_health(spark, path)), path)
+    save_health(source_health(runs.filter("source = 'a'"), load_health(spark, path)), path)
+    scores = {r["source"]: (r["niveau_confiance"], r["cooldown_multiplicateur"]) for r in load_health(spark, path).collect()}
+    assert scores == {"a": (0.25, 1), "b": (0.2, 2)}
