@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from adfeed.operators.filtering import rejects, tag_posts
 from adfeed.operators.structure import invalid_posts, route, valid_ads
-from adfeed.plans.runs import Places, full_run, rules_only_run
+from adfeed.plans.runs import Places, collect_posts, full_run, rules_only_run
 from adfeed.queries.base import TEST_RULES, documents, events, sql_search, sql_words, table, texts
+from adfeed.queries.collection import BASE_TIME, _pages_with_records, _responses
 from adfeed.queries.filtering import TAGGED, _KEPT
 from adfeed.queries.structuring import _ROUTED_SQL, _answers
 from adfeed.schemas import AD_COLUMNS, CANDIDATE_COLUMNS, MASTER
@@ -148,6 +149,20 @@ def full_run_summary(spark, folder):
     )
 
 
+def collect_posts_query(spark, folder):
+    """Pages as group pages and turns as feed responses: everything is new on the first visit."""
+    path = work_folder(spark, "collecte")
+    lang = F.regexp_extract("html", '<html lang="([a-z]+)"', 1)
+    pages = _pages_with_records(spark, folder).select(lang.alias("groupe_id"), "url", "html")
+    roles = F.when(F.col("groupe_id") == "user", "en").when(F.col("groupe_id") == "assistant", "fr").otherwise("de")
+    responses = _responses(spark, folder).select(
+        roles.alias("groupe_id"), F.col("turn").alias("step"), F.col("conv_id").alias("response_pos"), "body"
+    )
+    groups = documents(spark, folder).select(F.col("lang").alias("id"), F.upper("lang").alias("nom")).distinct()
+    collect_posts(pages, responses, groups, f"{path}/vus", f"{path}/reperes", f"{path}/brut", datetime(2023, 1, 1, tzinfo=timezone.utc), NOW)
+    return load_raw_table(spark, f"{path}/brut").select("id", "groupe_id", "groupe_nom", "url", "texte", "date_publication")
+
+
 def _event_files(spark, folder, path: str) -> DataFrame:
     """Events as files that arrive in three steps, ten days each."""
     rows = events(spark, folder).select(
@@ -190,6 +205,7 @@ QUERIES = {
     "rejects_audit": rejects_audit,
     "rules_only_candidates": rules_only_candidates,
     "full_run_summary": full_run_summary,
+    "collect_posts": collect_posts_query,
     "stream_dedup": stream_dedup,
     "stream_upsert": stream_upsert,
 }
@@ -197,6 +213,7 @@ QUERIES = {
 _LINES_SQL = """SELECT lpad(doc_id::VARCHAR, 12, '0') AS _file, source, lang, unnest(lines) AS texte, generate_subscripts(lines, 1) - 1 AS _pos
     FROM (SELECT *, string_split(text, chr(10)) AS lines FROM documents)"""
 _VALID_SQL = f"""SELECT * FROM ({_KEPT}) WHERE {sql_words('t', 'est|ist|with')} OR {sql_search('t', '[0-9]{4,}')}"""
+_ROLE_GROUP = "CASE role WHEN 'user' THEN 'en' WHEN 'assistant' THEN 'fr' ELSE 'de' END"
 _ADS_SQL = f"""SELECT event_id::VARCHAR AS id, kind, CASE kind WHEN 'click' THEN 'villa' WHEN 'purchase' THEN 'ferme' END AS type_bien,
         aire::BIGINT::VARCHAR AS superficie_m2, prix, k FROM ({_ROUTED_SQL}) WHERE issue = 'valide'"""
 
@@ -228,6 +245,12 @@ ORACLE = {
     "rules_only_candidates": f"SELECT lpad(id::VARCHAR, 12, '0') AS id, t AS texte_nettoye FROM ({_KEPT})",
     "full_run_summary": f"""SELECT (SELECT count(*) FROM documents) AS nb_posts_bruts, (SELECT count(*) FROM ({_KEPT})) AS nb_candidats,
             n AS nb_valides, n AS nb_maitre, n AS nb_journal FROM (SELECT count(*) AS n FROM ({_VALID_SQL}))""",
+    "collect_posts": f"""WITH p AS (SELECT *, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS g FROM pages)
+        SELECT 'a' || page_id AS id, g AS groupe_id, upper(g) AS groupe_nom, 'https://exemple.test/posts/' || page_id AS url,
+            replace(html, '<', ' ') AS texte, strftime(to_timestamp({BASE_TIME} + page_id) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') || '+00:00' AS date_publication FROM p
+        UNION ALL SELECT 'r' || page_id, g, upper(g), NULL, url, NULL FROM p
+        UNION ALL SELECT CASE role WHEN 'user' THEN 'u' ELSE 'v' END || conv_id || '-' || turn, {_ROLE_GROUP}, upper({_ROLE_GROUP}), NULL, text, NULL FROM conversations
+        UNION ALL SELECT 'w' || conv_id || '-' || turn, {_ROLE_GROUP}, upper({_ROLE_GROUP}), NULL, role, NULL FROM conversations WHERE role <> 'user'""",
     "stream_dedup": "SELECT DISTINCT user_id || '-' || event_type AS id, event_type AS groupe_nom FROM events",
     "stream_upsert": """SELECT user_id || '-' || event_type AS id, event_type AS groupe_nom,
             trunc(arg_max(value, event_id) * 100)::BIGINT AS prix_fcfa, epoch_us(TIMESTAMP '2024-01-31') AS maj_us FROM events GROUP BY 1, 2""",
