@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from adfeed.functions.binding import let
+
 OK = "ok"
 BLOCKED = "blocked"
 SESSION_EXPIRED = "session_expired"
@@ -37,11 +39,14 @@ def capture_status(
     login_form: str = LOGIN_FORM,
 ) -> Column:
     """One of ok, blocked, session_expired; the first sign that applies decides."""
-    address, body = F.lower(url), F.lower(html)
-    return (
-        F.when(_contains_any(address, url_parts), BLOCKED)
-        .when(_contains_any(body, phrases), BLOCKED)
-        .when(_contains_any(body, marks), SESSION_EXPIRED)
-        .when(F.coalesce(body.rlike(login_form), F.lit(False)), SESSION_EXPIRED)
-        .otherwise(OK)
-    )
+    address = F.lower(url)
+
+    def by_content(body: Column) -> Column:
+        return (
+            F.when(_contains_any(body, phrases), BLOCKED)
+            .when(_contains_any(body, marks), SESSION_EXPIRED)
+            .when(F.coalesce(body.rlike(login_form), F.lit(False)), SESSION_EXPIRED)
+            .otherwise(OK)
+        )
+
+    return F.when(_contains_any(address, url_parts), BLOCKED).otherwise(let(F.lower(html), by_content))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adfeed.functions.text import mask_credentials
+from adfeed.session import cut_lineage
 
 # Drift thresholds.
 HISTORY = 7
@@ -20,8 +21,12 @@ def densify_days(counts: DataFrame, keys: Sequence[str], day: str, value: str) -
     """Every key on every day between the first and the last one, absent days as 0.
 
     A day without results is the signal drift detection looks for, so it has to
-    be a row.  Days come from a generator per key, not from a join.
+    be a row.  Days come from a generator per key, not from a join.  ``counts``
+    is one row per key and day; it is written once, as it is read three times.
+    Every key ends up with the same number of rows, so no window over the result
+    is skewed.
     """
+    counts = cut_lineage(counts)
     bounds = counts.agg(F.min(day).alias("debut"), F.max(day).alias("fin"))
     span = F.sequence(bounds.select("debut").scalar(), bounds.select("fin").scalar())
     zeros = counts.select(*keys).distinct().select(

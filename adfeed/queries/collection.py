@@ -13,6 +13,7 @@ from adfeed.operators.captures import capture_counts, empty_group_samples, oldes
 from adfeed.operators.catchup import Catchup, feed_catchup
 from adfeed.operators.records import body_records, html_blobs, page_records, with_group
 from adfeed.queries.base import events, table, texts
+from adfeed.session import with_computed
 
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
 BASE_TIME = 1_700_000_000
@@ -62,10 +63,9 @@ def _pages_with_records(spark, folder) -> DataFrame:
         ).alias("items")
     )
     start, end = F.lit('<script type="application/json">'), F.lit("</script>")
-    return texts(spark, folder, "pages").select(
-        "page_id", "url",
-        F.concat("html", start, F.to_json(nested), end, start, F.lit('{"a": oops'), end, start, F.to_json(several), end).alias("html"),
-    )
+    html = F.concat("html", start, F.to_json(nested), end, start, F.lit('{"a": oops'), end, start, F.to_json(several), end)
+    pages = with_computed(texts(spark, folder, "pages"), "complet", html)
+    return pages.select("page_id", "url", F.col("complet").alias("html"))
 
 
 def page_records_query(spark, folder):
@@ -86,7 +86,8 @@ def _responses(spark, folder) -> DataFrame:
     one = record("u", F.col("text"))
     several = F.concat(record("v", F.col("text")), F.lit("\r\n{broken\n\n  "), record("w", F.col("role")))
     body = F.concat(F.lit("for (;;);"), F.when(F.col("role") == "user", one).otherwise(several))
-    return texts(spark, folder, "conversations").select("conv_id", "turn", F.col("role").alias("groupe_id"), body.alias("body"))
+    turns = texts(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return with_computed(turns, "body", body).select("conv_id", "turn", F.col("role").alias("groupe_id"), "body")
 
 
 def body_documents_query(spark, folder):

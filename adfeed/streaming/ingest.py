@@ -25,9 +25,7 @@ def read_new_files(spark: SparkSession, path: str, schema: StructType, max_files
 def first_of_each_id(posts: DataFrame, time: str, id_col: str = "id", days: int = RETENTION_DAYS) -> DataFrame:
     """Drop ids seen within the last ``days``; state older than that is forgotten.
 
-    A row without a time cannot move the watermark and would be dropped with it,
-    so undated rows are deduplicated among themselves under the earliest time the
-    stream accepts: see undated.
+    Rows without a time cannot be placed in that window: take them from undated.
     """
     dated = posts.withColumn(time, F.col(time).cast("timestamp")).filter(F.col(time).isNotNull())
     return dated.withWatermark(time, f"{days} days").dropDuplicatesWithinWatermark([id_col])
