@@ -187,7 +187,8 @@ def empty_group_samples_query(spark, folder):
         F.col("role").alias("groupe_id"), "conv_id", "turn", F.lit("/api/").alias("url"), F.concat(F.lit("for (;;);"), "text").alias("body")
     )
     records = responses.filter("groupe_id = 'user'")
-    return empty_group_samples(responses, records, ["conv_id", "turn"], chars=120)
+    found = empty_group_samples(responses, records, ["conv_id", "turn"], chars=120)
+    return found.withColumn("rang", F.col("rang").cast("bigint"))
 
 
 QUERIES = {
@@ -266,9 +267,7 @@ ORACLE = {
     "relative_dates": f"""SELECT event_id, epoch_us(CASE event_type
             WHEN 'click' THEN ts - to_minutes(k)
             WHEN 'view' THEN ts - to_hours(k)
-            WHEN 'error' THEN CASE WHEN user_id < 100 THEN {_CLOCK_TS.format(day="strftime(ts::DATE - 1, '%Y-%m-%d')", hour='k', minute='user_id')}
-                -- three digits do not fit, and lpad keeps the first two
-                ELSE {_CLOCK_TS.format(day="strftime(ts::DATE - 1, '%Y-%m-%d')", hour='k', minute='user_id // 10')} END
+            WHEN 'error' THEN {_CLOCK_TS.format(day="strftime(ts::DATE - 1, '%Y-%m-%d')", hour='k', minute="lpad(user_id::VARCHAR, 2, '0')::INT")}
             WHEN 'signup' THEN {_calendar_sql('2023', '09:05')}
             ELSE CASE WHEN {_calendar_sql('2024', '12:00')} > ts THEN {_calendar_sql('2023', '12:00')} ELSE {_calendar_sql('2024', '12:00')} END
             END) AS date_us
