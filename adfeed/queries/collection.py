@@ -267,7 +267,8 @@ ORACLE = {
     "relative_dates": f"""SELECT event_id, epoch_us(CASE event_type
             WHEN 'click' THEN ts - to_minutes(k)
             WHEN 'view' THEN ts - to_hours(k)
-            WHEN 'error' THEN {_CLOCK_TS.format(day="strftime(ts::DATE - 1, '%Y-%m-%d')", hour='k', minute="lpad(user_id::VARCHAR, 2, '0')::INT")}
+            -- DuckDB reads 24:00:00 as the next midnight; there is no such hour
+            WHEN 'error' THEN CASE WHEN k < 24 THEN {_CLOCK_TS.format(day="strftime(ts::DATE - 1, '%Y-%m-%d')", hour='k', minute="lpad(user_id::VARCHAR, 2, '0')::INT")} END
             WHEN 'signup' THEN {_calendar_sql('2023', '09:05')}
             ELSE CASE WHEN {_calendar_sql('2024', '12:00')} > ts THEN {_calendar_sql('2023', '12:00')} ELSE {_calendar_sql('2024', '12:00')} END
             END) AS date_us
