@@ -30,6 +30,11 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _held(one_row: DataFrame) -> DataFrame:
+    """A result of one row, computed now and held by the driver."""
+    return one_row.sparkSession.createDataFrame(one_row.collect(), one_row.schema)
+
+
 def rules_only_run(posts: DataFrame, out: str, order: Sequence[str], rules: RuleSet = LAND_RULES) -> DataFrame:
     """Filter, export the candidates, return them. No structuring, no run row, no upsert."""
     found = candidates(tag_posts(posts, rules), order)
@@ -78,14 +83,10 @@ def full_run(
     routed = _written(route(answers, strict=strict), f"{places.out}/champs")
     valid = valid_ads(routed)
 
-    counts = _written(
-        funnel(tagged.withColumn("_tous", F.lit(1)), ["_tous"], order, valid.withColumn("_tous", F.lit(1))),
-        f"{places.out}/compte",
-    )
-    counts = _one_row(counts)
-    drift = _written(
-        check_drift(load_runs(spark, places.runs), counts.select("nb_valides").scalar(), mode), f"{places.out}/derive"
-    )
+    everything = F.lit(1).alias("tous")
+    by_all = funnel(tagged.select("*", everything), ["tous"], order, valid.select("*", everything))
+    counts = _held(_one_row(by_all))
+    drift = _held(check_drift(load_runs(spark, places.runs), counts.first()["nb_valides"], mode))
 
     upsert_master(valid, places.master, now)
     export_master(load_master(spark, places.master), places.consult, contacts=contacts)
