@@ -14,6 +14,7 @@ from adfeed.plans.runs import Places, collect_posts, full_run, rules_only_run
 from adfeed.queries.base import TEST_RULES, documents, events, sql_search, sql_words, table, texts
 from adfeed.queries.collection import BASE_TIME, _pages_with_records, _responses
 from adfeed.queries.filtering import TAGGED, _KEPT
+from adfeed.queries.runs import HEALTH_SQL, health_runs
 from adfeed.queries.structuring import _ROUTED_SQL, _answers
 from adfeed.schemas import AD_COLUMNS, CANDIDATE_COLUMNS, MASTER
 from adfeed.session import work_folder
@@ -21,8 +22,8 @@ from adfeed.sinks.exports import export_ads, export_master, write_rejects
 from adfeed.sinks.tables import append_raw, upsert_master
 from adfeed.sources.groups import load_groups
 from adfeed.sources.posts import file_issues, load_raw_table, merge_posts, parse_post_files
-from adfeed.sources.state import load_master
-from adfeed.streaming.ingest import first_of_each_id, read_new_files, upsert_stream
+from adfeed.sources.state import load_health, load_master
+from adfeed.streaming.ingest import first_of_each_id, read_new_files, score_stream, upsert_stream
 
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
 LATER = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -194,6 +195,20 @@ def stream_upsert(spark, folder):
     return load_master(spark, f"{path}/maitre").select("id", "groupe_nom", "prix_fcfa", F.unix_micros("derniere_maj").alias("maj_us"))
 
 
+def stream_scores(spark, folder):
+    """The run log arrives in three parts; the scores are carried from part to part."""
+    path = work_folder(spark, "flux")
+    runs = health_runs(spark, folder)
+    bounds = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
+    for start, end in zip(bounds, bounds[1:]):
+        part = runs.filter((F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp")))
+        part.repartition(2).write.mode("append").parquet(f"{path}/entree")
+    score_stream(read_new_files(spark, f"{path}/entree", runs.schema, 2), f"{path}/scores", f"{path}/point").awaitTermination()
+    return load_health(spark, f"{path}/scores").select(
+        "source", F.round("niveau_confiance", 9).alias("niveau_confiance"), "runs_propres_consecutifs", "cooldown_multiplicateur"
+    )
+
+
 QUERIES = {
     "active_groups": active_groups_query,
     "raw_posts_merge": raw_posts_merge,
@@ -208,6 +223,7 @@ QUERIES = {
     "collect_posts": collect_posts_query,
     "stream_dedup": stream_dedup,
     "stream_upsert": stream_upsert,
+    "stream_scores": stream_scores,
 }
 
 _LINES_SQL = """SELECT lpad(doc_id::VARCHAR, 12, '0') AS _file, source, lang, unnest(lines) AS texte, generate_subscripts(lines, 1) - 1 AS _pos
@@ -218,6 +234,8 @@ _ADS_SQL = f"""SELECT event_id::VARCHAR AS id, kind, CASE kind WHEN 'click' THEN
         aire::BIGINT::VARCHAR AS superficie_m2, prix, k FROM ({_ROUTED_SQL}) WHERE issue = 'valide'"""
 
 ORACLE = {
+    "stream_scores": f"""{HEALTH_SQL} SELECT source, round(conf, 9) AS niveau_confiance, serie AS runs_propres_consecutifs,
+            mult AS cooldown_multiplicateur FROM fold QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC) = 1""",
     "active_groups": """SELECT s_suppkey::VARCHAR AS id, s_name || ', "suite"' AS nom, 'https://exemple.test/groups' AS url, 1 AS actif
         FROM supplier WHERE s_acctbal < 5000 OR (s_acctbal >= 8000 AND s_acctbal <= 9000)""",
     "raw_posts_merge": f"""SELECT id, arg_max(texte, _file || lpad(_pos::VARCHAR, 9, '0')) AS texte, min(_file) AS _file,

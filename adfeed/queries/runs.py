@@ -120,16 +120,19 @@ def drift_check_last(spark, folder):
     )
 
 
-def source_health_query(spark, folder):
+def health_runs(spark, folder) -> DataFrame:
     """A run per user and day; its outcome from the events of that day."""
     def count(kind):
         return F.count_if(F.col("event_type") == kind)
 
-    runs = events(spark, folder).groupBy(F.col("user_id").cast("string").alias("source"), F.date_trunc("day", "ts").alias("ts")).agg(
+    return events(spark, folder).groupBy(F.col("user_id").cast("string").alias("source"), F.date_trunc("day", "ts").alias("ts")).agg(
         count("error").alias("anomalies"), F.count("*").alias("total"),
         (count("signup") >= 2).alias("bloque"), ((count("view") >= 2) & (count("click") == 0)).alias("session_expiree"),
     )
-    return source_health(runs).select(
+
+
+def source_health_query(spark, folder):
+    return source_health(health_runs(spark, folder)).select(
         "source", F.round("niveau_confiance", 9).alias("niveau_confiance"), "runs_propres_consecutifs",
         "cooldown_multiplicateur", F.round("delai_multiplicateur", 3).alias("delai_multiplicateur"),
     )
@@ -190,7 +193,7 @@ def _history_sql(condition: str) -> str:
 
 _BEFORE_LAST = "horodatage < (SELECT date_trunc('hour', max(ts)) FROM events)"
 _TODAY_SQL = f"(SELECT arg_max(nb_valides, horodatage) FROM ({_RUN_LOG_SQL}))"
-_HEALTH_SQL = """
+HEALTH_SQL = """
     WITH RECURSIVE runs AS (
         SELECT user_id::VARCHAR AS source, row_number() OVER (PARTITION BY user_id ORDER BY jour) AS n,
             CASE WHEN inscrits >= 2 THEN 'b' WHEN vues >= 2 AND clics = 0 THEN 'e' WHEN erreurs / total > 0.3 THEN 's' ELSE 'c' END AS issue
@@ -230,7 +233,7 @@ ORACLE = {
             CASE WHEN a THEN length('Low volume: ' || t || ' valid ads against ' || round_even(moyenne, 1)::DECIMAL(18, 1)
                 || ' on average over the last ' || nb_historique || ' daily runs (' || round_even(100 * t / moyenne, 0)::BIGINT || '% of the mean)') END AS n_message
         FROM (SELECT *, {_TODAY_SQL} AS t, nb_historique >= 3 AND moyenne > 0 AND {_TODAY_SQL} < moyenne * 0.3 AS a FROM ({_history_sql(_BEFORE_LAST)}))""",
-    "source_health": f"""{_HEALTH_SQL} SELECT source, round(conf, 9) AS niveau_confiance, serie AS runs_propres_consecutifs,
+    "source_health": f"""{HEALTH_SQL} SELECT source, round(conf, 9) AS niveau_confiance, serie AS runs_propres_consecutifs,
             mult AS cooldown_multiplicateur, round(1 / conf, 3) AS delai_multiplicateur
         FROM fold QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC) = 1""",
     "run_log_row": f"""SELECT epoch_us(TIMESTAMP '2024-01-31') AS horodatage, 'daily' AS mode,

@@ -63,8 +63,8 @@ def save_markers(new: DataFrame, path: str) -> int:
     return write_table(merge_markers(load_markers(new.sparkSession, path), new), path)
 
 
-def save_health(health: DataFrame, path: str) -> int:
+def save_health(health: DataFrame, path: str, version: int | None = None) -> int:
     """Keep the scores of this run; sources without a run keep their old one."""
-    old = load_health(health.sparkSession, path)
+    old = load_health(health.sparkSession, path, None if version is None else version - 1)
     kept = old.join(health.select("source"), "source", "left_anti")
-    return write_table(kept.unionByName(health.select(*HEALTH.fieldNames())), path)
+    return write_table(kept.unionByName(health.select(*HEALTH.fieldNames())), path, version)

@@ -16,8 +16,8 @@ def load_markers(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, MARKERS)
 
 
-def load_health(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, HEALTH)
+def load_health(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return read_table(spark, path, HEALTH, version)
 
 
 def load_master(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

@@ -7,11 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
+from adfeed.operators.health import source_health
 from adfeed.operators.seen import RETENTION_DAYS
-from adfeed.sinks.tables import upsert_master
-from adfeed.sources.tables import versions
+from adfeed.sinks.tables import save_health, upsert_master
+from adfeed.sources.state import load_health
+from adfeed.sources.tables import read_table, versions, write_table
 
 
 def read_new_files(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
@@ -36,6 +38,26 @@ def undated(posts: DataFrame, time: str) -> DataFrame:
     return posts.filter(F.col(time).isNull())
 
 
+def _first_version(spark: SparkSession, table: str, checkpoint: str) -> int:
+    """Number of the snapshot for batch 0, fixed when the query first starts."""
+    note = f"{checkpoint}/premiere_version"
+    if not versions(spark, note):
+        known = versions(spark, table)
+        first = known[-1] + 1 if known else 0
+        write_table(spark.range(first, first + 1), note, 0)
+    return read_table(spark, note, StructType([StructField("id", LongType())])).first()["id"]
+
+
+def _each_batch(stream: DataFrame, checkpoint: str, write) -> StreamingQuery:
+    """Run ``write(batch, number)`` for the input there is, then stop."""
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoint}/flux")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def upsert_stream(
     posts: DataFrame, master_path: str, checkpoint: str, now: datetime | None = None, order: tuple[str, ...] = ("_pos",)
 ) -> StreamingQuery:
@@ -44,25 +66,20 @@ def upsert_stream(
     Batch n writes the snapshot after the one the query started from plus n, so
     a batch that is run again after a failure replaces its own snapshot.
     """
-    spark = posts.sparkSession
-    marker = f"{checkpoint}/premiere_version"
-    if not versions(spark, marker):
-        known = versions(spark, master_path)
-        first = known[-1] + 1 if known else 0
-        spark.range(first, first + 1).write.mode("overwrite").parquet(f"{marker}/v=0")
-    first = spark.read.schema("id BIGINT").parquet(f"{marker}/v=0").first()["id"]
+    first = _first_version(posts.sparkSession, master_path, checkpoint)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        at = now or datetime.now().astimezone()
-        if batch.isEmpty():
-            return
-        upsert_master(batch, master_path, at, list(order), first + batch_id)
+    def write(batch: DataFrame, number: int) -> None:
+        upsert_master(batch, master_path, now or datetime.now().astimezone(), list(order), first + number)
 
-    return (
-        posts.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{checkpoint}/flux")
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _each_batch(posts, checkpoint, write)
+
+
+def score_stream(runs: DataFrame, health_path: str, checkpoint: str) -> StreamingQuery:
+    """Carry the reliability score of every source forward with each batch of new runs."""
+    first = _first_version(runs.sparkSession, health_path, checkpoint)
 
+    def write(batch: DataFrame, number: int) -> None:
+        before = load_health(batch.sparkSession, health_path, first + number - 1)
+        save_health(source_health(batch, before), health_path, first + number)
 
+    return _each_batch(runs, checkpoint, write)

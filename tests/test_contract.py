@@ -25,7 +25,7 @@ def test_entry(spark):
 
 LAZY = [n for n in QUERIES if n not in {
     "active_groups", "raw_append_read", "export_ads_csv", "export_masked_csv", "export_master_csv", "rejects_audit", "rules_only_candidates",
-    "full_run_summary", "collect_posts", "stream_dedup", "stream_upsert",
+    "full_run_summary", "collect_posts", "stream_dedup", "stream_upsert", "stream_scores",
 }]
 
 

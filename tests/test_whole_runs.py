@@ -11,7 +11,7 @@ from adfeed.plans.runs import Places, collect_posts, collect_run, full_run, rule
 from adfeed.sinks.tables import save_health
 from adfeed.sources.posts import ORDER, load_raw_posts, load_raw_table
 from adfeed.sources.state import load_health, load_markers, load_master, load_runs, load_seen
-from adfeed.streaming.ingest import first_of_each_id, read_new_files, undated, upsert_stream
+from adfeed.streaming.ingest import first_of_each_id, read_new_files, score_stream, undated, upsert_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -190,3 +190,15 @@ def test_health_scores_are_kept(spark, folder):
     save_health(source_health(runs.filter("source = 'a'"), load_health(spark, path)), path)
     scores = {r["source"]: (r["niveau_confiance"], r["cooldown_multiplicateur"]) for r in load_health(spark, path).collect()}
     assert scores == {"a": (0.25, 1), "b": (0.2, 2)}
+
+
+def test_streamed_scores_equal_one_fold(spark, folder):
+    ddl = "source STRING, ts TIMESTAMP, anomalies BIGINT, total BIGINT, bloque BOOLEAN, session_expiree BOOLEAN"
+    rows = [(s, NOW + timedelta(hours=i), (i * 7 + len(s)) % 5, 5, i % 6 == 0, i % 4 == 0) for s in ("a", "bb", "ccc") for i in range(12)]
+    for part in (rows[0:5] + rows[12:20], rows[5:9] + rows[24:30], rows[9:12] + rows[20:24] + rows[30:36]):
+        spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    schema = spark.createDataFrame([], ddl).schema
+    score_stream(read_new_files(spark, f"{folder}/in", schema, 1), f"{folder}/sante", f"{folder}/c").awaitTermination()
+    columns = ["source", "niveau_confiance", "runs_propres_consecutifs", "cooldown_multiplicateur"]
+    streamed = load_health(spark, f"{folder}/sante").select(*columns).orderBy("source").collect()
+    assert streamed == source_health(spark.createDataFrame(rows, ddl)).select(*columns).orderBy("source").collect()
