@@ -73,12 +73,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write an intermediate result once, so that its readers do not compute it again.
 
-    A reliable checkpoint in the shared folder: it survives the loss of executors.
+    A table in the shared folder survives the loss of executors, is read column
+    by column, and tells the planner its true size: a small one may be broadcast,
+    a large one will not.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
+    path = work_folder(df.sparkSession, "etape")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
