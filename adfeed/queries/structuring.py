@@ -142,7 +142,6 @@ _AMOUNTS_SQL = f"""
         list_distinct(list_transform(list_filter(regexp_extract_all(t, '{_PRICE}'), lambda x: regexp_extract(x, '{_PRICE}', 3) = ''),
             lambda x: TRY_CAST(regexp_replace(regexp_extract(x, '{_PRICE}', 1), '[^0-9]', '', 'g') AS BIGINT))) AS prix
     FROM ({_OFFERS_SQL})"""
-_WORDS = r"(?i)(?:^|[^\pL\pN_])(avec|pour|license|hath|mit|para)(?:[^\pL\pN_]|$)"
 _WORD_LIST = ["avec", "hath", "license", "mit", "para", "pour"]
 _MOTS = " || ".join(
     f"CASE WHEN regexp_matches(t, '(?i)(^|[^\\pL\\pN_]){w}([^\\pL\\pN_]|$)') THEN '|{w}' ELSE '' END" for w in _WORD_LIST

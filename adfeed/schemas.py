@@ -17,8 +17,6 @@ def _schema(ddl: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-GROUPS = _schema("id STRING, nom STRING, url STRING, actif BOOLEAN")
-
 # One element of a raw post file, as it is stored.
 RAW_POST = _schema(
     "id STRING, groupe_id STRING, groupe_nom STRING, url STRING, texte STRING, "

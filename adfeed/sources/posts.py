@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adfeed.operators.dedup import dedup_last
 from adfeed.schemas import RAW_POST
+from adfeed.session import with_computed
 
 # A post's place in its input: files by name, then position.
 ORDER = ["_file", "_pos"]
-_ARRAY_TEXT = r"(?s)^\s*\[.*\]\s*$"
+
+
+def _file_order() -> Column:
+    """Files by name; equal names in several folders by their path."""
+    return F.concat_ws(" ", "_metadata.file_name", "_metadata.file_path").alias("_file")
+
+
+def _with_posts(files: DataFrame) -> DataFrame:
+    """Add the parsed array; NULL for a value that is not one whole JSON array of objects."""
+    text = F.btrim("value", F.lit(" \t\r\n"))
+    # from_json alone would take a bare object for an array of one.
+    array = F.when(text.startswith("[") & text.endswith("]"), F.from_json("value", T.ArrayType(RAW_POST)))
+    return with_computed(files, "_posts", array)
 
 
 def parse_post_files(files: DataFrame) -> DataFrame:
@@ -20,26 +33,24 @@ def parse_post_files(files: DataFrame) -> DataFrame:
     A value that is not one whole JSON array gives no rows, and an element
     without id is left out; see file_issues.
     """
-    array = F.from_json(F.col("value"), T.ArrayType(RAW_POST))
-    whole = files.filter(F.col("value").rlike(_ARRAY_TEXT) & F.try_parse_json("value").isNotNull())
-    posts = whole.select("_file", F.posexplode(array).alias("_pos", "_p"))
+    posts = _with_posts(files).select("_file", F.posexplode("_posts").alias("_pos", "_p"))
     return posts.select("_p.*", "_file", F.col("_pos").cast("bigint").alias("_pos")).filter("id IS NOT NULL")
 
 
 def file_issues(files: DataFrame) -> DataFrame:
     """What parse_post_files leaves out: (_file, readable, sans_id)."""
-    array = F.from_json(F.col("value"), T.ArrayType(RAW_POST))
-    whole = F.col("value").rlike(_ARRAY_TEXT) & F.try_parse_json("value").isNotNull()
-    return files.select(
-        "_file", whole.alias("lisible"),
-        F.when(whole, F.size(F.filter(array, lambda p: p.id.isNull()))).otherwise(0).alias("sans_id"),
-    ).filter("NOT lisible OR sans_id > 0")
+    without_id = F.size(F.filter("_posts", lambda post: post.id.isNull()))
+    read = _with_posts(files).select(
+        "_file", F.col("_posts").isNotNull().alias("lisible"),
+        F.when(F.col("_posts").isNotNull(), without_id).otherwise(0).alias("sans_id"),
+    )
+    return read.filter("NOT lisible OR sans_id > 0")
 
 
 def load_raw_posts(spark: SparkSession, *paths: str) -> DataFrame:
     """All posts of JSON-array files, one row per id: last value, first position."""
     files = spark.read.text(list(paths), wholetext=True).select(
-        F.col("_metadata.file_name").alias("_file"), "value"
+        _file_order(), "value"
     )
     return merge_posts(parse_post_files(files))
 
@@ -48,7 +59,7 @@ def load_raw_post_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """The same for files with one JSON post per line, which can be split and may be large."""
     lines = spark.read.schema(RAW_POST).json(list(paths), mode="DROPMALFORMED")
     placed = lines.select(
-        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_bloc"),
+        "*", _file_order(), F.col("_metadata.file_block_start").alias("_bloc"),
         # Grows along each block, which one task reads from start to end.
         F.monotonically_increasing_id().alias("_pos"),
     )

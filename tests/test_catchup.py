@@ -1,8 +1,6 @@
 import random
 from datetime import datetime, timedelta
 
-import pytest
-
 from adfeed.operators.captures import capture_counts, empty_group_samples, oldest_in_step
 from adfeed.operators.catchup import feed_catchup
 from adfeed.operators.markers import merge_markers, with_marker

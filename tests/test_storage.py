@@ -174,10 +174,13 @@ def test_raw_files(spark, folder):
     write(f"{folder}/3.json", '[{"id": "c", "texte": "coup')
     write(f"{folder}/4.json", '{"id": "d", "texte": "objet"}')
     write(f"{folder}/5.json", " \n")
+    write(f"{folder}/6.json", '[{"id": "e", "id": "f", "texte": "clé double"}]\n')
+    write(f"{folder}/7.json", '[{"id": "g", "texte": "x"}, {"id": ]')
+    write(f"{folder}/8.json", "[]")
     posts = load_raw_posts(spark, f"{folder}/*.json").orderBy("_file", "_pos").collect()
-    assert [(r["id"], r["texte"]) for r in posts] == [("a", "un bis"), ("b", "deux")] and posts[1]["date_incertaine"] is True
+    assert [(r["id"], r["texte"]) for r in posts] == [("a", "un bis"), ("b", "deux"), ("f", "clé double")] and posts[1]["date_incertaine"] is True
     files = spark.read.text(f"{folder}/*.json", wholetext=True).select(F.col("_metadata.file_name").alias("_file"), "value")
-    assert {tuple(r) for r in file_issues(files).collect()} == {("2.json", True, 1), ("3.json", False, 0), ("4.json", False, 0), ("5.json", False, 0)}
+    assert {tuple(r) for r in file_issues(files).collect()} == {("2.json", True, 1), ("3.json", False, 0), ("4.json", False, 0), ("5.json", False, 0), ("7.json", False, 0)}
 
 
 def test_line_files_and_appended_tables(spark, folder):
