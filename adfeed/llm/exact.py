@@ -48,7 +48,8 @@ class DigestIndex:
 
     def append(self, fresh: DataFrame) -> None:
         """One sorted file per bucket. Adding the same rows again is up to the caller to avoid."""
-        fresh.select("digest", "keep_id").repartition(self.buckets, "digest").write.insertInto(self.table)
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))  # as the table's writer computes it
+        fresh.select("digest", "keep_id").repartition(self.buckets, bucket).write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
 
 
