@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeed.llm import exact, mixing, packing, sharding
+from adfeed.llm import exact, html, mixing, packing, sharding, substrings
 from adfeed.llm.common import octets, ready, shared_path
 
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_page_differencing(spark: SparkSession, folder: str) -> DataFrame:
+    return html.main_texts(table(spark, folder, "pages"))
+
+
 def op2_two_pass_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shuffled_shards(table(spark, folder, "documents"), shards=16)
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -55,9 +59,27 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op6_suffix_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.removed_counts(table(spark, folder, "documents"), width=20)
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+w AS (SELECT doc_id, i, list_aggregate(list_slice(words, i, i + 19), 'string_agg', ' ') AS span
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d WHERE len(words) >= 20)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY span ORDER BY doc_id, i) AS n FROM w) WHERE n > 1),
+g AS (SELECT doc_id, list(DISTINCT i + k) AS gone FROM r, (SELECT unnest(range(0, 20)) AS k) GROUP BY doc_id),
+k AS (SELECT d.doc_id, d.words, coalesce(g.gone, []) AS gone FROM d LEFT JOIN g USING (doc_id))
+SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed,
+       sha256(array_to_string(list_filter(words, lambda w, i: NOT list_contains(gone, i)), ' ')) AS kept_sha256 FROM k
+"""
+
+
 def op9_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), tokens=1024)
 
 
-QUERIES = {f.__name__: f for f in (op2_two_pass_shuffle, op4_poisson_mixing, op5_digest_index, op9_vector_best_fit)}
-ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL}
+QUERIES = {f.__name__: f for f in (
+    op1_page_differencing, op2_two_pass_shuffle, op4_poisson_mixing, op5_digest_index, op6_suffix_trees, op9_vector_best_fit,
+)}
+ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL, "op6_suffix_trees": OP6_SQL}
