@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeed.llm import exact, html, mixing, packing, sharding, substrings
+from adfeed.llm import exact, html, jaccard, mixing, packing, sharding, substrings
 from adfeed.llm.common import octets, ready, shared_path
 
 
@@ -75,11 +75,31 @@ SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed,
 """
 
 
+def op8_global_orders(spark: SparkSession, folder: str) -> DataFrame:
+    groups = jaccard.grouped(table(spark, folder, "documents"), shingle=4, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, list_aggregate(list_slice(words, i, i + 3), 'string_agg', ' ') AS shingle
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS i FROM d WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+r AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.other = l.x)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
+
+
 def op9_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), tokens=1024)
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_page_differencing, op2_two_pass_shuffle, op4_poisson_mixing, op5_digest_index, op6_suffix_trees, op9_vector_best_fit,
+    op1_page_differencing, op2_two_pass_shuffle, op4_poisson_mixing, op5_digest_index, op6_suffix_trees,
+    op8_global_orders, op9_vector_best_fit,
 )}
-ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL, "op6_suffix_trees": OP6_SQL}
+ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op8_global_orders": OP8_SQL}
