@@ -149,7 +149,7 @@ def packed(
     policy: str = "norm",
     weights: tuple[float, float, float] = (1.0, 1.0, 1.0),
     with_ids: bool = False,
-    rows_per_stretch: int = 250_000,
+    rows_per_stretch: int = 50_000,
     **columns: str,
 ) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset`` (place in the sequence).
