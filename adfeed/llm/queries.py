@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeed.llm import exact, html, jaccard, mixing, packing, sharding, substrings
+from adfeed.llm import embeddings, exact, html, jaccard, mixing, packing, sharding, substrings
 from adfeed.llm.common import octets, ready, shared_path
 
 
@@ -28,6 +28,10 @@ def op2_two_pass_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quantised_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings"), least=0.95)
+
+
 def op4_poisson_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All sources at equal weight; digests in place of the texts."""
     mixed = mixing.mixed_sources(table(spark, folder, "documents"))
@@ -99,7 +103,7 @@ def op9_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_page_differencing, op2_two_pass_shuffle, op4_poisson_mixing, op5_digest_index, op6_suffix_trees,
+    op1_page_differencing, op2_two_pass_shuffle, op3_quantised_codes, op4_poisson_mixing, op5_digest_index, op6_suffix_trees,
     op8_global_orders, op9_vector_best_fit,
 )}
 ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op8_global_orders": OP8_SQL}
