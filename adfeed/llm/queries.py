@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeed.llm import embeddings, exact, html, jaccard, mixing, packing, sharding, substrings
+from adfeed.llm import embeddings, exact, html, jaccard, lm, mixing, packing, quality, sharding, substrings
 from adfeed.llm.common import octets, ready, shared_path
 
 
@@ -79,6 +79,10 @@ SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed,
 """
 
 
+def op7_log_frequency_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.language_scores(table(spark, folder, "documents"))
+
+
 def op8_global_orders(spark: SparkSession, folder: str) -> DataFrame:
     groups = jaccard.grouped(table(spark, folder, "documents"), shingle=4, percent=85)
     return groups.select("doc_id", "n_shingles", "component_id")
@@ -102,8 +106,12 @@ def op9_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), tokens=1024)
 
 
+def op10_trusted_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_page_differencing, op2_two_pass_shuffle, op3_quantised_codes, op4_poisson_mixing, op5_digest_index, op6_suffix_trees,
-    op8_global_orders, op9_vector_best_fit,
+    op7_log_frequency_filter, op8_global_orders, op9_vector_best_fit, op10_trusted_perplexity,
 )}
 ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op8_global_orders": OP8_SQL}

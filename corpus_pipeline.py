@@ -8,15 +8,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adfeed.llm import exact, mixing, packing
+from adfeed.llm import exact, jaccard, mixing, packing, quality
 from adfeed.llm.common import ready, shared_path
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity under trusted text passes the limit of their language."""
+    return quality.kept_rows(docs, ready(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the smallest doc_id stays."""
     return exact.kept_rows(docs, exact.DigestIndex(ready(spark), shared_path(spark, "digest-index")))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by a similarity of 0.8 or more in five-word shingles, the document with the smallest doc_id."""
+    ready(spark)
+    return jaccard.kept_rows(docs, shingle=5, percent=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All sources at equal weight; a repeated document is a row for each copy."""
     ready(spark)
@@ -29,9 +40,15 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs, tokens=1024)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("mix_sources", mix_sources), ("pack", pack)]
+STAGES = [
+    ("quality_filter", quality_filter),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("pack", pack),
+]
 
-# Tokenising and Poisson replication of trained decisions: tested against brute force.
+# A trained model and a tokenizer decide; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
