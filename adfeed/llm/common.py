@@ -59,6 +59,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, purpose: str) -> DataFrame:
+    """As ``written``, in buckets of ``key``: joins on it leave this side where it is."""
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_path(spark, purpose)
+    table = "llm_" + path.rsplit("-", 1)[1]
+    df.repartition(count, key).write.bucketBy(count, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """The rows without columns that an operator is about to add (any case)."""
     taken = {n.lower() for n in names}

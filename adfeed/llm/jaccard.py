@@ -6,19 +6,24 @@ any order of all tokens. Several orders are used, and a candidate has to pass un
 each. All of them put rare tokens first and differ in how they break ties, so that
 passages known to many documents come last.
 
-1. Rarity. Every shingle of every document is counted into one of 2^27 cells, and
-   the counts are kept as 16 levels: 64 MiB at any size of the corpus, which is what
-   gets broadcast. Level 1 means one occurrence in the whole corpus: a document whose
-   prefix holds nothing else has no partner and is settled.
+1. Rarity. Every shingle of every document is counted into one of 2^28 cells. What is
+   kept takes 64 MiB at any size of the corpus, and is broadcast: a bit for each cell that
+   was hit twice or more, and 16 levels of the counts of four cells together. A shingle
+   in a cell hit once has one occurrence in the whole corpus: a document whose prefix
+   holds nothing else has no partner and is settled.
 2. Documents with equal token sets become one class, which goes on as one.
-3. Stars: in each order a class is verified against one class for which it shares a
-   prefix token, the same one for all. This joins large groups of near copies without
+3. Stars: a class is verified against one of those with which it shares a prefix token,
+   the same one for all where it can be. This joins large groups of near copies without
    making their pairs.
-4. The rest: all pairs of classes that share prefix tokens under every order, fit in
-   size and position, and are not yet connected, are verified. What connects them
-   directly or by others no longer matters, so no link between components is lost.
+4. The rest: classes that are not yet connected and share prefix tokens. Tokens with the
+   same head form a family. In families of up to ``LARGE`` classes, all pairs that share
+   prefix tokens under every order and fit in size and place are verified. Larger ones
+   are cut into blocks; a block is compared with a block inside a task, which returns
+   what got connected and not the pairs. Blocks of a family's main component are not
+   compared with each other: how its classes are connected no longer matters.
 
-Verification compares whole token sets (64-bit hashes). The result is exact.
+Verification compares whole token sets (64-bit hashes). The result is exact: no link
+between components is lost.
 
 Defined results. A null text has no words; texts without words link with nothing.
 Null ids count for nothing in component_id, which is null if a group has no other.
@@ -38,23 +43,23 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import WordHashes, components, lower_words, mixed, run_hashes, written
+from adfeed.llm.common import WordHashes, bucketed, components, lower_words, mixed, run_hashes, written
 
-CELL_BITS, SLICE_BITS = 27, 19
+CELL_BITS, SLICE_BITS = 28, 20
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-SHINGLES_AT_ONCE = 2_000_000
+SHINGLES_AT_ONCE = 4_000_000
 SALTS = 16
+LARGE, BLOCK = 64, 200
 
 COUNTS = pa.schema([("slice", pa.int32()), ("salt", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())])
 COUNTS_DDL = "slice int, salt int, cells binary, counts binary"
-LEVELS = pa.schema([("slice", pa.int32()), ("levels", pa.binary())])
+LEVELS = pa.schema([("slice", pa.int32()), ("twice", pa.binary()), ("levels", pa.binary())])
 TOKENS = pa.schema(
     [("doc_id", pa.int64()), ("row_key", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("set", pa.binary())]
-    + [(f"order{k}", pa.list_(pa.struct([("token", pa.int64()), ("place", pa.int32())]))) for k in range(len(ORDERS))]
-)
-TOKENS_DDL = "doc_id long, row_key long, n long, digest binary, set binary, " + ", ".join(
-    f"order{k} array<struct<token:long,place:int>>" for k in range(len(ORDERS))
+    + [(f"order{k}", pa.list_(pa.int64())) for k in range(len(ORDERS))]
+    + [("places", pa.list_(pa.int32()))]
 )
+TOKENS_DDL = "doc_id long, row_key long, n long, digest binary, set binary, " + ", ".join(f"order{k} array<long>" for k in range(len(ORDERS))) + ", places array<int>"
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -69,11 +74,13 @@ def cells_of(tokens: np.ndarray) -> np.ndarray:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values, np.uint32).tobytes(), 1)
+    """Small integers, byte plane by byte plane."""
+    return zstandard.compress(np.ascontiguousarray(values, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), np.uint32)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32)[:, 0]
 
 
 def _slices(cells: np.ndarray, counts: np.ndarray, salt: int) -> Iterator[tuple]:
@@ -119,10 +126,12 @@ def _summed(last: bool):
             cells = np.flatnonzero(total)
             rows = [(index, 0, _packed(np.diff(cells, prepend=0)), _packed(np.minimum(total[cells], 0xFFFFFFFF)))]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), COUNTS)], schema=COUNTS)
-        level = np.zeros(len(total), np.uint8)  # 1: one, 2: two or three, then by factors of four
+        four = total.reshape(-1, 4).sum(1)
+        level = np.zeros(len(four), np.uint8)  # 1: one, 2: two or three, then by factors of four
         for i in range(15):
-            level += total >= (1 if i == 0 else 2 * 4 ** (i - 1))
-        return pa.RecordBatch.from_arrays([pa.array([index], pa.int32()), pa.array([(level[::2] | level[1::2] << 4).tobytes()], pa.binary())], schema=LEVELS)
+            level += four >= (1 if i == 0 else 2 * 4 ** (i - 1))
+        columns = [[index], [np.packbits(total > 1, bitorder="little").tobytes()], [(level[::2] | level[1::2] << 4).tobytes()]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, LEVELS)], schema=LEVELS)
 
     def run(batches):
         current, total = None, None
@@ -139,48 +148,63 @@ def _summed(last: bool):
     return run
 
 
-def rarity_levels(texts: DataFrame, size: int) -> np.ndarray:
-    """The level of every cell, two to a byte: a fixed 64 MiB."""
-    counts = texts.select("text").mapInArrow(_counted(size), COUNTS_DDL)
-    by_salt = counts.repartition("slice", "salt").sortWithinPartitions("slice", "salt").mapInArrow(_summed(False), COUNTS_DDL)
-    levels = by_salt.repartition("slice").sortWithinPartitions("slice").mapInArrow(_summed(True), "slice int, levels binary")
-    whole = np.zeros(1 << (CELL_BITS - 1), np.uint8)
-    half = 1 << (SLICE_BITS - 1)
-    for row in levels.toLocalIterator():  # at most 256 rows of 256 KiB
-        whole[row["slice"] * half : (row["slice"] + 1) * half] = np.frombuffer(row["levels"], np.uint8)
-    return whole
+class Rarity:
+    """How rare the tokens of each cell are: 32 MiB of bits and 32 MiB of levels."""
 
+    def __init__(self, twice: np.ndarray | None = None, levels: np.ndarray | None = None):
+        self.twice = np.zeros(1 << (CELL_BITS - 3), np.uint8) if twice is None else twice
+        self.levels = np.zeros(1 << (CELL_BITS - 3), np.uint8) if levels is None else levels
 
-def level_of(levels: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    return (levels[cells >> 1] >> ((cells & 1) << 2).astype(np.uint8)) & 15
+    def put(self, index: int, twice: bytes, levels: bytes) -> None:
+        size = 1 << (SLICE_BITS - 3)
+        self.twice[index * size : (index + 1) * size] = np.frombuffer(twice, np.uint8)
+        self.levels[index * size : (index + 1) * size] = np.frombuffer(levels, np.uint8)
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        """0 for tokens that occur once in the corpus, else 1 and more, the more the more frequent."""
+        cells = cells_of(tokens)
+        twice = (self.twice[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1
+        fours = cells >> 2
+        level = (self.levels[fours >> 1] >> ((fours & 1) << 2).astype(np.uint8)) & 15
+        return twice * level
+
+
+def rarity(texts: DataFrame, size: int) -> Rarity:
+    counts = texts.select("text").mapInArrow(_counted(size), COUNTS_DDL)
+    by_salt = counts.repartition("slice", "salt").sortWithinPartitions("slice", "salt").mapInArrow(_summed(False), COUNTS_DDL)
+    rows = by_salt.repartition("slice").sortWithinPartitions("slice").mapInArrow(_summed(True), "slice int, twice binary, levels binary")
+    out = Rarity()
+    for row in rows.toLocalIterator():  # 256 rows of 256 KiB at most
+        out.put(row["slice"], row["twice"], row["levels"])
+    return out
 
 
 def prefix_size(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _tokens(size: int, percent: int, levels):
+def _tokens(size: int, percent: int, known):
     def run(batches):
-        cache, known = WordHashes(), levels.value
+        cache, rare = WordHashes(), Rarity(*known.value)
         for batch in batches:
             rows = []
             for doc_id, row_key, text in zip(batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), batch.column("text")):
                 tokens = shingle_set(text.as_py(), cache, size)
                 n, row = len(tokens), (doc_id, row_key, len(tokens))
-                level = level_of(known, cells_of(tokens))
+                level = rare.of(tokens)
                 length = prefix_size(n, percent)
-                if not n or (level == 1).sum() >= length:
-                    rows.append((*row, *[None] * (len(ORDERS) + 2)))
+                if not n or (level == 0).sum() >= length:
+                    rows.append((*row, *[None] * (len(ORDERS) + 3)))
                     continue
-                orders = []
+                orders, place_in_first = [], None
                 for seed in ORDERS:
                     rank = level.astype(np.uint64) << np.uint64(60) | mixed(tokens ^ np.uint64(seed)) >> np.uint64(4)
                     first = np.argsort(rank)[:length]
-                    places = np.flatnonzero(level[first] > 1)
-                    shared = tokens[first[places]].view(np.int64)
-                    orders.append([{"token": t, "place": p} for t, p in zip(shared.tolist(), places.tolist())])
+                    places = np.flatnonzero(level[first])
+                    orders.append(tokens[first[places]].view(np.int64))
+                    place_in_first = places if place_in_first is None else place_in_first
                 data = tokens.tobytes()
-                rows.append((*row, hashlib.blake2b(data, digest_size=16).digest(), data, *orders))
+                rows.append((*row, hashlib.blake2b(data, digest_size=16).digest(), data, *orders, place_in_first))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), TOKENS)], schema=TOKENS)
 
@@ -204,11 +228,15 @@ def _verified(percent: int):
 
 
 def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that reach the threshold."""
-    left = classes.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
-    right = classes.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return both.mapInArrow(_verified(percent), "a long, b long")
+    """Those of the pairs (a, b) that reach the threshold.
+
+    ``classes`` lies in buckets of its nodes, so only the pairs move to find the sets of
+    a. Many pairs may share b; their sets move to those of b, where a skewed join is split.
+    """
+    left = pairs.join(classes.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
+    needed = pairs.select(F.col("b").alias("node")).distinct()
+    right = classes.select("node", "set").join(needed, "node", "left_semi").select(F.col("node").alias("b"), F.col("set").alias("set_b"))
+    return left.join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_verified(percent), "a long, b long")
 
 
 def fits(n: str, m: str, percent: int) -> Column:
@@ -216,67 +244,143 @@ def fits(n: str, m: str, percent: int) -> Column:
     return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
 
 
-def star_pairs(classes: DataFrame, order: int, percent: int) -> DataFrame:
-    """a, b: each class with one class that heads one of its prefix tokens and fits in size."""
-    tokens = classes.select("node", "n", F.explode(f"order{order}.token").alias("token"))
-    head = F.struct(F.xxhash64(F.lit(order), "node").alias("at"), F.col("node").alias("head"), F.col("n").alias("m"))
-    heads = tokens.groupBy("token").agg(F.min(head).alias("h"), F.max("node").alias("high"), F.min("node").alias("low"))
-    near = tokens.join(heads.where("low <> high").select("token", "h.*"), "token").where("node <> head").where(fits("n", "m", percent))
-    near = near.groupBy("node").agg(F.min(F.struct("at", "head")).alias("h"))
-    return near.select(F.greatest("node", "h.head").alias("a"), F.least("node", "h.head").alias("b"))
+def smallest_overlap(percent: int) -> Column:
+    """Common tokens that sets of n and m need to reach the threshold."""
+    return F.expr(f"({percent}L * (n + m) + {99 + percent}L) div {100 + percent}L")
+
+
+def star_pairs(classes: DataFrame, percent: int, seed: int) -> DataFrame:
+    """a, b: each class with one class b that heads one of its prefix tokens and fits in size and place."""
+    tokens = classes.select("node", "n", F.explode(F.arrays_zip("order0", "places")).alias("t")).select("node", "n", "t.order0", "t.places")
+    head = F.struct(F.xxhash64(F.lit(seed), "node").alias("at"), F.col("node").alias("head"), F.col("n").alias("m"), F.col("places").alias("place"))
+    heads = tokens.groupBy("order0").agg(F.min(head).alias("h"), F.count("*").alias("times")).where("times > 1")
+    near = tokens.join(heads.select("order0", "h.*"), "order0").where("node <> head").where(fits("n", "m", percent))
+    near = near.where(F.least(F.col("n") - F.col("places"), F.col("m") - F.col("place")) >= smallest_overlap(percent))
+    return near.groupBy("node").agg(F.min(F.struct("at", "head")).alias("h")).select(F.col("node").alias("a"), F.col("h.head").alias("b"))
 
 
-def remaining_pairs(classes: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """a, b: classes not yet connected that pass the filters of all orders."""
+def open_families(classes: DataFrame, joined: DataFrame) -> DataFrame:
+    """node, n, group, token, place, head, large: prefix tokens shared by classes not yet connected."""
     group = F.coalesce("component", F.col("c.node")).alias("group")
     tokens = classes.alias("c").join(joined.alias("j"), F.col("c.node") == F.col("j.node"), "left")
-    tokens = tokens.select("c.node", "n", group, F.explode("order0").alias("t")).select("node", "n", "group", "t.*")
-    spread = tokens.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
-    tokens = tokens.join(spread.select("token"), "token", "left_semi")
-    x = tokens.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "group", "place")])
-    y = tokens.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "group", "place")])
-    need = F.expr(f"({percent}L * (n_a + n_b) + {99 + percent}L) div {100 + percent}L")  # smallest overlap that reaches the threshold
-    first = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= need
-    pairs = x.join(y, "token").where("node_a > node_b and group_a <> group_b").where(fits("n_a", "n_b", percent)).where(first)
-    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    tokens = tokens.select("c.node", "n", group, F.explode(F.arrays_zip("order0", "places")).alias("t"))
+    tokens = tokens.select("node", "n", "group", F.col("t.order0").alias("token"), F.col("t.places").alias("place"))
+    first = F.min(F.struct(F.xxhash64("node").alias("at"), "node")).alias("first")
+    shared = tokens.groupBy("token").agg(first, F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
+    heads = written(shared.select("token", F.col("first.node").alias("head")), "heads")
+    members = written(tokens.join(heads, "token"), "members")
+    sizes = members.select("head", "node").distinct().groupBy("head").agg((F.count("*") > LARGE).alias("large"))
+    return members.join(written(sizes, "families"), "head")
+
+
+def remaining_pairs(families: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """a, b: classes not yet connected that pass the filters of all orders, from families that are not large."""
+    tokens = families.where("not large")
+    x = tokens.select("token", F.col("node").alias("a"), "n", F.col("group").alias("group_a"), F.col("place").alias("place_a"))
+    y = tokens.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("group_b"), F.col("place").alias("place_b"))
+    pairs = x.join(y, "token").where("a > b AND group_a <> group_b").where(fits("n", "m", percent))
+    # Of the first token that two documents share, no more can follow than the shorter rest.
+    pairs = pairs.where(F.least(F.col("n") - F.col("place_a"), F.col("m") - F.col("place_b")) >= smallest_overlap(percent))
+    pairs = pairs.select("a", "b").distinct()
     others = [f"order{k}" for k in range(1, len(ORDERS))]
     for end in "ab":
-        arrays = classes.select(F.col("node").alias(end), *[F.col(f"{o}.token").alias(f"{o}_{end}") for o in others])
+        arrays = classes.select(F.col("node").alias(end), *[F.col(o).alias(f"{o}_{end}") for o in others])
         pairs = pairs.join(arrays, end)
     for o in others:
         pairs = pairs.where(F.arrays_overlap(f"{o}_a", f"{o}_b"))
     return pairs.select("a", "b")
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set on the left with each on the right."""
+    tokens = np.concatenate(left + right)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in left + right])
+    _, column, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times[column] > 1)
+    column, owner = np.unique(column[shared], return_inverse=True)[1], owner[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    width = 4096
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [low, low + width])
+        there = np.zeros((len(left) + len(right), width), np.float32)
+        there[owner[a:b], column[a:b] - low] = 1
+        out += there[: len(left)] @ there[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _compared(percent: int):
+    """Over pairs of blocks: (node, smallest node connected to it within the two blocks)."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a, b = batch.column("members_a")[i].as_py(), batch.column("members_b")[i].as_py()
+                sets = [[np.frombuffer(m["set"], np.uint64) for m in side] for side in (a, b)]
+                sizes = [np.array([len(x) for x in side]) for side in sets]
+                both = overlaps(*sets)
+                links = 100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both)
+                nodes = [np.array([m["node"] for m in side], np.int64) for side in (a, b)]
+                labels, biggest = list(nodes), np.iinfo(np.int64).max
+                while True:
+                    first = np.minimum(labels[0], np.where(links, labels[1][None, :], biggest).min(1))
+                    second = np.minimum(labels[1], np.where(links, first[:, None], biggest).min(0))
+                    if (first == labels[0]).all() and (second == labels[1]).all():
+                        break
+                    labels = [first, second]
+                node, label = np.concatenate(nodes), np.concatenate(labels)
+                moved = node != label
+                yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(label[moved])], schema=LINKS)
+
+    return run
+
+
+def block_links(families: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """a, b: what large families connect."""
+    members = families.where("large").select("head", "node", "group").distinct()
+    mains = members.groupBy("head", "group").agg(F.count("*").alias("n")).groupBy("head").agg(F.max(F.struct("n", "group")).alias("main"))
+    members = members.join(mains, "head").select("head", "node", (F.col("group") == F.col("main.group")).alias("main"))
+    sizes = members.groupBy("head", "main").agg(F.count("*").alias("n"))
+    members = members.join(sizes, ["head", "main"]).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.ceil(F.col("n") / BLOCK)))
+    filled = members.select("head", "main", "block", "node").join(classes.select("node", "set"), "node")
+    blocks = written(filled.groupBy("head", "main", "block").agg(F.collect_list(F.struct("node", "set")).alias("members")), "blocks")
+    a = blocks.withColumnsRenamed({c: f"{c}_a" for c in ("main", "block", "members")})
+    b = blocks.withColumnsRenamed({c: f"{c}_b" for c in ("main", "block", "members")})
+    pairs = a.join(b, "head").where("NOT main_a AND (main_b OR block_a <= block_b)")
+    return pairs.select("members_a", "members_b").mapInArrow(_compared(percent), "a long, b long")
+
+
 def grouped(docs: DataFrame, shingle: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, row_key, n_shingles, component_id, first (whether the row is the one that stays) for every row."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     source = source.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    levels = spark.sparkContext.broadcast(rarity_levels(source, shingle))
-    tokens = written(source.mapInArrow(_tokens(shingle, percent, levels), TOKENS_DDL), "tokens")
-
-    active = tokens.where("digest is not null")
-    # Null ids come last; the row key breaks ties.
+    counted = rarity(source, shingle)
+    known = spark.sparkContext.broadcast((counted.twice, counted.levels))
+    del counted
+    tokens = written(source.mapInArrow(_tokens(shingle, percent, known), TOKENS_DDL), "tokens")
+    known.destroy()
+
+    # One row for each distinct set. Null ids come last; the row key breaks ties.
+    active = tokens.where("digest is not null").withColumn("node", F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("least")
-    wide = [F.any_value(c).alias(c) for c in ("n", "set", *[f"order{k}" for k in range(len(ORDERS))])]
-    node = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long").alias("node")
-    classes = active.groupBy("digest").agg(least, *wide)
-    classes = written(classes.select(node, *classes.columns), "classes")
-
-    stars = star_pairs(classes, 0, percent)
-    for k in range(1, len(ORDERS)):
-        stars = stars.union(star_pairs(classes, k, percent))
-    links = written(verified(stars.distinct(), classes, percent), "links")
+    wide = ["digest", "n", "set", "places", *[f"order{k}" for k in range(len(ORDERS))]]
+    classes = bucketed(active.groupBy("node").agg(least, *[F.any_value(c).alias(c) for c in wide]), "node", "classes")
+
+    stars = written(star_pairs(classes, percent, 1).union(star_pairs(classes, percent, 2)).distinct(), "stars")
+    links = written(verified(stars, classes, percent), "links")
     joined = components(links, "joined")
-    rest = written(verified(remaining_pairs(classes, joined, percent), classes, percent), "links")
-    joined = components(links.union(rest), "joined")
+    families = open_families(classes, joined)
+    rest = written(remaining_pairs(families, classes, percent), "rest")
+    found = verified(rest, classes, percent).union(block_links(families, classes, percent))
+    joined = components(links.union(written(found, "links")), "joined")
 
-    narrow = classes.select("node", "digest", "least").join(joined, "node", "left")
-    narrow = narrow.select("digest", "least", F.coalesce("component", "node").alias("component"))
+    narrow = classes.select("node", "least").join(joined, "node", "left")
+    narrow = narrow.select("node", "least", F.coalesce("component", "node").alias("component"))
     groups = narrow.groupBy("component").agg(F.min("least").alias("stays"))
-    answers = narrow.join(groups, "component").select("digest", "stays")
-    paired = active.select("digest", "doc_id", "row_key", "n").join(answers, "digest")
+    answers = written(narrow.join(groups, "component").select("node", "stays"), "answers")
+    paired = active.select("node", "doc_id", "row_key", "n").join(answers, "node")
     paired = paired.select("doc_id", "row_key", "n", F.col("stays.doc_id").alias("component_id"), (F.col("row_key") == F.col("stays.row_key")).alias("first"))
     alone = tokens.where("digest is null").select("doc_id", "row_key", "n", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
     return paired.union(alone).withColumnRenamed("n", "n_shingles")

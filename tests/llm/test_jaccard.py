@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from adfeed.llm import jaccard
 from adfeed.llm.common import components, ready
-from adfeed.llm.jaccard import grouped, kept_rows
+from adfeed.llm.jaccard import grouped, kept_rows, overlaps
 
 
 def shingles(text, size):
@@ -65,6 +67,31 @@ def test_against_all_pairs(spark, size, percent):
     assert kept == {c for _, _, c in want}
 
 
+def test_large_families(spark, monkeypatch):
+    """Blocks in place of pairs give the same groups."""
+    ready(spark)
+    monkeypatch.setattr(jaccard, "LARGE", 2)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    draw = random.Random(1)
+    words = [f"a{i}" for i in range(80)]
+    rows = []
+    for i in range(60):
+        copy = list(words)
+        for _ in range(draw.choice([0, 1, 2, 3])):
+            copy[draw.randrange(80)] = f"b{draw.randrange(9)}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in grouped(docs, 4, 85).collect()), key=str)
+    assert got == brute(rows, 4, 85) and len({c for _, _, c in got}) > 3
+
+
+def test_overlaps():
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 9000, size).astype(np.uint64)) for size in (0, 1, 40, 6000, 5000, 300)]
+    assert overlaps(sets[:3], sets[2:]).tolist() == [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets[:3]]
+    assert overlaps(sets[3:5], sets).tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets[3:5]]
+
+
 def test_chains_of_links(spark):
     """A document moves by one word at a time; only neighbours link, all are one component."""
     ready(spark)
