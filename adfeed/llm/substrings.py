@@ -10,7 +10,8 @@ depth; all of them but the earliest are repeats.
    one record: about one record for eight windows.
 2. Runs that occur in one record only cannot lie in a repeat. They are counted with
    sums made before the shuffle, and only the other records go on.
-3. The records get their words (one join with the texts), which travel once to the
+3. Texts whose words are all those of an earlier text are repeats as a whole and settled.
+   The other records get their words (one join with the texts), which travel once to the
    group of their run: the short prefix. Runs of more than ``group`` records use the
    whole window as their prefix, so that no group outgrows a task. Of records alike
    in one batch only the earliest travels, the others are settled on the spot: a
@@ -233,16 +234,25 @@ def keyed_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return source.withColumn("doc_key", F.xxhash64("doc_id", "text"))
 
 
+def whole_copies(records: DataFrame, width: int) -> DataFrame:
+    """doc_key, start, n: all windows of the documents whose words are those of an earlier one."""
+    long = records.where(F.col("n_words") >= width).select("sha256", "doc_id", "doc_key", "n_words")
+    firsts = long.groupBy("sha256").agg(F.min(F.struct("doc_id", "doc_key")).alias("first"))
+    later = long.join(firsts, "sha256").where("doc_key <> first.doc_key").select("doc_key", "n_words").distinct()
+    return written(later.select("doc_key", F.lit(0).alias("start"), (F.col("n_words") - width + 1).cast("int").alias("n")), "copies")
+
+
 def repeat_marks(source: DataFrame, records: DataFrame, width: int, seed: int, group: int) -> DataFrame:
     """doc_key, marks: the repeated windows (start, n) of each document that has any."""
     runs = records.select("doc_key", F.posexplode(F.arrays_zip("runs", "times")).alias("i", "r")).select("doc_key", "i", "r.runs", "r.times")
     counts = runs.groupBy("runs").agg(F.sum("times").alias("total")).where("total > 1")
     repeated = counts.select("runs", (F.col("total") > group).alias("hot"))
     candidates = runs.join(repeated, "runs").groupBy("doc_key").agg(F.collect_set(F.struct("i", "hot")).alias("candidates"))
-    spans = source.join(candidates, "doc_key").select("doc_id", "doc_key", "text", "candidates")
+    copies = whole_copies(records, width)
+    spans = source.join(candidates.join(copies, "doc_key", "left_anti"), "doc_key").select("doc_id", "doc_key", "text", "candidates")
     spans = spans.mapInArrow(_spans(width, seed), "key long, doc_id long, doc_key long, start int, n int, words binary")
     marks = spans.repartition("key").sortWithinPartitions("key").mapInArrow(_marks(width), "doc_key long, start int, n int")
-    return marks.groupBy("doc_key").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
+    return marks.union(copies).groupBy("doc_key").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
 
 
 def all_records(source: DataFrame, width: int, seed: int) -> DataFrame:
