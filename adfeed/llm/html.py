@@ -247,6 +247,7 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     signs = written(signs.dropDuplicates(["key"]), "page-lines")
     steps = signs.select("key", F.posexplode("prefixes").alias("depth", "prefix"))
     ends = steps.groupBy("prefix").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
+    ends = written(ends, "prefix-ends")  # a join of two plain inputs is split where a host is large
     partner = F.when(F.col("key") == F.col("low"), F.col("high")).otherwise(F.col("low"))
     nearest = steps.join(ends, "prefix").groupBy("key").agg(F.max(F.struct("depth", partner.alias("partner"))).alias("nearest"))
     pairs = nearest.select("key", F.col("nearest.partner").alias("partner"))
