@@ -337,9 +337,8 @@ def language_scores(
         part = spark.sparkContext.broadcast((slices, low, high, {r["slice"]: bytes(r["keys"]) for r in rows}))
         score = _scored(part, tokens, distinct, prior)
         partial = texts.select("block", "doc_id", "row_key", "text").groupBy("block").cogroup(given.groupBy("block")).applyInArrow(score, SCORED_DDL)
-        if len(edges) > 2:
-            partial = written(partial, "lm-part")
-            part.unpersist()
+        partial = written(partial, "lm-part")
+        part.destroy()
         scores = partial if scores is None else scores.union(partial)
     if len(edges) > 2:  # a row's scores add up over the parts; rows that repeat stay apart
         parts = len(edges) - 1
