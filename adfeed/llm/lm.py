@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,25 @@ def text_tokens(text: str | None, cache: WordHashes) -> np.ndarray:
     return np.append(cache.of(lower_words(text)), END)
 
 
+class BlockWords(dict):
+    """The distinct words of a block, numbered as they come; 0 is the end."""
+
+    def __init__(self):
+        super().__init__()
+        self.hashes = [int(END)]
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        return number
+
+    def numbers(self, text: str | None) -> np.ndarray:
+        words = lower_words(text)
+        out = np.zeros(len(words) + 1, np.int64)
+        out[:-1] = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return out
+
+
 def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """A hash of 48 bits for each token with the one before; the filter confuses more pairs than that."""
     return mixed(before * PAIR + tokens) & np.uint64(0xFFFFFFFFFFFF0000)
@@ -126,12 +146,13 @@ def _counted(slices: int):
     return run
 
 
-def probe_places(keys: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
-    """The bits that (key, level) sets."""
+def probe_places(keys: np.ndarray, level: int, bits: int | np.ndarray) -> Iterator[np.ndarray]:
+    """The bits that (key, level) sets, one for each probe; bits: of the filter, under 2^32."""
     first = mixed(keys + np.uint64(level * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
-    step = mixed(first ^ PAIR) | np.uint64(1)
+    step = first * PAIR | np.uint64(1)
+    bits, half = np.asarray(bits, np.uint64), np.uint64(32)
     for i in range(PROBES):
-        yield ((first + np.uint64(i) * step) >> np.uint64(8)) % np.uint64(bits)
+        yield ((first + np.uint64(i) * step) >> half) * bits >> half
 
 
 def bloom_piece(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -197,29 +218,28 @@ class CountFilter:
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """The middle of the last level found; 0 for pairs that are not there."""
         at = slice_of(keys, self.slices)
-        bits, start = self.bits[at], self.start[at].astype(np.uint64)
+        bits, start = self.bits[at], self.start[at]
         level = np.zeros(len(keys), np.int64)
-        alive = np.flatnonzero(bits > 0)
-        while len(alive):
-            place_in, found = bits[alive], np.ones(len(alive), bool)
-            for place in probe_places(keys[alive], int(level[alive[0]]) + 1, place_in):
-                byte = self.data[(start[alive] + (place >> np.uint64(3))).astype(np.int64)]
-                found &= (byte >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+        alive, step = np.flatnonzero(bits > 0), 1
+        while len(alive) and step < len(self.middle):
+            found = np.arange(len(alive))
+            for place in probe_places(keys[alive], step, bits[alive]):
+                place = place[found].astype(np.int64)
+                byte = self.data[start[alive[found]] + (place >> 3)]
+                found = found[(byte >> (place & 7).astype(np.uint8)) & 1 > 0]
             alive = alive[found]
-            level[alive] += 1
-            alive = alive[level[alive] < len(self.middle) - 1]
+            level[alive] = step
+            step += 1
         return self.middle[level]
 
 
 def _asked(slices: int):
     def run(key, table):
-        cache, distinct, held, n = WordHashes(), [], [], 0
+        words = BlockWords()
         for text in table.column("text"):
-            held.append(text_tokens(text.as_py(), cache))
-            n += len(held[-1])
-            if n >= TOKENS_AT_ONCE:
-                distinct, held, n = [np.unique(np.concatenate(distinct + held))], [], 0
-        keys = np.unique(np.concatenate(distinct + held))
+            for word in lower_words(text.as_py()):
+                words[word]
+        keys = np.unique(np.array(words.hashes, np.uint64))
         rows = [(i, key[0].as_py(), packed_keys(keys[a:b])) for i, a, b in by_slice(keys, slices)]
         return pa.Table.from_batches([batch_of(rows, ASKED)])
 
@@ -249,8 +269,7 @@ def _given(key, asked, known):
 
 def _scored(part, tokens: int, distinct: int, prior: float):
     def run(key, texts, given):
-        known = CountFilter(*part.value)
-        cache = WordHashes()
+        known, vocabulary = CountFilter(*part.value), BlockWords()
         keys = np.concatenate([unpacked_keys(k) for k in given.column("keys").to_pylist()] or [np.empty(0, np.uint64)])
         counts = np.concatenate([unpacked(c) for c in given.column("counts").to_pylist()] or [np.empty(0, np.int64)])
         order = np.argsort(keys)
@@ -259,24 +278,27 @@ def _scored(part, tokens: int, distinct: int, prior: float):
         rows, held, n = [], [], 0
 
         def flush():
-            words = np.concatenate([w for *_, w in held])
+            numbers = np.concatenate([w for *_, w in held])
+            hashes = np.array(vocabulary.hashes, np.uint64)
+            count_of = lookup(keys, counts, hashes)
+            known_log = np.log10(count_of + 1.0)
+            share = prior * (count_of + 1) / (tokens + distinct + 1)
             ends = np.cumsum([len(w) for *_, w in held])
             starts = ends - [len(w) for *_, w in held]
-            count = lookup(keys, counts, words)
-            before, times = np.roll(words, 1), np.roll(count, 1)
-            before[starts], times[starts] = END, texts_seen
-            pairs = pair_keys(before, words)
-            share = (count + 1) / (tokens + distinct + 1)
-            logs = np.log10((known.counts(pairs) + prior * share) / (times + prior)) * known.covers(pairs)
-            known_logs = np.log10(count + 1.0)
-            for (doc_id, row_key, _), a, b in zip(held, starts.tolist(), ends.tolist()):
-                rows.append((doc_id, row_key, b - a, int((count[a:b] > 0).sum()), float(known_logs[a:b].sum()), float(logs[a:b].sum())))
+            before = np.roll(numbers, 1)
+            before[starts] = 0  # a text follows an end
+            pairs = pair_keys(hashes[before], hashes[numbers])
+            times = np.where(before == 0, texts_seen, count_of[before])
+            logs = np.log10((known.counts(pairs) + share[numbers]) / (times + prior)) * known.covers(pairs)
+            sums = [np.add.reduceat(x, starts) for x in ((count_of[numbers] > 0).astype(np.int64), known_log[numbers], logs)]
+            for (doc_id, row_key, w), *found in zip(held, *(x.tolist() for x in sums)):
+                rows.append((doc_id, row_key, len(w), *found))
             held.clear()
 
         for doc_id, row_key, text in zip(texts.column("doc_id").to_pylist(), texts.column("row_key").to_pylist(), texts.column("text")):
-            held.append((doc_id, row_key, text_tokens(text.as_py(), cache)))
+            held.append((doc_id, row_key, vocabulary.numbers(text.as_py())))
             n += len(held[-1][2])
-            if n >= TOKENS_AT_ONCE // 4:
+            if n >= TOKENS_AT_ONCE // 2:
                 flush()
                 n = 0
         if held:

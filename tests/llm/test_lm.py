@@ -54,8 +54,9 @@ def test_against_exact_counts(spark, sizes):
     want = brute(rows)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     assert np.allclose([g[5] for g in got], [w[5] for w in want])
-    # A probe for a missing pair succeeds now and then; a token's probability moves little.
-    assert np.allclose([g[6] / g[2] for g in got], [w[6] / w[2] for w in want], atol=0.03)
+    # Probes for a missing pair succeed now and then (one in 45), which raises a score a little.
+    more = np.array([(g[6] - w[6]) / g[2] for g, w in zip(got, want)])
+    assert more.min() > -1e-9 and more.mean() < 0.015
 
 
 def test_filter():
