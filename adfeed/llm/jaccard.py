@@ -7,8 +7,8 @@ each. All of them put rare tokens first and differ in how they break ties, so th
 passages known to many documents come last.
 
 1. Rarity. Every shingle of every document is counted into one of 2^28 cells. What is
-   kept takes 64 MiB at any size of the corpus, and is broadcast: a bit for each cell that
-   was hit twice or more, and 16 levels of the counts of four cells together. A shingle
+   kept takes 36 MiB at any size of the corpus, and is broadcast: a bit for each cell that
+   was hit twice or more, and 16 levels of the counts of 32 cells together. A shingle
    in a cell hit once has one occurrence in the whole corpus: a document whose prefix
    holds nothing else has no partner and is settled.
 2. Documents with equal token sets become one class, which goes on as one.
@@ -48,7 +48,8 @@ from adfeed.llm.common import WordHashes, bucketed, components, lower_words, mix
 CELL_BITS, SLICE_BITS = 28, 20
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 SHINGLES_AT_ONCE = 4_000_000
-SALTS = 16
+LEVEL_BITS = 5  # a level stands for 2^5 cells
+SALTS, PARTS = 16, 16
 LARGE, BLOCK = 64, 200
 
 COUNTS = pa.schema([("slice", pa.int32()), ("salt", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())])
@@ -126,10 +127,10 @@ def _summed(last: bool):
             cells = np.flatnonzero(total)
             rows = [(index, 0, _packed(np.diff(cells, prepend=0)), _packed(np.minimum(total[cells], 0xFFFFFFFF)))]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), COUNTS)], schema=COUNTS)
-        four = total.reshape(-1, 4).sum(1)
-        level = np.zeros(len(four), np.uint8)  # 1: one, 2: two or three, then by factors of four
+        together = total.reshape(-1, 1 << LEVEL_BITS).sum(1)
+        level = np.zeros(len(together), np.uint8)  # 1: one, 2: two or three, then by factors of four
         for i in range(15):
-            level += four >= (1 if i == 0 else 2 * 4 ** (i - 1))
+            level += together >= (1 if i == 0 else 2 * 4 ** (i - 1))
         columns = [[index], [np.packbits(total > 1, bitorder="little").tobytes()], [(level[::2] | level[1::2] << 4).tobytes()]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, LEVELS)], schema=LEVELS)
 
@@ -149,32 +150,31 @@ def _summed(last: bool):
 
 
 class Rarity:
-    """How rare the tokens of each cell are: 32 MiB of bits and 32 MiB of levels."""
+    """How rare the tokens of each cell are: 32 MiB of bits and 4 MiB of levels."""
 
     def __init__(self, twice: np.ndarray | None = None, levels: np.ndarray | None = None):
         self.twice = np.zeros(1 << (CELL_BITS - 3), np.uint8) if twice is None else twice
-        self.levels = np.zeros(1 << (CELL_BITS - 3), np.uint8) if levels is None else levels
+        self.levels = np.zeros(1 << (CELL_BITS - LEVEL_BITS - 1), np.uint8) if levels is None else levels
 
     def put(self, index: int, twice: bytes, levels: bytes) -> None:
-        size = 1 << (SLICE_BITS - 3)
-        self.twice[index * size : (index + 1) * size] = np.frombuffer(twice, np.uint8)
-        self.levels[index * size : (index + 1) * size] = np.frombuffer(levels, np.uint8)
+        for target, data in ((self.twice, twice), (self.levels, levels)):
+            target[index * len(data) : (index + 1) * len(data)] = np.frombuffer(data, np.uint8)
 
     def of(self, tokens: np.ndarray) -> np.ndarray:
         """0 for tokens that occur once in the corpus, else 1 and more, the more the more frequent."""
         cells = cells_of(tokens)
         twice = (self.twice[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1
-        fours = cells >> 2
-        level = (self.levels[fours >> 1] >> ((fours & 1) << 2).astype(np.uint8)) & 15
+        groups = cells >> LEVEL_BITS
+        level = (self.levels[groups >> 1] >> ((groups & 1) << 2).astype(np.uint8)) & 15
         return twice * level
 
 
 def rarity(texts: DataFrame, size: int) -> Rarity:
     counts = texts.select("text").mapInArrow(_counted(size), COUNTS_DDL)
     by_salt = counts.repartition("slice", "salt").sortWithinPartitions("slice", "salt").mapInArrow(_summed(False), COUNTS_DDL)
-    rows = by_salt.repartition("slice").sortWithinPartitions("slice").mapInArrow(_summed(True), "slice int, twice binary, levels binary")
+    rows = by_salt.repartition(PARTS, "slice").sortWithinPartitions("slice").mapInArrow(_summed(True), "slice int, twice binary, levels binary")
     out = Rarity()
-    for row in rows.toLocalIterator():  # 256 rows of 256 KiB at most
+    for row in rows.toLocalIterator():  # 256 rows of 144 KiB at most, a part at a time
         out.put(row["slice"], row["twice"], row["levels"])
     return out
 
