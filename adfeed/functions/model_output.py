@@ -29,7 +29,7 @@ FIELDS = {
     "resume_court": ("string", False),
 }
 NOT_NEGATIVE = ("superficie_m2", "prix_fcfa")
-_OBJECT = r"(?s)^\s*\{.*\}\s*$"
+_OBJECT = r"(?s)^[ \t\r\n]*\{.*\}[ \t\r\n]*$"
 
 
 def _read(raw: Column, kind: str, required: bool, strict: bool) -> tuple[Column, Column]:
@@ -90,8 +90,10 @@ def validate_output(col: Column, strict: bool = False) -> Column:
     accepted: "12", 12.0 and true for an integer, and 0/1 or "yes"/"no" words
     for a boolean.
     """
-    schema = ", ".join(f"{name} VARIANT" for name in FIELDS)
-    whole = F.when(col.rlike(_OBJECT), F.from_json(col, schema))
+    schema = "array<struct<" + ", ".join(f"{name}: VARIANT" for name in FIELDS) + ">>"
+    # As the only element of an array: anything after the object makes a second one, or no JSON.
+    listed = F.from_json(F.concat(F.lit("["), col, F.lit("]")), schema)
+    whole = F.when(col.rlike(_OBJECT), let(listed, lambda found: F.when(F.size(found) == 1, F.element_at(found, 1))))
 
     def typed(answer: Column) -> Column:
         accepted, fields = answer.isNotNull(), []

@@ -17,15 +17,19 @@ SAMPLE_CHARS = 5000
 
 def capture_counts(
     responses: DataFrame, by: Sequence[str] = ("groupe_id", "step"),
-    url_parts: Sequence[str] = tuple(RESPONSE_URL_PARTS),
+    url_parts: Sequence[str] = tuple(RESPONSE_URL_PARTS), posts: DataFrame | None = None,
 ) -> DataFrame:
-    """Responses seen and responses of the wanted kind."""
+    """Responses seen, responses of the wanted kind and, given the posts found, their number."""
     wanted = F.lit(False)
     for part in url_parts:
         wanted = wanted | F.coalesce(F.col("url").contains(part), F.lit(False))
-    return responses.groupBy(*by).agg(
+    counts = responses.groupBy(*by).agg(
         F.count("*").alias("reponses_vues"), F.count_if(wanted).alias("reponses_retenues")
     )
+    if posts is None:
+        return counts
+    found = posts.groupBy(*by).agg(F.count("*").alias("nb_posts"))
+    return counts.join(found, list(by), "full_outer").na.fill(0, ["reponses_vues", "reponses_retenues", "nb_posts"])
 
 
 def oldest_in_step(new_posts: DataFrame, by: Sequence[str] = ("groupe_id", "step")) -> DataFrame:

@@ -1,120 +1,54 @@
-"""Which posts of an ordered capture log a run collects, and where it stops."""
+"""What is new in an ordered capture log, and how it stands to the marker and the window."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adfeed.operators.seen import unseen
 from adfeed.session import cut_lineage
 
-# Stop rules.
-MAX_IDLE_STEPS = 4
-MAX_STEPS = 100
-
 
 @dataclass(frozen=True)
 class Catchup:
-    posts: DataFrame   # groupe_id, id, step, pos, date_publication, featured
-    groups: DataFrame  # groupe_id, stop_step, stop_reason, nb_posts, post_id (the marker to keep)
-
+    posts: DataFrame   # groupe_id, id, step, pos, date_publication, featured, apres_repere, hors_fenetre
+    groups: DataFrame  # groupe_id, nb_posts, plus_ancien, etape_repere, post_id (the marker to keep)
 
-def feed_catchup(
-    captures: DataFrame,
-    seen: DataFrame,
-    markers: DataFrame,
-    cutoff: Column | datetime,
-    max_idle: int = MAX_IDLE_STEPS,
-    max_steps: int = MAX_STEPS,
-) -> Catchup:
-    """Replay the stop rules of a feed on its capture log.
 
-    ``captures``: groupe_id, step, pos, id, date_publication, featured.  A post is
-    new if its id is not in ``seen``, at its first place in the group.  Featured
-    posts come first, are always kept and never stop anything.  A group stops
-    after the first step that shows the marker, else has a dated new post older
-    than the cutoff, else is the ``max_idle``-th without a new post, else is the
-    last allowed.  Steps without captures count; no post is dropped for its age.
+def new_posts(captures: DataFrame, seen: DataFrame, markers: DataFrame, cutoff: Column | datetime) -> Catchup:
+    """Every captured post that is not in ``seen``, at its first place in its group.
 
-    The log is reduced to one row per (group, id) and written once; what follows
-    is at most ``max_steps`` rows per group.
+    ``captures``: groupe_id, step, pos (any value that orders a step), id,
+    date_publication, featured.  Featured posts come first.  Nothing is dropped: that a
+    post lies behind the step which shows the group's marker, or before the cutoff, is
+    said in ``apres_repere`` and ``hors_fenetre``.  The marker to keep is the group's
+    newest unseen post, else the old one.
     """
     limit = cutoff if isinstance(cutoff, Column) else F.lit(cutoff)
-    scrolled = ~F.col("featured")
-    ids = cut_lineage(
-        captures.filter(F.col("featured") | (F.col("step") < max_steps))
-        .groupBy("groupe_id", "id")
-        .agg(
-            F.min(F.when(scrolled, F.struct("step", "pos", "date_publication"))).alias("fil"),
-            F.min(F.when(F.col("featured"), F.struct("pos", "date_publication"))).alias("une"),
-            F.max(F.when(scrolled, F.col("step"))).alias("dernier"),
-        )
-    )
-    new = unseen(ids, seen)
-    new_scrolled = new.filter("une IS NULL")
-
-    none = F.lit(0).cast("bigint")
-    last_step = ids.groupBy("groupe_id").agg(F.coalesce(F.max("dernier"), F.lit(-1)).alias("dernier"))
-    end = F.least(F.col("dernier") + max_idle, F.lit(max_steps - 1))
-    no_date = F.lit(None).cast(captures.schema["date_publication"].dataType)
-    every_step = last_step.select(
-        "groupe_id", F.explode(F.sequence(F.lit(0).cast("bigint"), end.cast("bigint"))).alias("step"),
-        none.alias("nouveaux"), no_date.alias("plus_ancien"), F.lit(False).alias("repere"),
-    )
-    new_by_step = new_scrolled.groupBy("groupe_id", F.col("fil.step").cast("bigint").alias("step")).agg(
-        F.count("*").alias("nouveaux"), F.min("fil.date_publication").alias("plus_ancien"),
-        F.lit(False).alias("repere"),
-    )
-    known_marker = markers.select("groupe_id", F.col("post_id").alias("id"))
-    marker_step = ids.filter("fil IS NOT NULL").join(known_marker, ["groupe_id", "id"]).select(
-        "groupe_id", F.col("fil.step").cast("bigint").alias("step"),
-        none.alias("nouveaux"), no_date.alias("plus_ancien"), F.lit(True).alias("repere"),
-    )
-    steps = (
-        every_step.unionByName(new_by_step).unionByName(marker_step)
-        .groupBy("groupe_id", "step")
-        .agg(F.sum("nouveaux").alias("nouveaux"), F.min("plus_ancien").alias("plus_ancien"), F.max("repere").alias("repere"))
-    )
-    until = Window.partitionBy("groupe_id").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    last_new = F.max(F.when(F.col("nouveaux") > 0, F.col("step"))).over(until)
-    reason = (
-        F.when(F.col("repere"), "marker")
-        .when(F.col("plus_ancien") < limit, "window")
-        .when(F.col("step") - F.coalesce(last_new, F.lit(-1)) >= max_idle, "idle")
-    )
-    stops = (
-        steps.withColumn("raison", reason)
-        .groupBy("groupe_id")
-        .agg(F.min(F.when(F.col("raison").isNotNull(), F.struct("step", "raison"))).alias("arret"))
-        .select(
-            "groupe_id",
-            F.coalesce("arret.step", F.lit(max_steps - 1).cast("bigint")).alias("stop_step"),
-            F.coalesce("arret.raison", F.lit("cap")).alias("stop_reason"),
-        )
-    )
-
-    placed = new.select(
-        "groupe_id", "id", F.col("une").isNotNull().alias("featured"),
-        F.when(F.col("une").isNotNull(), F.lit(-1)).otherwise(F.col("fil.step")).cast("bigint").alias("step"),
-        F.coalesce("une.pos", "fil.pos").cast("bigint").alias("pos"),
-        F.when(F.col("une").isNotNull(), F.col("une.date_publication"))
-        .otherwise(F.col("fil.date_publication")).alias("date_publication"),
-    )
-    posts = placed.join(stops.select("groupe_id", "stop_step"), "groupe_id").filter("step <= stop_step").drop("stop_step")
-
-    kept = posts.groupBy("groupe_id").agg(
-        F.count("*").alias("nb_posts"),
-        F.min(F.when(~F.col("featured"), F.struct("step", "pos", "id"))).alias("_premier"),
+    place = F.struct((~F.col("featured")).alias("fil"), "step", "pos", "date_publication")
+    known = markers.select("groupe_id", F.col("post_id").alias("id"))
+    shown = captures.filter("NOT featured").join(known, ["groupe_id", "id"], "left_semi")
+    at_marker = shown.groupBy("groupe_id").agg(F.min("step").alias("etape_repere"))
+    # One row per (group, id), combined before the shuffle; read by both results.
+    first = cut_lineage(unseen(captures.groupBy("groupe_id", "id").agg(F.min(place).alias("_p")), seen).join(at_marker, "groupe_id", "left"))
+    posts = first.select(
+        "groupe_id", "id", "_p.step", "_p.pos", "_p.date_publication", (~F.col("_p.fil")).alias("featured"),
+        F.coalesce(F.col("_p.fil") & (F.col("_p.step") > F.col("etape_repere")), F.lit(False)).alias("apres_repere"),
+        F.coalesce(F.col("_p.date_publication") < limit, F.lit(False)).alias("hors_fenetre"),
+    )
+    counted = first.groupBy("groupe_id").agg(
+        F.count("*").alias("nb_posts"), F.min(F.when(F.col("_p.fil"), F.col("_p.date_publication"))).alias("plus_ancien"),
+        F.min(F.when(F.col("_p.fil"), F.struct("_p.step", "_p.pos", "id"))).alias("_premier"),
     )
     groups = (
-        stops.join(kept, "groupe_id", "left")
+        captures.select("groupe_id").distinct().join(counted, "groupe_id", "left").join(at_marker, "groupe_id", "left")
         .join(markers, "groupe_id", "left")
         .select(
-            "groupe_id", "stop_step", "stop_reason", F.coalesce("nb_posts", F.lit(0)).alias("nb_posts"),
+            "groupe_id", F.coalesce("nb_posts", F.lit(0)).alias("nb_posts"), "plus_ancien", "etape_repere",
             F.coalesce("_premier.id", "post_id").alias("post_id"),
         )
     )
-    return Catchup(posts.select("groupe_id", "id", "step", "pos", "date_publication", "featured"), groups)
+    return Catchup(posts, groups)

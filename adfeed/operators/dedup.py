@@ -32,8 +32,11 @@ def dedup_last(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     The order columns of the result hold the first position, so sorting by them
     gives the order a keyed dictionary would have after the same inserts.
     """
-    position = F.struct(*order)
+    order = [c for c in order if c != key]
     values = [c for c in df.columns if c != key and c not in order]
+    if not order:  # the key alone orders nothing: the largest row, whatever the input's order
+        return df.groupBy(key).agg(F.max(F.struct(*values)).alias("_valeurs")).select(key, "_valeurs.*").select(*df.columns)
+    position = F.struct(*order)
     grouped = df.groupBy(key).agg(
         F.max_by(F.struct(*values), position).alias("_valeurs"), F.min(position).alias("_place")
     )

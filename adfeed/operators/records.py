@@ -8,10 +8,13 @@ deduplication and all typing stay native.
 
 from __future__ import annotations
 
+import itertools
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from json.decoder import scanstring
 from typing import Any
 
 import pandas as pd
@@ -36,7 +39,7 @@ class RecordSpec:
     url_parts: tuple[str, ...] = ("/posts/", "/permalink/")
     time_key: str = "creation_time"
     min_time: int = 1_000_000_000
-    max_depth: int = 12
+    max_depth: int | None = None  # levels below a record that are searched for its fields
 
 
 def _children(node: Any) -> list:
@@ -57,7 +60,7 @@ def _fields(record: dict, spec: RecordSpec) -> tuple[str | None, str | None, Any
     """(text, url, time) nearest to the record, searched level by level."""
     text = url = time = None
     level = [record]
-    for _ in range(spec.max_depth + 1):
+    for depth in itertools.count():
         for node in level:
             if not isinstance(node, dict):
                 continue
@@ -75,7 +78,7 @@ def _fields(record: dict, spec: RecordSpec) -> tuple[str | None, str | None, Any
                 if isinstance(value, (int, float)) and not isinstance(value, bool) and value > spec.min_time:
                     time = value
         level = [child for node in level for child in _children(node)]
-        if not level or None not in (text, url, time):
+        if not level or None not in (text, url, time) or depth == spec.max_depth:
             break
     return text, url, time
 
@@ -85,11 +88,89 @@ def _plain(value: str | None) -> str | None:
     return value and value.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
+_SPACE = re.compile(r"[ \t\n\r]*")
+_NUMBER = re.compile(r"-?(?:0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?")
+_WORDS = {"null": None, "true": True, "false": False, "NaN": float("nan"), "Infinity": float("inf"), "-Infinity": float("-inf")}
+
+
+def parse_deep(text: str) -> Any:
+    """A JSON text of any depth; open lists and objects stand on a list instead of the call stack.
+
+    Raises ValueError like ``json.loads``, which is faster but ends at some depth.
+    """
+    root: list = []
+    open_nodes: list[tuple[Any, str | None]] = [(root, None)]  # node, key that waits for its value
+    at, size, need_value = _SPACE.match(text).end(), len(text), True
+    while True:
+        node, key = open_nodes[-1]
+        if need_value:
+            char = text[at : at + 1]
+            if char and char in "]}" and not node and len(open_nodes) > 1 and key is None:
+                need_value = False  # an empty list or object ends here
+                continue
+            if isinstance(node, dict) and key is None:
+                if char != '"':
+                    raise ValueError(f"key expected at {at}")
+                name, at = scanstring(text, at + 1, True)
+                at = _SPACE.match(text, at).end()
+                if text[at : at + 1] != ":":
+                    raise ValueError(f"colon expected at {at}")
+                open_nodes[-1] = (node, name)
+                at = _SPACE.match(text, at + 1).end()
+                continue
+            number = _NUMBER.match(text, at)
+            word = next((w for w in _WORDS if text.startswith(w, at)), None)
+            opened = None
+            if char == '"':
+                value, at = scanstring(text, at + 1, True)
+            elif char and char in "[{":
+                value = opened = [] if char == "[" else {}
+                at += 1
+            elif word:
+                value, at = _WORDS[word], at + len(word)
+            elif number:
+                value = float(number[0]) if number[1] or number[2] else int(number[0])
+                at = number.end()
+            else:
+                raise ValueError(f"value expected at {at}")
+            if isinstance(node, dict):
+                node[key] = value
+                open_nodes[-1] = (node, None)
+            else:
+                node.append(value)
+            at = _SPACE.match(text, at).end()
+            if opened is not None:
+                open_nodes.append((opened, None))
+                continue
+            need_value = False
+        elif len(open_nodes) == 1:
+            if at < size:
+                raise ValueError(f"text after the value at {at}")
+            return root[0]
+        elif text[at : at + 1] == ",":
+            at, need_value = _SPACE.match(text, at + 1).end(), True
+            if text[at : at + 1] in ("]", "}"):
+                raise ValueError(f"value expected at {at}")
+        elif text[at : at + 1] == ("}" if isinstance(node, dict) else "]"):
+            open_nodes.pop()
+            at = _SPACE.match(text, at + 1).end()
+        else:
+            raise ValueError(f"comma or end expected at {at}")
+
+
+def parse_json(text: str) -> Any:
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return parse_deep(text)
+
+
 def find_records(payload: Any, spec: RecordSpec = RecordSpec()) -> list[dict]:
     """Records of a parsed JSON value in document order, each id once.
 
     A record with a text is taken whole; one without is searched for inner
-    records.  The walk keeps its own stack, so depth is no limit.
+    records.  The walk keeps its own stack, so depth is no limit; fields are searched to
+    any depth too, unless the spec says otherwise.
     """
     found, known, stack = [], set(), [payload]
     while stack:
@@ -117,8 +198,8 @@ def records_column(col: Column, spec: RecordSpec = RecordSpec()) -> Column:
     def walk(texts: pd.Series) -> pd.Series:
         def one(text: str | None) -> list[dict] | None:
             try:
-                return None if text is None else find_records(json.loads(text), spec)
-            except (ValueError, RecursionError):
+                return None if text is None else find_records(parse_json(text), spec)
+            except ValueError:
                 return None
 
         return texts.map(one)

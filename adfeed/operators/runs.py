@@ -18,19 +18,17 @@ LOW_RATIO = 0.3
 
 
 def densify_days(counts: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:
-    """Every key on every day between the first and the last one, absent days as 0.
+    """Every key on every day from its own first one to the last of all, absent days as 0.
 
-    A day without results is the signal drift detection looks for, so it has to
-    be a row.  Days come from a generator per key, not from a join.  ``counts``
-    is one row per key and day; it is written once, as it is read three times.
-    Every key ends up with the same number of rows, so no window over the result
-    is skewed.
+    A day without results is the signal drift detection looks for, so it has to be a
+    row; days before a key's first are none.  Days come from a generator per key, not
+    from a join.  ``counts`` is one row per key and day; it is written once, as it is
+    read twice.
     """
     counts = cut_lineage(counts)
-    bounds = counts.agg(F.min(day).alias("debut"), F.max(day).alias("fin"))
-    span = F.sequence(bounds.select("debut").scalar(), bounds.select("fin").scalar())
-    zeros = counts.select(*keys).distinct().select(
-        *keys, F.explode(span).alias(day), F.lit(0).cast("bigint").alias(value)
+    end = counts.agg(F.max(day).alias("fin")).select("fin").scalar()
+    zeros = counts.groupBy(*keys).agg(F.min(day).alias("_debut")).select(
+        *keys, F.explode(F.sequence("_debut", end)).alias(day), F.lit(0).cast("bigint").alias(value)
     )
     return counts.select(*keys, day, value).unionByName(zeros).groupBy(*keys, day).agg(
         F.sum(value).alias(value)

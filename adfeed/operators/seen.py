@@ -16,16 +16,24 @@ def unseen(posts: DataFrame, seen: DataFrame, key: str = "id") -> DataFrame:
     return posts.join(seen.select(key), key, "left_anti")
 
 
+def seen_at() -> Column:
+    """When an id was first seen; NULL for an unreadable date."""
+    return F.when(F.col("vu_le_raw").rlike(ISO_DATE), F.col("vu_le_raw").try_cast("timestamp"))
+
+
+def first_sightings(posts: DataFrame) -> DataFrame:
+    """id, vu_le_raw: the earliest capture of each id."""
+    return posts.groupBy("id").agg(F.min("scrape_le").alias("vu_le_raw"))
+
+
 def retain(seen: DataFrame, now: Column | datetime, days: int = RETENTION_DAYS) -> DataFrame:
     """Drop ids first seen more than ``days`` ago; an unreadable date is kept."""
     at = now if isinstance(now, Column) else F.lit(now)
-    seen_at = F.when(F.col("vu_le_raw").rlike(ISO_DATE), F.col("vu_le_raw").try_cast("timestamp"))
-    return seen.filter(seen_at.isNull() | (seen_at >= at - F.expr(f"INTERVAL {days} DAYS")))
+    return seen.filter(seen_at().isNull() | (seen_at() >= at - F.expr(f"INTERVAL {days} DAYS")))
 
 
 def next_seen(
     seen: DataFrame, new_posts: DataFrame, now: Column | datetime, days: int = RETENTION_DAYS
 ) -> DataFrame:
     """The seen state after a run: old entries stay as they are, new ids join them."""
-    added = new_posts.groupBy("id").agg(F.min("scrape_le").alias("vu_le_raw"))
-    return retain(seen.unionByName(unseen(added, seen)), now, days)
+    return retain(seen.unionByName(unseen(first_sightings(new_posts), seen)), now, days)

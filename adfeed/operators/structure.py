@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adfeed.functions.checks import unknown_value
 from adfeed.functions.model_output import validate_output
 from adfeed.functions.vocab import DOCUMENT_STATUSES, ZONES, canonicalise
 from adfeed.operators.dedup import text_key
@@ -51,8 +52,9 @@ def call_extractor(
         except Permanent:
             return None
         except (RateLimited, Transient) as fault:
-            jitter = random.uniform(0, 1) if isinstance(fault, RateLimited) else 0.0
-            sleep(backoff_s * 2**attempt + jitter)
+            if attempt + 1 < max_tries:
+                jitter = random.uniform(0, 1) if isinstance(fault, RateLimited) else 0.0
+                sleep(backoff_s * 2**attempt + jitter)
     return None
 
 
@@ -114,8 +116,8 @@ def route(
 ) -> DataFrame:
     """Typed fields and ``motif_rejet`` (NULL for a valid ad) from the raw answers.
 
-    Fields of the answer replace fields of the post.  Zone and status are
-    canonicalised on valid ads only; an ad judged invalid keeps its fields as
+    Fields of the answer replace fields of the post; ``type_bien_inconnu`` flags a type
+    outside the closed list.  Zone and status are canonicalised on valid ads only; an ad judged invalid keeps its fields as
     answered, a failed one has none.
     """
     raw = F.col(answer) if isinstance(answer, str) else answer
@@ -130,7 +132,9 @@ def route(
 
     kept = [c for c in answered.columns if c not in names and c != answer]
     reason = F.when(F.col("_s").isNull(), FAILED).when(~valid, JUDGED_INVALID)
-    return read.select(*kept, *[field(n).alias(n) for n in names], reason.alias("motif_rejet"))
+    kept = [c for c in kept if c != "type_bien_inconnu"]
+    unknown = F.when(F.col("_s").isNotNull(), unknown_value(F.col("_s.type_bien"))).alias("type_bien_inconnu")
+    return read.select(*kept, *[field(n).alias(n) for n in names], unknown, reason.alias("motif_rejet"))
 
 
 def valid_ads(routed: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from adfeed.functions.capture import OK, capture_status
 from adfeed.functions.extract import rule_extract
 from adfeed.functions.rules import LAND_RULES, RuleSet
 from adfeed.functions.text import iso_text
-from adfeed.operators.catchup import Catchup, feed_catchup
+from adfeed.operators.catchup import Catchup, new_posts
+from adfeed.operators.dedup import text_duplicates
 from adfeed.operators.filtering import candidates, funnel, rejects, tag_posts
 from adfeed.operators.records import body_records, page_records, with_group
 from adfeed.operators.runs import check_drift, run_row, run_summary
@@ -35,10 +36,12 @@ def _held(one_row: DataFrame) -> DataFrame:
     return one_row.sparkSession.createDataFrame(one_row.collect(), one_row.schema)
 
 
-def rules_only_run(posts: DataFrame, out: str, order: Sequence[str], rules: RuleSet = LAND_RULES) -> DataFrame:
+def rules_only_run(
+    posts: DataFrame, out: str, order: Sequence[str], rules: RuleSet = LAND_RULES, contacts: str = "masked"
+) -> DataFrame:
     """Filter, export the candidates, return them. No structuring, no run row, no upsert."""
     found = candidates(tag_posts(posts, rules), order)
-    export_candidates(found, f"{out}/candidats_sans_llm")
+    export_candidates(found, f"{out}/candidats_sans_llm", contacts=contacts)
     return found
 
 
@@ -63,10 +66,14 @@ def full_run(
     rules: RuleSet = LAND_RULES,
     contacts: str = "masked",
     strict: bool = False,
+    issues: DataFrame | None = None,
     **calls,
 ) -> DataFrame:
     """Filter, structure, upsert, export, watch the volume; returns the one-row summary.
 
+    Rejects, text copies (``doublons``) and, given as ``issues``, what the reader could
+    not read (``illisibles``) are listed beside the exports.
+
     Without an extractor the rule-based one fills the fields.  Every step that
     has several readers is written first.  The extractor's answers are kept in
     ``out``: a run started again with the same places does not ask twice.
@@ -88,10 +95,13 @@ def full_run(
     counts = _held(_one_row(by_all))
     drift = _held(check_drift(load_runs(spark, places.runs), counts.first()["nb_valides"], mode))
 
-    upsert_master(valid, places.master, now)
+    upsert_master(valid, places.master, now, order)
     export_master(load_master(spark, places.master), places.consult, contacts=contacts)
     export_ads(valid, f"{places.out}/annonces", contacts=contacts)
-    write_rejects(rejects(tagged), invalid_posts(routed), f"{places.out}/rejetes")
+    write_rejects(rejects(tagged), invalid_posts(routed), f"{places.out}/rejetes", contacts=contacts)
+    text_duplicates(tagged.filter("motif_rejet IS NULL"), order).write.mode("overwrite").json(f"{places.out}/doublons")
+    if issues is not None:
+        issues.write.mode("overwrite").json(f"{places.out}/illisibles")
     log_run(run_row(counts, now, mode), places.runs)
     return run_summary(counts, drift, places.master)
 
@@ -102,61 +112,54 @@ def _one_row(counts: DataFrame) -> DataFrame:
     return counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
-# Places of a record inside its capture, packed into one number.
-_PLACE = 100_000
-
+def captures_of(pages: DataFrame, responses: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+    """Post records of stored captures with their place in the feed, and the captures left out.
 
-def captures_of(pages: DataFrame, responses: DataFrame, now: datetime) -> DataFrame:
-    """Post records of stored captures, written once, with their place in the feed.
-
-    ``pages``: groupe_id, url, html, the first page of each group; bad captures
-    are left out.  ``responses``: groupe_id, step, response_pos, body.
+    ``pages``: groupe_id, url, html, the first page of each group.  ``responses``:
+    groupe_id, step, response_pos, body.  Bad pages are listed with their status.
+    Records are written once; ``pos`` is an array of positions, from coarse to fine.
     """
-    good = pages.filter(capture_status(F.col("url"), F.col("html")) == OK).select("groupe_id", "html")
+    judged = pages.withColumn("statut", capture_status(F.col("url"), F.col("html")))
     fields = ["id", "url", "texte", "date_publication", "date_incertaine", "scrape_le"]
-    featured = page_records(good, ["groupe_id"], now).select(
-        "groupe_id", F.lit(None).cast("bigint").alias("step"),
-        (F.col("blob_pos").cast("bigint") * _PLACE + F.col("rec_pos")).alias("pos"), F.lit(True).alias("featured"), *fields,
+
+    def positions(*names: str):
+        return F.array(*[F.col(n).cast("bigint") for n in names]).alias("pos")
+
+    featured = page_records(judged.filter(F.col("statut") == OK).select("groupe_id", "html"), ["groupe_id"], now).select(
+        "groupe_id", F.lit(None).cast("bigint").alias("step"), positions("blob_pos", "rec_pos"), F.lit(True).alias("featured"), *fields
     )
-    place = (F.col("response_pos").cast("bigint") * _PLACE + F.col("doc_pos")) * _PLACE + F.col("rec_pos")
     scrolled = body_records(responses, ["groupe_id", "step", "response_pos"], now).select(
-        "groupe_id", F.col("step").cast("bigint").alias("step"), place.alias("pos"), F.lit(False).alias("featured"), *fields
+        "groupe_id", F.col("step").cast("bigint").alias("step"), positions("response_pos", "doc_pos", "rec_pos"), F.lit(False).alias("featured"), *fields
     )
-    return cut_lineage(featured.unionByName(scrolled))
+    return cut_lineage(featured.unionByName(scrolled)), judged.filter(F.col("statut") != OK).select("groupe_id", "url", "statut")
 
 
 def collect_posts(
     pages: DataFrame, responses: DataFrame, groups: DataFrame, seen_path: str, marker_path: str, raw_path: str,
-    cutoff: datetime, now: datetime,
+    cutoff: datetime, now: datetime, audit_path: str | None = None,
 ) -> Catchup:
-    """From stored captures to new raw posts: find records, stop where the feed is known, keep state.
+    """From stored captures to new raw posts: find records, keep every unseen post, keep state.
 
-    Appends the new posts to ``raw_path`` and returns what was collected; the raw
-    posts are written before the state, so a failure in between loses nothing.
+    Appends the new posts to ``raw_path`` and pages that were left out to ``audit_path``,
+    and returns what was collected; the raw posts are written before the state, so a
+    failure in between loses nothing.
     """
-    captures = captures_of(pages, responses, now)
+    captures, left_out = captures_of(pages, responses, now)
     spark = captures.sparkSession
-    result = feed_catchup(captures, load_seen(spark, seen_path), load_markers(spark, marker_path), cutoff)
-    chosen = cut_lineage(result.posts.select("groupe_id", "id", "step", "pos", "featured"))
-    placed = captures.withColumn("step", F.when(F.col("featured"), F.lit(-1)).otherwise(F.col("step")).cast("bigint"))
-    posts = with_group(placed.join(chosen, ["groupe_id", "id", "step", "pos", "featured"], "left_semi"), groups)
+    result = new_posts(captures, load_seen(spark, seen_path), load_markers(spark, marker_path), cutoff)
+    chosen = cut_lineage(result.posts.select("groupe_id", "id", F.col("step").alias("_etape"), F.col("pos").alias("_place"), "featured"))
+    same = [captures["groupe_id"] == chosen["groupe_id"], captures["id"] == chosen["id"], captures["featured"] == chosen["featured"],
+            captures["step"].eqNullSafe(chosen["_etape"]), captures["pos"] == chosen["_place"]]
+    posts = with_group(captures.join(chosen, same, "left_semi"), groups)
+    step = F.array(F.when(F.col("featured"), F.lit(-1)).otherwise(F.col("step")).cast("bigint"))
     raw = posts.select(
         "id", "groupe_id", "groupe_nom", "url", "texte", iso_text(F.col("date_publication")).alias("date_publication"),
-        "date_incertaine", "scrape_le", (F.col("step") * _PLACE**3 + F.col("pos")).alias("_pos"),
+        "date_incertaine", "scrape_le", F.concat(step, "pos").alias("_pos"),
     )
     append_raw(raw, raw_path, now.strftime("%Y%m%dT%H%M%SZ"))
+    if audit_path:
+        left_out.withColumn("releve_le", F.lit(now)).write.mode("append").parquet(audit_path)
     markers = cut_lineage(result.groups.select("groupe_id", "post_id"))
     save_seen(chosen.select("id", F.lit(now.isoformat()).alias("scrape_le")), seen_path, now)
     save_markers(markers, marker_path)
     return result
-
-
-def collect_run(
-    captures: DataFrame, seen_path: str, marker_path: str, cutoff: datetime, now: datetime
-) -> Catchup:
-    """New posts of a capture log against the kept state, and the state after it."""
-    spark = captures.sparkSession
-    result = feed_catchup(captures, load_seen(spark, seen_path), load_markers(spark, marker_path), cutoff)
-    save_seen(result.posts.select("id", F.lit(now.isoformat()).alias("scrape_le")), seen_path, now)
-    save_markers(result.groups.select("groupe_id", "post_id"), marker_path)
-    return result

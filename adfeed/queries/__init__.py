@@ -29,6 +29,7 @@ MAY_BE_NULL = {
     "relative_dates": ["date_us"],
     "epoch_dates": ["date_us"],
     "feed_catchup_posts": ["date_us"],
+    "feed_catchup_groups": ["plus_ancien_us"],
     "oldest_in_step": ["plus_ancien_us"],
     "rejects_audit": ["n_texte"],
 }

@@ -1,4 +1,4 @@
-"""Record discovery, dates and feed replay on pages, conversations and events."""
+"""Record discovery, dates and new posts on pages, conversations and events."""
 
 from __future__ import annotations
 
@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from adfeed.functions.dates import MONTHS, epoch_ts, parse_relative_ts, window_cutoff
 from adfeed.functions.text import body_documents
 from adfeed.operators.captures import capture_counts, empty_group_samples, oldest_in_step
-from adfeed.operators.catchup import Catchup, feed_catchup
+from adfeed.operators.catchup import Catchup, new_posts
 from adfeed.operators.records import body_records, html_blobs, page_records, with_group
-from adfeed.queries.base import events, table, texts
+from adfeed.queries.base import events, table
 from adfeed.session import with_computed
 
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -21,7 +21,7 @@ BASE_TIME = 1_700_000_000
 
 def html_blobs_query(spark, folder):
     """Two scripts per page hold the page's own text and address; a third has another type."""
-    pages = texts(spark, folder, "pages").select(
+    pages = table(spark, folder, "pages").select(
         "page_id",
         F.concat(
             "html", F.lit('<script type="application/json" data-x>'), F.replace("html", F.lit("<"), F.lit("(")),
@@ -64,7 +64,7 @@ def _pages_with_records(spark, folder) -> DataFrame:
     )
     start, end = F.lit('<script type="application/json">'), F.lit("</script>")
     html = F.concat("html", start, F.to_json(nested), end, start, F.lit('{"a": oops'), end, start, F.to_json(several), end)
-    pages = with_computed(texts(spark, folder, "pages"), "complet", html)
+    pages = with_computed(table(spark, folder, "pages"), "complet", html)
     return pages.select("page_id", "url", F.col("complet").alias("html"))
 
 
@@ -86,7 +86,7 @@ def _responses(spark, folder) -> DataFrame:
     one = record("u", F.col("text"))
     several = F.concat(record("v", F.col("text")), F.lit("\r\n{broken\n\n  "), record("w", F.col("role")))
     body = F.concat(F.lit("for (;;);"), F.when(F.col("role") == "user", one).otherwise(several))
-    turns = texts(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return with_computed(turns, "body", body).select("conv_id", "turn", F.col("role").alias("groupe_id"), "body")
 
 
@@ -159,17 +159,21 @@ def _catchup(spark, folder) -> Catchup:
         captures.filter((F.col("groupe_id") == "click") & (F.col("date_publication") < F.lit(NOW - timedelta(days=2))))
         .groupBy("groupe_id").agg(F.max_by("id", "date_publication").alias("post_id"))
     )
-    return feed_catchup(captures, seen, markers, window_cutoff(NOW, days_back=3))
+    return new_posts(captures, seen, markers, window_cutoff(NOW, days_back=3))
 
 
 def feed_catchup_posts(spark, folder):
     return _catchup(spark, folder).posts.select(
-        "groupe_id", "id", "step", "pos", F.col("featured").cast("int").alias("featured"), F.unix_micros("date_publication").alias("date_us")
+        "groupe_id", "id", F.coalesce("step", F.lit(-1)).alias("step"), "pos", F.col("featured").cast("int").alias("featured"),
+        F.unix_micros("date_publication").alias("date_us"), F.col("apres_repere").cast("int").alias("apres_repere"),
+        F.col("hors_fenetre").cast("int").alias("hors_fenetre"),
     )
 
 
 def feed_catchup_groups(spark, folder):
-    return _catchup(spark, folder).groups
+    return _catchup(spark, folder).groups.select(
+        "groupe_id", "nb_posts", F.unix_micros("plus_ancien").alias("plus_ancien_us"), F.coalesce("etape_repere", F.lit(-1)).alias("etape_repere"), "post_id"
+    )
 
 
 def oldest_in_step_query(spark, folder):
@@ -178,8 +182,10 @@ def oldest_in_step_query(spark, folder):
 
 
 def capture_counts_query(spark, folder):
-    responses = table(spark, folder, "pages").select(F.regexp_extract("url", "/(fr|de|en|es)/", 1).alias("groupe_id"), "url")
-    return capture_counts(responses, ["groupe_id"], ["?page="])
+    """A step for every tenth page number; the pages of one language stand for those with posts."""
+    step = F.floor(F.col("page_id") / 10).alias("step")
+    pages = table(spark, folder, "pages").select(F.regexp_extract("url", "/(fr|de|en|es)/", 1).alias("groupe_id"), step, "url", "page_id")
+    return capture_counts(pages, ["groupe_id", "step"], ["?page="], pages.filter("page_id % 3 = 0"))
 
 
 def empty_group_samples_query(spark, folder):
@@ -225,27 +231,14 @@ _FEED_SQL = """
     marker AS (
         SELECT groupe_id, arg_max(id, d) AS post_id FROM captures
         WHERE groupe_id = 'click' AND d < TIMESTAMP '2024-01-31' - INTERVAL 2 DAY GROUP BY 1),
-    fresh AS (SELECT * FROM captures WHERE id NOT IN (SELECT user_id::VARCHAR FROM events WHERE user_id < 75)),
-    featured AS (SELECT groupe_id, id, -1::BIGINT AS step, pos, d, 1 AS featured FROM fresh WHERE featured
-        QUALIFY row_number() OVER (PARTITION BY groupe_id, id ORDER BY pos) = 1),
-    scrolled AS (SELECT groupe_id, id, step, pos, d, 0 AS featured FROM fresh f WHERE NOT featured AND step < 100
-            AND NOT EXISTS (SELECT 1 FROM featured x WHERE x.groupe_id = f.groupe_id AND x.id = f.id)
-        QUALIFY row_number() OVER (PARTITION BY groupe_id, id ORDER BY step, pos) = 1),
-    steps AS (
-        SELECT g.groupe_id, s.step, count(n.id) AS nouveaux, min(n.d) AS plus_ancien,
-            EXISTS (SELECT 1 FROM captures c JOIN marker k ON k.groupe_id = c.groupe_id AND k.post_id = c.id
-                WHERE c.groupe_id = g.groupe_id AND c.step = s.step AND NOT c.featured) AS repere
-        FROM (SELECT DISTINCT groupe_id FROM captures) g CROSS JOIN (SELECT unnest(range(100)) AS step) s
-        LEFT JOIN scrolled n ON n.groupe_id = g.groupe_id AND n.step = s.step GROUP BY 1, 2),
-    flagged AS (
-        SELECT *, CASE WHEN repere THEN 'marker' WHEN plus_ancien < TIMESTAMP '2024-01-31' - INTERVAL 3 DAY THEN 'window'
-            WHEN step - coalesce(max(CASE WHEN nouveaux > 0 THEN step END) OVER (PARTITION BY groupe_id ORDER BY step), -1) >= 4 THEN 'idle' END AS raison
-        FROM steps),
-    stops AS (
-        SELECT groupe_id, coalesce(min(step) FILTER (raison IS NOT NULL), 99) AS stop_step,
-            coalesce(arg_min(raison, step) FILTER (raison IS NOT NULL), 'cap') AS stop_reason FROM flagged GROUP BY 1),
+    shown AS (SELECT groupe_id, min(step) AS etape FROM captures JOIN marker USING (groupe_id) WHERE id = post_id AND NOT featured GROUP BY 1),
+    fresh AS (
+        SELECT * FROM captures WHERE id NOT IN (SELECT user_id::VARCHAR FROM events WHERE user_id < 75)
+        QUALIFY row_number() OVER (PARTITION BY groupe_id, id ORDER BY featured DESC, CASE WHEN featured THEN 0 ELSE step END, pos) = 1),
     posts AS (
-        SELECT p.* FROM (SELECT * FROM featured UNION ALL SELECT * FROM scrolled) p JOIN stops s USING (groupe_id) WHERE p.step <= s.stop_step)
+        SELECT groupe_id, id, CASE WHEN featured THEN -1 ELSE step END AS step, pos, d, featured,
+            coalesce(NOT featured AND step > etape, false) AS apres_repere, coalesce(d < TIMESTAMP '2024-01-31' - INTERVAL 3 DAY, false) AS hors_fenetre
+        FROM fresh LEFT JOIN shown USING (groupe_id))
 """
 
 ORACLE = {
@@ -275,13 +268,16 @@ ORACLE = {
         FROM (SELECT *, json_extract_string(props, '$.k')::INT AS k, {_MONTH_CASE} AS m FROM events)""",
     "epoch_dates": """SELECT event_id, CASE event_type WHEN 'click' THEN epoch_us(ts) WHEN 'view' THEN epoch_us(date_trunc('second', ts)) END AS date_us,
             (event_type NOT IN ('click', 'view'))::INT AS date_incertaine FROM events""",
-    "feed_catchup_posts": f"{_FEED_SQL} SELECT groupe_id, id, step, pos, featured, epoch_us(d) AS date_us FROM posts",
-    "feed_catchup_groups": f"""{_FEED_SQL} SELECT s.groupe_id, s.stop_step, s.stop_reason, coalesce(p.nb, 0) AS nb_posts, coalesce(p.premier, k.post_id) AS post_id
-        FROM stops s LEFT JOIN (SELECT groupe_id, count(*) AS nb, arg_min(id, step * 1000000000000 + pos) FILTER (featured = 0) AS premier
-            FROM posts GROUP BY 1) p USING (groupe_id) LEFT JOIN marker k USING (groupe_id)""",
+    "feed_catchup_posts": f"""{_FEED_SQL} SELECT groupe_id, id, step, pos, featured::INT AS featured, epoch_us(d) AS date_us,
+            apres_repere::INT AS apres_repere, hors_fenetre::INT AS hors_fenetre FROM posts""",
+    "feed_catchup_groups": f"""{_FEED_SQL} SELECT g.groupe_id, coalesce(p.nb, 0) AS nb_posts, epoch_us(p.ancien) AS plus_ancien_us,
+            coalesce(s.etape, -1) AS etape_repere, coalesce(p.premier, k.post_id) AS post_id
+        FROM (SELECT DISTINCT groupe_id FROM captures) g LEFT JOIN (SELECT groupe_id, count(*) AS nb, min(d) FILTER (NOT featured) AS ancien,
+            arg_min(id, step * 1000000000000 + pos) FILTER (NOT featured) AS premier FROM posts GROUP BY 1) p USING (groupe_id)
+        LEFT JOIN shown s USING (groupe_id) LEFT JOIN marker k USING (groupe_id)""",
     "oldest_in_step": f"""{_FEED_SQL} SELECT groupe_id, step, epoch_us(min(d)) AS plus_ancien_us FROM captures WHERE NOT featured GROUP BY 1, 2""",
-    "capture_counts": """SELECT regexp_extract(url, '/(fr|de|en|es)/', 1) AS groupe_id, count(*) AS reponses_vues,
-            count(*) FILTER (contains(url, '?page=')) AS reponses_retenues FROM pages GROUP BY 1""",
+    "capture_counts": """SELECT regexp_extract(url, '/(fr|de|en|es)/', 1) AS groupe_id, page_id // 10 AS step, count(*) AS reponses_vues,
+            count(*) FILTER (contains(url, '?page=')) AS reponses_retenues, count(*) FILTER (page_id % 3 = 0) AS nb_posts FROM pages GROUP BY 1, 2""",
     "empty_group_samples": """SELECT role AS groupe_id, rang, '/api/' AS url, substring(text, 1, 120) AS corps_tronque
         FROM (SELECT *, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS rang FROM conversations WHERE role <> 'user') WHERE rang <= 3""",
 }

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from adfeed.operators.filtering import rejects, tag_posts
 from adfeed.operators.structure import invalid_posts, route, valid_ads
 from adfeed.plans.runs import Places, collect_posts, full_run, rules_only_run
-from adfeed.queries.base import TEST_RULES, documents, events, sql_search, sql_words, table, texts
+from adfeed.queries.base import TEST_RULES, documents, events, sql_search, sql_words, table
 from adfeed.queries.collection import BASE_TIME, _pages_with_records, _responses
 from adfeed.queries.filtering import TAGGED, _KEPT
 from adfeed.queries.runs import HEALTH_SQL, health_runs
@@ -23,7 +23,7 @@ from adfeed.sinks.tables import append_raw, upsert_master
 from adfeed.sources.groups import load_groups
 from adfeed.sources.posts import file_issues, load_raw_table, merge_posts, parse_post_files
 from adfeed.sources.state import load_health, load_master
-from adfeed.streaming.ingest import first_of_each_id, read_new_files, score_stream, upsert_stream
+from adfeed.streaming.ingest import first_post_stream, read_new_files, score_stream, upsert_stream
 
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
 LATER = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -54,7 +54,7 @@ def _post_files(spark, folder) -> DataFrame:
 
     array = F.to_json(F.transform(F.split("text", "\n"), post))
     value = F.when(F.col("lang") == "de", F.expr("left(a, length(a) - 1)")).otherwise(F.col("a"))
-    rows = texts(spark, folder, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("_file"), "lang", array.alias("a"))
+    rows = table(spark, folder, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("_file"), "lang", array.alias("a"))
     return rows.select("_file", value.alias("value"))
 
 
@@ -73,7 +73,7 @@ def raw_append_read(spark, folder):
     posts = table(spark, folder, "conversations").select(
         F.col("conv_id").cast("string").alias("id"), F.col("role").alias("groupe_id"), F.lit("").alias("groupe_nom"),
         F.lit(None).cast("string").alias("url"), F.col("text").alias("texte"), F.lit(None).cast("string").alias("date_publication"),
-        F.lit(True).alias("date_incertaine"), F.lit("").alias("scrape_le"), F.col("turn").alias("_pos"),
+        F.lit(True).alias("date_incertaine"), F.lit("").alias("scrape_le"), F.array("turn").alias("_pos"),
     )
     append_raw(posts.filter("groupe_id <> 'assistant'"), path, "20240101T000000Z")
     append_raw(posts.filter("groupe_id = 'assistant'"), path, "20240102T000000Z")
@@ -113,8 +113,8 @@ def export_master_csv(spark, folder):
     """Two upserts into the master, then its consultation copy."""
     path = work_folder(spark, "maitre")
     ads = _ads(spark, folder)
-    upsert_master(ads.filter("type_bien = 'villa'"), f"{path}/t", NOW)
-    upsert_master(ads.filter("prix_fcfa < 50 OR prix_fcfa > 5000000000"), f"{path}/t", LATER)
+    upsert_master(ads.filter("type_bien = 'villa'"), f"{path}/t", NOW, ["id"])
+    upsert_master(ads.filter("prix_fcfa < 50 OR prix_fcfa > 5000000000 OR prix_fcfa IS NULL OR type_bien <> 'villa'"), f"{path}/t", LATER, ["id"])
     export_master(load_master(spark, f"{path}/t"), f"{path}/vue")
     return _read_csv(spark, f"{path}/vue", MASTER.fieldNames()).select("id", "date_incertaine", "prix_fcfa", "premiere_collecte", "derniere_maj")
 
@@ -123,7 +123,7 @@ def rejects_audit(spark, folder):
     path = work_folder(spark, "rejets")
     level1 = rejects(tag_posts(documents(spark, folder), TEST_RULES)).select(F.col("id").cast("string").alias("id"), "motif_rejet", "texte")
     level2 = invalid_posts(route(_answers(spark, folder))).select(F.col("event_id").cast("string").alias("id"), "motif_rejet", "type_bien")
-    write_rejects(level1, level2, path)
+    write_rejects(level1, level2, path, contacts="raw")
     back = spark.read.schema("id STRING, texte STRING, type_bien STRING, motif_rejet STRING").json(path)
     return back.groupBy("motif_rejet").agg(
         F.count("*").alias("nb"), F.sum(F.length("texte")).alias("n_texte"), F.count("type_bien").alias("nb_types")
@@ -133,7 +133,7 @@ def rejects_audit(spark, folder):
 def rules_only_candidates(spark, folder):
     path = work_folder(spark, "candidats")
     posts = documents(spark, folder).withColumn("id", F.lpad(F.col("id").cast("string"), 12, "0"))
-    rules_only_run(posts, path, ["id"], TEST_RULES)
+    rules_only_run(posts, path, ["id"], TEST_RULES, contacts="raw")
     return _read_csv(spark, f"{path}/candidats_sans_llm", CANDIDATE_COLUMNS).select("id", "texte_nettoye")
 
 
@@ -164,34 +164,40 @@ def collect_posts_query(spark, folder):
     return load_raw_table(spark, f"{path}/brut").select("id", "groupe_id", "groupe_nom", "url", "texte", "date_publication")
 
 
-def _event_files(spark, folder, path: str) -> DataFrame:
-    """Events as files that arrive in three steps, ten days each."""
-    rows = events(spark, folder).select(
+def _in_parts(df: DataFrame, path: str, time: str = "ts") -> None:
+    """Write rows as files that arrive in three steps: before, within and after ten days of January."""
+    at = F.col(time)
+    first, second = F.lit("2024-01-11").cast("timestamp"), F.lit("2024-01-21").cast("timestamp")
+    for part in (df.filter(at < first), df.filter((at >= first) & (at < second)), df.filter(at >= second)):
+        part.repartition(2).write.mode("append").parquet(path)
+
+
+def _event_rows(spark, folder) -> DataFrame:
+    return events(spark, folder).select(
         F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("id"), F.col("event_type").alias("groupe_nom"),
         (F.col("value") * 100).cast("bigint").alias("prix_fcfa"), "ts", F.col("event_id").alias("_pos"),
     )
-    bounds = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
-    for start, end in zip(bounds, bounds[1:]):
-        part = rows.filter((F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp")))
-        part.repartition(2).write.mode("append").parquet(path)
-    return rows
 
 
 def stream_dedup(spark, folder):
+    """Ids that repeat within and across batches; one type comes without a time, one a year late."""
     path = work_folder(spark, "flux")
-    rows = _event_files(spark, folder, f"{path}/entree")
-    stream = first_of_each_id(read_new_files(spark, f"{path}/entree", rows.schema, 2), "ts")
-    stream.select("id", "groupe_nom").writeStream.format("parquet").option("checkpointLocation", f"{path}/point").trigger(
-        availableNow=True
-    ).start(f"{path}/sortie").awaitTermination()
-    return spark.read.parquet(f"{path}/sortie")
+    kind = F.col("groupe_nom")
+    shown = F.when(kind == "signup", F.col("ts") - F.expr("INTERVAL 400 DAYS")).when(kind != "error", F.col("ts"))
+    rows = _event_rows(spark, folder).withColumn("date_publication", shown)
+    _in_parts(rows, f"{path}/entree")
+    first_post_stream(read_new_files(spark, f"{path}/entree", rows.schema, 2), f"{path}/sortie", f"{path}/point").awaitTermination()
+    kept = spark.read.schema(rows.schema).parquet(f"{path}/sortie")
+    return kept.select("id", "groupe_nom", "prix_fcfa", "_pos", F.col("date_publication").isNull().cast("int").alias("sans_date"))
 
 
 def stream_upsert(spark, folder):
+    """Three batches into the master; the query is started again and finds nothing to do twice."""
     path = work_folder(spark, "flux")
-    rows = _event_files(spark, folder, f"{path}/entree")
-    stream = read_new_files(spark, f"{path}/entree", rows.schema, 2)
-    upsert_stream(stream, f"{path}/maitre", f"{path}/point", NOW).awaitTermination()
+    rows = _event_rows(spark, folder)
+    _in_parts(rows, f"{path}/entree")
+    for _ in range(2):
+        upsert_stream(read_new_files(spark, f"{path}/entree", rows.schema, 2), f"{path}/maitre", f"{path}/point", NOW).awaitTermination()
     return load_master(spark, f"{path}/maitre").select("id", "groupe_nom", "prix_fcfa", F.unix_micros("derniere_maj").alias("maj_us"))
 
 
@@ -199,10 +205,7 @@ def stream_scores(spark, folder):
     """The run log arrives in three parts; the scores are carried from part to part."""
     path = work_folder(spark, "flux")
     runs = health_runs(spark, folder)
-    bounds = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
-    for start, end in zip(bounds, bounds[1:]):
-        part = runs.filter((F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp")))
-        part.repartition(2).write.mode("append").parquet(f"{path}/entree")
+    _in_parts(runs, f"{path}/entree")
     score_stream(read_new_files(spark, f"{path}/entree", runs.schema, 2), f"{path}/scores", f"{path}/point").awaitTermination()
     return load_health(spark, f"{path}/scores").select(
         "source", F.round("niveau_confiance", 9).alias("niveau_confiance"), "runs_propres_consecutifs", "cooldown_multiplicateur"
@@ -255,8 +258,8 @@ ORACLE = {
             ELSE '** ' || k || '; x' END AS contacts_whatsapp FROM ({_ADS_SQL})""",
     "export_master_csv": f"""SELECT id, 'False' AS date_incertaine, prix::VARCHAR AS prix_fcfa,
             CASE WHEN kind = 'click' THEN '2024-01-31' ELSE '2024-02-01' END || 'T00:00:00+00:00' AS premiere_collecte,
-            CASE WHEN prix < 50 OR prix > 5000000000 THEN '2024-02-01' ELSE '2024-01-31' END || 'T00:00:00+00:00' AS derniere_maj
-        FROM ({_ADS_SQL}) WHERE kind = 'click' OR prix < 50 OR prix > 5000000000""",
+            CASE WHEN kind = 'click' AND prix >= 50 AND prix <= 5000000000 THEN '2024-01-31' ELSE '2024-02-01' END || 'T00:00:00+00:00' AS derniere_maj
+        FROM ({_ADS_SQL})""",
     "rejects_audit": f"""SELECT motif AS motif_rejet, count(*) AS nb, sum(length(text))::BIGINT AS n_texte, 0::BIGINT AS nb_types
         FROM ({TAGGED}) t JOIN documents d ON d.doc_id = t.id WHERE motif IS NOT NULL GROUP BY 1
         UNION ALL SELECT issue, count(*), NULL, count(*) FILTER (ok) FROM ({_ROUTED_SQL}) WHERE issue <> 'valide' GROUP BY 1""",
@@ -269,7 +272,8 @@ ORACLE = {
         UNION ALL SELECT 'r' || page_id, g, upper(g), NULL, url, NULL FROM p
         UNION ALL SELECT CASE role WHEN 'user' THEN 'u' ELSE 'v' END || conv_id || '-' || turn, {_ROLE_GROUP}, upper({_ROLE_GROUP}), NULL, text, NULL FROM conversations
         UNION ALL SELECT 'w' || conv_id || '-' || turn, {_ROLE_GROUP}, upper({_ROLE_GROUP}), NULL, role, NULL FROM conversations WHERE role <> 'user'""",
-    "stream_dedup": "SELECT DISTINCT user_id || '-' || event_type AS id, event_type AS groupe_nom FROM events",
+    "stream_dedup": """SELECT user_id || '-' || event_type AS id, event_type AS groupe_nom, trunc(arg_min(value, event_id) * 100)::BIGINT AS prix_fcfa,
+            min(event_id) AS _pos, (event_type = 'error')::INT AS sans_date FROM events GROUP BY user_id, event_type""",
     "stream_upsert": """SELECT user_id || '-' || event_type AS id, event_type AS groupe_nom,
             trunc(arg_max(value, event_id) * 100)::BIGINT AS prix_fcfa, epoch_us(TIMESTAMP '2024-01-31') AS maj_us FROM events GROUP BY 1, 2""",
 }

@@ -69,11 +69,11 @@ def _master(spark, folder) -> DataFrame:
         "id", F.concat_ws("-", F.col("user_id").cast("string"), "event_type")
     ).select("id", F.col("event_type").alias("groupe_nom"), F.col("value").alias("prix"), "event_id", "ts")
     master = posts.limit(0).select("id", "groupe_nom", "prix", F.col("ts").alias("premiere_collecte"), F.col("ts").alias("derniere_maj"))
-    bounds = ["2024-01-01", DAY_10, DAY_20, "2024-02-01"]
+    bounds = [None, DAY_10, DAY_20, None]
     for start, end in zip(bounds, bounds[1:]):
-        begin, until = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-        batch = posts.filter((F.col("ts") >= begin) & (F.col("ts") < until)).drop("ts")
-        master = merge_batch(master, batch, until, ["event_id"])
+        batch = posts if start is None else posts.filter(F.col("ts") >= F.lit(start).cast("timestamp"))
+        batch = batch if end is None else batch.filter(F.col("ts") < F.lit(end).cast("timestamp"))
+        master = merge_batch(master, batch.drop("ts"), F.lit(end or "2024-02-01").cast("timestamp"), ["event_id"])
     return master
 
 
@@ -177,11 +177,11 @@ _MASTER_SQL = f"""
             WHEN max(ts) < TIMESTAMP '{DAY_20}' THEN TIMESTAMP '{DAY_20}' ELSE TIMESTAMP '2024-02-01' END) AS maj_us
     FROM events GROUP BY user_id, event_type"""
 _DAILY_SQL = """
-    SELECT u.source, d.jour, coalesce(c.n, 0) AS n
-    FROM (SELECT DISTINCT user_id AS source FROM events) u
-    CROSS JOIN (SELECT unnest(generate_series((SELECT min(ts)::DATE FROM events), (SELECT max(ts)::DATE FROM events), INTERVAL 1 DAY))::DATE AS jour) d
+    SELECT u.source, u.jour, coalesce(c.n, 0) AS n
+    FROM (SELECT source, unnest(generate_series(debut, (SELECT max(ts)::DATE FROM events), INTERVAL 1 DAY))::DATE AS jour
+          FROM (SELECT user_id AS source, min(ts)::DATE AS debut FROM events GROUP BY 1)) u
     LEFT JOIN (SELECT user_id AS source, ts::DATE AS jour, count(*) FILTER (event_type = 'purchase') AS n FROM events GROUP BY 1, 2) c
-        ON c.source = u.source AND c.jour = d.jour"""
+        ON c.source = u.source AND c.jour = u.jour"""
 _RUN_LOG_SQL = """
     SELECT date_trunc('hour', ts) AS horodatage, count(*) FILTER (event_type = 'purchase') AS nb_valides,
         CASE WHEN count(*) FILTER (event_type = 'error') > count(*) / 2 THEN 'backfill' ELSE 'daily' END AS mode

@@ -30,7 +30,7 @@ STRUCTURED = _schema(
     "contacts_whatsapp ARRAY<STRING>, mots_cles_pertinents ARRAY<STRING>, resume_court STRING"
 )
 
-# Column order of the ad exports.
+# Column order of the ad and candidate exports.
 AD_COLUMNS = [
     "id", "groupe_nom", "url", "date_publication", "date_incertaine",
     "type_bien", "quartier_zone", "superficie_m2", "prix_fcfa", "statut_document",
@@ -42,7 +42,7 @@ MASTER = _schema(
     "id STRING, groupe_nom STRING, url STRING, date_publication STRING, date_incertaine BOOLEAN, "
     "type_bien STRING, quartier_zone STRING, superficie_m2 BIGINT, prix_fcfa BIGINT, "
     "statut_document STRING, contacts_whatsapp ARRAY<STRING>, mots_cles_pertinents ARRAY<STRING>, "
-    "resume_court STRING, texte_nettoye STRING, premiere_collecte TIMESTAMP, derniere_maj TIMESTAMP"
+    "resume_court STRING, texte_nettoye STRING, type_bien_inconnu BOOLEAN, premiere_collecte TIMESTAMP, derniere_maj TIMESTAMP"
 )
 
 RUNS = _schema(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -23,9 +22,6 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # JSON blobs are a few hundred KB each; the default of 10,000 rows per Arrow
-    # batch would put gigabytes into one Python worker.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
@@ -41,8 +37,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """Single-machine session for tests and the benchmark."""
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None
+) -> SparkSession:
+    """Single-machine session for tests and the benchmark; ``shared``: its folder for intermediate tables."""
+    settings = {"spark.checkpoint.dir": shared} if shared else {}
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("adfeed")
@@ -50,6 +49,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config(map=settings)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -59,15 +59,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder;
-    on a cluster a machine-local folder would not be visible to the executors.
+    Without that setting it lies in the warehouse, which is shared as well. What a
+    session has put there goes when the session ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="adfeed-")
-    return f"{root.rstrip('/')}/adfeed/{purpose}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_travail"
+    own = f"{root.rstrip('/')}/adfeed/{spark.sparkContext.applicationId}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return f"{own}/{purpose}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -82,16 +83,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out over all cores if the input has fewer splits than that.
-
-    For work that costs far more than moving its input, such as patterns over
-    texts, on a file that cannot be split. Inputs with enough splits stay put.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def with_computed(df: DataFrame, name: str, col: Column) -> DataFrame:
     """Add a costly column that is computed once per row.
 

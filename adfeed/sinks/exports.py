@@ -13,21 +13,36 @@ from adfeed.schemas import AD_COLUMNS, CANDIDATE_COLUMNS, MASTER
 
 BOM = "\ufeff"
 CONTACTS = "contacts_whatsapp"
+TEXTS = ("texte", "texte_nettoye", "resume_court")
+# Eight digits or more with at most two blanks, dots, dashes or brackets between them; no
+# amounts: numbers in groups of three, or before a currency.
+_GAP = r"[ ().\-\u00a0]{0,2}"
+_AMOUNT = r"[0-9]{1,3}(?:[ .\u00a0][0-9]{3})+(?![ .\-()\u00a0]?[0-9])"
+PHONE = rf"(?i)(?<![0-9])(?!{_AMOUNT})\+?[0-9](?:{_GAP}[0-9]){{5,12}}{_GAP}([0-9]){_GAP}([0-9])(?![0-9])(?!\s*(?:f\s*)?cfa)"
 
 
 def protect_contacts(df: DataFrame, contacts: str = "masked") -> DataFrame:
-    """Phone numbers as stored ('raw'), hashed ('hash') or with digits hidden ('masked')."""
-    if contacts == "raw" or CONTACTS not in df.columns:
-        return df
-    if contacts == "hash":
-        def change(item: Column) -> Column:
-            return F.sha2(item, 256)
-    elif contacts == "masked":
-        def change(item: Column) -> Column:
-            return F.regexp_replace(item, r"[0-9](?=(?:[^0-9]*[0-9]){2})", "*")
-    else:
+    """Phone numbers as stored ('raw'), hashed ('hash') or with digits hidden ('masked').
+
+    Those that a text column spells out are masked in both cases but 'raw'.
+    """
+    if contacts not in ("masked", "hash", "raw"):
         raise ValueError(f"contacts must be masked, hash or raw, not {contacts!r}")
-    return df.withColumn(CONTACTS, F.transform(F.col(CONTACTS), change))
+    if contacts == "raw":
+        return df
+
+    def change(item: Column) -> Column:
+        return F.sha2(item, 256) if contacts == "hash" else F.regexp_replace(item, r"[0-9](?=(?:[^0-9]*[0-9]){2})", "*")
+
+    changes = {c: _masked_text(F.col(c)) for c in TEXTS if c in df.columns}
+    if CONTACTS in df.columns:
+        changes[CONTACTS] = F.transform(F.col(CONTACTS), change)
+    return df.withColumns(changes) if changes else df
+
+
+def _masked_text(text: Column) -> Column:
+    """Each phone number of a text as '**' and its two last digits."""
+    return F.regexp_replace(text, PHONE, "**$1$2")
 
 
 def export_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -57,8 +72,8 @@ def export_ads(ads: DataFrame, path: str, bom: bool = True, contacts: str = "mas
     write_csv(protect_contacts(ads, contacts), path, AD_COLUMNS, bom)
 
 
-def export_candidates(candidates: DataFrame, path: str, bom: bool = True) -> None:
-    write_csv(candidates, path, CANDIDATE_COLUMNS, bom)
+def export_candidates(candidates: DataFrame, path: str, bom: bool = True, contacts: str = "masked") -> None:
+    write_csv(protect_contacts(candidates, contacts), path, CANDIDATE_COLUMNS, bom)
 
 
 def export_master(master: DataFrame, path: str, bom: bool = True, contacts: str = "masked") -> None:
@@ -66,7 +81,7 @@ def export_master(master: DataFrame, path: str, bom: bool = True, contacts: str
     write_csv(latest_first(protect_contacts(master, contacts)), path, MASTER.fieldNames(), bom)
 
 
-def write_rejects(level1: DataFrame, level2: DataFrame, path: str) -> None:
+def write_rejects(level1: DataFrame, level2: DataFrame, path: str, contacts: str = "masked") -> None:
     """All rejects as JSON lines, one folder per reason, NULL fields included."""
-    both = level1.unionByName(level2, allowMissingColumns=True)
+    both = protect_contacts(level1.unionByName(level2, allowMissingColumns=True), contacts)
     both.write.mode("overwrite").partitionBy("motif_rejet").option("ignoreNullFields", "false").json(path)

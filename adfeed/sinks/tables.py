@@ -3,27 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adfeed.operators.dedup import dedup_last
 from adfeed.operators.markers import merge_markers
-from adfeed.operators.seen import RETENTION_DAYS, next_seen
+from adfeed.operators.seen import RETENTION_DAYS, first_sightings, seen_at, unseen
 from adfeed.operators.upsert import merge_batch
 from adfeed.schemas import HEALTH, MASTER
 from adfeed.session import cut_lineage
-from adfeed.sources.state import load_health, load_markers, load_master, load_seen
-from adfeed.sources.tables import versions, write_table
+from adfeed.sources.state import load_health, load_markers, load_seen
+from adfeed.sources.tables import bucket_of, delete_folder, folders, read_buckets, versions, write_buckets, write_table
 
 
 def append_raw(posts: DataFrame, path: str, run_ts: str, order: Sequence[str] = ("_pos",)) -> None:
     """Append the posts of a run, one folder per run and group; nothing for no posts.
 
-    Rows of a large group spread over several files.
+    Rows meet by group, so a small group is one file; the rebalancing splits a large one.
     """
-    stamped = posts.withColumn("run_ts", F.lit(run_ts))
+    stamped = posts.withColumn("run_ts", F.lit(run_ts)).hint("rebalance", "groupe_id")
     stamped.sortWithinPartitions("groupe_id", *order).write.mode("append").partitionBy("run_ts", "groupe_id").parquet(path)
 
 
@@ -32,31 +32,46 @@ def log_run(run: DataFrame, path: str) -> None:
     run.write.mode("append").partitionBy("mode").parquet(path)
 
 
-def upsert_master(
-    batch: DataFrame, path: str, now: datetime, order: Sequence[str] | None = None, version: int | None = None
-) -> int | None:
-    """Write the next master snapshot; an empty batch writes none.
+def upsert_master(batch: DataFrame, path: str, now: datetime, order: Sequence[str], version: int | None = None) -> int | None:
+    """Write the next master version; an empty batch writes none.
 
-    ``version`` names the snapshot to write, from the one before it: repeating
-    the call replaces that snapshot instead of applying the batch twice.
+    Of an id that the batch repeats, the last row by ``order`` counts.  Only the buckets
+    with ids of the batch are read and written.  ``version`` names the version to write,
+    from the one before it: repeating the call replaces that version instead of applying
+    the batch twice.
     """
-    names = batch.columns
+    names = [c for c in batch.columns if c in MASTER.fieldNames() or c in order]
     full = batch.select(
         *names, *[F.lit(None).cast(f.dataType).alias(f.name) for f in MASTER.fields if f.name not in names]
     ).withColumn("date_incertaine", F.coalesce(F.col("date_incertaine").cast("boolean"), F.lit(False)))
     # Read three times by the merge, and perhaps costly to compute.
-    latest = cut_lineage(dedup_last(full, "id", order) if order else full)
-    if latest.isEmpty():
+    latest = cut_lineage(dedup_last(full.filter("id IS NOT NULL"), "id", order))
+    touched = [r["seau"] for r in latest.select(bucket_of("id").alias("seau")).distinct().collect()]  # at most BUCKETS
+    if not touched:
         return None
     spark = batch.sparkSession
     if version is None:
         known = versions(spark, path)
         version = known[-1] + 1 if known else 0
-    return write_table(merge_batch(load_master(spark, path, version - 1), latest, now), path, version)
+    old = read_buckets(spark, path, MASTER, version - 1, touched)
+    write_buckets(merge_batch(old, latest, now), path, "id", version)
+    return version
 
 
-def save_seen(new_posts: DataFrame, path: str, now: datetime, days: int = RETENTION_DAYS) -> int:
-    return write_table(next_seen(load_seen(new_posts.sparkSession, path), new_posts, now, days), path)
+def save_seen(new_posts: DataFrame, path: str, now: datetime, days: int = RETENTION_DAYS) -> None:
+    """Add the ids that are new, and forget the days before the retention.
+
+    Only new ids are written, into the folder of the day they were first seen; old days
+    go as folders. Ids with an unreadable date stay.
+    """
+    spark = new_posts.sparkSession
+    added = unseen(first_sightings(new_posts), load_seen(spark, path))
+    day = F.coalesce(F.date_format(seen_at(), "yyyy-MM-dd"), F.lit("inconnu"))
+    added.withColumn("jour", day).repartition("jour").write.mode("append").partitionBy("jour").parquet(path)
+    oldest = (now - timedelta(days=days)).strftime("%Y-%m-%d")
+    for name in folders(spark, path):
+        if "jour=0" < name < f"jour={oldest}":
+            delete_folder(spark, f"{path}/{name}")
 
 
 def save_markers(new: DataFrame, path: str) -> int:

@@ -29,17 +29,19 @@ def load_groups(spark: SparkSession, path: str, limit: int | None = None) -> Dat
     missing = [c for c in REQUIRED_COLUMNS if c not in raw.columns]
     if missing:
         raise ValueError(f"{path}: columns missing from the header: {missing}")
-    groups = active_groups(raw, limit)
+    # One task reads a file with line breaks in cells from start to end, so ids follow the file.
+    groups = active_groups(raw.withColumn("_pos", F.monotonically_increasing_id()), limit)
     if groups.isEmpty():
         raise ValueError(f"{path}: no active group")
     return groups
 
 
 def active_groups(raw: DataFrame, limit: int | None = None) -> DataFrame:
-    """Trimmed active groups without placeholder rows, the first ``limit`` if given."""
-    trimmed = raw.select(*[strip(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in REQUIRED_COLUMNS])
+    """Trimmed active groups without placeholder rows, the first ``limit`` by ``_pos`` if given."""
+    trimmed = raw.select(*[strip(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in REQUIRED_COLUMNS], "_pos")
     groups = trimmed.filter(~F.upper("id").startswith(PLACEHOLDER_PREFIX)).withColumn(
         "actif", F.lower("actif").isin(*TRUE_WORDS)
     )
     active = groups.filter("actif")
-    return active.limit(limit) if limit and limit > 0 else active
+    first = active.orderBy("_pos").limit(limit) if limit and limit > 0 else active
+    return first.drop("_pos")

@@ -55,20 +55,37 @@ def load_raw_posts(spark: SparkSession, *paths: str) -> DataFrame:
     return merge_posts(parse_post_files(files))
 
 
+def _lines(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
+    """Lines of the files with their post (NULL if a line is no JSON object) and their block."""
+    read = spark.read.text(list(paths)).filter(F.btrim("value", F.lit(" \t\r")) != "")
+    placed = read.select("value", _file_order(), F.col("_metadata.file_block_start").alias("_bloc"))
+    schema = T.StructType([*RAW_POST.fields, T.StructField("_pos", T.LongType())])
+    whole = F.btrim("value", F.lit(" \t\r")).rlike(r"(?s)^\{.*\}$")
+    post = F.when(whole, F.element_at(F.from_json(F.concat(F.lit("["), "value", F.lit("]")), T.ArrayType(schema)), 1))
+    return with_computed(placed, "_p", post)
+
+
 def load_raw_post_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """The same for files with one JSON post per line, which can be split and may be large."""
-    lines = spark.read.schema(RAW_POST).json(list(paths), mode="DROPMALFORMED")
-    placed = lines.select(
-        "*", _file_order(), F.col("_metadata.file_block_start").alias("_bloc"),
-        # Grows along each block, which one task reads from start to end.
-        F.monotonically_increasing_id().alias("_pos"),
-    )
-    return dedup_last(placed.filter("id IS NOT NULL"), "id", ["_file", "_bloc", "_pos"])
+    """The same for files with one JSON post per line, which can be split and may be large.
+
+    A line may say its place in a field ``_pos``. Without it, lines count from the start
+    of their block, which one task reads from start to end.
+    """
+    lines = _lines(spark, paths).filter("_p.id IS NOT NULL")
+    read = F.coalesce("_p._pos", F.monotonically_increasing_id()).alias("_pos")
+    placed = lines.select(*[F.col(f"_p.{f.name}") for f in RAW_POST.fields], "_file", "_bloc", read)
+    return dedup_last(placed, "id", ["_file", "_bloc", "_pos"])
+
+
+def line_issues(spark: SparkSession, *paths: str) -> DataFrame:
+    """What load_raw_post_lines leaves out: (_file, _bloc, value, lisible); readable lines have no id."""
+    lines = _lines(spark, paths)
+    return lines.filter("_p.id IS NULL").select("_file", "_bloc", "value", F.col("_p").isNotNull().alias("lisible"))
 
 
 def load_raw_table(spark: SparkSession, path: str) -> DataFrame:
     """Posts appended by sinks.append_raw, one row per id."""
-    fields = [*RAW_POST.fields, T.StructField("run_ts", T.StringType()), T.StructField("_pos", T.LongType())]
+    fields = [*RAW_POST.fields, T.StructField("run_ts", T.StringType()), T.StructField("_pos", T.ArrayType(T.LongType()))]
     stored = spark.read.schema(T.StructType(fields)).parquet(path)
     placed = stored.withColumnRenamed("run_ts", "_file").withColumn("_groupe", F.col("groupe_id"))
     return dedup_last(placed, "id", ["_file", "_groupe", "_pos"]).drop("_groupe")

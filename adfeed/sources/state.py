@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from adfeed.schemas import HEALTH, MARKERS, MASTER, RUNS, SEEN
-from adfeed.sources.tables import path_exists, read_table
+from adfeed.sources.tables import path_exists, read_buckets, read_table
 
 
 def load_seen(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, SEEN)
+    """The seen ids; empty before the first run. They lie in one folder for each day."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], SEEN)
+    return spark.read.schema(SEEN).parquet(path).select(*SEEN.fieldNames())
 
 
 def load_markers(spark: SparkSession, path: str) -> DataFrame:
@@ -21,7 +24,7 @@ def load_health(spark: SparkSession, path: str, version: int | None = None) -> D
 
 
 def load_master(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    return read_table(spark, path, MASTER, version)
+    return read_buckets(spark, path, MASTER, version)
 
 
 def load_runs(spark: SparkSession, path: str) -> DataFrame:

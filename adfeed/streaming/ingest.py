@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from adfeed.operators.dedup import dedup_first
 from adfeed.operators.health import source_health
-from adfeed.operators.seen import RETENTION_DAYS
 from adfeed.sinks.tables import save_health, upsert_master
 from adfeed.sources.state import load_health
-from adfeed.sources.tables import read_table, versions, write_table
+from adfeed.sources.tables import folders, read_table, versions, write_table
 
 
 def read_new_files(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
@@ -24,18 +24,23 @@ def read_new_files(spark: SparkSession, path: str, schema: StructType, max_files
     return reader.parquet(path)
 
 
-def first_of_each_id(posts: DataFrame, time: str, id_col: str = "id", days: int = RETENTION_DAYS) -> DataFrame:
-    """Drop ids seen within the last ``days``; state older than that is forgotten.
+def first_post_stream(posts: DataFrame, out: str, checkpoint: str, order: Sequence[str] = ("_pos",), id_col: str = "id") -> StreamingQuery:
+    """Keep the first row of every id over all batches; stops when the input is used up.
 
-    Rows without a time cannot be placed in that window: take them from undated.
+    Each batch is reduced to its first row per id and held against the ids that earlier
+    batches have kept, so late rows and rows without a time are treated like any other
+    and none is lost.  Batch n writes ``lot=<n>``: run again, it replaces itself.
     """
-    dated = posts.withColumn(time, F.col(time).cast("timestamp")).filter(F.col(time).isNotNull())
-    return dated.withWatermark(time, f"{days} days").dropDuplicatesWithinWatermark([id_col])
 
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        first = dedup_first(batch, [id_col], order)
+        earlier = [f"{out}/{name}" for name in folders(spark, out) if name.startswith("lot=") and int(name[4:]) < number]
+        if earlier:
+            first = first.join(spark.read.schema(batch.schema).parquet(*earlier).select(id_col), id_col, "left_anti")
+        first.select(*batch.columns).write.mode("overwrite").parquet(f"{out}/lot={number}")
 
-def undated(posts: DataFrame, time: str) -> DataFrame:
-    """Rows without a time: kept on a side path, never dropped."""
-    return posts.filter(F.col(time).isNull())
+    return _each_batch(posts, checkpoint, write)
 
 
 def _first_version(spark: SparkSession, table: str, checkpoint: str) -> int:

@@ -11,7 +11,7 @@ from adfeed.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, shuffle_partitions=4, memory="4g")
+    session = local_session(4, shuffle_partitions=4, memory="4g", shared=tempfile.mkdtemp(prefix="adfeed-shared-"))
     yield session
     session.stop()
 

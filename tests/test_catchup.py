@@ -2,101 +2,58 @@ import random
 from datetime import datetime, timedelta
 
 from adfeed.operators.captures import capture_counts, empty_group_samples, oldest_in_step
-from adfeed.operators.catchup import feed_catchup
+from adfeed.operators.catchup import new_posts
 from adfeed.operators.markers import merge_markers, with_marker
 from adfeed.operators.seen import next_seen, retain, unseen
 from adfeed.schemas import MARKERS, SEEN
 
 NOW = datetime(2026, 8, 1)
-SCHEMA = "groupe_id STRING, step INT, pos INT, id STRING, date_publication TIMESTAMP, featured BOOLEAN"
-
-
-def model(rows, seen, marker, cutoff, max_idle=4, max_steps=100):
-    """One group, row by row, with a mutable set of known ids."""
-    known, posts, first = set(seen), [], None
-    for r in sorted((r for r in rows if r[5]), key=lambda r: r[2]):
-        if r[3] not in known:
-            known.add(r[3])
-            posts.append((-1, r[3]))
-    idle, step, reason = 0, 0, "cap"
-    while step < max_steps:
-        shown = sorted((r for r in rows if not r[5] and r[1] == step), key=lambda r: r[2])
-        new = []
-        for r in shown:
-            if r[3] not in known:
-                known.add(r[3])
-                new.append(r)
-        posts += [(step, r[3]) for r in new]
-        idle = 0 if new else idle + 1
-        if new and first is None:
-            first = new[0][3]
-        dates = [r[4] for r in new if r[4]]
-        if marker and any(r[3] == marker for r in shown):
-            reason = "marker"
-        elif dates and min(dates) < cutoff:
-            reason = "window"
-        elif idle >= max_idle:
-            reason = "idle"
-        else:
-            step += 1
-            continue
-        break
-    return set(posts), min(step, max_steps - 1), reason, first or marker
-
-
-def check(spark, rows, seen, markers, cutoff, **limits):
-    captures = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    result = feed_catchup(
-        captures, spark.createDataFrame([(s, "x") for s in seen], SEEN), spark.createDataFrame(list(markers.items()), MARKERS), cutoff, **limits
-    )
-    posts, groups = {}, {}
-    for r in result.posts.collect():
-        posts.setdefault(r["groupe_id"], set()).add((r["step"], r["id"]))
-    for r in result.groups.collect():
-        groups[r["groupe_id"]] = (r["stop_step"], r["stop_reason"], r["post_id"], r["nb_posts"])
-    reasons = []
-    for group in {r[0] for r in rows}:
-        expected = model([r for r in rows if r[0] == group], seen, markers.get(group), cutoff, **limits)
-        assert posts.get(group, set()) == expected[0], group
-        assert groups[group] == (*expected[1:], len(expected[0])), group
-        reasons.append(expected[2])
-    return reasons
+SCHEMA = "groupe_id STRING, step BIGINT, pos INT, id STRING, date_publication TIMESTAMP, featured BOOLEAN"
 
 
 def day(n):
     return NOW - timedelta(days=n)
 
 
-def test_each_stop_rule(spark):
-    rows = []
-    rows += [("repere", s, 0, f"r{s}", day(0), False) for s in range(8)]
-    rows += [("fenetre", s, 0, f"f{s}", day(s), False) for s in range(8)]
-    rows += [("inactif", s, 0, "i0", None, False) for s in range(9)]
-    rows += [("plafond", s, 0, f"p{s}", None, False) for s in range(120)]
-    rows += [("court", 0, 0, "c0", day(0), False)]
-    rows += [("une", None, 0, "u0", day(400), True), ("une", 0, 0, "u0", day(0), False), ("une", None, 1, "vu", None, True)]
-    rows += [("connu", s, 0, "vu", day(0), False) for s in range(2)]
-    reasons = check(spark, rows, {"vu"}, {"repere": "r5", "connu": "ancien", "une": "u9"}, day(3))
-    assert sorted(reasons) == ["cap", "idle", "idle", "idle", "idle", "marker", "window"]
+def run(spark, rows, seen=(), markers=(), cutoff=None):
+    result = new_posts(
+        spark.createDataFrame(rows, SCHEMA).repartition(3), spark.createDataFrame([(s, "x") for s in seen], SEEN),
+        spark.createDataFrame(list(markers), MARKERS), cutoff or day(3),
+    )
+    posts = {(r["groupe_id"], r["id"]): (r["step"], r["pos"], r["featured"], r["apres_repere"], r["hors_fenetre"]) for r in result.posts.collect()}
+    groups = {r["groupe_id"]: (r["nb_posts"], r["plus_ancien"], r["etape_repere"], r["post_id"]) for r in result.groups.collect()}
+    return posts, groups
+
+
+def test_nothing_captured_is_dropped(spark):
+    """Far steps, long idle stretches, posts behind the marker or the window: all are kept and told apart."""
+    rows = [("loin", s, 0, f"l{s}", None, False) for s in (0, 99, 100, 9300, 10**9)]
+    rows += [("repere", s, 0, f"r{s}", day(s), False) for s in range(8)]
+    posts, groups = run(spark, rows, markers=[("repere", "r5")])
+    assert [posts["loin", f"l{s}"] for s in (0, 99, 100, 9300, 10**9)] == [(s, 0, False, False, False) for s in (0, 99, 100, 9300, 10**9)]
+    assert [posts["repere", f"r{s}"][3:] for s in range(8)] == [(False, False)] * 4 + [(False, True)] * 2 + [(True, True)] * 2
+    assert groups == {"loin": (5, None, None, "l0"), "repere": (8, day(7), 5, "r0")}
+
+
+def test_first_place_and_known_posts(spark):
+    rows = [
+        ("une", None, 0, "u0", day(400), True), ("une", 0, 0, "u0", day(0), False), ("une", None, 1, "vu", None, True), ("une", 0, 1, "b", None, False),
+        ("une", 2, 0, "b", day(9), False), ("connu", 0, 0, "vu", day(0), False), ("connu", 1, 0, "vu", day(0), False),
+    ]
+    posts, groups = run(spark, rows, {"vu"}, [("connu", "ancien"), ("une", "u9")])
+    assert posts == {("une", "u0"): (None, 0, True, False, True), ("une", "b"): (0, 1, False, False, False)}
+    assert groups == {"une": (2, None, None, "b"), "connu": (0, None, None, "ancien")}
 
 
-def test_equals_a_row_model(spark):
+def test_a_second_run_over_the_same_log_finds_nothing(spark):
     draw = random.Random(6)
-    seen_reasons = set()
-    for _ in range(6):
-        rows = []
-        for g in range(25):
-            ids, dated = draw.choice([8, 30, 300]), draw.random()
-            for step in range(draw.randint(0, 14)):
-                for pos in range(draw.randint(0, 4)):
-                    date = day(step + draw.random()) if draw.random() < dated else None
-                    rows.append((f"g{g}", step, pos, f"g{g}-{draw.randrange(ids)}", date, False))
-            for pos in range(draw.randint(0, 2)):
-                rows.append((f"g{g}", None, pos, f"g{g}-{draw.randrange(ids)}", day(50), True))
-        seen = {f"g{g}-{i}" for g in range(25) for i in range(30) if draw.random() < 0.2}
-        markers = {f"g{g}": f"g{g}-{draw.randrange(30)}" for g in range(25) if draw.random() < 0.6}
-        seen_reasons |= set(check(spark, rows, seen, markers, day(draw.choice([3, 6, 20])), max_steps=draw.choice([6, 100])))
-    assert seen_reasons == {"marker", "window", "idle", "cap"}
+    rows = [(f"g{draw.randrange(9)}", draw.randrange(200), p, f"p{draw.randrange(300)}", draw.choice([None, day(draw.random() * 9)]), False) for p in range(900)]
+    posts, groups = run(spark, rows)
+    assert posts.keys() == {(r[0], r[3]) for r in rows} and sum(g[0] for g in groups.values()) == len(posts)
+    for (group, ident), (step, pos, *_) in posts.items():
+        assert (step, pos) == min((r[1], r[2]) for r in rows if (r[0], r[3]) == (group, ident))
+    again, after = run(spark, rows, {i for _, i in posts}, [(g, v[3]) for g, v in groups.items()])
+    assert again == {} and {g: v[3] for g, v in after.items()} == {g: v[3] for g, v in groups.items()}
 
 
 def test_seen_state(spark):
@@ -126,6 +83,9 @@ def test_counts_and_samples(spark):
     df = spark.createDataFrame(rows, "groupe_id STRING, step INT, url STRING, body STRING")
     counts = {tuple(r)[:2]: tuple(r)[2:] for r in capture_counts(df).collect()}
     assert counts[("a", 0)] == (2, 1) and counts[("b", 1)] == (1, 0)
+    found = spark.createDataFrame([("a", 0), ("a", 0), ("c", 5)], "groupe_id STRING, step INT")
+    with_posts = {tuple(r)[:2]: tuple(r)[2:] for r in capture_counts(df, posts=found).collect()}
+    assert (with_posts["a", 0], with_posts["b", 1], with_posts["c", 5]) == ((2, 1, 2), (1, 0, 0), (0, 0, 1))
     records = spark.createDataFrame([("a",)], "groupe_id STRING")
     assert [r["corps_tronque"] for r in empty_group_samples(df, records, ["step"], chars=5).orderBy("rang").collect()] == ["c", "corps", "corps"]
     posts = spark.createDataFrame([("a", 0, NOW), ("a", 0, day(2)), ("a", 1, None)], "groupe_id STRING, step INT, date_publication TIMESTAMP")

@@ -45,7 +45,15 @@ def test_history_excludes_the_run_itself(spark):
 def test_days_without_results_become_rows(spark):
     df = spark.sql("SELECT * FROM VALUES ('a', DATE'2026-01-01', 5L), ('a', DATE'2026-01-04', 5L), ('b', DATE'2026-01-02', 1L) AS t(source, jour, n)")
     dense = densify_days(df, ["source"], "jour", "n").orderBy("source", "jour").collect()
-    assert [(r["source"], r["n"]) for r in dense] == [("a", 5), ("a", 0), ("a", 0), ("a", 5), ("b", 0), ("b", 1), ("b", 0), ("b", 0)]
+    assert [(r["source"], r["n"]) for r in dense] == [("a", 5), ("a", 0), ("a", 0), ("a", 5), ("b", 1), ("b", 0), ("b", 0)]
+
+
+def test_a_late_source_has_no_history_before_its_first_day(spark):
+    rows = [("ancienne", START + timedelta(days=i), 8) for i in range(20)] + [("neuve", START + timedelta(days=i), 10 if i < 19 else 1) for i in (16, 17, 18, 19)]
+    rows += [("egaree", START - timedelta(days=4000), 1)]
+    counts = spark.createDataFrame(rows, "source STRING, at TIMESTAMP, n BIGINT").select("source", F.to_date("at").alias("horodatage"), F.col("n").alias("nb_valides"))
+    found = volume_drift(densify_days(counts, ["source"], "horodatage", "nb_valides")).filter("source = 'neuve'").orderBy("horodatage").collect()
+    assert [(r["nb_historique"], r["moyenne"], r["alerte"]) for r in found] == [(0, None, False), (1, 10.0, False), (2, 10.0, False), (3, 10.0, True)]
 
 
 def test_run_row_and_summary(spark):
@@ -56,22 +64,6 @@ def test_run_row_and_summary(spark):
     assert summary["base_maitre"] == "postgresql://u:***@h/b" and summary["alerte_derive"].startswith("Low volume: 3")
 
 
-def model(state, runs):
-    conf, streak, mult = state
-    for anomalies, total, blocked, expired in runs:
-        if blocked:
-            conf, streak, mult = 0.2, 0, min(8, mult * 2)
-        elif expired:
-            conf, streak = max(0.2, conf * 0.7), 0
-        elif (anomalies / total if total else 0.0) > 0.3:
-            conf, streak = max(0.2, conf * 0.5), 0
-        else:
-            streak += 1
-            if streak >= 3:
-                conf, streak, mult = min(1.0, conf + 0.15), 0, 1
-    return conf, streak, mult
-
-
 def frame(spark, histories):
     rows = [
         (source, START + timedelta(hours=i), a, t, b, e)
@@ -84,40 +76,57 @@ def frame(spark, histories):
 CLEAN, SUSPECT, BLOCKED, EXPIRED = (0, 5, False, False), (4, 5, False, False), (0, 5, True, False), (0, 5, False, True)
 
 
+def scores(spark, histories, state=None):
+    """source -> (score, clean runs in a row, pause factor), the score to nine digits."""
+    rows = source_health(frame(spark, histories), state) if state is not None else source_health(frame(spark, histories))
+    return {r["source"]: (round(r["niveau_confiance"], 9), r["runs_propres_consecutifs"], r["cooldown_multiplicateur"]) for r in rows.collect()}
+
+
 def test_score_cases(spark):
-    histories = {
-        "bloque": [BLOCKED], "plafond": [BLOCKED] * 5, "expire": [EXPIRED], "suspect": [SUSPECT], "limite": [(3, 10, False, False)],
-        "montee": [SUSPECT, CLEAN, CLEAN, CLEAN], "maximum": [CLEAN] * 3, "zero": [(0, 0, False, False)], "remise": [BLOCKED] + [CLEAN] * 3 + [BLOCKED],
-        "nul": [(0, 5, None, None)],
+    """Histories from the start (1.0, 0, 1), with results worked out by hand."""
+    cases = {
+        "bloque": ([BLOCKED], (0.2, 0, 2)),
+        "plafond": ([BLOCKED] * 5, (0.2, 0, 8)),
+        "expire": ([EXPIRED], (0.7, 0, 1)),
+        "expire_2": ([EXPIRED] * 2, (0.49, 0, 1)),
+        "suspect": ([SUSPECT], (0.5, 0, 1)),
+        "plancher": ([SUSPECT] * 4, (0.2, 0, 1)),
+        "limite": ([(3, 10, False, False)], (1.0, 1, 1)),
+        "montee": ([SUSPECT, CLEAN, CLEAN, CLEAN], (0.65, 0, 1)),
+        "interrompu": ([SUSPECT, CLEAN, CLEAN, EXPIRED, CLEAN], (0.35, 1, 1)),
+        "maximum": ([CLEAN] * 3, (1.0, 0, 1)),
+        "zero": ([(0, 0, False, False)], (1.0, 1, 1)),
+        "remise": ([BLOCKED] + [CLEAN] * 3 + [BLOCKED], (0.2, 0, 2)),
+        "long": ([BLOCKED] * 2 + [CLEAN] * 7, (0.5, 1, 1)),
+        "nul": ([(0, 5, None, None)], (1.0, 1, 1)),
     }
-    rows = {r["source"]: r for r in source_health(frame(spark, histories)).collect()}
-    for source, runs in histories.items():
-        expected = model((1.0, 0, 1), runs)
-        got = rows[source]
-        assert (got["niveau_confiance"], got["runs_propres_consecutifs"], got["cooldown_multiplicateur"]) == (pytest.approx(expected[0]), *expected[1:]), source
+    assert scores(spark, {s: runs for s, (runs, _) in cases.items()}) == {s: want for s, (_, want) in cases.items()}
+    rows = {r["source"]: r for r in source_health(frame(spark, {"suspect": [SUSPECT]})).collect()}
     assert (rows["suspect"]["delai_multiplicateur"], rows["suspect"]["ratio_groupes"]) == (2.0, 0.5)
-    assert rows["plafond"]["cooldown_multiplicateur"] == 8
 
 
 def test_score_goes_on_from_the_stored_state(spark):
     stored = {"a": (0.5, 2, 4), "b": (0.0, 1, 16), "c": (5.0, 0, 1), "d": (0.35, 0, 2)}
     state = spark.createDataFrame([(s, c, k, m, START) for s, (c, k, m) in stored.items()], HEALTH)
     histories = {"a": [CLEAN], "b": [CLEAN], "c": [EXPIRED], "d": [CLEAN] * 7 + [BLOCKED, CLEAN], "e": [SUSPECT]}
-    rows = {r["source"]: r for r in source_health(frame(spark, histories), state).collect()}
-    for source, runs in histories.items():
-        expected = model(stored.get(source, (1.0, 0, 1)), runs)
-        got = rows[source]
-        assert (got["niveau_confiance"], got["runs_propres_consecutifs"], got["cooldown_multiplicateur"]) == (pytest.approx(expected[0]), *expected[1:]), source
-    assert rows["b"]["ratio_groupes"] == 0.2
+    want = {"a": (0.65, 0, 1), "b": (0.0, 2, 16), "c": (3.5, 0, 1), "d": (0.2, 1, 2), "e": (0.5, 0, 1)}
+    assert scores(spark, histories, state) == want
 
 
-def test_score_equals_a_row_model_also_for_a_hot_source(spark):
+def test_one_fold_equals_two_and_a_hot_source_its_copy(spark):
+    """Carrying the state over a cut changes nothing, nor does a source's share of the log."""
     draw = random.Random(5)
     kinds = [CLEAN] * 6 + [SUSPECT, BLOCKED, EXPIRED]
-    histories = {f"s{i}": [draw.choice(kinds) for _ in range(draw.randint(1, 60))] for i in range(150)}
+    histories = {f"s{i}": [draw.choice(kinds) for _ in range(draw.randint(2, 60))] for i in range(60)}
     histories["chaude"] = [draw.choice(kinds) for _ in range(3000)]
-    rows = {r["source"]: r for r in source_health(frame(spark, histories).repartition(4)).collect()}
-    for source, runs in histories.items():
-        expected = model((1.0, 0, 1), runs)
-        got = rows[source]
-        assert (got["niveau_confiance"], got["runs_propres_consecutifs"], got["cooldown_multiplicateur"]) == (pytest.approx(expected[0]), *expected[1:]), source
+    whole = scores(spark, histories)
+    first = {s: runs[: len(runs) // 2] for s, runs in histories.items()}
+    second = {s: runs[len(runs) // 2 :] for s, runs in histories.items()}
+    before = scores(spark, first)
+    state = spark.createDataFrame([(s, *v, START) for s, v in before.items()], HEALTH)
+    after = scores(spark, second, state)
+    assert after.keys() == whole.keys()
+    for source, (score, streak, factor) in whole.items():
+        assert after[source] == (pytest.approx(score, abs=1e-8), streak, factor), source
+    assert all(0.2 <= score <= 1.0 and 0 <= streak < 3 and 1 <= factor <= 8 for score, streak, factor in whole.values())
+    assert scores(spark, {"seule": histories["chaude"]})["seule"] == whole["chaude"]

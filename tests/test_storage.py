@@ -11,7 +11,7 @@ from adfeed.schemas import AD_COLUMNS, MARKERS, MASTER, SEEN
 from adfeed.sinks.exports import export_ads, export_candidates, export_master, protect_contacts, write_rejects
 from adfeed.sinks.tables import append_raw, log_run, save_markers, save_seen, upsert_master
 from adfeed.sources.groups import load_groups
-from adfeed.sources.posts import file_issues, load_raw_post_lines, load_raw_posts, load_raw_table
+from adfeed.sources.posts import file_issues, line_issues, load_raw_post_lines, load_raw_posts, load_raw_table
 from adfeed.sources.state import load_markers, load_master, load_runs, load_seen
 from adfeed.sources.tables import read_table, versions, write_table
 
@@ -33,34 +33,55 @@ def prices(df):
 
 
 def test_upsert_keeps_the_first_date(spark, folder):
-    assert upsert_master(ads(spark, ("a", 1), ("b", 2)), folder, DAY1) == 0
-    assert upsert_master(ads(spark, ("a", 9), ("c", 3_000_000_000)), folder, DAY2) == 1
+    assert upsert_master(ads(spark, ("a", 1), ("b", 2)), folder, DAY1, ["_pos"]) == 0
+    assert upsert_master(ads(spark, ("a", 9), ("c", 3_000_000_000)), folder, DAY2, ["_pos"]) == 1
     assert prices(load_master(spark, folder)) == {"a": (9, DAY1, DAY2), "b": (2, DAY1, DAY1), "c": (3_000_000_000, DAY2, DAY2)}
     assert prices(load_master(spark, folder, 0)) == {"a": (1, DAY1, DAY1), "b": (2, DAY1, DAY1)}
 
 
 def test_upsert_twice_is_once(spark, folder):
     batch = ads(spark, ("a", 1), ("b", 2))
-    upsert_master(batch, folder, DAY1)
-    upsert_master(batch, folder, DAY2)
+    upsert_master(batch, folder, DAY1, ["_pos"])
+    upsert_master(batch, folder, DAY2, ["_pos"])
     assert prices(load_master(spark, folder)) == {"a": (1, DAY1, DAY2), "b": (2, DAY1, DAY2)}
 
 
 def test_empty_batch_and_repeats_in_a_batch(spark, folder):
-    assert upsert_master(ads(spark, ("a", 1)).filter("false"), folder, DAY1) is None and versions(spark, folder) == []
+    assert upsert_master(ads(spark, ("a", 1)).filter("false"), folder, DAY1, ["_pos"]) is None and versions(spark, folder) == []
     upsert_master(ads(spark, ("a", 1), ("b", 2), ("a", 3), (None, 4)), folder, DAY1, ["_pos"])
     assert prices(load_master(spark, folder)) == {"a": (3, DAY1, DAY1), "b": (2, DAY1, DAY1)}
 
 
 def test_a_repeated_version_replaces_itself(spark, folder):
-    upsert_master(ads(spark, ("a", 1)), folder, DAY1, version=0)
-    upsert_master(ads(spark, ("b", 1)), folder, DAY2, version=1)
-    upsert_master(ads(spark, ("b", 5)), folder, DAY2, version=1)
+    upsert_master(ads(spark, ("a", 1)), folder, DAY1, ["_pos"], version=0)
+    upsert_master(ads(spark, ("b", 1)), folder, DAY2, ["_pos"], version=1)
+    upsert_master(ads(spark, ("b", 5)), folder, DAY2, ["_pos"], version=1)
     assert versions(spark, folder) == [0, 1] and prices(load_master(spark, folder))["b"] == (5, DAY2, DAY2)
 
 
+def test_only_touched_buckets_are_written_and_old_ones_go(spark, folder):
+    upsert_master(ads(spark, *[(f"p{i}", i) for i in range(300)]), folder, DAY1, ["_pos"])
+    for n in range(1, 12):
+        upsert_master(ads(spark, ("p7", 1000 + n)), folder, DAY2, ["_pos"])
+    assert len(glob.glob(f"{folder}/v=0/seau=*")) >= 60 and len(glob.glob(f"{folder}/v=11/seau=*")) == 1
+    assert glob.glob(f"{folder}/v=2/seau=*") == [] and len(glob.glob(f"{folder}/v=*/seau=*/")) < 75
+    stored = prices(load_master(spark, folder))
+    assert len(stored) == 300 and stored["p7"] == (1011, DAY1, DAY2) and stored["p8"] == (8, DAY1, DAY1)
+    assert prices(load_master(spark, folder, 9))["p7"][0] == 1009
+
+
+def test_seen_days_beyond_the_retention_go(spark, folder):
+    def seen(*rows):
+        return spark.createDataFrame(rows, "id STRING, scrape_le STRING")
+
+    save_seen(seen(("vieux", "2026-03-01T00:00:00+00:00"), ("illisible", "hier"), ("neuf", "2026-08-01T00:00:00+00:00")), folder, datetime(2026, 3, 2))
+    assert load_seen(spark, folder).count() == 3
+    save_seen(seen(("neuf", "2026-08-02T00:00:00+00:00")), folder, DAY2)
+    assert {tuple(r) for r in load_seen(spark, folder).collect()} == {("illisible", "hier"), ("neuf", "2026-08-01T00:00:00+00:00")}
+
+
 def test_a_small_batch_does_not_shuffle_the_master(spark, folder):
-    upsert_master(ads(spark, ("a", 1), ("b", 2)), folder, DAY1)
+    upsert_master(ads(spark, ("a", 1), ("b", 2)), folder, DAY1, ["_pos"])
     master = load_master(spark, folder)
     write_table(ads(spark, ("a", 7)).select("id", "prix_fcfa"), f"{folder}/lot")
     batch = spark.read.parquet(f"{folder}/lot/v=0")
@@ -124,13 +145,16 @@ def test_contacts_are_masked_unless_asked_for(spark):
     assert protect_contacts(df).first()["contacts_whatsapp"] == ["** ** ** 56", "x"]
     assert len(protect_contacts(df, "hash").first()["contacts_whatsapp"][0]) == 64
     assert protect_contacts(df, "raw").first()["contacts_whatsapp"] == ["70 12 34 56", "x"]
+    texts = ["tel 70 12 34 56.", "+226 76-54-32-10 ou 70123456", "15 000 000 FCFA, 9.500.000 et 12345678 f cfa", "lot 1234567, 600 m2"]
+    cells = spark.createDataFrame([(t,) for t in texts], "texte STRING")
+    assert [r["texte"] for r in protect_contacts(cells).collect()] == ["tel **56.", "**10 ou **56", texts[2], texts[3]]
     with pytest.raises(ValueError):
         protect_contacts(df, "clair")
 
 
 def test_consultation_copy_is_ordered(spark, folder):
-    upsert_master(ads(spark, ("a", 1), ("b", 2)), f"{folder}/m", DAY1)
-    upsert_master(ads(spark, ("b", 3)), f"{folder}/m", DAY2)
+    upsert_master(ads(spark, ("a", 1), ("b", 2)), f"{folder}/m", DAY1, ["_pos"])
+    upsert_master(ads(spark, ("b", 3)), f"{folder}/m", DAY2, ["_pos"])
     for _ in range(2):
         export_master(load_master(spark, f"{folder}/m"), f"{folder}/vue")
     rows, _ = read_export(f"{folder}/vue")
@@ -187,7 +211,11 @@ def test_line_files_and_appended_tables(spark, folder):
     write(f"{folder}/1.jsonl", '{"id":"a","texte":"un"}\n{"id":"b","texte":"x"}\nnon\n')
     write(f"{folder}/2.jsonl", '{"id":"a","texte":"deux"}\n')
     assert {(r["id"], r["texte"]) for r in load_raw_post_lines(spark, f"{folder}/*.jsonl").collect()} == {("a", "deux"), ("b", "x")}
-    posts = load_raw_post_lines(spark, f"{folder}/1.jsonl").withColumn("groupe_id", F.lit("g")).drop("_file", "_bloc")
+    assert [(r["value"], r["lisible"]) for r in line_issues(spark, f"{folder}/*.jsonl").collect()] == [("non", False)]
+    write(f"{folder}/3.txt", '{"id":"z","texte":"b","_pos":2}\n{"id":"z","texte":"a","_pos":1}\n{"texte":"sans id"}\n[1]\n\n')
+    assert [r["texte"] for r in load_raw_post_lines(spark, f"{folder}/3.txt").collect()] == ["b"]
+    assert {(r["value"], r["lisible"]) for r in line_issues(spark, f"{folder}/3.txt").collect()} == {('{"texte":"sans id"}', True), ("[1]", False)}
+    posts = load_raw_post_lines(spark, f"{folder}/1.jsonl").withColumn("groupe_id", F.lit("g")).withColumn("_pos", F.array("_pos")).drop("_file", "_bloc")
     append_raw(posts.filter("false"), f"{folder}/t", "20260731T000000Z")
     append_raw(posts, f"{folder}/t", "20260801T000000Z")
     append_raw(posts.filter("id = 'a'").withColumn("texte", F.lit("corrigé")).withColumn("groupe_id", F.lit("h")), f"{folder}/t", "20260802T000000Z")

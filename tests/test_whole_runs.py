@@ -7,11 +7,11 @@ from pyspark import cloudpickle
 
 from adfeed.operators.health import source_health
 from adfeed.operators.structure import structure_once
-from adfeed.plans.runs import Places, collect_posts, collect_run, full_run, rules_only_run
+from adfeed.plans.runs import Places, collect_posts, full_run, rules_only_run
 from adfeed.sinks.tables import save_health
-from adfeed.sources.posts import ORDER, load_raw_posts, load_raw_table
+from adfeed.sources.posts import ORDER, file_issues, load_raw_posts, load_raw_table
 from adfeed.sources.state import load_health, load_markers, load_master, load_runs, load_seen
-from adfeed.streaming.ingest import first_of_each_id, read_new_files, score_stream, undated, upsert_stream
+from adfeed.streaming.ingest import first_post_stream, read_new_files, score_stream, upsert_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -85,17 +85,31 @@ def test_no_master_folder_fails_before_any_call(spark, folder):
         full_run(spark, raw(spark, folder), Places("", "r", "o", "v"), NOW, ORDER, extractor=call)
 
 
-def test_collection_runs_follow_each_other(spark, folder):
-    schema = "groupe_id STRING, step INT, pos INT, id STRING, date_publication TIMESTAMP, featured BOOLEAN"
-    first = spark.createDataFrame([("g", 0, 0, "b", NOW, False), ("g", 1, 0, "a", NOW, False)], schema)
-    second = spark.createDataFrame([("g", 0, 0, "c", NOW, False), ("g", 1, 0, "b", NOW, False), ("g", 2, 0, "z", NOW, False)], schema)
-    paths = f"{folder}/vus", f"{folder}/reperes"
-    collect_run(first, *paths, NOW - timedelta(days=1), NOW)
-    assert load_markers(spark, paths[1]).first()["post_id"] == "b"
-    result = collect_run(second, *paths, NOW - timedelta(days=1), NOW)
-    assert [r["id"] for r in result.posts.collect()] == ["c"] and result.groups.first()["stop_reason"] == "marker"
-    assert sorted(r["id"] for r in load_seen(spark, paths[0]).collect()) == ["a", "b", "c"]
-    assert load_markers(spark, paths[1]).first()["post_id"] == "c"
+def test_copies_and_unreadable_files_are_listed(spark, folder):
+    posts = raw(spark, folder)
+    issues = file_issues(spark.createDataFrame([("f", "[oops")], "_file STRING, value STRING"))
+    full_run(spark, posts, places(folder), NOW, ORDER, issues=issues)
+    assert [tuple(r) for r in spark.read.schema("id STRING, id_garde STRING").json(f"{places(folder).out}/doublons").collect()] == [("5", "1")]
+    assert spark.read.json(f"{places(folder).out}/illisibles").first()["_file"] == "f"
+
+
+def test_an_id_twice_in_a_run_is_once_in_the_master(spark, folder):
+    rows = [("1", SALE, 0), ("1", SALE + " bis", 1), ("2", SALE + " ter", 2)]
+    posts = spark.createDataFrame(rows, "id STRING, texte STRING, _pos BIGINT")
+    full_run(spark, posts, places(folder), NOW, ["_pos"])
+    stored = load_master(spark, places(folder).master).collect()
+    assert {r["id"]: r["texte_nettoye"][-3:] for r in stored} == {"1": "bis", "2": "ter"} and len(stored) == 2
+    assert [r["type_bien_inconnu"] for r in stored] == [False, False]
+
+
+def test_phone_numbers_are_masked_in_every_file(spark, folder):
+    full_run(spark, raw(spark, folder), places(folder), NOW, ORDER)
+    out = places(folder).out
+    for path, kind in ((f"{out}/annonces", "csv"), (places(folder).consult, "csv"), (f"{out}/rejetes", "json")):
+        text = "\n".join(r["value"] for r in spark.read.text(path, recursiveFileLookup=True).collect())
+        assert "70 11 22" not in text, path
+    text = "\n".join(r["value"] for r in spark.read.text(f"{out}/annonces").collect())
+    assert "tel **33" in text and "9 000 000 FCFA" in text
 
 
 STREAM = "id STRING, prix_fcfa BIGINT, ts TIMESTAMP_NTZ, _pos BIGINT"
@@ -120,19 +134,19 @@ def test_stream_upsert_goes_on_after_a_stop(spark, folder):
     assert go(later) == {"a": (9, NOW), "b": (2, NOW), "c": (4, later)}
 
 
-def test_stream_drops_known_ids_and_keeps_undated_rows_apart(spark, folder):
+def test_stream_keeps_the_first_row_of_every_id(spark, folder):
+    """Late rows and rows without a time are kept like any other."""
     schema = spark.createDataFrame([], STREAM).schema
-    arrive(spark, folder, ("a", 1, NOW), ("b", 2, NOW), ("n", 5, None))
-    arrive(spark, folder, ("a", 3, NOW + timedelta(days=2)), ("c", 4, NOW), ("n", 5, None))
+    arrive(spark, folder, ("a", 1, NOW), ("b", 2, NOW), ("n", 5, None), ("b", 7, NOW))
 
-    def rows(stream, name):
-        stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/c{name}").trigger(availableNow=True).start(
-            f"{folder}/{name}").awaitTermination()
-        return sorted(r["id"] for r in spark.read.parquet(f"{folder}/{name}").collect())
+    def go():
+        first_post_stream(read_new_files(spark, f"{folder}/in", schema, 1), f"{folder}/out", f"{folder}/c").awaitTermination()
+        return {r["id"]: r["prix_fcfa"] for r in spark.read.schema(schema).parquet(f"{folder}/out").collect()}
 
-    source = read_new_files(spark, f"{folder}/in", schema, 1)
-    assert rows(first_of_each_id(source, "ts"), "dates") == ["a", "b", "c"]
-    assert rows(undated(source, "ts"), "sans") == ["n", "n"]
+    assert go() == {"a": 1, "b": 2, "n": 5}
+    arrive(spark, folder, ("a", 3, NOW + timedelta(days=2)), ("tard", 4, NOW - timedelta(days=900)), ("n", 6, None), ("m", 8, None))
+    assert go() == go() == {"a": 1, "b": 2, "n": 5, "tard": 4, "m": 8}
+    assert spark.read.parquet(f"{folder}/out").count() == 5
 
 
 def record(ident, text, **more):
@@ -155,15 +169,17 @@ def test_from_captures_to_raw_posts(spark, folder):
     responses = spark.createDataFrame(bodies, "groupe_id STRING, step INT, response_pos INT, body STRING")
     groups = spark.createDataFrame([("g", "Groupe")], "id STRING, nom STRING")
     paths = f"{folder}/vus", f"{folder}/reperes", f"{folder}/brut"
-    result = collect_posts(pages, responses, groups, *paths, NOW - timedelta(days=2), NOW)
-    assert result.groups.select("groupe_id", "stop_step", "stop_reason", "post_id").first()[:] == ("g", 2, "window", "b")
+    result = collect_posts(pages, responses, groups, *paths, NOW - timedelta(days=2), NOW, f"{folder}/pages_ecartees")
+    assert result.groups.filter("groupe_id = 'g'").select("nb_posts", "etape_repere", "post_id").first()[:] == (6, None, "b")
     stored = load_raw_table(spark, paths[2]).orderBy("_pos").collect()
     assert [(r["id"], r["texte"], r["groupe_nom"]) for r in stored] == [
-        ("vieux", "épinglé", "Groupe"), ("a", "un", "Groupe"), ("b", "deux", "Groupe"), ("c", "trois", "Groupe"), ("d", "quatre", "Groupe")]
+        ("vieux", "épinglé", "Groupe"), ("a", "un", "Groupe"), ("b", "deux", "Groupe"), ("c", "trois", "Groupe"), ("d", "quatre", "Groupe"), ("e", "cinq", "Groupe")]
     assert stored[0]["date_publication"] == "2017-07-14T02:40:00+00:00" and stored[3]["url"] == "https://x/posts/c" and stored[3]["date_incertaine"]
-    assert sorted(r["id"] for r in load_seen(spark, paths[0]).collect()) == ["a", "b", "c", "d", "vieux"]
+    assert [tuple(r)[:3] for r in spark.read.parquet(f"{folder}/pages_ecartees").collect()] == [("bloque", "https://x/checkpoint", "blocked")]
+    assert sorted(r["id"] for r in load_seen(spark, paths[0]).collect()) == ["a", "b", "c", "d", "e", "vieux"]
     again = collect_posts(pages, responses, groups, *paths, NOW - timedelta(days=2), NOW + timedelta(hours=1))
     assert again.posts.count() == 0 and load_markers(spark, paths[1]).first()["post_id"] == "b"
+    assert load_raw_table(spark, paths[2]).count() == 6
 
 
 def test_answers_are_asked_for_once(spark, folder):
