@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -16,6 +12,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adfeed.session import work_folder
+
 # Fixed value: the white space of all word rules, as a class of Java patterns.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -33,19 +31,8 @@ def ready(spark: SparkSession) -> SparkSession:
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder in the shared folder that ``spark.checkpoint.dir`` names.
-
-    A local session without the setting, as in tests, gets a folder of its own
-    that goes when the driver ends; a cluster without it is refused.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder in the shared folder that ``spark.checkpoint.dir`` names."""
+    return work_folder(spark, purpose)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

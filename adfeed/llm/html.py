@@ -91,16 +91,16 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
     lines: list[tuple[str, bool, str]] = []
     stack: list[tuple[str, bool, str]] = []  # tag, dropped, container
     open_tags: Counter = Counter()
-    parts: list[str] = []
+    parts: list[tuple[str, bool]] = []  # text, dropped
     off, container = False, ""
     at, size = 0, len(page)
 
     def flush() -> None:
-        if parts:
-            line = " ".join("".join(parts).split())
+        for gone in (True, False):
+            line = " ".join("".join(text for text, dropped in parts if dropped == gone).split())
             if line:
-                lines.append((line, off, container))
-            parts.clear()
+                lines.append((line, gone, container))
+        parts.clear()
 
     def close(index: int) -> None:
         nonlocal off, container
@@ -112,10 +112,10 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
     while at < size:
         found = TOKEN.search(page, at)
         if not found:
-            parts.append(html.unescape(page[at:]))
+            parts.append((html.unescape(page[at:]), off))
             break
         if found.start() > at:
-            parts.append(html.unescape(page[at : found.start()]))
+            parts.append((html.unescape(page[at : found.start()]), off))
         at = found.end()
         tag = (found[2] or found[5] or "").lower()
         if not tag:
@@ -136,7 +136,7 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
                     if stack[i][0] in SCOPES:
                         break
         if tag == "br":
-            parts.append(" ")
+            parts.append((" ", off))
         if tag in VOID:
             continue
         attributes = found[3] or found[6] or ""
@@ -207,7 +207,7 @@ def common_lines(own: list[int], other: list[int]) -> list[int]:
     return [*range(start), *reversed(middle), *range(len(own) - end, len(own))]
 
 
-SIGNS = pa.schema([("key", pa.binary()), ("prefixes", pa.list_(pa.int64())), ("numbers", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))])
+SIGNS = pa.schema([("key", pa.binary()), ("prefixes", pa.list_(pa.int64())), ("whole", pa.int64()), ("numbers", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))])
 TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("key", pa.binary()), ("lines", pa.list_(pa.struct([("n", pa.int32()), ("text", pa.string())])))])
 
 
@@ -217,13 +217,14 @@ def _signed(line: str) -> int:
 
 
 def _signs(batch: dict) -> dict:
-    numbers, hashes = [], []
+    whole, numbers, hashes = [], [], []
     for page in batch["html"]:
         lines = page_lines(page.as_py())
         _, open_lines = settled(lines)
+        whole.append(_signed("\n".join(line for line, _, _ in lines)))
         numbers.append(open_lines)
         hashes.append([_signed(lines[i][0]) for i in open_lines])
-    return {"key": batch["key"], "prefixes": [url_prefixes(u.as_py()) for u in batch["url"]], "numbers": numbers, "hashes": hashes}
+    return {"key": batch["key"], "prefixes": [url_prefixes(u.as_py()) for u in batch["url"]], "whole": whole, "numbers": numbers, "hashes": hashes}
 
 
 def _texts(batch: dict) -> dict:
@@ -233,8 +234,9 @@ def _texts(batch: dict) -> dict:
 
 def _deleted(batch: dict) -> dict:
     out = []
-    for numbers, own, other in zip(batch["numbers"].to_pylist(), batch["hashes"].to_pylist(), batch["other"].to_pylist()):
-        out.append([numbers[i] for i in common_lines(own, other)] if own != other else [])
+    columns = (batch[n].to_pylist() for n in ("whole", "numbers", "hashes", "other_whole", "other"))
+    for whole, numbers, own, other_whole, other in zip(*columns):
+        out.append([numbers[i] for i in common_lines(own, other)] if whole != other_whole else [])
     return {"key": batch["key"], "deleted": out}
 
 
@@ -243,7 +245,7 @@ DELETED = pa.schema([("key", pa.binary()), ("deleted", pa.list_(pa.int32()))])
 
 def shared_lines(pages: DataFrame) -> DataFrame:
     """key, deleted: the lines each page shares with its nearest page. Hashes travel, no texts."""
-    signs = pages.mapInArrow(rows_of(_signs, SIGNS), "key binary, prefixes array<long>, numbers array<int>, hashes array<long>")
+    signs = pages.mapInArrow(rows_of(_signs, SIGNS), "key binary, prefixes array<long>, whole long, numbers array<int>, hashes array<long>")
     signs = written(signs.dropDuplicates(["key"]), "page-lines")
     steps = signs.select("key", F.posexplode("prefixes").alias("depth", "prefix"))
     ends = steps.groupBy("prefix").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
@@ -251,9 +253,9 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     partner = F.when(F.col("key") == F.col("low"), F.col("high")).otherwise(F.col("low"))
     nearest = steps.join(ends, "prefix").groupBy("key").agg(F.max(F.struct("depth", partner.alias("partner"))).alias("nearest"))
     pairs = nearest.select("key", F.col("nearest.partner").alias("partner"))
-    others = signs.select(F.col("key").alias("partner"), F.col("hashes").alias("other"))
-    pairs = pairs.join(others, "partner").join(signs.select("key", "numbers", "hashes"), "key")
-    found = pairs.select("key", "numbers", "hashes", "other").mapInArrow(rows_of(_deleted, DELETED), "key binary, deleted array<int>")
+    others = signs.select(F.col("key").alias("partner"), F.col("whole").alias("other_whole"), F.col("hashes").alias("other"))
+    pairs = pairs.join(others, "partner").join(signs.select("key", "whole", "numbers", "hashes"), "key")
+    found = pairs.select("key", "whole", "numbers", "hashes", "other_whole", "other").mapInArrow(rows_of(_deleted, DELETED), "key binary, deleted array<int>")
     return found.where(F.size("deleted") > 0)
 
 

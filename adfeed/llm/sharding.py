@@ -46,9 +46,9 @@ def shuffled_shards(
     placed = ordered.select("bucket", F.posexplode(F.shuffle("r", F.lit(seed))).alias("pos", "r"))
     place = F.col("start") + F.col("pos")
     shard = F.expr(f"(start + pos) * {shards}L div {max(rows, 1)}L")
-    joined = placed.join(starts, placed["bucket"] == starts["b"]).select("r.row.*", shard.cast("int").alias("shard"), place.alias("place"))
+    joined = placed.join(starts, placed["bucket"] == starts["b"]).select(F.col("r.row").alias("row"), shard.cast("int").alias("shard"), place.alias("place"))
     first = F.expr(f"(shard * {rows}L + {shards - 1}L) div {shards}L")
-    return joined.select(*docs.columns, "shard", (F.col("place") - first).alias("slot"), F.lit(LAW).alias("law"))
+    return joined.select("row.*", "shard", (F.col("place") - first).alias("slot"), F.lit(LAW).alias("law"))
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:

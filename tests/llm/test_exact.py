@@ -1,0 +1,82 @@
+"""Exact copies against a dictionary of normalised texts."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from adfeed.llm.common import ready, shared_path
+from adfeed.llm.exact import DigestIndex, exact_duplicates, kept_rows
+
+
+def normal(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def sha(text):
+    return hashlib.sha256(normal(text).encode()).hexdigest()
+
+
+@pytest.fixture
+def index(spark):
+    ready(spark)
+    return DigestIndex(spark, shared_path(spark, "test-index"), buckets=4)
+
+
+def brute(rows):
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(sha(text), []).append(doc_id)
+    out, kept = [], set()
+    for doc_id, text in rows:
+        ids = [i for i in groups[sha(text)] if i is not None]
+        keep = min(ids) if ids else None
+        first = doc_id == keep and sha(text) not in kept
+        kept |= {sha(text)} if first else set()
+        out.append((doc_id, keep, len(groups[sha(text)]), first, sha(text)))
+    return sorted(out, key=str)
+
+
+def test_against_a_dictionary(spark, index):
+    draw = random.Random(1)
+    texts = ["a b", "a  b", "a\tb", "a\nb ", " a b", "A b", "", None, " ", "é b", "é b", "a\x0b\x0cb"]
+    rows = [(i, draw.choice(texts)) for i in draw.sample(range(1000), 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted((tuple(r) for r in exact_duplicates(docs, index).collect()), key=str) == brute(rows)
+
+
+def test_later_batches_meet_the_index(spark, index):
+    def batch(*rows):
+        got = exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), index).collect()
+        return sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got)
+
+    assert batch((5, "x"), (7, "x"), (6, "y")) == [(5, 5, 2, True), (6, 6, 1, True), (7, 5, 2, False)]
+    assert batch((1, "x "), (2, "y"), (3, "z")) == [(1, 1, 1, True), (2, 6, 1, False), (3, 3, 1, True)]
+    assert batch((1, "x "), (2, "y"), (3, "z")) == [(1, 1, 1, False), (2, 6, 1, False), (3, 3, 1, False)]
+    again = DigestIndex(spark, spark.sql(f"DESCRIBE EXTENDED {index.table}").where("col_name = 'Location'").first()["data_type"], buckets=4)
+    assert again.read().count() == index.read().count() == 4
+
+
+def test_anti_join_leaves_the_index_where_it_is(spark, index):
+    index.append(spark.createDataFrame([("d", 1)], "digest string, keep_id long"))
+    plan = index.unseen(spark.range(9).select(F.col("id").cast("string").alias("digest")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
+def test_odd_rows(spark, index):
+    """Null ids and texts, repeated rows, a long text, clashing columns."""
+    long = "w " * 300_000
+    rows = [(None, "a"), (None, "a"), (3, "b"), (3, "b"), (None, "b"), (4, None), (5, ""), (6, long), (7, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("digest", "keep_id", "n", "copy", "kept", "_digest2")})
+    assert sorted((tuple(r) for r in exact_duplicates(docs, index).collect()), key=str) == brute(rows)
+    other = DigestIndex(spark, shared_path(spark, "test-index"))
+    kept = kept_rows(docs, other)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], normal(r["text"])[:3]) for r in kept.collect()), key=str) == sorted([(None, "a"), (3, "b"), (4, ""), (6, "w w")], key=str)
+
+
+def test_empty_table(spark, index):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert exact_duplicates(docs, index).collect() == [] and kept_rows(docs, index).collect() == []
