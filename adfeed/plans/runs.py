@@ -15,7 +15,7 @@ from adfeed.functions.rules import LAND_RULES, RuleSet
 from adfeed.functions.text import iso_text
 from adfeed.operators.catchup import Catchup, new_posts
 from adfeed.operators.dedup import text_duplicates
-from adfeed.operators.filtering import candidates, funnel, rejects, tag_posts
+from adfeed.operators.filtering import candidates, rejects, tag_posts
 from adfeed.operators.records import body_records, page_records, with_group
 from adfeed.operators.runs import check_drift, run_row, run_summary
 from adfeed.operators.structure import Extractor, invalid_posts, route, structure_once, valid_ads
@@ -74,9 +74,9 @@ def full_run(
     Rejects, text copies (``doublons``) and, given as ``issues``, what the reader could
     not read (``illisibles``) are listed beside the exports.
 
-    Without an extractor the rule-based one fills the fields.  Every step that
-    has several readers is written first.  The extractor's answers are kept in
-    ``out``: a run started again with the same places does not ask twice.
+    Without an extractor the rule-based one fills the fields.  The two steps that
+    have several readers, tagged posts and routed answers, are written.  The extractor's
+    answers are kept in ``out``: a run started again with the same places does not ask twice.
     """
     if not places.master:
         raise ValueError("the master folder must be set before any paid call")
@@ -86,13 +86,9 @@ def full_run(
         answered = chosen.withColumn("sortie_modele", rule_extract(F.col("texte_nettoye"), rules))
     else:
         answered = structure_once(chosen, extractor, f"{places.out}/appels", **calls)
-    answers = _written(answered, f"{places.out}/reponses")
-    routed = _written(route(answers, strict=strict), f"{places.out}/champs")
+    routed = _written(route(answered, strict=strict), f"{places.out}/champs")
     valid = valid_ads(routed)
-
-    everything = F.lit(1).alias("tous")
-    by_all = funnel(tagged.select("*", everything), ["tous"], order, valid.select("*", everything))
-    counts = _held(_one_row(by_all))
+    counts = _held(_counts(tagged, routed))
     drift = _held(check_drift(load_runs(spark, places.runs), counts.first()["nb_valides"], mode))
 
     upsert_master(valid, places.master, now, order)
@@ -106,10 +102,12 @@ def full_run(
     return run_summary(counts, drift, places.master)
 
 
-def _one_row(counts: DataFrame) -> DataFrame:
-    """The grand total; zeros for a run without posts, which must be logged too."""
-    names = ["nb_bruts", "nb_rejetes", "nb_candidats", "nb_doublons", "nb_valides"]
-    return counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+def _counts(tagged: DataFrame, routed: DataFrame) -> DataFrame:
+    """The funnel of a run in one row, from the two stored steps: no text is compared again."""
+    answered = routed.agg(F.count("*").alias("n"), F.count_if(F.col("motif_rejet").isNull()).alias("v"))
+    return tagged.agg(F.count("*").alias("nb_bruts"), F.count("motif_rejet").alias("nb_rejetes")).select(
+        "nb_bruts", "nb_rejetes", answered.select("n").scalar().alias("nb_candidats"), answered.select("v").scalar().alias("nb_valides")
+    ).withColumn("nb_doublons", F.col("nb_bruts") - F.col("nb_rejetes") - F.col("nb_candidats"))
 
 
 def captures_of(pages: DataFrame, responses: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
