@@ -237,7 +237,7 @@ def keyed_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 def whole_copies(records: DataFrame, width: int) -> DataFrame:
     """doc_key, start, n: all windows of the documents whose words are those of an earlier one."""
     long = records.where(F.col("n_words") >= width).select("sha256", "doc_id", "doc_key", "n_words")
-    firsts = long.groupBy("sha256").agg(F.min(F.struct("doc_id", "doc_key")).alias("first"))
+    firsts = written(long.groupBy("sha256").agg(F.min(F.struct("doc_id", "doc_key")).alias("first")), "firsts")
     later = long.join(firsts, "sha256").where("doc_key <> first.doc_key").select("doc_key", "n_words").distinct()
     return written(later.select("doc_key", F.lit(0).alias("start"), (F.col("n_words") - width + 1).cast("int").alias("n")), "copies")
 
