@@ -76,6 +76,16 @@ def page_records_query(spark, folder):
     )
 
 
+def deep_records(spark, folder):
+    """A record for each page below 13 to 112 levels, every hundredth below 60,001, its text 20 levels further down."""
+    levels = F.when(F.col("page_id") % 100 == 0, F.lit(60_001)).otherwise(F.col("page_id") % 100 + 13).cast("int")
+    inner = F.concat(F.repeat(F.lit('{"n": '), F.lit(20)), F.lit('{"message": '), F.to_json(F.struct(F.col("url").alias("text"))), F.lit("}"), F.repeat(F.lit("}"), F.lit(20)))
+    record = F.concat(F.lit('{"id": "'), F.col("page_id").cast("string"), F.lit('", "comet_sections": '), inner, F.lit("}"))
+    script = F.concat(F.lit('<script type="application/json">'), F.repeat(F.lit("["), levels), record, F.repeat(F.lit("]"), levels), F.lit("</script>"))
+    pages = with_computed(table(spark, folder, "pages").select("page_id", "url"), "html", script)
+    return page_records(pages, ["page_id"], NOW).select("page_id", "id", "texte")
+
+
 def _responses(spark, folder) -> DataFrame:
     """Turns as response bodies: one line for users, several lines otherwise."""
     ident = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
@@ -200,6 +210,7 @@ def empty_group_samples_query(spark, folder):
 QUERIES = {
     "html_blobs": html_blobs_query,
     "page_records": page_records_query,
+    "deep_records": deep_records,
     "body_documents": body_documents_query,
     "body_records": body_records_query,
     "relative_dates": relative_dates,
@@ -247,6 +258,7 @@ ORACLE = {
             replace(html, '<', ' ') AS texte, (({BASE_TIME} + page_id) * 1000000)::BIGINT AS publie_us, 0 AS date_incertaine,
             '2024-01-31T00:00:00+00:00' AS scrape_le FROM pages
         UNION ALL SELECT page_id, 2, 1, 'r' || page_id, NULL, url, NULL, 1, '2024-01-31T00:00:00+00:00' FROM pages""",
+    "deep_records": "SELECT page_id, page_id::VARCHAR AS id, url AS texte FROM pages",
     "body_documents": r"""SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id, turn ORDER BY premier) - 1)::INT AS doc_pos, document
         FROM (SELECT conv_id, turn, document, min(i) AS premier FROM
             (SELECT conv_id, turn, i, regexp_replace(p, '^[\s\x0b\x1c-\x1f\x{85}\p{Z}]+|[\s\x0b\x1c-\x1f\x{85}\p{Z}]+$', '', 'g') AS document FROM

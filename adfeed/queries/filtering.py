@@ -75,6 +75,13 @@ def text_duplicates_query(spark, folder):
     return text_duplicates(_cleaned(spark, folder), ["id"])
 
 
+def dedup_text_blank(spark, folder):
+    """Blank texts are no copies of each other: Spanish ones lose their words, a part of the French ones shares one text."""
+    short = F.when(F.col("lang") == "es", F.lit(ODD_SPACES)).when((F.col("lang") == "fr") & (F.col("id") % 3 == 0), F.lit("même")).otherwise(F.col("texte"))
+    cleaned = with_computed(documents(spark, folder).withColumn("texte", short), "texte_nettoye", clean_text(F.col("texte")))
+    return dedup_text(cleaned, ["id"]).select("id", "lang")
+
+
 def dedup_id_last(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return dedup_last(turns, "conv_id", ["turn"])
@@ -156,6 +163,7 @@ QUERIES = {
     "candidate_funnel": candidate_funnel,
     "reject_breakdown": reject_breakdown_query,
     "dedup_text_first": dedup_text_first,
+    "dedup_text_blank": dedup_text_blank,
     "text_duplicates": text_duplicates_query,
     "dedup_id_last": dedup_id_last,
     "dedup_id_first": dedup_id_first,
@@ -194,6 +202,9 @@ ORACLE = {
         WHERE motif IS NOT NULL GROUP BY 1, 2""",
     "dedup_text_first": f"""SELECT id, groupe_id FROM ({_CLEANED})
         QUALIFY t = '' OR row_number() OVER (PARTITION BY t ORDER BY id) = 1""",
+    "dedup_text_blank": f"""SELECT id, lang FROM (SELECT c.id, d.lang, CASE WHEN d.lang = 'es' THEN ''
+            WHEN d.lang = 'fr' AND c.id % 3 = 0 THEN 'même' ELSE c.t END AS t FROM ({_CLEANED}) c JOIN documents d ON d.doc_id = c.id)
+        QUALIFY t = '' OR row_number() OVER (PARTITION BY t ORDER BY id) = 1""",
     "text_duplicates": f"""SELECT id, premier AS id_garde FROM
         (SELECT id, t, min(id) OVER (PARTITION BY t) AS premier FROM ({_CLEANED})) WHERE t <> '' AND id <> premier""",
     "dedup_id_last": """SELECT conv_id, min(turn) AS turn, arg_max(role, turn) AS role, arg_max(text, turn) AS text

@@ -21,7 +21,7 @@ from adfeed.session import work_folder
 from adfeed.sinks.exports import export_ads, export_master, write_rejects
 from adfeed.sinks.tables import append_raw, upsert_master
 from adfeed.sources.groups import load_groups
-from adfeed.sources.posts import file_issues, load_raw_table, merge_posts, parse_post_files
+from adfeed.sources.posts import file_issues, line_issues, load_raw_post_lines, load_raw_table, merge_posts, parse_post_files
 from adfeed.sources.state import load_health, load_master
 from adfeed.streaming.ingest import first_post_stream, read_new_files, score_stream, upsert_stream
 
@@ -29,7 +29,7 @@ NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
 LATER = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
 
-def active_groups_query(spark, folder):
+def _group_file(spark, folder) -> str:
     """Suppliers as a group list in CSV, with placeholders and inactive groups."""
     path = work_folder(spark, "groupes")
     balance = F.col("s_acctbal")
@@ -40,7 +40,16 @@ def active_groups_query(spark, folder):
         F.concat("s_name", F.lit(', "suite" ')).alias("nom"), F.lit(" https://exemple.test/groups ").alias("url"),
     )
     rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return load_groups(spark, path).withColumn("actif", F.col("actif").cast("int"))
+    return path
+
+
+def active_groups_query(spark, folder):
+    return load_groups(spark, _group_file(spark, folder)).withColumn("actif", F.col("actif").cast("int"))
+
+
+def first_groups(spark, folder):
+    """The first seven in the order of the file (a limit is the feature)."""
+    return load_groups(spark, _group_file(spark, folder), 7).select("id", "nom")
 
 
 def _post_files(spark, folder) -> DataFrame:
@@ -67,6 +76,27 @@ def raw_file_issues(spark, folder):
     return issues.select("_file", F.col("lisible").cast("int").alias("lisible"), "sans_id")
 
 
+def _line_files(spark, folder) -> str:
+    """A file of lines for each source: posts that repeat ids, cut lines and lines without an id."""
+    path = work_folder(spark, "lignes")
+    ident = F.when(F.col("lang") != "es", F.concat_ws("-", "source", (F.col("doc_id") % 100).cast("string")))
+    post = F.to_json(F.struct(ident.alias("id"), F.col("source").alias("groupe_id"), F.col("text").alias("texte"), F.col("doc_id").alias("_pos")))
+    line = F.when(F.col("lang") == "de", F.expr("left(p, length(p) - 1)")).otherwise(F.col("p"))
+    rows = table(spark, folder, "documents").withColumn("p", post).select("source", line.alias("value"))
+    rows.repartition("source").write.partitionBy("source").text(path)
+    return path
+
+
+def raw_post_lines(spark, folder):
+    """Of an id the last line of the last file counts; ids hold their source, so files do not matter."""
+    return load_raw_post_lines(spark, _line_files(spark, folder)).select("id", "groupe_id", "texte")
+
+
+def raw_line_issues(spark, folder):
+    issues = line_issues(spark, _line_files(spark, folder))
+    return issues.select(F.col("lisible").cast("int").alias("lisible"), F.md5("value").alias("ligne_md5"))
+
+
 def raw_append_read(spark, folder):
     """Two runs appended by group; the second corrects some posts of the first."""
     path = work_folder(spark, "brut")
@@ -150,18 +180,46 @@ def full_run_summary(spark, folder):
     )
 
 
-def collect_posts_query(spark, folder):
-    """Pages as group pages and turns as feed responses: everything is new on the first visit."""
+def _collected(spark, folder) -> str:
+    """Pages as group pages and turns as feed responses, far down the feed; a seventh of the pages is blocked."""
     path = work_folder(spark, "collecte")
     lang = F.regexp_extract("html", '<html lang="([a-z]+)"', 1)
-    pages = _pages_with_records(spark, folder).select(lang.alias("groupe_id"), "url", "html")
+    address = F.when(F.col("page_id") % 7 == 0, F.concat("url", F.lit("/checkpoint/"))).otherwise(F.col("url")).alias("url")
+    pages = _pages_with_records(spark, folder).select(lang.alias("groupe_id"), address, "html")
     roles = F.when(F.col("groupe_id") == "user", "en").when(F.col("groupe_id") == "assistant", "fr").otherwise("de")
     responses = _responses(spark, folder).select(
-        roles.alias("groupe_id"), F.col("turn").alias("step"), F.col("conv_id").alias("response_pos"), "body"
+        roles.alias("groupe_id"), (F.col("turn") * 10_000).alias("step"), F.col("conv_id").alias("response_pos"), "body"
     )
     groups = documents(spark, folder).select(F.col("lang").alias("id"), F.upper("lang").alias("nom")).distinct()
-    collect_posts(pages, responses, groups, f"{path}/vus", f"{path}/reperes", f"{path}/brut", datetime(2023, 1, 1, tzinfo=timezone.utc), NOW)
-    return load_raw_table(spark, f"{path}/brut").select("id", "groupe_id", "groupe_nom", "url", "texte", "date_publication")
+    cutoff = datetime(2023, 1, 1, tzinfo=timezone.utc)
+    collect_posts(pages, responses, groups, f"{path}/vus", f"{path}/reperes", f"{path}/brut", cutoff, NOW, f"{path}/ecartees")
+    return path
+
+
+def collect_posts_query(spark, folder):
+    """Everything is new on the first visit."""
+    raw = load_raw_table(spark, f"{_collected(spark, folder)}/brut")
+    return raw.select("id", "groupe_id", "groupe_nom", "url", "texte", "date_publication")
+
+
+def left_out_pages(spark, folder):
+    return spark.read.parquet(f"{_collected(spark, folder)}/ecartees").select("groupe_id", "url", "statut")
+
+
+def full_run_ads(spark, folder):
+    """The exported ads of a whole run, row by row."""
+    path = work_folder(spark, "run")
+    posts = documents(spark, folder).withColumn("id", F.lpad(F.col("id").cast("string"), 12, "0"))
+    full_run(spark, posts, Places(f"{path}/maitre", f"{path}/runs", f"{path}/sorties", f"{path}/vue"), NOW, ["id"], rules=TEST_RULES, contacts="raw")
+    return _read_csv(spark, f"{path}/sorties/annonces", AD_COLUMNS).select("id", "texte_nettoye")
+
+
+def full_run_copies(spark, folder):
+    """The text copies that a whole run lists, with the post that stands for each."""
+    path = work_folder(spark, "run")
+    posts = documents(spark, folder).withColumn("id", F.lpad(F.col("id").cast("string"), 12, "0"))
+    full_run(spark, posts, Places(f"{path}/maitre", f"{path}/runs", f"{path}/sorties", f"{path}/vue"), NOW, ["id"], rules=TEST_RULES)
+    return spark.read.schema("id STRING, id_garde STRING").json(f"{path}/sorties/doublons")
 
 
 def _in_parts(df: DataFrame, path: str, time: str = "ts") -> None:
@@ -214,6 +272,9 @@ def stream_scores(spark, folder):
 
 QUERIES = {
     "active_groups": active_groups_query,
+    "first_groups": first_groups,
+    "raw_post_lines": raw_post_lines,
+    "raw_line_issues": raw_line_issues,
     "raw_posts_merge": raw_posts_merge,
     "raw_file_issues": raw_file_issues,
     "raw_append_read": raw_append_read,
@@ -223,7 +284,10 @@ QUERIES = {
     "rejects_audit": rejects_audit,
     "rules_only_candidates": rules_only_candidates,
     "full_run_summary": full_run_summary,
+    "full_run_ads": full_run_ads,
+    "full_run_copies": full_run_copies,
     "collect_posts": collect_posts_query,
+    "left_out_pages": left_out_pages,
     "stream_dedup": stream_dedup,
     "stream_upsert": stream_upsert,
     "stream_scores": stream_scores,
@@ -241,6 +305,18 @@ ORACLE = {
             mult AS cooldown_multiplicateur FROM fold QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC) = 1""",
     "active_groups": """SELECT s_suppkey::VARCHAR AS id, s_name || ', "suite"' AS nom, 'https://exemple.test/groups' AS url, 1 AS actif
         FROM supplier WHERE s_acctbal < 5000 OR (s_acctbal >= 8000 AND s_acctbal <= 9000)""",
+    "first_groups": """SELECT s_suppkey::VARCHAR AS id, s_name || ', "suite"' AS nom FROM supplier
+        WHERE s_acctbal < 5000 OR (s_acctbal >= 8000 AND s_acctbal <= 9000) ORDER BY s_suppkey LIMIT 7""",
+    "raw_post_lines": """SELECT source || '-' || (doc_id % 100) AS id, source AS groupe_id, arg_max(text, doc_id) AS texte
+        FROM documents WHERE lang NOT IN ('es', 'de') GROUP BY source, doc_id % 100""",
+    "raw_line_issues": """SELECT (lang = 'es')::INT AS lisible, md5(CASE WHEN lang = 'de' THEN left(p, length(p) - 1) ELSE p END) AS ligne_md5
+        FROM (SELECT lang, '{' || CASE WHEN lang = 'es' THEN '' ELSE '"id":"' || source || '-' || (doc_id % 100) || '",' END || '"groupe_id":"' || source
+            || '","texte":' || to_json(text) || ',"_pos":' || doc_id || '}' AS p FROM documents WHERE lang IN ('es', 'de'))""",
+    "left_out_pages": """SELECT regexp_extract(html, '<html lang="([a-z]+)"', 1) AS groupe_id, url || '/checkpoint/' AS url, 'blocked' AS statut
+        FROM pages WHERE page_id % 7 = 0""",
+    "full_run_ads": f"SELECT lpad(id::VARCHAR, 12, '0') AS id, t AS texte_nettoye FROM ({_VALID_SQL})",
+    "full_run_copies": f"""SELECT lpad(id::VARCHAR, 12, '0') AS id, lpad(premier::VARCHAR, 12, '0') AS id_garde
+        FROM (SELECT id, t, min(id) OVER (PARTITION BY t) AS premier FROM ({TAGGED}) WHERE motif IS NULL AND t <> '') WHERE id <> premier""",
     "raw_posts_merge": f"""SELECT id, arg_max(texte, _file || lpad(_pos::VARCHAR, 9, '0')) AS texte, min(_file) AS _file,
             arg_min(_pos, _file || lpad(_pos::VARCHAR, 9, '0'))::BIGINT AS _pos
         FROM (SELECT *, source || '-' || _pos AS id FROM ({_LINES_SQL})) WHERE lang <> 'de' AND (lang <> 'es' OR _pos > 0) GROUP BY id""",
@@ -266,7 +342,7 @@ ORACLE = {
     "rules_only_candidates": f"SELECT lpad(id::VARCHAR, 12, '0') AS id, t AS texte_nettoye FROM ({_KEPT})",
     "full_run_summary": f"""SELECT (SELECT count(*) FROM documents) AS nb_posts_bruts, (SELECT count(*) FROM ({_KEPT})) AS nb_candidats,
             n AS nb_valides, n AS nb_maitre, n AS nb_journal FROM (SELECT count(*) AS n FROM ({_VALID_SQL}))""",
-    "collect_posts": f"""WITH p AS (SELECT *, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS g FROM pages)
+    "collect_posts": f"""WITH p AS (SELECT *, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS g FROM pages WHERE page_id % 7 <> 0)
         SELECT 'a' || page_id AS id, g AS groupe_id, upper(g) AS groupe_nom, 'https://exemple.test/posts/' || page_id AS url,
             replace(html, '<', ' ') AS texte, strftime(to_timestamp({BASE_TIME} + page_id) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') || '+00:00' AS date_publication FROM p
         UNION ALL SELECT 'r' || page_id, g, upper(g), NULL, url, NULL FROM p
