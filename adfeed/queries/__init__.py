@@ -17,35 +17,34 @@ from adfeed.session import configure
 _MODULES = (filtering, structuring, runs, collection, outputs)
 
 
-# Integer columns that may be NULL. They are reported as -1, which none of them can
+# Integer columns that may be NULL. They are reported as a number that none of them can
 # be otherwise: table tools differ in how they show a missing integer.
+MISSING = -999_999_999_999_999
 MAY_BE_NULL = {
     "amounts_extract": ["superficie_m2", "prix_fcfa"],
-    "validate_output": ["valide", "superficie_m2", "prix_fcfa", "n_resume"],
+    "validate_output": ["valide", "superficie_m2", "prix_fcfa"],
     "route_counts": ["prix"],
     "structure_answers": ["superficie_m2", "prix_fcfa"],
-    "drift_check_last": ["n_message"],
     "page_records": ["publie_us"],
     "relative_dates": ["date_us"],
     "epoch_dates": ["date_us"],
     "feed_catchup_posts": ["date_us"],
     "feed_catchup_groups": ["plus_ancien_us"],
     "oldest_in_step": ["plus_ancien_us"],
-    "rejects_audit": ["n_texte"],
 }
 
 
 def _prepared(name: str, query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         result = query(configure(spark), folder)
-        return result.withColumns({c: F.coalesce(c, F.lit(-1)) for c in MAY_BE_NULL.get(name, [])})
+        return result.withColumns({c: F.coalesce(c, F.lit(MISSING)) for c in MAY_BE_NULL.get(name, [])})
 
     run.__doc__ = query.__doc__
     return run
 
 
 def _reported(name: str, sql: str) -> str:
-    changed = ", ".join(f"coalesce({c}, -1) AS {c}" for c in MAY_BE_NULL.get(name, []))
+    changed = ", ".join(f"coalesce({c}, {MISSING}) AS {c}" for c in MAY_BE_NULL.get(name, []))
     return f"SELECT * REPLACE ({changed}) FROM ({sql})" if changed else sql
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeed.functions.rules import LAND_RULES, RuleSet
+from adfeed.functions.rules import RuleSet
 
 # The test texts are invented words, so this rule set stands in for a market:
 # every branch of the decision has rows.
@@ -93,15 +93,26 @@ def sql_test_reason(text: str) -> str:
 
 
 def sql_land_reason(text: str) -> str:
-    """reject_reason under LAND_RULES."""
-    keywords = LAND_RULES.include.removeprefix(r"\b(?:").removesuffix(r")\b")
-    request = LAND_RULES.request.removeprefix(r"\b(").removesuffix(r")\b")
-    sale, number = LAND_RULES.override.split(r")\b|")
-    return _sql_decision(
-        text,
-        spam=sql_search(text, LAND_RULES.spam),
-        include=sql_words(text, keywords),
-        numeric=sql_search(text, LAND_RULES.numeric.replace(r"(?=\D|$)", "([^0-9]|$)")),
-        request=sql_words(text, request),
-        override=f"{sql_words(text, sale.removeprefix(chr(92) + 'b('))} OR {sql_search(text, number)}",
-    )
+    """reject_reason under the land rules, written out a second time in RE2."""
+    apostrophe = "['' ]"
+    include = "|".join((
+        "parcelle", "terrain", "lotissement", r"non\s+loti", r"zone\s+lotie", "cession", "hectares?", "superficie", "attestation", r"titre\s+foncier",
+        "tf", "puh", rf"permis\s+d{apostrophe}habiter", "apfr", r"acte\s+de\s+cession", r"papier\s+en\s+r[eè]gle", r"[àa]\s+vendre", "vente", "vendre",
+        "c[ée]der", "prix", "n[ée]gociable",
+    ))
+    request = "|".join((
+        r"je\s+recherche", r"recherche\s+une?", r"cherche\s+une?", rf"besoin\s+d{apostrophe}une?", r"suis\s+preneur",
+        r"qui\s+a\s+une?\s+(terrain|parcelle)\s+[àa]\s+(vendre|proposer)",
+    ))
+
+    def word(alternatives: str) -> str:
+        return f"regexp_matches({text}, '(?i)(^|[^\\pL\\pN_])({alternatives})([^\\pL\\pN_]|$)')"
+
+    def found(pattern: str) -> str:
+        return f"regexp_matches({text}, '(?i){pattern}')"
+
+    return f"""CASE WHEN {text} = '' THEN 'texte_vide'
+        WHEN {found(r"(cliquez\s+ici|gagnez\s+[0-9]|投资|forex\s+trading|crypto\s*(monnaie)?\s+gratuit)")} THEN 'regex_niveau1'
+        WHEN NOT ({word(include)} OR {found(r"[0-9]\s*(m2|m²|ha)([^0-9]|$)")}) THEN 'regex_niveau1'
+        WHEN {word(request)} AND NOT ({word(r"[àa]\s+vendre|vends|disponible\s+[àa]\s+la\s+vente")} OR {found(r"prix\s*:?\s*[0-9]+")})
+            THEN 'regex_niveau1' END"""

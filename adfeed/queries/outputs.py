@@ -155,9 +155,7 @@ def rejects_audit(spark, folder):
     level2 = invalid_posts(route(_answers(spark, folder))).select(F.col("event_id").cast("string").alias("id"), "motif_rejet", "type_bien")
     write_rejects(level1, level2, path, contacts="raw")
     back = spark.read.schema("id STRING, texte STRING, type_bien STRING, motif_rejet STRING").json(path)
-    return back.groupBy("motif_rejet").agg(
-        F.count("*").alias("nb"), F.sum(F.length("texte")).alias("n_texte"), F.count("type_bien").alias("nb_types")
-    )
+    return back.select("id", "motif_rejet", F.md5("texte").alias("texte_md5"), "type_bien")
 
 
 def rules_only_candidates(spark, folder):
@@ -297,7 +295,7 @@ _LINES_SQL = """SELECT lpad(doc_id::VARCHAR, 12, '0') AS _file, source, lang, un
     FROM (SELECT *, string_split(text, chr(10)) AS lines FROM documents)"""
 _VALID_SQL = f"""SELECT * FROM ({_KEPT}) WHERE {sql_words('t', 'est|ist|with')} OR {sql_search('t', '[0-9]{4,}')}"""
 _ROLE_GROUP = "CASE role WHEN 'user' THEN 'en' WHEN 'assistant' THEN 'fr' ELSE 'de' END"
-_ADS_SQL = f"""SELECT event_id::VARCHAR AS id, kind, CASE kind WHEN 'click' THEN 'villa' WHEN 'purchase' THEN 'ferme' END AS type_bien,
+_ADS_SQL = f"""SELECT event_id::VARCHAR AS id, kind, CASE kind WHEN 'purchase' THEN 'ferme' ELSE 'villa' END AS type_bien,
         aire::BIGINT::VARCHAR AS superficie_m2, prix, k FROM ({_ROUTED_SQL}) WHERE issue = 'valide'"""
 
 ORACLE = {
@@ -333,12 +331,12 @@ ORACLE = {
     "export_masked_csv": f"""SELECT id, CASE WHEN kind <> 'click' THEN '' WHEN length(k) = 1 THEN '*0 ' || k || '; x'
             ELSE '** ' || k || '; x' END AS contacts_whatsapp FROM ({_ADS_SQL})""",
     "export_master_csv": f"""SELECT id, 'False' AS date_incertaine, prix::VARCHAR AS prix_fcfa,
-            CASE WHEN kind = 'click' THEN '2024-01-31' ELSE '2024-02-01' END || 'T00:00:00+00:00' AS premiere_collecte,
-            CASE WHEN kind = 'click' AND prix >= 50 AND prix <= 5000000000 THEN '2024-01-31' ELSE '2024-02-01' END || 'T00:00:00+00:00' AS derniere_maj
+            CASE WHEN type_bien = 'villa' THEN '2024-01-31' ELSE '2024-02-01' END || 'T00:00:00+00:00' AS premiere_collecte,
+            CASE WHEN type_bien = 'villa' AND prix >= 50 AND prix <= 5000000000 THEN '2024-01-31' ELSE '2024-02-01' END || 'T00:00:00+00:00' AS derniere_maj
         FROM ({_ADS_SQL})""",
-    "rejects_audit": f"""SELECT motif AS motif_rejet, count(*) AS nb, sum(length(text))::BIGINT AS n_texte, 0::BIGINT AS nb_types
-        FROM ({TAGGED}) t JOIN documents d ON d.doc_id = t.id WHERE motif IS NOT NULL GROUP BY 1
-        UNION ALL SELECT issue, count(*), NULL, count(*) FILTER (ok) FROM ({_ROUTED_SQL}) WHERE issue <> 'valide' GROUP BY 1""",
+    "rejects_audit": f"""SELECT t.id::VARCHAR AS id, motif AS motif_rejet, md5(d.text) AS texte_md5, NULL::VARCHAR AS type_bien
+        FROM ({TAGGED}) t JOIN documents d ON d.doc_id = t.id WHERE motif IS NOT NULL
+        UNION ALL SELECT event_id::VARCHAR, issue, NULL, CASE WHEN ok THEN json_extract_string(jj, '$.type_bien') END FROM ({_ROUTED_SQL}) WHERE issue <> 'valide'""",
     "rules_only_candidates": f"SELECT lpad(id::VARCHAR, 12, '0') AS id, t AS texte_nettoye FROM ({_KEPT})",
     "full_run_summary": f"""SELECT (SELECT count(*) FROM documents) AS nb_posts_bruts, (SELECT count(*) FROM ({_KEPT})) AS nb_candidats,
             n AS nb_valides, n AS nb_maitre, n AS nb_journal FROM (SELECT count(*) AS n FROM ({_VALID_SQL}))""",

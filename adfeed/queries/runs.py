@@ -115,8 +115,7 @@ def drift_check_last(spark, folder):
     last = log.agg(F.max("horodatage").alias("fin"), F.max_by("nb_valides", "horodatage").alias("n"))
     before = log.filter(F.col("horodatage") < last.select("fin").scalar())
     return check_drift(before, last.select("n").scalar()).select(
-        "nb_valides", "moyenne", "nb_historique", F.col("alerte").cast("int").alias("alerte"),
-        F.length("message").cast("bigint").alias("n_message"),
+        "nb_valides", "moyenne", "nb_historique", F.col("alerte").cast("int").alias("alerte"), "message",
     )
 
 
@@ -148,9 +147,7 @@ def run_summary_query(spark, folder):
     counts = funnel(tagged, ["_tous"], ["id"])
     runs = _run_log(spark, folder)
     drift = check_drift(runs, counts.select("nb_valides").scalar())
-    return run_summary(counts, drift, "postgresql://adfeed:secret@hote/base").withColumn(
-        "alerte_derive", F.col("alerte_derive").isNotNull().cast("int")
-    )
+    return run_summary(counts, drift, "postgresql://adfeed:secret@hote/base")
 
 
 QUERIES = {
@@ -186,6 +183,13 @@ _RUN_LOG_SQL = """
     SELECT date_trunc('hour', ts) AS horodatage, count(*) FILTER (event_type = 'purchase') AS nb_valides,
         CASE WHEN count(*) FILTER (event_type = 'error') > count(*) / 2 THEN 'backfill' ELSE 'daily' END AS mode
     FROM events GROUP BY 1"""
+
+
+def _message_sql(count: str) -> str:
+    return f"""'Low volume: ' || {count} || ' valid ads against ' || round_even(moyenne, 1)::DECIMAL(18, 1) || ' on average over the last '
+        || nb_historique || ' daily runs (' || round_even(100 * {count} / moyenne, 0)::BIGINT || '% of the mean)'"""
+
+
 def _history_sql(condition: str) -> str:
     return f"""SELECT avg(nb_valides) AS moyenne, count(*) AS nb_historique FROM
         (SELECT * FROM ({_RUN_LOG_SQL}) WHERE mode = 'daily' AND {condition} ORDER BY horodatage DESC LIMIT 7)"""
@@ -230,8 +234,7 @@ ORACLE = {
         FROM (SELECT *, avg(n) OVER w AS moyenne, count(n) OVER w AS h FROM ({_DAILY_SQL})
             WINDOW w AS (PARTITION BY source ORDER BY jour ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""",
     "drift_check_last": f"""SELECT t AS nb_valides, moyenne, nb_historique, a::INT AS alerte,
-            CASE WHEN a THEN length('Low volume: ' || t || ' valid ads against ' || round_even(moyenne, 1)::DECIMAL(18, 1)
-                || ' on average over the last ' || nb_historique || ' daily runs (' || round_even(100 * t / moyenne, 0)::BIGINT || '% of the mean)') END AS n_message
+            CASE WHEN a THEN {_message_sql('t')} END AS message
         FROM (SELECT *, {_TODAY_SQL} AS t, nb_historique >= 3 AND moyenne > 0 AND {_TODAY_SQL} < moyenne * 0.3 AS a FROM ({_history_sql(_BEFORE_LAST)}))""",
     "source_health": f"""{HEALTH_SQL} SELECT source, round(conf, 9) AS niveau_confiance, serie AS runs_propres_consecutifs,
             mult AS cooldown_multiplicateur, round(1 / conf, 3) AS delai_multiplicateur
@@ -240,5 +243,5 @@ ORACLE = {
             (SELECT count(*) FROM documents) AS nb_posts_bruts, (SELECT count(*) FROM ({_KEPT})) AS nb_candidats, 0::BIGINT AS nb_valides""",
     "run_summary": f"""SELECT (SELECT count(*) FROM ({TAGGED})) AS nb_posts_bruts, (SELECT count(*) FROM ({_KEPT})) AS nb_candidats,
             0::BIGINT AS nb_valides, 'postgresql://adfeed:***@hote/base' AS base_maitre,
-            (nb_historique >= 3 AND moyenne > 0)::INT AS alerte_derive FROM ({_history_sql('true')})""",
+            CASE WHEN nb_historique >= 3 AND moyenne > 0 THEN {_message_sql('0')} END AS alerte_derive FROM ({_history_sql('true')})""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from adfeed.functions.extract import area_m2, contacts, first_named, keywords, price
 from adfeed.functions.model_output import validate_output
 from adfeed.functions.text import clean_text
-from adfeed.operators.structure import Permanent, invalid_posts, route, structure, valid_ads
+from adfeed.operators.structure import Permanent, route, structure
 from adfeed.queries.base import TEST_RULES, by_language, documents, events, sql_by_language, sql_clean
 from adfeed.session import with_computed
 
@@ -46,6 +46,9 @@ def vocabulary_extract(spark, folder):
     )
 
 
+TAILS = ["", '} {"x": 1}', "} junk }", "}]", "} \n\t ", "},{}"]
+
+
 # Answers built from events: one shape per event type, with values from the row.
 def _answers(spark, folder):
     k = F.get_json_object("props", "$.k")
@@ -55,16 +58,19 @@ def _answers(spark, folder):
         return F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
 
     kind = F.col("event_type")
+    # What follows a whole answer, or an answer that is cut short.
+    tail = F.element_at(F.array(*[F.lit(t) for t in TAILS]), (F.col("event_id") % len(TAILS) + 1).cast("int"))
     text = (
         F.when(kind == "click", answer('{"est_une_annonce_valide": true, "type_bien": "villa", "superficie_m2": ', k,
                                        ', "prix_fcfa": ', F.col("event_id").cast("string"),
-                                       '000000, "quartier_zone": " KARPALA ", "contacts_whatsapp": ["70 ', k, '", "x"], "autre": 1}'))
+                                       '000000, "quartier_zone": " KARPALA ", "contacts_whatsapp": ["70 ', k, '", "x"], "autre": 1, '
+                                       '"mots_cles_pertinents": ["lot", "n', k, '"], "resume_court": " résumé ', k, ' "}'))
         .when(kind == "view", answer('{"est_une_annonce_valide": false, "type_bien": "chateau", "prix_fcfa": -', k,
                                      ', "superficie_m2": ', k, '.0, "statut_document": "puh", "contacts_whatsapp": []}'))
         .when(kind == "signup", answer('{"est_une_annonce_valide": "Oui", "type_bien": "villa", "prix_fcfa": ', k, '}'))
         .when(kind == "purchase", answer('{"est_une_annonce_valide": "yes", "type_bien": "ferme", "prix_fcfa": "', k,
                                          '", "superficie_m2": ', value, ', "quartier_zone": null}'))
-        .otherwise(answer('{"est_une_annonce_valide": true, "type_bien": "villa", "prix_fcfa": ', k))
+        .otherwise(answer('{"est_une_annonce_valide": true, "type_bien": "villa", "prix_fcfa": ', k, tail))
     )
     return events(spark, folder).select("event_id", text.alias("sortie_modele"))
 
@@ -74,7 +80,7 @@ def validate_output_query(spark, folder):
     return read.select(
         "event_id", F.col("s").isNotNull().cast("int").alias("accepte"),
         F.col("s.est_une_annonce_valide").cast("int").alias("valide"), "s.type_bien", "s.superficie_m2", "s.prix_fcfa",
-        F.array_join("s.contacts_whatsapp", "; ").alias("contacts"), F.length("s.resume_court").cast("bigint").alias("n_resume"),
+        F.array_join("s.contacts_whatsapp", "; ").alias("contacts"), F.array_join("s.mots_cles_pertinents", "; ").alias("mots"), "s.resume_court",
     )
 
 
@@ -84,10 +90,8 @@ def route_answers(spark, folder):
 
 
 def route_counts(spark, folder):
-    routed = route(_answers(spark, folder))
-    valid = valid_ads(routed).agg(F.count("*").alias("nb"), F.sum("prix_fcfa").alias("prix")).select(F.lit("valide").alias("issue"), "nb", "prix")
-    invalid = invalid_posts(routed).groupBy(F.col("motif_rejet").alias("issue")).agg(F.count("*").alias("nb"), F.sum("prix_fcfa").alias("prix"))
-    return valid.unionByName(invalid)
+    issue = F.coalesce("motif_rejet", F.lit("valide")).alias("issue")
+    return route(_answers(spark, folder)).groupBy(issue).agg(F.count("*").alias("nb"), F.sum("prix_fcfa").alias("prix"))
 
 
 def length_extractor(text: str) -> str | None:
@@ -156,13 +160,15 @@ def _named(phrase: str) -> str:
 _ANSWERS_SQL = """
     SELECT event_id, k, v, event_type AS kind, CASE event_type
         WHEN 'click' THEN '{"est_une_annonce_valide": true, "type_bien": "villa", "superficie_m2": ' || k || ', "prix_fcfa": '
-            || event_id || '000000, "quartier_zone": " KARPALA ", "contacts_whatsapp": ["70 ' || k || '", "x"], "autre": 1}'
+            || event_id || '000000, "quartier_zone": " KARPALA ", "contacts_whatsapp": ["70 ' || k || '", "x"], "autre": 1, '
+            || '"mots_cles_pertinents": ["lot", "n' || k || '"], "resume_court": " résumé ' || k || ' "}'
         WHEN 'view' THEN '{"est_une_annonce_valide": false, "type_bien": "chateau", "prix_fcfa": -' || k
             || ', "superficie_m2": ' || k || '.0, "statut_document": "puh", "contacts_whatsapp": []}'
         WHEN 'signup' THEN '{"est_une_annonce_valide": "Oui", "type_bien": "villa", "prix_fcfa": ' || k || '}'
         WHEN 'purchase' THEN '{"est_une_annonce_valide": "yes", "type_bien": "ferme", "prix_fcfa": "' || k
             || '", "superficie_m2": ' || v || ', "quartier_zone": null}'
-        ELSE '{"est_une_annonce_valide": true, "type_bien": "villa", "prix_fcfa": ' || k END AS j
+        ELSE '{"est_une_annonce_valide": true, "type_bien": "villa", "prix_fcfa": ' || k
+            || (['', '} {"x": 1}', '} junk }', '}]', '} ' || chr(10) || chr(9) || ' ', '},{}'])[event_id % 6 + 1] END AS j
     FROM (SELECT *, json_extract_string(props, '$.k') AS k, value::DECIMAL(18, 2) AS v FROM events)"""
 # Accepted: a boolean or a boolean word, integers also as integral decimals or digits.
 _READ_SQL = f"""
@@ -195,7 +201,8 @@ ORACLE = {
             CASE WHEN ok AND aire >= 0 THEN aire::BIGINT END AS superficie_m2,
             CASE WHEN ok AND prix >= 0 THEN prix END AS prix_fcfa,
             CASE WHEN ok THEN coalesce(array_to_string(json_extract_string(jj, '$.contacts_whatsapp[*]'), '; '), '') END AS contacts,
-            CASE WHEN ok THEN 0::BIGINT END AS n_resume
+            CASE WHEN ok THEN coalesce(array_to_string(json_extract_string(jj, '$.mots_cles_pertinents[*]'), '; '), '') END AS mots,
+            CASE WHEN ok THEN coalesce(json_extract_string(jj, '$.resume_court'), '') END AS resume_court
         FROM ({_ACCEPTED_SQL})""",
     "route_answers": f"""SELECT event_id, issue, CASE WHEN issue = 'valide' AND kind = 'click' THEN 'Karpala' END AS quartier_zone,
             CASE WHEN ok AND kind = 'view' THEN 'puh' END AS statut_document FROM ({_ROUTED_SQL})""",
