@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterable, Iterator
 
@@ -17,8 +18,8 @@ from adfeed.session import work_folder
 # Fixed value: the white space of all word rules, as a class of Java patterns.
 SPACE = r"[\x20\x09-\x0D]"
 
-# Rows in one Arrow batch. Batches also end at 64 MiB, the session's default.
-BATCH_ROWS = "4000"
+# Rows and bytes of one Arrow batch: a Python worker holds a few of them.
+BATCH_ROWS, BATCH_BYTES = "1000", str(8 << 20)
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -26,6 +27,7 @@ def ready(spark: SparkSession) -> SparkSession:
     cloudpickle.register_pickle_by_value(sys.modules["adfeed"])
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
@@ -77,6 +79,19 @@ def rows_of(make: Callable, schema: pa.Schema) -> Callable:
     return run
 
 
+def task(run: Callable) -> Callable:
+    """The function for one task, which hands its memory back at the end: workers live on and their tasks differ."""
+
+    def tidy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim:
+            trim(0)
+
+    return tidy
+
+
 class WordHashes(dict):
     """Word (UTF-8 bytes) to 64-bit hash. The first ``limit`` words are remembered."""
 

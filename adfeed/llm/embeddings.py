@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import components, written
+from adfeed.llm.common import components, task, written
 
 BITS = 64
 TABLES = ((0, 22), (22, 21), (43, 21))  # first bit and width
@@ -166,7 +166,7 @@ def near_vectors(table: DataFrame, least: float = 0.95, id_column: str = "vec_id
         sample.setdefault(len(vector), []).append(vector / np.linalg.norm(vector))
     models = {dim: learned_rotation(np.array(vectors)) for dim, vectors in sample.items()}
 
-    coded = items.select("item", "vector").mapInArrow(_coded(models), "item long, dim int, code long, vector binary")
+    coded = items.select("item", "vector").mapInArrow(task(_coded(models)), "item long, dim int, code long, vector binary")
     coded = written(coded.join(items.select("item", "weight"), "item"), "codes")
     sizes = coded.groupBy("dim", "code").agg(F.count("*").alias("n"))
     parts = coded.join(sizes, ["dim", "code"]).withColumn("block", F.pmod(F.xxhash64("item"), F.ceil(F.col("n") / BLOCK)))
@@ -180,7 +180,7 @@ def near_vectors(table: DataFrame, least: float = 0.95, id_column: str = "vec_id
     compared = pairs.join(a, ["dim", "code_a"]).join(b, ["dim", "code_b"]).where("code_a <> code_b OR block_a <= block_b")
     alone = F.expr("code_a = code_b AND block_a = block_b AND size(members_a) = 1")
     compared = compared.where(~alone).select("code_a", "block_a", "members_a", "code_b", "block_b", "members_b")
-    found = written(compared.mapInArrow(_compared(least), "item long, links long, other long"), "links")
+    found = written(compared.mapInArrow(task(_compared(least)), "item long, links long, other long"), "links")
 
     counts = found.groupBy("item").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("item").alias("a"), F.col("other").alias("b")))

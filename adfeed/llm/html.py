@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import rows_of, written
+from adfeed.llm.common import rows_of, task, written
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([\w:-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -245,7 +245,7 @@ DELETED = pa.schema([("key", pa.binary()), ("deleted", pa.list_(pa.int32()))])
 
 def shared_lines(pages: DataFrame) -> DataFrame:
     """key, deleted: the lines each page shares with its nearest page. Hashes travel, no texts."""
-    signs = pages.mapInArrow(rows_of(_signs, SIGNS), "key binary, prefixes array<long>, whole long, numbers array<int>, hashes array<long>")
+    signs = pages.mapInArrow(task(rows_of(_signs, SIGNS)), "key binary, prefixes array<long>, whole long, numbers array<int>, hashes array<long>")
     signs = written(signs.dropDuplicates(["key"]), "page-lines")
     steps = signs.select("key", F.posexplode("prefixes").alias("depth", "prefix"))
     ends = steps.groupBy("prefix").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
@@ -255,7 +255,7 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     pairs = nearest.select("key", F.col("nearest.partner").alias("partner"))
     others = signs.select(F.col("key").alias("partner"), F.col("whole").alias("other_whole"), F.col("hashes").alias("other"))
     pairs = pairs.join(others, "partner").join(signs.select("key", "whole", "numbers", "hashes"), "key")
-    found = pairs.select("key", "whole", "numbers", "hashes", "other_whole", "other").mapInArrow(rows_of(_deleted, DELETED), "key binary, deleted array<int>")
+    found = pairs.select("key", "whole", "numbers", "hashes", "other_whole", "other").mapInArrow(task(rows_of(_deleted, DELETED)), "key binary, deleted array<int>")
     return found.where(F.size("deleted") > 0)
 
 
@@ -264,7 +264,7 @@ def main_texts(pages: DataFrame, id_column: str = "page_id", url_column: str = "
     source = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     empty = F.lit("")
     keyed = source.withColumn("key", F.unhex(F.md5(F.concat(F.coalesce("url", empty), F.lit("\n"), F.coalesce("html", empty)))))
-    texts = keyed.mapInArrow(rows_of(_texts, TEXTS), "page_id long, url string, key binary, lines array<struct<n:int,text:string>>")
+    texts = keyed.mapInArrow(task(rows_of(_texts, TEXTS)), "page_id long, url string, key binary, lines array<struct<n:int,text:string>>")
     joined = texts.join(shared_lines(keyed.select("key", "url", "html")), "key", "left")
     gone = F.coalesce("deleted", F.array().cast("array<int>"))
     kept = F.filter("lines", lambda line: ~F.array_contains(gone, line["n"]))

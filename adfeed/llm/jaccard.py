@@ -43,11 +43,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import WordHashes, bucketed, components, lower_words, mixed, run_hashes, written
+from adfeed.llm.common import bucketed, components, lower_words, mixed, run_hashes, task, WordHashes, written
 
 CELL_BITS, SLICE_BITS = 28, 20
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-SHINGLES_AT_ONCE = 4_000_000
+SHINGLES_AT_ONCE = 2_000_000
 LEVEL_BITS = 5  # a level stands for 2^5 cells
 SALTS, PARTS = 16, 16
 LARGE, BLOCK = 64, 200
@@ -170,9 +170,9 @@ class Rarity:
 
 
 def rarity(texts: DataFrame, size: int) -> Rarity:
-    counts = texts.select("text").mapInArrow(_counted(size), COUNTS_DDL)
-    by_salt = counts.repartition("slice", "salt").sortWithinPartitions("slice", "salt").mapInArrow(_summed(False), COUNTS_DDL)
-    rows = by_salt.repartition(PARTS, "slice").sortWithinPartitions("slice").mapInArrow(_summed(True), "slice int, twice binary, levels binary")
+    counts = texts.select("text").mapInArrow(task(_counted(size)), COUNTS_DDL)
+    by_salt = counts.repartition("slice", "salt").sortWithinPartitions("slice", "salt").mapInArrow(task(_summed(False)), COUNTS_DDL)
+    rows = by_salt.repartition(PARTS, "slice").sortWithinPartitions("slice").mapInArrow(task(_summed(True)), "slice int, twice binary, levels binary")
     out = Rarity()
     for row in rows.toLocalIterator():  # 256 rows of 144 KiB at most, a part at a time
         out.put(row["slice"], row["twice"], row["levels"])
@@ -236,7 +236,7 @@ def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     left = pairs.join(classes.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
     needed = pairs.select(F.col("b").alias("node")).distinct()
     right = classes.select("node", "set").join(needed, "node", "left_semi").select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    return left.join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_verified(percent), "a long, b long")
+    return left.join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(task(_verified(percent)), "a long, b long")
 
 
 def fits(n: str, m: str, percent: int) -> Column:
@@ -348,7 +348,7 @@ def block_links(families: DataFrame, classes: DataFrame, percent: int) -> DataFr
     a = blocks.withColumnsRenamed({c: f"{c}_a" for c in ("main", "block", "members")})
     b = blocks.withColumnsRenamed({c: f"{c}_b" for c in ("main", "block", "members")})
     pairs = a.join(b, "head").where("NOT main_a AND (main_b OR block_a <= block_b)")
-    return pairs.select("members_a", "members_b").mapInArrow(_compared(percent), "a long, b long")
+    return pairs.select("members_a", "members_b").mapInArrow(task(_compared(percent)), "a long, b long")
 
 
 def grouped(docs: DataFrame, shingle: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -359,7 +359,7 @@ def grouped(docs: DataFrame, shingle: int = 4, percent: int = 85, id_column: str
     counted = rarity(source, shingle)
     known = spark.sparkContext.broadcast((counted.twice, counted.levels))
     del counted
-    tokens = written(source.mapInArrow(_tokens(shingle, percent, known), TOKENS_DDL), "tokens")
+    tokens = written(source.mapInArrow(task(_tokens(shingle, percent, known)), TOKENS_DDL), "tokens")
     known.destroy()
 
     # One row for each distinct set. Null ids come last; the row key breaks ties.

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import WordHashes, lower_words, mixed, octets, written
+from adfeed.llm.common import lower_words, mixed, octets, task, WordHashes, written
 
 END = np.uint64(0x5BD1E9955BD1E995)  # stands for the end of a text, and for what is before its start
 PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -332,9 +332,9 @@ def language_scores(
     size = source.agg(F.sum(octets("text"))).first()[0] or 0
     slices, blocks = 1 + size // slice_bytes, 1 + size // block_bytes
 
-    counted = source.where(~held_out).select("text").mapInArrow(_counted(slices), COUNTED_DDL)
+    counted = source.where(~held_out).select("text").mapInArrow(task(_counted(slices)), COUNTED_DDL)
     sliced = counted.repartition("slice").sortWithinPartitions("slice", "pairs")
-    pieces = written(sliced.mapInArrow(_pieces, PIECES_DDL), "lm-counts")
+    pieces = written(sliced.mapInArrow(task(_pieces), PIECES_DDL), "lm-counts")
     totals = pieces.where("not pairs").agg(F.sum("distinct"), F.sum("total")).first()
     distinct, tokens = totals[0] or 0, totals[1] or 0
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import written
+from adfeed.llm.common import task, written
 
 TOKENIZER = "byte_bpe_50k"
 END = 2  # fixed value: the id after each document
@@ -59,7 +59,9 @@ def token_ids(name: str = TOKENIZER) -> Callable[[str], np.ndarray]:
         import tiktoken
         from tokenizers import Tokenizer
 
-        slow = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+        def slow():
+            return worker_object(f"slow_{name}", lambda: Tokenizer.from_file(public_tokenizers.path(f"{name}.json")))
+
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         return slow, tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -68,7 +70,7 @@ def token_ids(name: str = TOKENIZER) -> Callable[[str], np.ndarray]:
 
     def ids(text: str) -> np.ndarray:
         if "<|" in text or not text.isascii() and OTHER.search(text) or GAP.search(text):
-            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(slow().encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
     return ids
@@ -99,7 +101,7 @@ def pieces(docs: DataFrame, tokens: int, with_ids: bool = False, id_column: str
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(cut, ddl)
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(task(cut), ddl)
 
 
 def pattern_plan(histogram: dict[int, int], tokens: int, documents: int, cost: int, policy: str = "norm", weights: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> list[tuple[int, int, int, int, int]]:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import WordHashes, run_hashes, written
+from adfeed.llm.common import run_hashes, task, WordHashes, written
 
 MAX = (1 << 63) - 1
 WORDS_AT_ONCE = 500_000
@@ -250,14 +250,14 @@ def repeat_marks(source: DataFrame, records: DataFrame, width: int, seed: int, g
     candidates = runs.join(repeated, "runs").groupBy("doc_key").agg(F.collect_set(F.struct("i", "hot")).alias("candidates"))
     copies = whole_copies(records, width)
     spans = source.join(candidates.join(copies, "doc_key", "left_anti"), "doc_key").select("doc_id", "doc_key", "text", "candidates")
-    spans = spans.mapInArrow(_spans(width, seed), "key long, doc_id long, doc_key long, start int, n int, words binary")
-    marks = spans.repartition("key").sortWithinPartitions("key").mapInArrow(_marks(width), "doc_key long, start int, n int")
+    spans = spans.mapInArrow(task(_spans(width, seed)), "key long, doc_id long, doc_key long, start int, n int, words binary")
+    marks = spans.repartition("key").sortWithinPartitions("key").mapInArrow(task(_marks(width)), "doc_key long, start int, n int")
     return marks.union(copies).groupBy("doc_key").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
 
 
 def all_records(source: DataFrame, width: int, seed: int) -> DataFrame:
     ddl = "doc_id long, doc_key long, n_words long, sha256 string, runs array<long>, times array<byte>"
-    return written(source.mapInArrow(_records(width, seed), ddl), "records")
+    return written(source.mapInArrow(task(_records(width, seed)), ddl), "records")
 
 
 def removed_counts(docs: DataFrame, width: int = 20, seed: int = 5, group: int = 1000, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -265,7 +265,7 @@ def removed_counts(docs: DataFrame, width: int = 20, seed: int = 5, group: int =
     source = keyed_texts(docs, id_column, text_column)
     records = all_records(source, width, seed)
     marks = repeat_marks(source, records, width, seed, group)
-    changed = source.join(marks, "doc_key").select("doc_id", "doc_key", "text", "marks").mapInArrow(_removed(width), KEPT_DDL)
+    changed = source.join(marks, "doc_key").select("doc_id", "doc_key", "text", "marks").mapInArrow(task(_removed(width)), KEPT_DDL)
     changed = changed.select("doc_key", "n_removed", "kept_sha256").dropDuplicates(["doc_key"])
     answer = records.select("doc_id", "doc_key", "n_words", "sha256").join(changed, "doc_key", "left")
     return answer.select(given_id(), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
@@ -275,5 +275,5 @@ def without_repeats(docs: DataFrame, width: int = 20, seed: int = 5, group: int
     """doc_id, n_words, n_removed, kept_text for every row: the words that stay, joined by one space."""
     source = keyed_texts(docs, id_column, text_column)
     marks = repeat_marks(source, all_records(source, width, seed), width, seed, group)
-    answer = source.join(marks, "doc_key", "left").select("doc_id", "doc_key", "text", "marks").mapInArrow(_removed(width), KEPT_DDL)
+    answer = source.join(marks, "doc_key", "left").select("doc_id", "doc_key", "text", "marks").mapInArrow(task(_removed(width)), KEPT_DDL)
     return answer.select(given_id(), "n_words", "n_removed", "kept_text")
