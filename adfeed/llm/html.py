@@ -23,6 +23,7 @@ import html
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterable
 
 import pyarrow as pa
 import xxhash
@@ -58,26 +59,33 @@ PAGE_HEADERS = frozenset("header masthead topbar".split())
 SCOPES = frozenset("article main section div td th li body table ul ol blockquote form aside nav header footer dd figure".split())
 
 
-def dropped(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of the main text; ``inside``: within an article."""
+NEGATED = re.compile(r"(?:with|without|has|have|no|not|hide|is|show)[_-]\S*|\S*[_-](?:with|without|has|have|no|not)[_-]\S*")
+HARD, SOFT = 2, 1  # dropped whatever it holds; dropped unless it holds the story
+
+
+def dropped(tag: str, attributes: str, inside: bool) -> int:
+    """Whether an element is no part of the main text: HARD, SOFT or 0; ``inside``: within an article."""
+    if tag == "form":
+        return SOFT
     if tag in DROPPED or tag == "header" and not inside:
-        return True
+        return HARD
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    soft = 0
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
-            words = set(re.split(r"[\s_-]+", value))
+            words = {w for whole in value.split() if not NEGATED.fullmatch(whole) for w in re.split(r"[_-]+", whole)}
             if words & DROPPED_WORDS or not inside and words & PAGE_HEADERS:
-                return True
+                soft = SOFT
         elif name == "role" and value.strip() in DROPPED_ROLES:
-            return True
+            soft = SOFT
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return HARD
+    return soft
 
 
-def last_open(stack: list[tuple[str, bool, str]], tag: str) -> int:
+def last_open(stack: list[tuple[str, tuple, str]], tag: str) -> int:
     index = len(stack) - 1
     while stack[index][0] != tag:
         index -= 1
@@ -88,18 +96,18 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
     """(line, dropped by its markup, container: article, main or nothing) for each block in page order."""
     if not page:
         return []
-    lines: list[tuple[str, bool, str]] = []
-    stack: list[tuple[str, bool, str]] = []  # tag, dropped, container
+    lines: list[tuple[str, tuple[int, ...] | None, str]] = []
+    stack: list[tuple[str, tuple[int, ...] | None, str]] = []  # tag, soft elements around (None: dropped), container
     open_tags: Counter = Counter()
-    parts: list[tuple[str, bool]] = []  # text, dropped
-    off, container = False, ""
-    at, size = 0, len(page)
+    parts: list[tuple[str, tuple[int, ...] | None]] = []  # text, soft elements around
+    off, container = (), ""
+    at, size, elements = 0, len(page), 0
 
     def flush() -> None:
-        for gone in (True, False):
-            line = " ".join("".join(text for text, dropped in parts if dropped == gone).split())
+        for around in sorted({a for _, a in parts}, key=lambda a: (a is not None, a != (), a or ())):
+            line = " ".join("".join(text for text, a in parts if a == around).split())
             if line:
-                lines.append((line, gone, container))
+                lines.append((line, around, container))
         parts.clear()
 
     def close(index: int) -> None:
@@ -107,7 +115,7 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
         for tag, _, _ in stack[index:]:
             open_tags[tag] -= 1
         del stack[index:]
-        off, container = (stack[-1][1], stack[-1][2]) if stack else (False, "")
+        off, container = (stack[-1][1], stack[-1][2]) if stack else ((), "")
 
     while at < size:
         found = TOKEN.search(page, at)
@@ -140,7 +148,12 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
         if tag in VOID:
             continue
         attributes = found[3] or found[6] or ""
-        here = off or dropped(tag, attributes, container != "")
+        here, how = off, dropped(tag, attributes, container != "") if off is not None else 0
+        if how == HARD:
+            here = None
+        elif how == SOFT:
+            elements += 1
+            here = (*off, elements)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b", re.I).search(page, at)
             at = end.start() if end else size
@@ -155,12 +168,54 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
         open_tags[tag] += 1
         off, container = here, inner
     flush()
-    return lines
+    wrappers = story_wrappers(lines)
+    return [(line, around is None or not wrappers.issuperset(around), container) for line, around, container in lines]
+
+
+def prose(lines: Iterable[str]) -> int:
+    """Characters in lines of ten words or more, which menus and labels seldom have."""
+    return sum(len(line) for line in lines if line.count(" ") >= 9)
+
+
+def story_wrappers(lines: list[tuple[str, tuple[int, ...] | None, str]]) -> set[int]:
+    """Elements that a name or tag would drop, but that hold the page's only container or most of its prose."""
+    seen = [(line, around, container) for line, around, container in lines if around is not None]
+    if not any(around for _, around, _ in seen):
+        return set()
+    if any(container and not around for _, around, container in seen):  # a container stands free of them
+        held = [x for x in seen if x[2] or not x[1]]
+        if 2 * prose(line for line, around, _ in held if not around) >= prose(line for line, _, _ in held):
+            return set()
+        seen = held
+    by_path: dict[tuple[int, ...], list[str]] = {}
+    only = [x for x in seen if x[2]] or seen
+    for line, around, _ in only:
+        by_path.setdefault(around, []).append(line)
+    sizes = {path: prose(found) for path, found in by_path.items()}
+    if only is not seen and not any(sizes.values()):
+        sizes = {path: sum(map(len, found)) for path, found in by_path.items()}
+    total, out, path = sum(sizes.values()), set(), ()
+    while total:  # down to the innermost element that holds most of it
+        deeper = Counter()
+        for p, n in sizes.items():
+            if p[: len(path)] == path and len(p) > len(path):
+                deeper[p[: len(path) + 1]] += n
+        best = max(deeper, key=lambda p: deeper[p], default=None)
+        if best is None or 2 * deeper[best] <= total:
+            break
+        path = best
+        out.add(path[-1])
+    return out
 
 
 def settled(lines: list[tuple[str, bool, str]]) -> tuple[list[tuple[int, str]], list[int]]:
     """Lines that the markup leaves in the text, with their numbers; numbers of the lines that differencing may delete."""
-    wanted = next((c for c in ("article", "main") if any(line[2] == c and not line[1] for line in lines)), "")
+    texts = {c: [text for text, off, container in lines if not off and container == c] for c in ("article", "main", "")}
+    # The container with the most prose, the first of equal ones; of no container only where most of the prose is.
+    named = [c for c in ("article", "main") if texts[c]]
+    wanted = max(named, key=lambda c: prose(texts[c]), default="")
+    if 2 * prose(texts[wanted]) < prose(texts[""]):
+        wanted = ""
     kept = [(i, text) for i, (text, off, container) in enumerate(lines) if not off and (not wanted or container == wanted)]
     inside = {i for i, _ in kept} if wanted else set()
     return kept, [i for i in range(len(lines)) if i not in inside]
