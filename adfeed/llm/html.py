@@ -5,11 +5,13 @@ the page nearest by URL path: one that shares the deepest path prefix (the small
 page of that prefix; for this one itself, the largest). The lines of the two pages
 are aligned by longest common subsequence, and the shared ones are deleted.
 
-Only lines that the markup does not settle can be deleted. Menus, headers, footers,
-sidebars, notices, adverts, forms and comments that the markup names go even where
-they differ from page to page, and lines inside <article> (or else <main>) stay even
-where another article has the same paragraph. On a page without such a container
-every remaining line is open, and differencing alone parts template and text.
+Markup says which lines are open to that. Menus, headers, footers, sidebars, notices,
+adverts, forms and comments that it names go even where they differ from page to page,
+unless they hold the story. Lines inside the container (<article> or <main>) stay where
+another article has the same paragraph, but go where at least half of the pages of the
+host share them with their nearest page (on hosts of LEAST_PAGES pages or more). On a
+page without such a container every remaining line is open, and differencing alone
+parts template and text.
 
 Defined results. Null html gives an empty text, a null URL counts as an empty one.
 Pages of the same lines, such as repeated rows, say nothing about each other: nothing
@@ -262,7 +264,9 @@ def common_lines(own: list[int], other: list[int]) -> list[int]:
     return [*range(start), *reversed(middle), *range(len(own) - end, len(own))]
 
 
-SIGNS = pa.schema([("key", pa.binary()), ("prefixes", pa.list_(pa.int64())), ("whole", pa.int64()), ("numbers", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))])
+SIGNS = pa.schema([("key", pa.binary()), ("prefixes", pa.list_(pa.int64())), ("whole", pa.int64()), ("numbers", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64())), ("inside_numbers", pa.list_(pa.int32())), ("inside", pa.list_(pa.int64()))])
+SIGNS_DDL = "key binary, prefixes array<long>, whole long, numbers array<int>, hashes array<long>, inside_numbers array<int>, inside array<long>"
+LEAST_PAGES = 8  # of a host, before a line can be told to be on most of them
 TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("key", pa.binary()), ("lines", pa.list_(pa.struct([("n", pa.int32()), ("text", pa.string())])))])
 
 
@@ -272,14 +276,19 @@ def _signed(line: str) -> int:
 
 
 def _signs(batch: dict) -> dict:
-    whole, numbers, hashes = [], [], []
+    whole, numbers, hashes, inside_numbers, inside = [], [], [], [], []
     for page in batch["html"]:
         lines = page_lines(page.as_py())
-        _, open_lines = settled(lines)
+        kept, open_lines = settled(lines)
+        may_go = set(open_lines)
+        held = [i for i, _ in kept if i not in may_go]
         whole.append(_signed("\n".join(line for line, _, _ in lines)))
         numbers.append(open_lines)
         hashes.append([_signed(lines[i][0]) for i in open_lines])
-    return {"key": batch["key"], "prefixes": [url_prefixes(u.as_py()) for u in batch["url"]], "whole": whole, "numbers": numbers, "hashes": hashes}
+        inside_numbers.append(held)
+        inside.append([_signed(lines[i][0]) for i in held])
+    prefixes = [url_prefixes(u.as_py()) for u in batch["url"]]
+    return {"key": batch["key"], "prefixes": prefixes, "whole": whole, "numbers": numbers, "hashes": hashes, "inside_numbers": inside_numbers, "inside": inside}
 
 
 def _texts(batch: dict) -> dict:
@@ -288,19 +297,26 @@ def _texts(batch: dict) -> dict:
 
 
 def _deleted(batch: dict) -> dict:
-    out = []
-    columns = (batch[n].to_pylist() for n in ("whole", "numbers", "hashes", "other_whole", "other"))
-    for whole, numbers, own, other_whole, other in zip(*columns):
-        out.append([numbers[i] for i in common_lines(own, other)] if whole != other_whole else [])
-    return {"key": batch["key"], "deleted": out}
+    out, shared = [], []
+    columns = (batch[n].to_pylist() for n in ("whole", "numbers", "hashes", "inside_numbers", "inside", "other_whole", "other", "other_inside"))
+    for whole, numbers, own, inside_numbers, inside, other_whole, other, other_inside in zip(*columns):
+        same = whole == other_whole
+        out.append([] if same else [numbers[i] for i in common_lines(own, other)])
+        shared.append([] if same else [{"n": inside_numbers[i], "hash": inside[i]} for i in common_lines(inside, other_inside)])
+    return {"key": batch["key"], "host": batch["host"], "deleted": out, "shared": shared}
 
 
-DELETED = pa.schema([("key", pa.binary()), ("deleted", pa.list_(pa.int32()))])
+DELETED = pa.schema([
+    ("key", pa.binary()), ("host", pa.int64()), ("deleted", pa.list_(pa.int32())), ("shared", pa.list_(pa.struct([("n", pa.int32()), ("hash", pa.int64())]))),
+])
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """key, deleted: the lines each page shares with its nearest page. Hashes travel, no texts."""
-    signs = pages.mapInArrow(task(rows_of(_signs, SIGNS)), "key binary, prefixes array<long>, whole long, numbers array<int>, hashes array<long>")
+    """key, deleted: the lines each page shares with its nearest page. Hashes travel, no texts.
+
+    A line inside the container goes only if most pages of its host share it so.
+    """
+    signs = pages.mapInArrow(task(rows_of(_signs, SIGNS)), SIGNS_DDL)
     signs = written(signs.dropDuplicates(["key"]), "page-lines")
     steps = signs.select("key", F.posexplode("prefixes").alias("depth", "prefix"))
     ends = steps.groupBy("prefix").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
@@ -308,10 +324,19 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     partner = F.when(F.col("key") == F.col("low"), F.col("high")).otherwise(F.col("low"))
     nearest = steps.join(ends, "prefix").groupBy("key").agg(F.max(F.struct("depth", partner.alias("partner"))).alias("nearest"))
     pairs = nearest.select("key", F.col("nearest.partner").alias("partner"))
-    others = signs.select(F.col("key").alias("partner"), F.col("whole").alias("other_whole"), F.col("hashes").alias("other"))
-    pairs = pairs.join(others, "partner").join(signs.select("key", "whole", "numbers", "hashes"), "key")
-    found = pairs.select("key", "whole", "numbers", "hashes", "other_whole", "other").mapInArrow(task(rows_of(_deleted, DELETED)), "key binary, deleted array<int>")
-    return found.where(F.size("deleted") > 0)
+    others = signs.select(F.col("key").alias("partner"), F.col("whole").alias("other_whole"), F.col("hashes").alias("other"), F.col("inside").alias("other_inside"))
+    host = F.col("prefixes")[0].alias("host")
+    pairs = pairs.join(others, "partner").join(signs.select("key", host, "whole", "numbers", "hashes", "inside_numbers", "inside"), "key").drop("partner")
+    ddl = "key binary, host long, deleted array<int>, shared array<struct<n:int,hash:long>>"
+    found = pairs.mapInArrow(task(rows_of(_deleted, DELETED)), ddl)
+    found = written(found.where((F.size("deleted") > 0) | (F.size("shared") > 0)), "shared-lines")
+    seen = found.select("host", F.explode(F.array_distinct("shared.hash")).alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    pages_of = signs.groupBy(host).agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
+    common = seen.join(pages_of, "host").where("2 * n >= pages").groupBy("host").agg(F.collect_list("hash").alias("common"))
+    common = written(common, "common-lines")
+    inside = F.filter("shared", lambda line: F.array_contains(F.col("common"), line["hash"]))
+    gone = F.when(F.col("common").isNull(), F.col("deleted")).otherwise(F.concat("deleted", F.transform(inside, lambda line: line["n"])))
+    return found.join(common, "host", "left").select("key", gone.alias("deleted")).where(F.size("deleted") > 0)
 
 
 def main_texts(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
