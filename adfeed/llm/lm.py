@@ -4,7 +4,9 @@ A filter holds the word pairs of the training documents with their counts on a
 logarithmic scale: a pair of level k is stored k times, as (pair, 1) to (pair, k), and
 its count is read back by probing until a probe fails. The probability of a word is
 its share after the word before, smoothed towards its share in the corpus with a
-Dirichlet prior: (c(v, w) + prior * p(w)) / (c(v) + prior).
+Dirichlet prior: (c(v, w) + prior * p(w)) / (c(v) + prior). c(v, w) is read as at most c(v)
+and c(w), so that no probability exceeds 1; c(v) is exact, so the shares after a frequent
+v may miss 1 by the width of a level.
 
 1. Word and pair counts are gathered from all training texts, as sorted hashes in
    slices by hash, combined for each batch before they move. Each slice becomes a table
@@ -39,8 +41,8 @@ from adfeed.llm.common import lower_words, mixed, octets, task, WordHashes, writ
 
 END = np.uint64(0x5BD1E9955BD1E995)  # stands for the end of a text, and for what is before its start
 PAIR = np.uint64(0x9E3779B97F4A7C15)
-# Smallest count of each level: factors of about 1.5.
-STEPS = np.unique(np.round(1.5 ** np.arange(110)).astype(np.uint64))
+# Smallest count of each level: factors of about 1.1.
+STEPS = np.unique(np.round(1.1 ** np.arange(460)).astype(np.uint64))
 BITS_PER_ENTRY, PROBES = 8, 5
 TOKENS_AT_ONCE = 2_000_000
 
@@ -161,8 +163,10 @@ def bloom_piece(keys: np.ndarray, counts: np.ndarray) -> bytes:
     entries = max(1, int(levels.sum()))
     bits = -(-entries * BITS_PER_ENTRY // 64) * 64
     piece = np.zeros(bits, bool)
+    order = np.argsort(-levels, kind="stable")
+    keys, ends = keys[order], np.searchsorted(-levels[order], -np.arange(levels.max(initial=0) + 1), side="right")
     for level in range(1, int(levels.max(initial=0)) + 1):
-        for place in probe_places(keys[levels >= level], level, bits):
+        for place in probe_places(keys[: ends[level]], level, bits):
             piece[place.astype(np.int64)] = True
     return np.packbits(piece, bitorder="little").tobytes()
 
@@ -289,7 +293,10 @@ def _scored(part, tokens: int, distinct: int, prior: float):
             before[starts] = 0  # a text follows an end
             pairs = pair_keys(hashes[before], hashes[numbers])
             times = np.where(before == 0, texts_seen, count_of[before])
-            logs = np.log10((known.counts(pairs) + share[numbers]) / (times + prior)) * known.covers(pairs)
+            distinct_pairs, back = np.unique(pairs, return_inverse=True)
+            # A pair is counted no more often than either of its words, whatever its level says.
+            read = np.minimum(known.counts(distinct_pairs)[back], np.minimum(times, count_of[numbers]))
+            logs = np.log10((read + share[numbers]) / (times + prior)) * known.covers(pairs)
             sums = [np.add.reduceat(x, starts) for x in ((count_of[numbers] > 0).astype(np.int64), known_log[numbers], logs)]
             for (doc_id, row_key, w), *found in zip(held, *(x.tolist() for x in sums)):
                 rows.append((doc_id, row_key, len(w), *found))
