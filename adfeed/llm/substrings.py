@@ -1,9 +1,9 @@
-"""Removal of repeated passages by prefix-partitioned suffix trees.
+"""Removal of repeated passages by minimiser groups, in place of suffix trees.
 
-Suffixes that start at a window of ``width`` words are split into groups by a prefix
-of variable length, and each group's suffixes are sorted into the leaves of one
-subtree. Leaves that agree in ``width`` words hang below one internal node of that
-depth; all of them but the earliest are repeats.
+Windows of ``width`` words are split into groups by a hash that equal windows share (a
+minimiser, not a prefix), and each group is sorted. Windows that agree in all ``width``
+words are neighbours then; all of them but the earliest are repeats. No tree is built,
+and no longer common prefix is looked for.
 
 1. Every window is assigned to the smallest hash among its runs of ``seed`` words, so
    equal windows agree wherever they stand. Consecutive windows of the same run are
@@ -12,8 +12,8 @@ depth; all of them but the earliest are repeats.
    sums made before the shuffle, and only the other records go on.
 3. Texts whose words are all those of an earlier text are repeats as a whole and settled.
    The other records get their words (one join with the texts), which travel once to the
-   group of their run: the short prefix. Runs of more than ``group`` records use the
-   whole window as their prefix, so that no group outgrows a task. Of records alike
+   group of their run. Runs of more than ``group`` records are grouped by a hash of
+   the whole window instead, so that no group outgrows a task. Of records alike
    in one batch only the earliest travels, the others are settled on the spot: a
    passage in a third of all documents comes down to one record for each batch.
 4. Each group is sorted and its repeats are marked; the marks meet their documents.
