@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeed.llm import embeddings, exact, html, jaccard, lm, mixing, packing, quality, sharding, substrings
+from adfeed.llm import embeddings, exact, html, idfiles, jaccard, lm, mixing, packing, quality, sharding, substrings
 from adfeed.llm.common import octets, ready, shared_path
 
 
@@ -110,8 +110,15 @@ def op10_trusted_perplexity(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_id_planes(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_path(spark, "id-planes")
+    idfiles.write_ids(table(spark, folder, "documents"), path, end=0)
+    return idfiles.read_ids(spark, path)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_page_differencing, op2_two_pass_shuffle, op3_quantised_codes, op4_poisson_mixing, op5_digest_index, op6_suffix_trees,
     op7_log_frequency_filter, op8_global_orders, op9_vector_best_fit, op10_trusted_perplexity,
+    op11_id_planes,
 )}
 ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op8_global_orders": OP8_SQL}
