@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeed.llm import embeddings, exact, html, idfiles, jaccard, lm, mixing, packing, quality, sharding, substrings
+from adfeed.llm import codes, embeddings, exact, html, idfiles, jaccard, lm, mixing, packing, quality, sharding, substrings
 from adfeed.llm.common import octets, ready, shared_path
 
 
@@ -116,9 +116,45 @@ def op11_id_planes(spark: SparkSession, folder: str) -> DataFrame:
     return idfiles.read_ids(spark, path)
 
 
+def op12_grid_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.coded(table(spark, folder, "embeddings"), positions=16, entries=64, rounds=2)
+
+
+def _op12_assigned(book: str) -> str:
+    """Each part with 64 * distance + entry of its nearest entry."""
+    return f"""SELECT p.vec_id, p.pos, any_value(p.v) AS v, min((list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, c.v)
+      + list_inner_product(c.v, c.v))::BIGINT * 64 + c.e) AS best FROM p JOIN {book} c USING (pos) GROUP BY p.vec_id, p.pos"""
+
+
+def _op12_replaced(book: str, assigned: str) -> str:
+    """The entries after one round: floors of means, unused ones as they were."""
+    return f"""SELECT c.pos, c.e, coalesce(m.v, c.v) AS v FROM {book} c LEFT JOIN (
+      SELECT pos, e, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY i) AS v FROM (
+        SELECT pos, e, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+          SELECT pos, best % 64 AS e, unnest(v)::BIGINT AS x, unnest(range(len(v))) AS i FROM {assigned}) GROUP BY pos, e, i)
+      GROUP BY pos, e) m USING (pos, e)"""
+
+
+OP12_SQL = f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x, len(embedding) // 16 AS w FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, pos, list_slice(x, pos * w + 1, pos * w + w) AS v FROM k, (SELECT unnest(range(16)) AS pos)),
+c0 AS MATERIALIZED (SELECT pos, e, v FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k) USING (vec_id) WHERE e < 64),
+a0 AS MATERIALIZED ({_op12_assigned("c0")}),
+c1 AS MATERIALIZED ({_op12_replaced("c0", "a0")}),
+a1 AS MATERIALIZED ({_op12_assigned("c1")}),
+c2 AS MATERIALIZED ({_op12_replaced("c1", "a1")}),
+a2 AS MATERIALIZED ({_op12_assigned("c2")}),
+h AS (SELECT sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY pos, e, i)) AS codebooks_sha256
+  FROM (SELECT pos, e, unnest(v) AS x, unnest(range(len(v))) AS i FROM c2)),
+o AS (SELECT vec_id, string_agg(printf('%02x', best % 64), '' ORDER BY pos) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY vec_id)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM o JOIN k USING (vec_id), h
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_page_differencing, op2_two_pass_shuffle, op3_quantised_codes, op4_poisson_mixing, op5_digest_index, op6_suffix_trees,
     op7_log_frequency_filter, op8_global_orders, op9_vector_best_fit, op10_trusted_perplexity,
-    op11_id_planes,
+    op11_id_planes, op12_grid_cells,
 )}
-ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op8_global_orders": OP8_SQL}
+ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op8_global_orders": OP8_SQL, "op12_grid_cells": OP12_SQL}
