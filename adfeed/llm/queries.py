@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeed.llm import codes, embeddings, exact, html, idfiles, jaccard, lm, mixing, packing, quality, sharding, substrings
+from adfeed.llm import alignment, codes, embeddings, exact, html, idfiles, jaccard, lm, mixing, packing, quality, sharding, substrings
 from adfeed.llm.common import octets, ready, shared_path
 
 
@@ -152,9 +152,13 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 """
 
 
+def op13_spill_counting(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_page_differencing, op2_two_pass_shuffle, op3_quantised_codes, op4_poisson_mixing, op5_digest_index, op6_suffix_trees,
     op7_log_frequency_filter, op8_global_orders, op9_vector_best_fit, op10_trusted_perplexity,
-    op11_id_planes, op12_grid_cells,
+    op11_id_planes, op12_grid_cells, op13_spill_counting,
 )}
 ORACLE = {"op4_poisson_mixing": OP4_SQL, "op5_digest_index": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op8_global_orders": OP8_SQL, "op12_grid_cells": OP12_SQL}

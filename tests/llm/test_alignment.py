@@ -1,0 +1,170 @@
+"""Links of two tokenizers: against brute force over all token pairs and a plain count of documents."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from adfeed.llm import alignment, queries
+from adfeed.llm.alignment import aligned, merged_runs, pressed, pressed_pairs, sides, unpressed, unpressed_pairs, with_best
+from adfeed.llm.common import ready
+
+A = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def byte_of():
+    """The byte that each letter of a byte-level vocabulary stands for, by the rule of such vocabularies."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+LETTERS = byte_of()
+
+
+def tokens(text):
+    """(id, bytes) of both sides; none where the bytes differ."""
+    if not text:
+        return [], []
+    a = [(i, bytes(LETTERS[c] for c in A.id_to_token(i))) for i in A.encode(" " + text, add_special_tokens=False).ids]
+    b = []
+    for i in B.encode(text):
+        piece = B.id_to_piece(i)
+        b.append((i, bytes([int(piece[3:5], 16)]) if B.is_byte(i) else piece.replace("▁", " ").encode()))
+    whole = b" " + text.encode()
+    return (a, b) if b"".join(p for _, p in a) == whole == b"".join(p for _, p in b) else ([], [])
+
+
+def spans(side):
+    at, out = 0, []
+    for i, piece in side:
+        out.append((i, at, at + len(piece)))
+        at += len(piece)
+    return out
+
+
+def brute(rows):
+    linked = []
+    for doc_id, text in rows:
+        a, b = map(spans, tokens(text))
+        links = [(i, j) for i, s, e in a for j, u, v in b if s < v and u < e]
+        ends = sorted({e for _, _, e in a} & {e for _, _, e in b})
+        groups = []
+        for start, end in zip([0, *ends], ends):
+            side = [",".join(str(i) for i, s, e in x if start <= s and e <= end) for x in (a, b)]
+            groups.append("|".join(side))
+        linked.append((doc_id, len(a), len(b), len(ends), links, hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""))
+    counts = Counter(p for *_, links, _ in linked for p in set(links))
+    highest = {}
+    for (i, _), n in counts.items():
+        highest[i] = max(highest.get(i, 0), n)
+    return sorted(
+        ((d, na, nb, ng, len(links), sum(counts[p] == highest[p[0]] for p in links), sum(counts[p] for p in links), digest) for d, na, nb, ng, links, digest in linked),
+        key=str,
+    )
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect()), key=str)
+
+
+WORDS = ["the", "éthique", "12", "日本", "<|endoftext|>", "<s>", "x" * 20, "it's", "\n\n", "  ", "ﬁ", "ß", "<0x41>", "▁", "Überraschung", "\t", " ", "🙂", "é"]
+
+
+@pytest.mark.parametrize("links,parts,fan,frame", [(50, 3, 4, 4), (2_000_000, 32, 64, 8192), (400, 7, 4, 16)])
+def test_equal_to_brute_force(spark, monkeypatch, links, parts, fan, frame):
+    ready(spark)
+    for name, value in (("FAN", fan), ("FRAME", frame), ("AT_ONCE", 200)):
+        monkeypatch.setattr(alignment, name, value)
+    draw = random.Random(5)
+    rows = [(i, " ".join(draw.choices(WORDS[:-6] if i % 4 else WORDS, k=draw.choice([0, 1, 2, 6, 25])))) for i in range(130)]
+    rows += [(500, "the same words"), (500, "the same words"), (None, "the same words"), (None, None), (501, None), (502, ""), (503, "one " * 300), (504, " "), (505, "\x00a")]
+    rows += [(600 + i, "copied text of many documents") for i in range(60)]
+    df = spark.createDataFrame([(t, i, "x", 1) for i, t in rows], "text string, doc_id long, pairs string, run int").repartition(4)
+    out = aligned(df, parts=parts, links=links)
+    assert found(out) == brute(rows)
+
+
+def test_texts_that_spell_the_space_piece_have_no_tokens(spark):
+    ready(spark)
+    out = found(aligned(spark.createDataFrame([(1, "a ▁ b"), (2, "a b")], "doc_id long, text string")))
+    assert out[0] == (1, 0, 0, 0, 0, 0, 0, "") and out[1][1] > 0
+
+
+def test_no_tokens_at_all_and_empty_tables(spark):
+    ready(spark)
+    assert found(aligned(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string"))) == brute([(1, None), (2, "")])
+    assert aligned(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_long_text(spark):
+    ready(spark)
+    draw = random.Random(6)
+    text = " ".join(draw.choices(["alpha", "beta", "naïve", "17", "–", "Zürich"], k=60_000))
+    row = found(aligned(spark.createDataFrame([(1, text), (2, "alpha beta")], "doc_id long, text string"), links=1000))[0]
+    a, b = map(spans, tokens(text))
+    assert row[1:3] == (len(a), len(b)) and row[4] == len({e for _, _, e in a} | {e for _, _, e in b})
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.dictionaries(st.integers(0, 200), st.integers(1, 5), max_size=40), max_size=6), st.integers(1, 9))
+def test_merge_of_runs(runs, block):
+    def blocks(run):
+        pairs = sorted(run.items())
+        for i in range(0, len(pairs), block):
+            keys, counts = zip(*pairs[i : i + block])
+            yield np.array(keys, np.uint64), np.array(counts, np.int64)
+
+    out = [(int(k), int(c)) for keys, counts in merged_runs([blocks(r) for r in runs]) for k, c in zip(keys, counts)]
+    want = Counter()
+    for run in runs:
+        want.update(run)
+    assert out == sorted(want.items())
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.dictionaries(st.tuples(st.integers(0, 5), st.integers(0, 30)), st.integers(1, 4), min_size=1), st.integers(1, 7))
+def test_marks_of_the_highest_counts(counts, block):
+    items = sorted(((a << 24 | b, n) for (a, b), n in counts.items()))
+    parts = [items[i : i + block] for i in range(0, len(items), block)]
+    blocks = ((np.array([k for k, _ in p], np.uint64), np.array([n for _, n in p], np.int64)) for p in parts)
+    out = [(int(k) >> 24, int(k) & 0xFFFFFF, bool(b)) for keys, _, best in with_best(blocks) for k, b in zip(keys, best)]
+    highest = {a: max(n for (x, _), n in counts.items() if x == a) for a, _ in counts}
+    assert out == [(a, b, counts[a, b] == highest[a]) for a, b in sorted(counts)]
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1)))
+def test_frames_round_trip(values):
+    assert unpressed(pressed(np.array(values, np.uint64))).tolist() == values
+    ordered = np.array(sorted(values), np.uint64)
+    assert unpressed_pairs(pressed_pairs(ordered)).tolist() == ordered.tolist()
+
+
+def test_fast_and_slow_ids_agree():
+    both, draw = sides("byte_bpe_50k", "piece_bpe_32k"), random.Random(3)
+    for _ in range(1500):
+        text = " " + "".join(draw.choices(["a", "é", " ", "\n", "<|endoftext|>", "日", "'s", "9", "’", "ſ", "Z"], k=draw.randint(1, 25)))
+        assert both.ids_a(text) == A.encode(text, add_special_tokens=False).ids
+
+
+def test_query_meets_its_contract(spark):
+    out = queries.QUERIES["op13_spill_counting"](spark, "/root/testdata/sf0.001")
+    kinds = {n: "bigint" for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")}
+    assert dict(out.dtypes) == kinds | {"groups_sha256": "string"}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    short = [tuple(r) for r in docs]
+    got = {r[0]: r for r in found(out)}
+    assert len(got) == len(short)
+    for doc_id, text in short:
+        a, b = map(spans, tokens(text))
+        assert got[doc_id][1:3] == (len(a), len(b)) and got[doc_id][4] == len({e for _, _, e in a} | {e for _, _, e in b})
