@@ -40,6 +40,32 @@ def merge_batch(
     return master.join(ids, "id", "left_anti").unionByName(written.select(*master.columns))
 
 
+def merge_lots(lots: Sequence[DataFrame], key: str = "id", keep_first: Sequence[str] = ("premiere_collecte",)) -> DataFrame:
+    """The table that lots make up, the oldest first; each holds a key once.
+
+    The youngest row of a key counts; ``keep_first`` columns come from its oldest one. The
+    oldest lot, which holds most rows, is read in place: its rows pass through one anti join
+    with the keys of the younger lots, and is not shuffled while those fit a broadcast.
+    """
+    oldest, younger = lots[0], lots[1:]
+    if not younger:
+        return oldest
+    stacked = [lot.withColumn("_rang", F.lit(i)) for i, lot in enumerate(younger)]
+    whole = stacked[0]
+    for lot in stacked[1:]:
+        whole = whole.unionByName(lot)
+    values = [c for c in oldest.columns if c != key]
+    grouped = whole.groupBy(key).agg(
+        F.max_by(F.struct(*values), "_rang").alias("_valeurs"), *[F.min_by(c, "_rang").alias(f"_{c}") for c in keep_first]
+    )
+    latest = grouped.select(key, *[F.col(f"_{c}" if c in keep_first else f"_valeurs.{c}").alias(c) for c in values])
+    keys = latest.select(key)
+    if keep_first:
+        first = oldest.join(keys, key, "left_semi").select(key, *[F.col(c).alias(f"_{c}") for c in keep_first])
+        latest = latest.join(first, key, "left").withColumns({c: F.coalesce(f"_{c}", c) for c in keep_first})
+    return oldest.join(keys, key, "left_anti").unionByName(latest.select(*oldest.columns))
+
+
 def latest_first(master: DataFrame) -> DataFrame:
     """Consultation order: newest update first, then id."""
     return master.orderBy(F.desc("derniere_maj"), "id")

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from adfeed.operators.dedup import dedup_last
 from adfeed.operators.markers import merge_markers
 from adfeed.operators.seen import RETENTION_DAYS, first_sightings, seen_at, unseen
-from adfeed.operators.upsert import merge_batch
+from adfeed.operators.upsert import merge_lots
 from adfeed.schemas import HEALTH, MASTER
-from adfeed.session import cut_lineage
-from adfeed.sources.state import load_health, load_markers, load_seen
-from adfeed.sources.tables import bucket_of, delete_folder, folders, read_buckets, versions, write_buckets, write_table
+from adfeed.sources import journal
+from adfeed.sources.state import load_markers, load_seen
+from adfeed.sources.tables import delete_folder, folders, write_table
 
 
 def append_raw(posts: DataFrame, path: str, run_ts: str, order: Sequence[str] = ("_pos",)) -> None:
@@ -32,29 +32,21 @@ def log_run(run: DataFrame, path: str) -> None:
     run.write.mode("append").partitionBy("mode").parquet(path)
 
 
-def upsert_master(batch: DataFrame, path: str, now: datetime, order: Sequence[str], version: int | None = None) -> int | None:
-    """Write the next master version; an empty batch writes none.
+def upsert_master(batch: DataFrame, path: str, now: datetime, order: Sequence[str], mark: journal.Mark | None = None) -> int | None:
+    """Add a batch to the master and return its version; an empty batch adds none.
 
-    Of an id that the batch repeats, the last row by ``order`` counts.  Only the buckets
-    with ids of the batch are read and written.  ``version`` names the version to write,
-    from the one before it: repeating the call replaces that version instead of applying
-    the batch twice.
+    Of an id that the batch repeats, the last row by ``order`` counts.  The batch alone is
+    read and written: ids meet their earlier rows when the table is read, and when lots are
+    merged.  ``mark`` names the batch of a streaming query, which counts once.
     """
     names = [c for c in batch.columns if c in MASTER.fieldNames() or c in order]
     full = batch.select(
         *names, *[F.lit(None).cast(f.dataType).alias(f.name) for f in MASTER.fields if f.name not in names]
     ).withColumn("date_incertaine", F.coalesce(F.col("date_incertaine").cast("boolean"), F.lit(False)))
-    # Read three times by the merge, and perhaps costly to compute.
-    latest = cut_lineage(dedup_last(full.filter("id IS NOT NULL"), "id", order))
-    touched = [r["seau"] for r in latest.select(bucket_of("id").alias("seau")).distinct().collect()]  # at most BUCKETS
-    if not touched:
-        return None
-    spark = batch.sparkSession
-    if version is None:
-        known = versions(spark, path)
-        version = known[-1] + 1 if known else 0
-    old = read_buckets(spark, path, MASTER, version - 1, touched)
-    write_buckets(merge_batch(old, latest, now), path, "id", version)
+    latest = dedup_last(full.filter("id IS NOT NULL"), "id", order)
+    stamped = latest.withColumns({"premiere_collecte": F.lit(now), "derniere_maj": F.lit(now)}).select(*MASTER.fieldNames())
+    version = journal.append(stamped, path, mark)
+    journal.compact(batch.sparkSession, path, MASTER, merge_lots)
     return version
 
 
@@ -78,8 +70,11 @@ def save_markers(new: DataFrame, path: str) -> int:
     return write_table(merge_markers(load_markers(new.sparkSession, path), new), path)
 
 
-def save_health(health: DataFrame, path: str, version: int | None = None) -> int:
-    """Keep the scores of this run; sources without a run keep their old one."""
-    old = load_health(health.sparkSession, path, None if version is None else version - 1)
-    kept = old.join(health.select("source"), "source", "left_anti")
-    return write_table(kept.unionByName(health.select(*HEALTH.fieldNames())), path, version)
+def save_health(health: DataFrame, path: str, mark: journal.Mark | None = None, expected: int | None = None) -> int | None:
+    """Keep the scores of this run; sources without a run keep their old one.
+
+    ``expected``: the version the scores go on from; ``journal.Outdated`` is raised where it is not the newest.
+    """
+    version = journal.append(health.select(*HEALTH.fieldNames()), path, mark, expected)
+    journal.compact(health.sparkSession, path, HEALTH, lambda lots: merge_lots(lots, "source", ()))
+    return version

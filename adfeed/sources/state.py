@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adfeed.operators.upsert import merge_lots
 from adfeed.schemas import HEALTH, MARKERS, MASTER, RUNS, SEEN
-from adfeed.sources.tables import path_exists, read_buckets, read_table
+from adfeed.sources import journal
+from adfeed.sources.tables import path_exists, read_table
 
 
 def load_seen(spark: SparkSession, path: str) -> DataFrame:
@@ -20,11 +22,13 @@ def load_markers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_health(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    return read_table(spark, path, HEALTH, version)
+    """The newest score of every source."""
+    return merge_lots(journal.lots(spark, path, HEALTH, version), "source", ())
 
 
 def load_master(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    return read_buckets(spark, path, MASTER, version)
+    """The master as of a version (the newest): its lots merged by id."""
+    return merge_lots(journal.lots(spark, path, MASTER, version))
 
 
 def load_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -1,21 +1,15 @@
-"""State tables kept as numbered parquet snapshots: ``<path>/v=<n>``.
+"""Small state tables kept as numbered parquet snapshots: ``<path>/v=<n>``.
 
-Small states are written whole. A keyed table that grows is cut into buckets by a hash
-of its key; a version holds the buckets that changed, ``<path>/v=<n>/seau=<k>``, and the
-newest folder of each bucket is the table. A snapshot counts once Spark has committed it (``_SUCCESS``), so readers never
-see half a table and a repeated write of the same number replaces its result.
-Where a table format with MERGE is at hand, use its tables instead.
+A snapshot is written whole and counts once Spark has committed it (``_SUCCESS``), so readers
+never see half a table. The last ``KEPT_VERSIONS`` stay. Tables that grow are journals
+(``adfeed.sources.journal``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-BUCKETS = 64
 KEPT_VERSIONS = 7
 
 
@@ -31,12 +25,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the committed snapshots, oldest first."""
-    files, folder = _file_system(spark, path)
-    if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    numbers = [int(name[2:]) for name in names if name.startswith("v=") and name[2:].isdigit()]
-    return sorted(n for n in numbers if path_exists(spark, f"{path}/v={n}/_SUCCESS"))
+    return sorted(n for n in _numbers(spark, path) if path_exists(spark, f"{path}/v={n}/_SUCCESS"))
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    return [int(name[2:]) for name in folders(spark, path) if name.startswith("v=") and name[2:].isdigit()]
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType, version: int | None = None) -> DataFrame:
@@ -59,47 +52,12 @@ def write_table(df: DataFrame, path: str, version: int | None = None) -> int:
         known = versions(spark, path)
         version = known[-1] + 1 if known else 0
     df.write.mode("overwrite").parquet(f"{path}/v={version}")
+    for number in _numbers(spark, path):
+        if number <= version - KEPT_VERSIONS:
+            delete_folder(spark, f"{path}/v={number}")
     return version
 
 
-def bucket_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-
-
-def _bucket_folders(spark: SparkSession, path: str, version: int | None = None) -> dict[int, list[int]]:
-    """Bucket -> versions that hold it, the newest first."""
-    found: dict[int, list[int]] = {}
-    for number in reversed([n for n in versions(spark, path) if version is None or n <= version]):
-        files, folder = _file_system(spark, f"{path}/v={number}")
-        names = [status.getPath().getName() for status in files.listStatus(folder)]
-        for name in names:
-            if name.startswith("seau="):
-                found.setdefault(int(name[5:]), []).append(number)
-    return found
-
-
-def read_buckets(
-    spark: SparkSession, path: str, schema: StructType, version: int | None = None, only: Iterable[int] | None = None
-) -> DataFrame:
-    """The table as of a version (the newest), or some of its buckets; the others are not read."""
-    wanted = None if only is None else set(only)
-    newest = {k: numbers[0] for k, numbers in _bucket_folders(spark, path, version).items() if wanted is None or k in wanted}
-    if not newest:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{path}/v={n}/seau={k}" for k, n in sorted(newest.items())])
-
-
-def write_buckets(df: DataFrame, path: str, key: str, version: int) -> None:
-    """Write the buckets that ``df`` holds as (or again as) a version, and drop what no kept version needs."""
-    spark = df.sparkSession
-    df.withColumn("seau", bucket_of(key)).repartition("seau").write.mode("overwrite").partitionBy("seau").parquet(f"{path}/v={version}")
-    for bucket, numbers in _bucket_folders(spark, path).items():
-        old = [n for n in numbers if n <= version - KEPT_VERSIONS]
-        for number in old[1:]:
-            files, folder = _file_system(spark, f"{path}/v={number}/seau={bucket}")
-            files.delete(folder, True)
-
-
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder; none if it is not there."""
     files, folder = _file_system(spark, path)

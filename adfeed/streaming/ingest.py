@@ -1,19 +1,33 @@
-"""Continuous ingest of raw posts into the master table."""
+"""Continuous ingest of raw posts into the master table.
+
+Every sink here is a journal (``adfeed.sources.journal``) that holds, beside its rows, the last
+batch of each query that writes to it. A query is named by a note in its checkpoint folder. So a
+batch that is run again adds nothing, and a query with a new checkpoint on an old table counts its
+batches for itself and overwrites none of the others'.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
-from adfeed.operators.dedup import dedup_first
 from adfeed.operators.health import source_health
+from adfeed.operators.seen import RETENTION_DAYS
 from adfeed.sinks.tables import save_health, upsert_master
+from adfeed.sources import journal
 from adfeed.sources.state import load_health
-from adfeed.sources.tables import folders, read_table, versions, write_table
+from adfeed.sources.tables import path_exists
+
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+RETENTION = timedelta(days=RETENTION_DAYS)
 
 
 def read_new_files(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
@@ -24,67 +38,121 @@ def read_new_files(spark: SparkSession, path: str, schema: StructType, max_files
     return reader.parquet(path)
 
 
-def first_post_stream(posts: DataFrame, out: str, checkpoint: str, order: Sequence[str] = ("_pos",), id_col: str = "id") -> StreamingQuery:
-    """Keep the first row of every id over all batches; stops when the input is used up.
+def query_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name under which a query marks its batches, fixed when it first starts."""
+    note = f"{checkpoint}/nom"
+    journal.create_if_absent(spark, note, uuid.uuid4().hex)
+    return journal.read_text(spark, note)
 
-    Each batch is reduced to its first row per id and held against the ids that earlier
-    batches have kept, so late rows and rows without a time are treated like any other
-    and none is lost.  Batch n writes ``lot=<n>``: run again, it replaces itself.
-    """
 
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        first = dedup_first(batch, [id_col], order)
-        earlier = [f"{out}/{name}" for name in folders(spark, out) if name.startswith("lot=") and int(name[4:]) < number]
-        if earlier:
-            first = first.join(spark.read.schema(batch.schema).parquet(*earlier).select(id_col), id_col, "left_anti")
-        first.select(*batch.columns).write.mode("overwrite").parquet(f"{out}/lot={number}")
+def _each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, journal.Mark], None]) -> StreamingQuery:
+    """Run ``write(batch, mark)`` for the input there is, then stop."""
+    spark = stream.sparkSession
+    name = query_name(spark, checkpoint)
+    writer = stream.writeStream.foreachBatch(lambda batch, number: write(batch, (name, number)))
+    # State that goes by processing time would call for batches without data for ever; a query takes the setting over at its start.
+    before = spark.conf.get(NO_DATA)
+    spark.conf.set(NO_DATA, "false")
+    try:
+        return writer.option("checkpointLocation", f"{checkpoint}/flux").trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(NO_DATA, before)
 
-    return _each_batch(posts, checkpoint, write)
 
+def _first_sightings(order: Sequence[str], retention: timedelta) -> Callable:
+    """Of each id and batch the first row, unless the id was seen within the retention.
 
-def _first_version(spark: SparkSession, table: str, checkpoint: str) -> int:
-    """Number of the snapshot for batch 0, fixed when the query first starts."""
-    note = f"{checkpoint}/premiere_version"
-    if not versions(spark, note):
-        known = versions(spark, table)
-        first = known[-1] + 1 if known else 0
-        write_table(spark.range(first, first + 1), note, 0)
-    return read_table(spark, note, StructType([StructField("id", LongType())])).first()["id"]
+    The state of an id is the time of its first sighting, and when the state goes: when the
+    retention has passed since it was written, whether or not the id comes again.
+    """
+    micros = retention // timedelta(microseconds=1)
+
+    def place(row: dict) -> list:
+        return [(row[c] is not None, row[c]) for c in order]
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now = state.getCurrentProcessingTimeMs()
+        at, until = state.get if state.exists else (None, None)
+        first = None
+        for part in parts:  # rows of one id come in parts; only its first one is held
+            for row, seen, known in zip(part["_ligne"], part["_vu_us"], part["_connu"]):
+                seen = None if pd.isna(seen) else int(seen)
+                if known:
+                    at, until = seen, now + micros // 1000
+                elif first is None or place(row) < place(first[0]):
+                    first = (row, seen)
+        if first and (until is None or at is not None and first[1] is not None and first[1] - at > micros):
+            at, until = first[1], now + micros // 1000
+            yield pd.DataFrame({"_ligne": [first[0]]})
+        state.update((at, until))
+        state.setTimeoutDuration(max(1, until - now))
+
+    return run
+
+
+def first_post_stream(
+    posts: DataFrame, out: str, checkpoint: str, order: Sequence[str] = ("_pos",), id_col: str = "id",
+    seen_at: str | None = None, retention: timedelta = RETENTION,
+) -> StreamingQuery:
+    """Append the first row of every id to the journal ``out``; stops when the input is used up.
 
+    The ids live in the state store, so a batch reads no earlier output. There is no watermark:
+    late rows and rows without a time are treated like any other. ``seen_at`` names the time a
+    row was captured; an id comes again if that is more than ``retention`` after its first
+    sighting. Without it, or without a time in the row, the time of processing counts.
 
-def _each_batch(stream: DataFrame, checkpoint: str, write) -> StreamingQuery:
-    """Run ``write(batch, number)`` for the input there is, then stop."""
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{checkpoint}/flux")
-        .trigger(availableNow=True)
-        .start()
-    )
+    A query with a new checkpoint starts from the ids that the output holds: they are noted in
+    the checkpoint folder and are part of its first batch. The number of state partitions is that
+    of shuffle partitions when the query first starts.
+    """
+    spark = posts.sparkSession
+    at = (F.unix_micros(F.col(seen_at).cast("timestamp")) if seen_at else F.lit(None)).cast("long").alias("_vu_us")
+    note, kind = f"{checkpoint}/connus", StructType([posts.schema[id_col], StructField("_vu_us", LongType())])
+    if not path_exists(spark, f"{note}/_SUCCESS"):
+        before = journal.read(spark, out, posts.schema).select(id_col, at)
+        before.groupBy(id_col).agg(F.max("_vu_us").alias("_vu_us")).write.mode("overwrite").parquet(note)
+    line = F.struct(*posts.columns)
+    rows = posts.select(id_col, at, F.lit(False).alias("_connu"), line.alias("_ligne"))
+    known = spark.readStream.schema(kind).parquet(note)
+    known = known.select(id_col, "_vu_us", F.lit(True).alias("_connu"), F.lit(None).cast(rows.schema["_ligne"].dataType).alias("_ligne"))
+    kept = rows.union(known).groupBy(id_col).applyInPandasWithState(
+        _first_sightings(list(order), retention), StructType([rows.schema["_ligne"]]), "vu_us LONG, jusqu_ms LONG", "append", GroupStateTimeout.ProcessingTimeTimeout
+    ).select("_ligne.*")
+
+    def write(batch: DataFrame, mark: journal.Mark) -> None:
+        if journal.state(spark, out).has(mark):
+            batch.write.format("noop").mode("overwrite").save()  # the state store has to take the batch in again
+            return
+        journal.append(batch, out, mark)
+        journal.compact(spark, out, posts.schema, journal.appended)
+
+    return _each_batch(kept, checkpoint, write)
 
 
 def upsert_stream(
     posts: DataFrame, master_path: str, checkpoint: str, now: datetime | None = None, order: tuple[str, ...] = ("_pos",)
 ) -> StreamingQuery:
-    """Upsert every micro-batch into the master; stops when the input is used up.
+    """Upsert every micro-batch into the master; stops when the input is used up."""
 
-    Batch n writes the snapshot after the one the query started from plus n, so
-    a batch that is run again after a failure replaces its own snapshot.
-    """
-    first = _first_version(posts.sparkSession, master_path, checkpoint)
-
-    def write(batch: DataFrame, number: int) -> None:
-        upsert_master(batch, master_path, now or datetime.now().astimezone(), list(order), first + number)
+    def write(batch: DataFrame, mark: journal.Mark) -> None:
+        upsert_master(batch, master_path, now or datetime.now().astimezone(), list(order), mark)
 
     return _each_batch(posts, checkpoint, write)
 
 
 def score_stream(runs: DataFrame, health_path: str, checkpoint: str) -> StreamingQuery:
     """Carry the reliability score of every source forward with each batch of new runs."""
-    first = _first_version(runs.sparkSession, health_path, checkpoint)
-
-    def write(batch: DataFrame, number: int) -> None:
-        before = load_health(batch.sparkSession, health_path, first + number - 1)
-        save_health(source_health(batch, before), health_path, first + number)
+    spark = runs.sparkSession
+
+    def write(batch: DataFrame, mark: journal.Mark) -> None:
+        while not (now := journal.state(spark, health_path)).has(mark):
+            before = load_health(spark, health_path, now.version)
+            try:
+                save_health(source_health(batch, before), health_path, mark, now.version)
+            except journal.Outdated:  # another query wrote meanwhile: go on from its scores
+                continue
 
     return _each_batch(runs, checkpoint, write)

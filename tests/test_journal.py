@@ -1,0 +1,138 @@
+"""Journals: one writer per version, marks, merges that give way, and the rows of a plain dictionary."""
+
+import glob
+import os
+import random
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from py4j.protocol import Py4JJavaError
+
+from adfeed.operators.upsert import merge_lots
+from adfeed.sources import journal
+
+ROWS = T.StructType().add("id", "string").add("n", "long").add("premiere_collecte", "long")
+
+
+def rows(spark, *ids, n=0):
+    return spark.createDataFrame([(i, n, n) for i in ids], ROWS)
+
+
+def merge(lots):
+    return merge_lots(lots)
+
+
+def stored(spark, path, version=None):
+    return {r["id"]: (r["n"], r["premiere_collecte"]) for r in merge(journal.lots(spark, path, ROWS, version)).collect()}
+
+
+def test_a_file_is_created_once(spark, folder):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: journal.create_if_absent(spark, f"{folder}/a/nom", str(i)), range(16)))
+    assert sum(won) == 1 and journal.read_text(spark, f"{folder}/a/nom") == str(won.index(True))
+    assert os.listdir(f"{folder}/a") == ["nom"]
+
+
+def test_renaming_refuses_to_replace(spark, folder):
+    paths = []
+    for name in "ab":
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(name)
+        paths.append(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{folder}/{name}"))
+    with pytest.raises(Py4JJavaError) as error:
+        journal.rename_without_replacing(spark, *paths)
+    assert journal._exists_already(error.value)
+    journal.rename_without_replacing(spark, paths[0], paths[1].suffix("c"))
+    assert open(f"{folder}/bc").read() == "a"
+
+
+def test_writers_at_the_same_time(spark, folder):
+    def write(i):
+        return [journal.append(rows(spark, f"{i}-{k}", "shared", n=k), folder) for k in range(3)]
+
+    with ThreadPoolExecutor(4) as pool:
+        taken = [v for versions in pool.map(write, range(4)) for v in versions]
+    assert sorted(taken) == list(range(12)) == sorted(v for v in taken)
+    assert len(journal.read(spark, folder, ROWS).collect()) == 24 and len(stored(spark, folder)) == 13
+
+
+def test_marks_and_expected_versions(spark, folder):
+    assert journal.append(rows(spark, "a"), folder, ("q", 0)) == 0
+    assert journal.append(rows(spark, "b"), folder, ("q", 0)) is None
+    assert journal.append(rows(spark), folder, ("q", 1)) is None and journal.state(spark, folder).has(("q", 1))
+    assert journal.append(rows(spark), folder) is None
+    assert journal.append(rows(spark, "b"), folder, ("r", 0), expected=1) == 2
+    with pytest.raises(journal.Outdated):
+        journal.append(rows(spark, "c"), folder, expected=1)
+    now = journal.state(spark, folder)
+    assert now.marks == (("q", 1), ("r", 0)) and set(stored(spark, folder)) == {"a", "b"}
+    assert journal.state(spark, folder, 0).marks == (("q", 0),)
+
+
+def test_a_merge_gives_way(spark, folder):
+    for i in range(3):
+        journal.append(rows(spark, "a", f"b{i}", n=i), folder)
+
+    def slow(lots):
+        if not done:
+            done.append(journal.compact(spark, folder, ROWS, merge, everything=True))
+            journal.append(rows(spark, "c", n=9), folder)
+        return merge(lots)
+
+    done = []
+    assert journal.compact(spark, folder, ROWS, slow, everything=True) is None and done == [3]
+    assert stored(spark, folder) == {"a": (2, 0), "b0": (0, 0), "b1": (1, 1), "b2": (2, 2), "c": (9, 9)}
+    assert [(lot.first, lot.last, lot.rows) for lot in journal.state(spark, folder).lots] == [(0, 2, 4), (4, 4, 1)]
+
+
+def test_the_write_reads_nothing_of_the_table(spark, folder):
+    journal.append(rows(spark, *map(str, range(500))), folder)
+    for name in glob.glob(f"{folder}/lots/*/part-*"):
+        os.remove(name)  # a write that looked at earlier rows would fail
+    assert journal.append(rows(spark, "1", "new", n=1), folder) == 1
+
+
+def test_interleaved_batches_equal_a_dictionary(spark, folder):
+    draw, want, at = random.Random(3), {}, []
+    for n in range(14):
+        ids = draw.sample(range(60), draw.choice([1, 5, 30]))
+        for i in map(str, ids):
+            want[i] = (n, want.get(i, (n, n))[1])
+        version = journal.append(rows(spark, *map(str, ids), n=n), folder)
+        at.append((version, dict(want)))
+        journal.compact(spark, folder, ROWS, merge)
+    assert stored(spark, folder) == want and len(journal.state(spark, folder).lots) <= 10
+    for version, then in at[-3:]:
+        assert stored(spark, folder, version) == then
+    kept = {lot.name for v in journal.versions(spark, folder) for lot in journal.state(spark, folder, v).lots}
+    assert set(os.listdir(f"{folder}/lots")) == kept
+
+
+@given(st.lists(st.integers(1, 50), min_size=1, max_size=300))
+def test_few_lots_and_few_rewrites(writes):
+    lots, moved = [], 0
+    for n, size in enumerate(writes):
+        lots.append(journal.Lot(str(n), n, n, size))
+        due = journal.to_merge(lots)
+        if due:
+            rows = sum(lot.rows for lot in due)
+            moved += rows
+            lots[len(lots) - len(due) :] = [journal.Lot("m", due[0].first, due[-1].last, rows)]
+    total = sum(writes)
+    assert sum(lot.rows for lot in lots) == total
+    assert len(lots) <= 8 + 2 * total.bit_length() and moved <= total * (1 + total.bit_length())
+
+
+def test_plan_of_a_read_does_not_shuffle_the_oldest_lot(spark, folder):
+    journal.append(rows(spark, *map(str, range(300))), folder)
+    journal.append(rows(spark, "1", "x", n=1), folder)
+    journal.append(rows(spark, "1", "y", n=2), folder)
+    plan = merge(journal.lots(spark, folder, ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "LeftAnti" in plan
+    assert stored(spark, folder)["1"] == (2, 0)
+    with_count = merge(journal.lots(spark, folder, ROWS)).agg(F.count("*")).first()[0]
+    assert with_count == 302

@@ -6,10 +6,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from adfeed.operators.upsert import latest_first, merge_batch
+from adfeed.operators.upsert import latest_first, merge_batch, merge_lots
 from adfeed.schemas import AD_COLUMNS, MARKERS, MASTER, SEEN
 from adfeed.sinks.exports import export_ads, export_candidates, export_master, protect_contacts, write_rejects
 from adfeed.sinks.tables import append_raw, log_run, save_markers, save_seen, upsert_master
+from adfeed.sources import journal
 from adfeed.sources.groups import load_groups
 from adfeed.sources.posts import file_issues, line_issues, load_raw_post_lines, load_raw_posts, load_raw_table
 from adfeed.sources.state import load_markers, load_master, load_runs, load_seen
@@ -47,27 +48,32 @@ def test_upsert_twice_is_once(spark, folder):
 
 
 def test_empty_batch_and_repeats_in_a_batch(spark, folder):
-    assert upsert_master(ads(spark, ("a", 1)).filter("false"), folder, DAY1, ["_pos"]) is None and versions(spark, folder) == []
+    assert upsert_master(ads(spark, ("a", 1)).filter("false"), folder, DAY1, ["_pos"]) is None and journal.versions(spark, folder) == []
     upsert_master(ads(spark, ("a", 1), ("b", 2), ("a", 3), (None, 4)), folder, DAY1, ["_pos"])
     assert prices(load_master(spark, folder)) == {"a": (3, DAY1, DAY1), "b": (2, DAY1, DAY1)}
 
 
-def test_a_repeated_version_replaces_itself(spark, folder):
-    upsert_master(ads(spark, ("a", 1)), folder, DAY1, ["_pos"], version=0)
-    upsert_master(ads(spark, ("b", 1)), folder, DAY2, ["_pos"], version=1)
-    upsert_master(ads(spark, ("b", 5)), folder, DAY2, ["_pos"], version=1)
-    assert versions(spark, folder) == [0, 1] and prices(load_master(spark, folder))["b"] == (5, DAY2, DAY2)
+def test_a_batch_of_a_query_counts_once(spark, folder):
+    assert upsert_master(ads(spark, ("a", 1)), folder, DAY1, ["_pos"], ("q", 0)) == 0
+    assert upsert_master(ads(spark, ("b", 1)), folder, DAY2, ["_pos"], ("q", 1)) == 1
+    assert upsert_master(ads(spark, ("b", 5)), folder, DAY2, ["_pos"], ("q", 1)) is None
+    assert upsert_master(ads(spark, ("b", 7)), folder, DAY2, ["_pos"], ("autre", 0)) == 2
+    assert prices(load_master(spark, folder, 1))["b"] == (1, DAY2, DAY2) and prices(load_master(spark, folder))["b"] == (7, DAY2, DAY2)
 
 
-def test_only_touched_buckets_are_written_and_old_ones_go(spark, folder):
+def test_a_batch_leaves_earlier_lots_alone_and_old_ones_go(spark, folder):
     upsert_master(ads(spark, *[(f"p{i}", i) for i in range(300)]), folder, DAY1, ["_pos"])
-    for n in range(1, 12):
-        upsert_master(ads(spark, ("p7", 1000 + n)), folder, DAY2, ["_pos"])
-    assert len(glob.glob(f"{folder}/v=0/seau=*")) >= 60 and len(glob.glob(f"{folder}/v=11/seau=*")) == 1
-    assert glob.glob(f"{folder}/v=2/seau=*") == [] and len(glob.glob(f"{folder}/v=*/seau=*/")) < 75
+    first = journal.state(spark, folder).lots[0]
+    for n in range(1, 20):
+        upsert_master(ads(spark, ("p7", 1000 + n), (f"q{n}", n)), folder, DAY2, ["_pos"])
+    now = journal.state(spark, folder)
+    assert now.lots[0] == first and first.rows == 300 and len(now.lots) < 10
+    assert len(glob.glob(f"{folder}/lots/*")) < 20 and len(glob.glob(f"{folder}/journal/*")) == journal.KEPT
     stored = prices(load_master(spark, folder))
-    assert len(stored) == 300 and stored["p7"] == (1011, DAY1, DAY2) and stored["p8"] == (8, DAY1, DAY1)
-    assert prices(load_master(spark, folder, 9))["p7"][0] == 1009
+    assert len(stored) == 319 and stored["p7"] == (1019, DAY1, DAY2) and stored["p8"] == (8, DAY1, DAY1) and stored["q3"] == (3, DAY2, DAY2)
+    assert prices(load_master(spark, folder, now.version - 1))["p7"][0] in (1018, 1019)
+    assert journal.compact(spark, folder, MASTER, merge_lots, everything=True) == now.version + 1
+    assert prices(load_master(spark, folder)) == stored and len(journal.state(spark, folder).lots) == 1
 
 
 def test_seen_days_beyond_the_retention_go(spark, folder):

@@ -1,4 +1,6 @@
+import glob
 import json
+import os
 import sys
 from datetime import datetime, timedelta
 
@@ -11,6 +13,7 @@ from adfeed.plans.runs import Places, collect_posts, full_run, rules_only_run
 from adfeed.sinks.tables import save_health
 from adfeed.sources.posts import ORDER, file_issues, load_raw_posts, load_raw_table
 from adfeed.sources.state import load_health, load_markers, load_master, load_runs, load_seen
+from adfeed.sources import journal
 from adfeed.streaming.ingest import first_post_stream, read_new_files, score_stream, upsert_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -141,12 +144,61 @@ def test_stream_keeps_the_first_row_of_every_id(spark, folder):
 
     def go():
         first_post_stream(read_new_files(spark, f"{folder}/in", schema, 1), f"{folder}/out", f"{folder}/c").awaitTermination()
-        return {r["id"]: r["prix_fcfa"] for r in spark.read.schema(schema).parquet(f"{folder}/out").collect()}
+        return {r["id"]: r["prix_fcfa"] for r in journal.read(spark, f"{folder}/out", schema).collect()}
 
     assert go() == {"a": 1, "b": 2, "n": 5}
     arrive(spark, folder, ("a", 3, NOW + timedelta(days=2)), ("tard", 4, NOW - timedelta(days=900)), ("n", 6, None), ("m", 8, None))
     assert go() == go() == {"a": 1, "b": 2, "n": 5, "tard": 4, "m": 8}
-    assert spark.read.parquet(f"{folder}/out").count() == 5
+    assert journal.read(spark, f"{folder}/out", schema).count() == 5
+    arrive(spark, folder, ("neuf", 9, NOW), ("a", 10, None))
+    first_post_stream(read_new_files(spark, f"{folder}/in", schema, 1), f"{folder}/out", f"{folder}/autre").awaitTermination()
+    assert {r["id"]: r["prix_fcfa"] for r in journal.read(spark, f"{folder}/out", schema).collect()} == {"a": 1, "b": 2, "n": 5, "tard": 4, "m": 8, "neuf": 9}
+    assert journal.read(spark, f"{folder}/out", schema).count() == 6
+
+
+def test_stream_forgets_ids_after_the_retention(spark, folder):
+    """Against the first sighting, per batch; a row without a capture time never expires an id."""
+    schema = spark.createDataFrame([], STREAM).schema
+    days = [0, 5, 10, 11, None, 12, 25, 3]
+
+    def go(checkpoint, seen_at="ts"):
+        posts = read_new_files(spark, f"{folder}/in", schema, 1)
+        first_post_stream(posts, f"{folder}/out", f"{folder}/{checkpoint}", seen_at=seen_at, retention=timedelta(days=10)).awaitTermination()
+        return [tuple(r) for r in journal.read(spark, f"{folder}/out", schema).filter("id = 'a'").orderBy("prix_fcfa").select("prix_fcfa").collect()]
+
+    for n, day in enumerate(days):
+        arrive(spark, folder, ("a", n, None if day is None else NOW + timedelta(days=day)), (f"b{n}", n, None))
+    assert go("c") == [(0,), (3,), (6,)]  # days 0, 11 and 25
+    arrive(spark, folder, ("a", 8, NOW + timedelta(days=35)), ("b0", 9, NOW + timedelta(days=900)))
+    assert go("autre") == [(0,), (3,), (6,)]  # a new checkpoint starts from what the output holds: day 25
+    assert journal.read(spark, f"{folder}/out", schema).filter("id = 'b0'").count() == 1
+
+
+def test_a_batch_that_is_run_again_counts_once(spark, folder):
+    schema = spark.createDataFrame([], STREAM).schema
+
+    def go():
+        stream = read_new_files(spark, f"{folder}/in", schema, 1)
+        first_post_stream(stream, f"{folder}/out", f"{folder}/c").awaitTermination()
+        upsert_stream(stream, f"{folder}/m", f"{folder}/d", NOW).awaitTermination()
+        kept = sorted(tuple(r) for r in journal.read(spark, f"{folder}/out", schema).select("id", "prix_fcfa").collect())
+        return kept, sorted(tuple(r) for r in load_master(spark, f"{folder}/m").select("id", "prix_fcfa").collect())
+
+    def forget_last_commit(checkpoint):
+        last = max(int(os.path.basename(f)) for f in glob.glob(f"{folder}/{checkpoint}/flux/commits/*"))
+        for name in (f"{last}", f".{last}.crc"):
+            os.remove(f"{folder}/{checkpoint}/flux/commits/{name}")
+
+    arrive(spark, folder, ("a", 1, NOW), ("b", 2, NOW))
+    arrive(spark, folder, ("a", 3, NOW), ("c", 4, NOW))
+    first = go()
+    assert first == ([("a", 1), ("b", 2), ("c", 4)], [("a", 3), ("b", 2), ("c", 4)])
+    versions = journal.versions(spark, f"{folder}/out"), journal.versions(spark, f"{folder}/m")
+    for checkpoint in "cd":
+        forget_last_commit(checkpoint)  # as if the driver had died after the write
+    assert go() == first and (journal.versions(spark, f"{folder}/out"), journal.versions(spark, f"{folder}/m")) == versions
+    arrive(spark, folder, ("b", 5, NOW), ("c", 6, NOW), ("d", 7, NOW))
+    assert go() == ([("a", 1), ("b", 2), ("c", 4), ("d", 7)], [("a", 3), ("b", 5), ("c", 6), ("d", 7)])
 
 
 def record(ident, text, **more):
