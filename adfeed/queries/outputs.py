@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from adfeed.schemas import AD_COLUMNS, CANDIDATE_COLUMNS, MASTER
 from adfeed.session import work_folder
 from adfeed.sinks.exports import export_ads, export_master, write_rejects
 from adfeed.sinks.tables import append_raw, upsert_master
+from adfeed.sources import journal
 from adfeed.sources.groups import load_groups
 from adfeed.sources.posts import file_issues, line_issues, load_raw_post_lines, load_raw_table, merge_posts, parse_post_files
 from adfeed.sources.state import load_health, load_master
@@ -243,10 +244,47 @@ def stream_dedup(spark, folder):
     rows = _event_rows(spark, folder).withColumn("date_publication", shown)
     _in_parts(rows, f"{path}/entree")
     first_post_stream(read_new_files(spark, f"{path}/entree", rows.schema, 2), f"{path}/sortie", f"{path}/point").awaitTermination()
-    kept = spark.read.schema(rows.schema).parquet(f"{path}/sortie")
+    kept = journal.read(spark, f"{path}/sortie", rows.schema)
     return kept.select("id", "groupe_nom", "prix_fcfa", "_pos", F.col("date_publication").isNull().cast("int").alias("sans_date"))
 
 
+def stream_expiry(spark, folder):
+    """Ids that come again in later batches: forgotten ten days after their first sighting, except where a row has no time."""
+    path = work_folder(spark, "flux")
+    rows = _event_rows(spark, folder).withColumn("vu", F.when(F.col("groupe_nom") != "error", F.col("ts")))
+    _in_parts(rows, f"{path}/entree")
+    stream = read_new_files(spark, f"{path}/entree", rows.schema, 2)
+    first_post_stream(stream, f"{path}/sortie", f"{path}/point", seen_at="vu", retention=timedelta(days=10)).awaitTermination()
+    return journal.read(spark, f"{path}/sortie", rows.schema).select("id", "groupe_nom", "prix_fcfa", "_pos")
+
+
+def stream_restart(spark, folder):
+    """Posts and master after a stop and go: the second query has a new checkpoint on the old tables and reads everything again."""
+    path = work_folder(spark, "flux")
+    rows = _event_rows(spark, folder)
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    rows.filter(early).repartition(2).write.parquet(f"{path}/entree")
+    for checkpoint, more in (("a", rows.filter(~early)), ("a", None), ("b", None)):
+        stream = read_new_files(spark, f"{path}/entree", rows.schema, 2)
+        first_post_stream(stream, f"{path}/posts", f"{path}/p{checkpoint}").awaitTermination()
+        upsert_stream(stream, f"{path}/maitre", f"{path}/m{checkpoint}", NOW if checkpoint == "a" else LATER).awaitTermination()
+        if more is not None:
+            more.repartition(2).write.mode("append").parquet(f"{path}/entree")
+    posts = journal.read(spark, f"{path}/posts", rows.schema).select("id", F.col("prix_fcfa").alias("premier_prix"))
+    master = load_master(spark, f"{path}/maitre").select("id", "prix_fcfa", *[F.unix_micros(c).alias(f"{c}_us") for c in ("premiere_collecte", "derniere_maj")])
+    return posts.join(master, "id", "full")
+
+
+def master_lots(spark, folder):
+    """Ten interleaved batches, one a day; the lots of the first ones are merged on the way."""
+    path = work_folder(spark, "maitre")
+    rows = _event_rows(spark, folder).withColumn("_lot", F.pmod("_pos", F.lit(10)))
+    for n in range(10):
+        upsert_master(rows.filter(F.col("_lot") == n), path, NOW + timedelta(days=n), ["_pos"])
+    micros = [F.unix_micros(c).alias(f"{c}_us") for c in ("premiere_collecte", "derniere_maj")]
+    return load_master(spark, path).select("id", "groupe_nom", "prix_fcfa", *micros)
+
+
 def stream_upsert(spark, folder):
     """Three batches into the master; the query is started again and finds nothing to do twice."""
     path = work_folder(spark, "flux")
@@ -287,6 +325,9 @@ QUERIES = {
     "collect_posts": collect_posts_query,
     "left_out_pages": left_out_pages,
     "stream_dedup": stream_dedup,
+    "stream_expiry": stream_expiry,
+    "stream_restart": stream_restart,
+    "master_lots": master_lots,
     "stream_upsert": stream_upsert,
     "stream_scores": stream_scores,
 }
@@ -348,6 +389,23 @@ ORACLE = {
         UNION ALL SELECT 'w' || conv_id || '-' || turn, {_ROLE_GROUP}, upper({_ROLE_GROUP}), NULL, role, NULL FROM conversations WHERE role <> 'user'""",
     "stream_dedup": """SELECT user_id || '-' || event_type AS id, event_type AS groupe_nom, trunc(arg_min(value, event_id) * 100)::BIGINT AS prix_fcfa,
             min(event_id) AS _pos, (event_type = 'error')::INT AS sans_date FROM events GROUP BY user_id, event_type""",
+    # The first row of each third of the month; a third's row stays if nothing was kept or that is ten days back.
+    "stream_expiry": """WITH RECURSIVE e AS (SELECT user_id || '-' || event_type AS id, event_type, value, event_id, ts,
+            CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS part FROM events),
+        f AS (SELECT id, part, min(event_id) AS event_id, arg_min(event_type, event_id) AS kind, arg_min(value, event_id) AS value,
+            arg_min(ts, event_id) AS ts, row_number() OVER (PARTITION BY id ORDER BY part) AS n FROM e GROUP BY id, part),
+        r AS (SELECT id, n, ts AS kept, true AS stays FROM f WHERE n = 1
+            UNION ALL SELECT f.id, f.n, CASE WHEN x THEN f.ts ELSE r.kept END, x FROM (
+                SELECT f.*, r.kept, f.kind <> 'error' AND f.ts > r.kept + INTERVAL 10 DAY AS x FROM f JOIN r ON r.id = f.id AND f.n = r.n + 1) f JOIN r ON r.id = f.id AND f.n = r.n + 1)
+        SELECT id, kind AS groupe_nom, trunc(value * 100)::BIGINT AS prix_fcfa, event_id AS _pos FROM r JOIN f USING (id, n) WHERE stays""",
+    "stream_restart": """SELECT user_id || '-' || event_type AS id,
+            trunc(coalesce(arg_min(value, event_id) FILTER (WHERE ts < TIMESTAMP '2024-01-16'), arg_min(value, event_id)) * 100)::BIGINT AS premier_prix,
+            trunc(arg_max(value, (ts >= TIMESTAMP '2024-01-16')::INT * 1000000000 + event_id) * 100)::BIGINT AS prix_fcfa,
+            epoch_us(TIMESTAMP '2024-01-31') AS premiere_collecte_us, epoch_us(TIMESTAMP '2024-02-01') AS derniere_maj_us FROM events GROUP BY 1""",
+    "master_lots": """SELECT user_id || '-' || event_type AS id, event_type AS groupe_nom,
+            trunc(arg_max(value, (event_id % 10) * 1000000000 + event_id) * 100)::BIGINT AS prix_fcfa,
+            epoch_us(TIMESTAMP '2024-01-31') + min(event_id % 10) * 86400000000 AS premiere_collecte_us,
+            epoch_us(TIMESTAMP '2024-01-31') + max(event_id % 10) * 86400000000 AS derniere_maj_us FROM events GROUP BY 1, 2""",
     "stream_upsert": """SELECT user_id || '-' || event_type AS id, event_type AS groupe_nom,
             trunc(arg_max(value, event_id) * 100)::BIGINT AS prix_fcfa, epoch_us(TIMESTAMP '2024-01-31') AS maj_us FROM events GROUP BY 1, 2""",
 }
