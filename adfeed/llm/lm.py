@@ -8,14 +8,18 @@ Dirichlet prior: (c(v, w) + prior * p(w)) / (c(v) + prior). c(v, w) is read as a
 and c(w), so that no probability exceeds 1; c(v) is exact, so the shares after a frequent
 v may miss 1 by the width of a level.
 
-1. Word and pair counts are gathered from all training texts, as sorted hashes in
-   slices by hash, combined for each batch before they move. Each slice becomes a table
-   of exact word counts and a piece of the filter of its own size.
-2. The filter is broadcast in parts of at most ``part_bytes``; a pair lies in one part,
-   and scores are sums over pairs, so each part gives its share of every score. The
-   corpus decides how many parts there are, never what they hold.
-3. Exact word counts are unbounded and never broadcast: documents are dealt into blocks,
-   a block asks each slice for its distinct words once, and gets their counts back.
+1. Texts are read and cut into words once. A task deals its texts into blocks of about
+   ``block_bytes`` and stores each: its words as numbers of the block's own vocabulary, and its
+   distinct words and pairs as sorted hashes in slices by hash, with their counts in
+   training texts.
+2. The blocks' counts are merged slice by slice. Each slice becomes a table of exact word
+   counts and a piece of the filter of its own size.
+3. The filter is broadcast in parts, stretches of slices of about ``part_bytes``. Stored pairs lie
+   in a folder for each part, so a part probes the pairs that fall to it and no others: the
+   parts together probe each block's pairs once, however many they are.
+4. Exact word counts are unbounded and never broadcast: they come by a join on the slice.
+5. A block's numbers meet the counts of its words and the levels of its pairs, and give
+   the scores of its documents.
 
 Words are told apart by 64-bit hashes. Every document takes part, with its whole text.
 
@@ -23,7 +27,7 @@ Defined results. A null text is empty and has one token, its end. A null doc_id
 as empty text when documents are held out. Without any training token, scores follow
 from add-one counts of nothing. Rows that repeat are scored alike, each for itself.
 An empty table gives no rows. Other columns are ignored. The words of one document
-have to fit a task's memory.
+have to fit a task's memory. Rows that repeat lie in the blocks of the tasks that read them.
 """
 
 from __future__ import annotations
@@ -34,33 +38,36 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import lower_words, mixed, octets, task, WordHashes, written
+from adfeed.llm.common import lower_words, mixed, octets, shared_path, task, written
 
 END = np.uint64(0x5BD1E9955BD1E995)  # stands for the end of a text, and for what is before its start
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 # Smallest count of each level: factors of about 1.1.
 STEPS = np.unique(np.round(1.1 ** np.arange(460)).astype(np.uint64))
+MIDDLES = np.append(0, (STEPS[:-1] + STEPS[1:] - 1) / 2)
 BITS_PER_ENTRY, PROBES = 8, 5
-TOKENS_AT_ONCE = 2_000_000
 
-COUNTED = pa.schema([("slice", pa.int32()), ("pairs", pa.bool_()), ("keys", pa.binary()), ("counts", pa.binary())])
-COUNTED_DDL = "slice int, pairs boolean, keys binary, counts binary"
+BLOCKS = pa.schema([
+    ("part", pa.int32()), ("slice", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()),
+    ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("numbers", pa.binary()), ("words", pa.binary()),
+])
+BLOCKS_DDL = (
+    "part int, slice int, block long, keys binary, counts binary, "
+    "doc_ids array<long>, held array<boolean>, lengths array<long>, numbers binary, words binary"
+)
+WORDS, TEXTS = -1, -2  # in place of a part of the filter
 PIECES = pa.schema([("slice", pa.int32()), ("pairs", pa.bool_()), ("keys", pa.binary()), ("counts", pa.binary()), ("distinct", pa.int64()), ("total", pa.int64())])
 PIECES_DDL = "slice int, pairs boolean, keys binary, counts binary, distinct long, total long"
-ASKED = pa.schema([("slice", pa.int32()), ("block", pa.int32()), ("keys", pa.binary())])
-GIVEN = pa.schema([("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+GIVEN = pa.schema([("block", pa.int64()), ("pairs", pa.bool_()), ("slice", pa.int32()), ("counts", pa.binary())])
+GIVEN_DDL = "block long, pairs boolean, slice int, counts binary"
 SCORED = pa.schema([
-    ("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("known_logs", pa.float64()), ("score", pa.float64()),
+    ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("known_logs", pa.float64()), ("score", pa.float64()),
 ])
-SCORED_DDL = "doc_id long, row_key long, n_tokens long, n_known long, known_logs double, score double"
-
-
-def text_tokens(text: str | None, cache: WordHashes) -> np.ndarray:
-    """Hashes of the words and the end."""
-    return np.append(cache.of(lower_words(text)), END)
+SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, known_logs double, score double"
 
 
 class BlockWords(dict):
@@ -122,28 +129,54 @@ def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def _counted(slices: int):
+def block_pairs(hashes: np.ndarray, numbers: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number before, hash of the pair) of each token of a block; a text follows an end."""
+    before = np.roll(numbers, 1)
+    before[starts] = 0
+    return before, pair_keys(hashes[before], hashes[numbers])
+
+
+def counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often they occur in training; the keys' lowest bit is free."""
+    marked = np.sort(keys | train.astype(np.uint64))
+    keys = marked & np.uint64(0xFFFFFFFFFFFFFFFE)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat((marked & np.uint64(1)).astype(np.int64), first)
+
+
+def _blocks(slices: int, part_slices: int, block_bytes: int):
     def run(batches):
-        cache, words, pairs, n = WordHashes(), [], [], 0
+        here, block = TaskContext.get().partitionId(), 0
+        words, held, size = BlockWords(), [], 0
+
+        def filled(values: dict) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in BLOCKS], schema=BLOCKS)
 
         def flush():
-            rows = []
-            for kind, held in ((False, words), (True, pairs)):
-                keys, counts = np.unique(np.concatenate(held), return_counts=True)
-                rows += [(i, kind, packed_keys(keys[a:b]), packed(counts[a:b])) for i, a, b in by_slice(keys, slices)]
-            return batch_of(rows, COUNTED)
+            name, hashes = here << 24 | block, np.array(words.hashes, np.uint64)
+            lengths = np.array([len(n) for *_, n in held], np.int64)
+            numbers, train = np.concatenate([n for *_, n in held]), np.repeat(~np.array([h for _, h, _ in held], bool), lengths)
+            starts = np.cumsum(lengths) - lengths
+            yield filled({
+                "part": TEXTS, "slice": 0, "block": name, "doc_ids": [i for i, *_ in held], "held": [h for _, h, _ in held],
+                "lengths": lengths, "numbers": packed(numbers), "words": packed(hashes.view(np.int64)),
+            })
+            order = np.argsort(hashes)
+            found = {True: counted(block_pairs(hashes, numbers, starts)[1], train), False: (hashes[order], np.bincount(numbers[train], minlength=len(hashes))[order])}
+            for pairs, (keys, counts) in found.items():
+                for i, a, b in by_slice(keys, slices):
+                    part = i // part_slices if pairs else WORDS
+                    yield filled({"part": part, "slice": i, "block": name, "keys": packed_keys(keys[a:b]), "counts": packed(counts[a:b])})
 
         for batch in batches:
-            for text in batch.column("text"):
-                tokens = text_tokens(text.as_py(), cache)
-                words.append(tokens)
-                pairs.append(pair_keys(np.concatenate([[END], tokens[:-1]]), tokens))
-                n += len(tokens)
-                if n >= TOKENS_AT_ONCE:
-                    yield flush()
-                    words, pairs, n = [], [], 0
-        if n:
-            yield flush()
+            for doc_id, out, text in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2)):
+                held.append((doc_id, out, words.numbers(text.as_py())))
+                size += 8 * len(held[-1][2])  # of memory, as much as of text in most tongues
+                if size >= block_bytes:
+                    yield from flush()
+                    words, held, size, block = BlockWords(), [], 0, block + 1
+        if held:
+            yield from flush()
 
     return run
 
@@ -184,6 +217,7 @@ def _pieces(batches):
 
     def out(at: tuple[int, bool], held):
         keys, counts = merged(held)
+        keys, counts = keys[counts > 0], counts[counts > 0]  # the others occur in texts held out
         total = int(counts.sum())
         if at[1]:
             return batch_of([(*at, bloom_piece(keys, counts), None, len(keys), total)], PIECES)
@@ -191,7 +225,7 @@ def _pieces(batches):
 
     current, held, size = None, [], 0
     for batch in batches:
-        for i, kind, keys, counts in zip(*(batch.column(n).to_pylist() for n in COUNTED.names)):
+        for i, kind, keys, counts in zip(*(batch.column(n).to_pylist() for n in ("slice", "pairs", "keys", "counts"))):
             if (i, kind) != current:
                 if held:
                     yield out(current, held)
@@ -213,19 +247,17 @@ class CountFilter:
         sizes = np.array([len(pieces.get(i, b"")) for i in range(slices)], np.int64)
         self.bits, self.start = sizes.astype(np.uint64) * np.uint64(8), np.cumsum(sizes) - sizes
         self.data = np.frombuffer(b"".join(pieces[i] for i in sorted(pieces)), np.uint8)
-        self.middle = np.append(0, (STEPS[:-1] + STEPS[1:] - 1) / 2)
-
-    def covers(self, keys: np.ndarray) -> np.ndarray:
-        at = slice_of(keys, self.slices)
-        return (at >= self.low) & (at < self.high)
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """The middle of the last level found; 0 for pairs that are not there."""
+        return MIDDLES[self.levels(keys)]
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
         at = slice_of(keys, self.slices)
         bits, start = self.bits[at], self.start[at]
         level = np.zeros(len(keys), np.int64)
         alive, step = np.flatnonzero(bits > 0), 1
-        while len(alive) and step < len(self.middle):
+        while len(alive) and step < len(MIDDLES):
             found = np.arange(len(alive))
             for place in probe_places(keys[alive], step, bits[alive]):
                 place = place[found].astype(np.int64)
@@ -234,20 +266,7 @@ class CountFilter:
             alive = alive[found]
             level[alive] = step
             step += 1
-        return self.middle[level]
-
-
-def _asked(slices: int):
-    def run(key, table):
-        words = BlockWords()
-        for text in table.column("text"):
-            for word in lower_words(text.as_py()):
-                words[word]
-        keys = np.unique(np.array(words.hashes, np.uint64))
-        rows = [(i, key[0].as_py(), packed_keys(keys[a:b])) for i, a, b in by_slice(keys, slices)]
-        return pa.Table.from_batches([batch_of(rows, ASKED)])
-
-    return run
+        return level
 
 
 def lookup(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -259,58 +278,52 @@ def lookup(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarr
 
 
 def _given(key, asked, known):
-    if not asked.num_rows or not known.num_rows:
-        return GIVEN.empty_table()
-    keys, counts = unpacked_keys(known.column("keys")[0].as_py()), unpacked(known.column("counts")[0].as_py())
-    rows = []
-    for block, wanted in zip(asked.column("block").to_pylist(), asked.column("keys").to_pylist()):
-        wanted = unpacked_keys(wanted)
-        found = lookup(keys, counts, wanted)
-        if found.any():
-            rows.append((block, packed_keys(wanted[found > 0]), packed(found[found > 0])))
+    """Word counts for each block that asks, in the order it asks in."""
+    keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    if known.num_rows:
+        keys, counts = unpacked_keys(known.column("keys")[0].as_py()), unpacked(known.column("counts")[0].as_py())
+    rows = [
+        (block, False, at, packed(lookup(keys, counts, unpacked_keys(wanted.as_py()))))
+        for block, at, wanted in zip(asked.column("block").to_pylist(), asked.column("slice").to_pylist(), asked.column("keys"))
+    ]
     return pa.Table.from_batches([batch_of(rows, GIVEN)]) if rows else GIVEN.empty_table()
 
 
-def _scored(part, tokens: int, distinct: int, prior: float):
-    def run(key, texts, given):
-        known, vocabulary = CountFilter(*part.value), BlockWords()
-        keys = np.concatenate([unpacked_keys(k) for k in given.column("keys").to_pylist()] or [np.empty(0, np.uint64)])
-        counts = np.concatenate([unpacked(c) for c in given.column("counts").to_pylist()] or [np.empty(0, np.int64)])
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        texts_seen = lookup(keys, counts, np.array([END], np.uint64))[0]  # each training text has one end
-        rows, held, n = [], [], 0
+def _probed(part):
+    """Levels of each block's pairs, in the order of the pairs."""
 
-        def flush():
-            numbers = np.concatenate([w for *_, w in held])
-            hashes = np.array(vocabulary.hashes, np.uint64)
-            count_of = lookup(keys, counts, hashes)
-            known_log = np.log10(count_of + 1.0)
-            share = prior * (count_of + 1) / (tokens + distinct + 1)
-            ends = np.cumsum([len(w) for *_, w in held])
-            starts = ends - [len(w) for *_, w in held]
-            before = np.roll(numbers, 1)
-            before[starts] = 0  # a text follows an end
-            pairs = pair_keys(hashes[before], hashes[numbers])
-            times = np.where(before == 0, texts_seen, count_of[before])
-            distinct_pairs, back = np.unique(pairs, return_inverse=True)
-            # A pair is counted no more often than either of its words, whatever its level says.
-            read = np.minimum(known.counts(distinct_pairs)[back], np.minimum(times, count_of[numbers]))
-            logs = np.log10((read + share[numbers]) / (times + prior)) * known.covers(pairs)
-            sums = [np.add.reduceat(x, starts) for x in ((count_of[numbers] > 0).astype(np.int64), known_log[numbers], logs)]
-            for (doc_id, row_key, w), *found in zip(held, *(x.tolist() for x in sums)):
-                rows.append((doc_id, row_key, len(w), *found))
-            held.clear()
-
-        for doc_id, row_key, text in zip(texts.column("doc_id").to_pylist(), texts.column("row_key").to_pylist(), texts.column("text")):
-            held.append((doc_id, row_key, vocabulary.numbers(text.as_py())))
-            n += len(held[-1][2])
-            if n >= TOKENS_AT_ONCE // 2:
-                flush()
-                n = 0
-        if held:
-            flush()
-        return pa.Table.from_batches([batch_of(rows, SCORED)]) if rows else SCORED.empty_table()
+    def run(batches):
+        known = CountFilter(*part.value)
+        for batch in batches:
+            for block, at, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                yield batch_of([(block, True, at, packed(known.levels(unpacked_keys(keys.as_py()))))], GIVEN)
+
+    return run
+
+
+def _scored(tokens: int, distinct: int, prior: float):
+    def run(key, texts, given):
+        found = {}
+        for pairs in (False, True):  # slices are stretches of the sorted keys
+            rows = sorted((at, c) for p, at, c in zip(*(given.column(n).to_pylist() for n in ("pairs", "slice", "counts"))) if p == pairs)
+            found[pairs] = np.concatenate([unpacked(c) for _, c in rows])
+        row = {n: texts.column(n)[0] for n in ("doc_ids", "held", "lengths", "numbers", "words")}
+        hashes, numbers = unpacked(row["words"].as_py()).view(np.uint64), unpacked(row["numbers"].as_py())
+        lengths = np.array(row["lengths"].as_py(), np.int64)
+        starts = np.cumsum(lengths) - lengths
+        count_of = np.empty(len(hashes), np.int64)
+        count_of[np.argsort(hashes)] = found[False]
+        before, pairs = block_pairs(hashes, numbers, starts)
+        distinct_pairs, back = np.unique(pairs, return_inverse=True)
+        assert len(distinct_pairs) == len(found[True])
+        # A pair is counted no more often than either of its words, whatever its level says; each training text has one end.
+        times = count_of[before]
+        read = np.minimum(MIDDLES[found[True]][back], np.minimum(times, count_of[numbers]))
+        share = prior * (count_of + 1) / (tokens + distinct + 1)
+        logs = np.log10((read + share[numbers]) / (times + prior))
+        sums = [np.add.reduceat(x, starts) for x in ((count_of > 0).astype(np.int64)[numbers], np.log10(count_of + 1.0)[numbers], logs)]
+        columns = [row["doc_ids"].as_py(), row["held"].as_py(), lengths, *sums]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCORED)], schema=SCORED)
 
     return run
 
@@ -329,53 +342,51 @@ def language_scores(
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
     Documents whose CRC-32 of the id leaves ``held_fold`` modulo ``fold`` are not learned from.
-    ``slice_bytes``: bytes of text for each slice of the counts.
+    ``slice_bytes``: bytes of text for each slice of the counts. ``part_bytes``: of the filter that
+    workers hold at once; stretches of slices are laid out for it by their bytes of text, and
+    sent in several pieces where they come out larger.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    source = source.withColumn("row_key", F.xxhash64("doc_id", "text"))
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
-    held_out = F.pmod(F.crc32(name), F.lit(fold)) == held_fold
+    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    source = source.select("doc_id", (F.pmod(F.crc32(name), F.lit(fold)) == held_fold).alias("held_out"), "text")
     size = source.agg(F.sum(octets("text"))).first()[0] or 0
-    slices, blocks = 1 + size // slice_bytes, 1 + size // block_bytes
+    slices = 1 + size // slice_bytes
+    part_slices = max(1, 6 * part_bytes // slice_bytes)  # a filter takes a sixth of its text or less
+
+    path = shared_path(spark, "lm-blocks")
+    blocks = source.mapInArrow(task(_blocks(slices, part_slices, block_bytes)), BLOCKS_DDL)
+    blocks.write.partitionBy("part").parquet(path)
+    stored = spark.read.schema(blocks.schema).parquet(path)
 
-    counted = source.where(~held_out).select("text").mapInArrow(task(_counted(slices)), COUNTED_DDL)
-    sliced = counted.repartition("slice").sortWithinPartitions("slice", "pairs")
+    keys = stored.where(F.col("part") != TEXTS).select("slice", (F.col("part") != WORDS).alias("pairs"), "keys", "counts")
+    sliced = keys.repartition("slice").sortWithinPartitions("slice", "pairs")
     pieces = written(sliced.mapInArrow(task(_pieces), PIECES_DDL), "lm-counts")
     totals = pieces.where("not pairs").agg(F.sum("distinct"), F.sum("total")).first()
     distinct, tokens = totals[0] or 0, totals[1] or 0
 
-    texts = source.withColumn("block", F.pmod("row_key", F.lit(blocks)).cast("int"))
-    asked = texts.select("block", "text").groupBy("block").applyInArrow(_asked(slices), "slice int, block int, keys binary")
+    asked = stored.where(F.col("part") == WORDS).select("slice", "block", "keys")
     known = pieces.where("not pairs").select("slice", "keys", "counts")
-    given = asked.groupBy("slice").cogroup(known.groupBy("slice")).applyInArrow(_given, "block int, keys binary, counts binary")
-    given = written(given, "lm-words")
+    counted_words = asked.groupBy("slice").cogroup(known.groupBy("slice")).applyInArrow(_given, GIVEN_DDL)
+    counts_path = shared_path(spark, "lm-given")
+    counted_words.write.parquet(counts_path)
 
-    # The filter in parts: stretches of slices of at most part_bytes (one slice, if that is larger).
     sizes = {r["slice"]: r["size"] for r in pieces.where("pairs").select("slice", F.octet_length("keys").alias("size")).collect()}
     edges, held = [0], 0
     for i in range(slices):
-        if held and held + sizes.get(i, 0) > part_bytes:
+        if i % part_slices == 0 and i or held and held + sizes.get(i, 0) > part_bytes:
             edges.append(i)
             held = 0
         held += sizes.get(i, 0)
-    edges.append(slices)
-    scores = None
-    for low, high in zip(edges, edges[1:]):
+    for low, high in zip(edges, [*edges[1:], slices]):
         rows = pieces.where(F.col("pairs") & F.col("slice").between(low, high - 1)).select("slice", "keys").toLocalIterator()
         part = spark.sparkContext.broadcast((slices, low, high, {r["slice"]: bytes(r["keys"]) for r in rows}))
-        score = _scored(part, tokens, distinct, prior)
-        partial = texts.select("block", "doc_id", "row_key", "text").groupBy("block").cogroup(given.groupBy("block")).applyInArrow(score, SCORED_DDL)
-        partial = written(partial, "lm-part")
+        own = stored.where((F.col("part") == low // part_slices) & F.col("slice").between(low, high - 1)).select("block", "slice", "keys")
+        own.mapInArrow(task(_probed(part)), GIVEN_DDL).write.mode("append").parquet(counts_path)
         part.destroy()
-        scores = partial if scores is None else scores.union(partial)
-    if len(edges) > 2:  # a row's scores add up over the parts; rows that repeat stay apart
-        parts = len(edges) - 1
-        key = [c for c in scores.columns if c != "score"]
-        summed = scores.groupBy(*key).agg(F.sum("score").alias("sum"), F.count("*").alias("n"))
-        copies = F.explode(F.sequence(F.lit(1), F.expr(f"int(n div {parts})")))
-        scores = summed.withColumn("copy", copies).withColumn("score", F.col("sum") * parts / F.col("n"))
+
+    given = spark.read.schema(counted_words.schema).parquet(counts_path)
+    texts = stored.where(F.col("part") == TEXTS).select("block", "doc_ids", "held", "lengths", "numbers", "words")
+    scores = texts.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(_scored(tokens, distinct, prior), SCORED_DDL)
     base = F.col("known_logs") - F.col("n_tokens") * F.log10(F.lit(float(tokens + distinct + 1)))
-    return scores.select(
-        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score"
-    )
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

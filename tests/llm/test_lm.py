@@ -59,6 +59,24 @@ def test_against_exact_counts(spark, sizes):
     assert more.min() > -1e-9 and more.mean() < 0.015
 
 
+def test_many_parts_read_the_texts_once(spark):
+    ready(spark)
+    rows = made()
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows if batch.num_columns == 2 else 0)
+            yield batch
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).mapInArrow(seen, "doc_id long, text string")
+    got = sorted((tuple(r) for r in language_scores(docs, block_bytes=3000, slice_bytes=300, part_bytes=120).collect()), key=str)
+    size = sum(len((t or "").encode()) for _, t in rows)
+    assert (1 + size // 300) // 2 >= 8  # parts of two slices
+    assert reads.value == 2 * len(rows)  # for their size, and for their words
+    assert np.allclose([g[5] for g in got], [w[5] for w in brute(rows)])
+
+
 def test_filter():
     draw = np.random.default_rng(4)
     keys = np.unique(draw.integers(0, 2**63, 20_000, dtype=np.uint64))
