@@ -1,12 +1,17 @@
 """Near duplicates among embeddings by iterative quantisation.
 
-A rotation learned on a bounded sample turns each vector into 64 balanced bits
+A rotation learned on a bounded sample turns each vector into 64 or more balanced bits
 (principal directions, then alternating between nearest corner of the cube and best
-rotation). Codes are looked up in three tables, one for each third of the bits, where
-both sides also stand under every key with one bit flipped: a third with up to two
-differing bits suffices, so that all pairs of codes up to 8 bits apart meet, and most
-of those beyond. The vectors behind two codes are compared in blocks, in double
-precision. Every link returned is exact; recall is measured in the tests.
+rotation). Codes are looked up in tables, one for each stretch of 21 or 22 bits, where
+both sides also stand under every key with one (or two) bits flipped: codes meet that
+differ in up to two (or four) bits of a stretch.
+
+How many bits, and flips, the data decide: pairs at exactly the threshold are made from the
+sample, half of them towards differences that the sample holds and half in any direction, and
+the cheapest tables are taken in which RECALL of both kinds meet. Where vectors share a common
+direction, what is left of them differs more at the same cosine, and takes more tables. Codes
+further apart than any made pair are not compared. The vectors behind two codes are compared
+in blocks, in double precision. Every link returned is exact; recall is measured in the tests.
 
 Equal vectors (up to a factor) become one item first, vectors with the same code one
 class. Blocks report link counts and one edge per vector, never their pairs, so large
@@ -21,6 +26,8 @@ ignored.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,14 +35,16 @@ from pyspark.sql import functions as F
 
 from adfeed.llm.common import components, task, written
 
-BITS = 64
-TABLES = ((0, 22), (22, 21), (43, 21))  # first bit and width
+BITS = 64  # of a word of a code
+TABLES = ((0, 22), (22, 21), (43, 21))  # first bit and width, in each word
+LAYOUTS = ((1, 1), (1, 2), (2, 1), (2, 2), (4, 2), (6, 2))  # words and flips, the cheapest first
+RECALL = 0.98
+PAIRS = 4000  # made to choose a layout
 SAMPLE = 20_000
 ROUNDS = 30
 BLOCK = 1024
-FARTHEST = 16  # codes further apart than this are no candidates
 
-CODES = pa.schema([("item", pa.int64()), ("dim", pa.int32()), ("code", pa.int64()), ("vector", pa.binary())])
+CODES = pa.schema([("item", pa.int64()), ("dim", pa.int32()), ("code", pa.list_(pa.int64())), ("vector", pa.binary())])
 FOUND = pa.schema([("item", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
 
@@ -67,7 +76,37 @@ def codes_of(vectors: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> np.nd
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     mean, directions = model
     bits = (unit - mean) @ directions > 0
-    return np.packbits(bits, axis=1, bitorder="little").view(np.int64)[:, 0]
+    return np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+
+
+def made_pairs(sample: np.ndarray, least: float, count: int = PAIRS, seed: int = 1) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Unit vectors of the sample with others at the cosine ``least``: towards differences of the sample, and in any direction."""
+    draw = np.random.default_rng(seed)
+    own = sample[draw.integers(0, len(sample), count)]
+    apart = sample[draw.integers(0, len(sample), count)] - sample[draw.integers(0, len(sample), count)]
+    out = []
+    for aside in (apart, draw.normal(size=own.shape)):
+        aside = aside - (aside * own).sum(1, keepdims=True) * own
+        length = np.linalg.norm(aside, axis=1)
+        some = length > 1e-9
+        out.append((own[some], least * own[some] + np.sqrt(max(0.0, 1 - least * least)) * aside[some] / length[some, None]))
+    return out
+
+
+def chosen_layout(sample: np.ndarray, least: float) -> tuple[tuple[np.ndarray, np.ndarray], int, int]:
+    """(model, flips, largest distance of codes that are compared) of the cheapest layout with enough recall."""
+    for words, flips in LAYOUTS:
+        model = learned_rotation(sample, BITS * words)
+        recall, farthest = 1.0, 0
+        for a, b in made_pairs(sample, least):
+            if len(a):
+                differ = (codes_of(a, model) ^ codes_of(b, model)).view(np.uint64)
+                parts = [(differ >> np.uint64(first)) & np.uint64((1 << width) - 1) for first, width in TABLES]
+                recall = min(recall, (np.bitwise_count(np.stack(parts)).min((0, 2)) <= 2 * flips).mean())
+                farthest = max(farthest, int(np.bitwise_count(differ).sum(1).max()))
+        if recall >= RECALL:
+            break
+    return model, flips, farthest + 2
 
 
 def _coded(models: dict[int, tuple[np.ndarray, np.ndarray]]):
@@ -79,10 +118,10 @@ def _coded(models: dict[int, tuple[np.ndarray, np.ndarray]]):
             sizes = np.array([len(r) for r in rows])
             for dim in np.unique(sizes).tolist():
                 if dim not in own:  # a length that the sample missed: an untrained rotation
-                    own[dim] = learned_rotation(np.empty((0, dim)))
+                    own[dim] = learned_rotation(np.empty((0, dim)), BITS * LAYOUTS[-1][0])
                 at = np.flatnonzero(sizes == dim)
                 vectors = np.stack([rows[i] for i in at])
-                columns = [items[at], np.full(len(at), dim), codes_of(vectors, own[dim]), [v.tobytes() for v in vectors]]
+                columns = [items[at], np.full(len(at), dim), list(codes_of(vectors, own[dim])), [v.tobytes() for v in vectors]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, CODES)], schema=CODES)
 
     return run
@@ -132,21 +171,32 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def code_pairs(classes: DataFrame) -> DataFrame:
+def flip_masks(width: int, flips: int) -> list[int]:
+    return [sum(1 << i for i in some) for n in range(flips + 1) for some in itertools.combinations(range(width), n)]
+
+
+def code_pairs(classes: DataFrame, flips: int = 1, farthest: int | None = None) -> DataFrame:
     """dim, code_a, code_b: codes that meet in a table; code_a is the smaller one."""
+    words = classes.select("dim", "code", F.posexplode("code").alias("word", "bits"))
     tables = None
     for first, width in TABLES:
-        chunk = F.expr(f"shiftrightunsigned(code, {first}) & {(1 << width) - 1}L")
-        rows = classes.select("dim", "code", F.lit(first).alias("part"), chunk.alias("chunk"), F.explode(F.sequence(F.lit(-1), F.lit(width - 1))).alias("flip"))
+        chunk = F.expr(f"shiftrightunsigned(bits, {first}) & {(1 << width) - 1}L")
+        masks = F.array(*[F.lit(m).cast("long") for m in flip_masks(width, flips)])
+        rows = words.select("dim", "code", (F.col("word") * BITS + first).alias("part"), chunk.alias("chunk"), F.explode(masks).alias("flip"))
         tables = rows if tables is None else tables.union(rows)
-    key = F.expr("CASE WHEN flip < 0 THEN chunk ELSE chunk ^ shiftleft(1L, flip) END")
-    tables = tables.select("dim", "part", key.alias("key"), "code", "flip")
+    tables = tables.select("dim", "part", F.expr("chunk ^ flip").alias("key"), "code", "flip")
     a = tables.withColumnsRenamed({"code": "code_a", "flip": "flip_a"})
     b = tables.withColumnsRenamed({"code": "code_b", "flip": "flip_b"})
-    # Each pair under one key of a table: equal thirds unflipped, others by the flips of the smaller code.
-    once = F.expr("code_a < code_b AND (flip_b > flip_a OR flip_a = -1 AND flip_b = -1)")
-    near = F.expr(f"bit_count(code_a ^ code_b) <= {FARTHEST}")
-    return a.join(b, ["dim", "part", "key"]).where(once & near).select("dim", "code_a", "code_b").distinct()
+    # Each pair under one key of a table: the smaller code flips the lower half of the differing bits, the other one the rest.
+    once = F.expr(
+        "code_a < code_b AND flip_a & flip_b = 0 AND bit_count(flip_a) - bit_count(flip_b) BETWEEN 0 AND 1"
+        " AND (flip_b = 0 OR flip_a < (flip_b & -flip_b))"
+    )
+    met = a.join(b, ["dim", "part", "key"]).where(once)
+    if farthest is not None:
+        apart = F.aggregate(F.zip_with("code_a", "code_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+        met = met.where(apart <= farthest)
+    return met.select("dim", "code_a", "code_b").distinct()
 
 
 def near_vectors(table: DataFrame, least: float = 0.95, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -164,9 +214,10 @@ def near_vectors(table: DataFrame, least: float = 0.95, id_column: str = "vec_id
     for row in chosen.toLocalIterator():  # SAMPLE rows at most
         vector = np.array(row["vector"])
         sample.setdefault(len(vector), []).append(vector / np.linalg.norm(vector))
-    models = {dim: learned_rotation(np.array(vectors)) for dim, vectors in sample.items()}
+    layouts = {dim: chosen_layout(np.array(vectors), least) for dim, vectors in sample.items()}
 
-    coded = items.select("item", "vector").mapInArrow(task(_coded(models)), "item long, dim int, code long, vector binary")
+    models = {dim: model for dim, (model, _, _) in layouts.items()}
+    coded = items.select("item", "vector").mapInArrow(task(_coded(models)), "item long, dim int, code array<long>, vector binary")
     coded = written(coded.join(items.select("item", "weight"), "item"), "codes")
     sizes = coded.groupBy("dim", "code").agg(F.count("*").alias("n"))
     parts = coded.join(sizes, ["dim", "code"]).withColumn("block", F.pmod(F.xxhash64("item"), F.ceil(F.col("n") / BLOCK)))
@@ -174,7 +225,14 @@ def near_vectors(table: DataFrame, least: float = 0.95, id_column: str = "vec_id
     blocks = written(parts.groupBy("dim", "code", "block").agg(F.collect_list(member).alias("members")), "blocks")
 
     own = sizes.select("dim", F.col("code").alias("code_a"), F.col("code").alias("code_b"))
-    pairs = code_pairs(sizes.select("dim", "code")).union(own)
+    # Lengths that the sample missed take the most flips, and any distance.
+    kinds: dict[tuple[int, int | None], list[int]] = {}
+    for dim, (_, flips, farthest) in layouts.items():
+        kinds.setdefault((flips, farthest), []).append(dim)
+    pairs = own
+    for (flips, farthest), dims in kinds.items():
+        pairs = pairs.union(code_pairs(sizes.where(F.col("dim").isin(dims)).select("dim", "code"), flips, farthest))
+    pairs = pairs.union(code_pairs(sizes.where(~F.col("dim").isin(list(layouts))).select("dim", "code"), LAYOUTS[-1][1]))
     a = blocks.select("dim", F.col("code").alias("code_a"), F.col("block").alias("block_a"), F.col("members").alias("members_a"))
     b = blocks.select("dim", F.col("code").alias("code_b"), F.col("block").alias("block_b"), F.col("members").alias("members_b"))
     compared = pairs.join(a, ["dim", "code_a"]).join(b, ["dim", "code_b"]).where("code_a <> code_b OR block_a <= block_b")

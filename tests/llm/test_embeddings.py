@@ -62,12 +62,51 @@ def test_tables(spark):
                 other ^= 1 << bit
             codes.append(other - 2**64 if other >> 63 else other)
     codes = sorted(set(codes))
-    found = [(r["code_a"], r["code_b"]) for r in code_pairs(spark.createDataFrame([(1, c) for c in codes], "dim int, code long")).collect()]
+    found = [(r["code_a"][0], r["code_b"][0]) for r in code_pairs(spark.createDataFrame([(1, [c]) for c in codes], "dim int, code array<long>")).collect()]
     apart = {(a, b): bin((a ^ b) & (2**64 - 1)).count("1") for a in codes for b in codes if a < b}
     assert len(found) == len(set(found)) and set(found) <= set(apart)
     assert {p for p, d in apart.items() if d <= 8} <= set(found)
 
 
+def test_two_flips_and_the_farthest(spark):
+    """With two flips all codes up to 14 bits apart meet, each pair once, except those beyond the farthest."""
+    ready(spark)
+    draw = np.random.default_rng(4)
+    codes = draw.integers(-(2**63), 2**63, (12, 2))
+    near = codes.copy()
+    for row, flips in zip(near, (1, 2, 4, 6, 8, 10, 12, 14, 14, 13, 9, 3)):
+        for bit in draw.choice(64, flips, replace=False).tolist():
+            row[0] ^= np.uint64(1 << bit).astype(np.int64)
+    rows = [[int(x) for x in c] for c in np.concatenate([codes, near])]
+    table = spark.createDataFrame([(1, c) for c in rows], "dim int, code array<long>")
+    for farthest in (None, 8):
+        found = [(tuple(r["code_a"]), tuple(r["code_b"])) for r in code_pairs(table, 2, farthest).collect()]
+        apart = {tuple(sorted((tuple(a), tuple(b)))): sum(bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(a, b)) for a, b in zip(rows[:12], rows[12:])}
+        want = {p for p, d in apart.items() if farthest is None or d <= farthest}
+        assert len(found) == len(set(found)) and want <= set(found)
+        assert farthest is None or not (set(apart) - want) & set(found)
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.5, 0.7, 0.8])
+def test_recall_where_vectors_share_a_direction(spark, mean):
+    ready(spark)
+    draw = np.random.default_rng(int(mean * 10))
+    common = draw.normal(size=64)
+    aside = draw.normal(size=(900, 64))
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    own = np.sqrt(mean) * common / np.linalg.norm(common) + np.sqrt(1 - mean) * aside
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    off = draw.normal(size=own.shape)
+    off -= (off * own).sum(1, keepdims=True) * own
+    cosine = draw.uniform(0.9501, 0.96, (900, 1))
+    vectors = np.concatenate([own, cosine * own + np.sqrt(1 - cosine**2) * off / np.linalg.norm(off, axis=1, keepdims=True)])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = int((np.triu(unit @ unit.T, 1) >= 0.95).sum())
+    out = near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>"))
+    found = out.agg(F.sum("n_links")).first()[0] / 2
+    assert want >= 900 and 0.95 * want <= found <= want
+
+
 def test_balanced_codes():
     sample = np.random.default_rng(2).normal(size=(3000, 24))
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
