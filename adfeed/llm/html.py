@@ -6,8 +6,9 @@ page of that prefix; for this one itself, the largest). The lines of the two pag
 are aligned by longest common subsequence, and the shared ones are deleted.
 
 Markup says which lines are open to that. Menus, headers, footers, sidebars, notices,
-adverts, forms and comments that it names go even where they differ from page to page,
-unless they hold the story. Lines inside the container (<article> or <main>) stay where
+adverts, forms and comments that it names go even where they differ from page to page;
+only forms and frames (sidebars, headers and the like) stay where they are drawn around the
+page's only container or heading, or around all its prose. Lines inside the container (<article> or <main>) stay where
 another article has the same paragraph, but go where at least half of the pages of the
 host share them with their nearest page (on hosts of LEAST_PAGES pages or more). On a
 page without such a container every remaining line is open, and differencing alone
@@ -23,10 +24,10 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -51,17 +52,22 @@ DROPPED = frozenset(
     "video map menu dialog xmp noembed noframes".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-# Words in class or id that name a part outside the main text.
-DROPPED_WORDS = frozenset(
-    "ad ads advert advertisement adsense adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
-    "login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related replies reply "
-    "respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+# Words in class or id that name a part outside the main text, whatever it holds ...
+PART_WORDS = frozenset(
+    "ad ads advert advertisement adsense adverts breadcrumb breadcrumbs comment comments consent cookie cookies disqus modal newsletter "
+    "notice notices pager pagination popup promo promotion related replies reply respond share sharing signup sponsor sponsored subscribe".split()
 )
+# ... and frames of a page, which now and then are drawn around the story.
+FRAME_WORDS = frozenset("banner footer login menu nav navbar navigation sidebar social toolbar widget".split())
 PAGE_HEADERS = frozenset("header masthead topbar".split())
 SCOPES = frozenset("article main section div td th li body table ul ol blockquote form aside nav header footer dd figure".split())
 
 
-NEGATED = re.compile(r"(?:with|without|has|have|no|not|hide|is|show)[_-]\S*|\S*[_-](?:with|without|has|have|no|not)[_-]\S*")
+# Names that say how a part is shown, or that it is not there.
+NEGATED = re.compile(
+    r"(?:with|without|has|have|no|not|hide|is|show)[_-]\S*|\S*[_-](?:with|without|has|have|no|not)[_-]\S*"
+    r"|\S*[_-](?:open|closed|on|off|enabled|disabled|free)"
+)
 HARD, SOFT = 2, 1  # dropped whatever it holds; dropped unless it holds the story
 
 
@@ -71,14 +77,16 @@ def dropped(tag: str, attributes: str, inside: bool) -> int:
         return SOFT
     if tag in DROPPED or tag == "header" and not inside:
         return HARD
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return 0
     soft = 0
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
             words = {w for whole in value.split() if not NEGATED.fullmatch(whole) for w in re.split(r"[_-]+", whole)}
-            if words & DROPPED_WORDS or not inside and words & PAGE_HEADERS:
+            if words & PART_WORDS:
+                return HARD
+            if tag != "article" and (words & FRAME_WORDS or not inside and words & PAGE_HEADERS):
                 soft = SOFT
         elif name == "role" and value.strip() in DROPPED_ROLES:
             soft = SOFT
@@ -98,15 +106,16 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
     """(line, dropped by its markup, container: article, main or nothing) for each block in page order."""
     if not page:
         return []
-    lines: list[tuple[str, tuple[int, ...] | None, str]] = []
-    stack: list[tuple[str, tuple[int, ...] | None, str]] = []  # tag, soft elements around (None: dropped), container
+    lines: list[tuple[str, int | None, str]] = []
+    stack: list[tuple[str, int | None, str]] = []  # tag, innermost soft element around (0: none, None: dropped), container
     open_tags: Counter = Counter()
-    parts: list[tuple[str, tuple[int, ...] | None]] = []  # text, soft elements around
-    off, container = (), ""
-    at, size, elements = 0, len(page), 0
+    parts: list[tuple[str, int | None]] = []  # text, innermost soft element around
+    parents, headed = [0], set()  # of each soft element: the one around it; those with a heading of the page
+    off, container = 0, ""
+    at, size = 0, len(page)
 
     def flush() -> None:
-        for around in sorted({a for _, a in parts}, key=lambda a: (a is not None, a != (), a or ())):
+        for around in sorted({a for _, a in parts}, key=lambda a: (a is not None, a or 0)):
             line = " ".join("".join(text for text, a in parts if a == around).split())
             if line:
                 lines.append((line, around, container))
@@ -117,7 +126,7 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
         for tag, _, _ in stack[index:]:
             open_tags[tag] -= 1
         del stack[index:]
-        off, container = (stack[-1][1], stack[-1][2]) if stack else ((), "")
+        off, container = (stack[-1][1], stack[-1][2]) if stack else (0, "")
 
     while at < size:
         found = TOKEN.search(page, at)
@@ -154,8 +163,10 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
         if how == HARD:
             here = None
         elif how == SOFT:
-            elements += 1
-            here = (*off, elements)
+            here = len(parents)
+            parents.append(off)
+        if tag == "h1" and here is not None:
+            headed.add(here)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b", re.I).search(page, at)
             at = end.start() if end else size
@@ -170,8 +181,8 @@ def page_lines(page: str | None) -> list[tuple[str, bool, str]]:
         open_tags[tag] += 1
         off, container = here, inner
     flush()
-    wrappers = story_wrappers(lines)
-    return [(line, around is None or not wrappers.issuperset(around), container) for line, around, container in lines]
+    wrappers = story_wrappers(lines, parents, headed)
+    return [(line, around is None or around not in wrappers, container) for line, around, container in lines]
 
 
 def prose(lines: Iterable[str]) -> int:
@@ -179,34 +190,36 @@ def prose(lines: Iterable[str]) -> int:
     return sum(len(line) for line in lines if line.count(" ") >= 9)
 
 
-def story_wrappers(lines: list[tuple[str, tuple[int, ...] | None, str]]) -> set[int]:
-    """Elements that a name or tag would drop, but that hold the page's only container or most of its prose."""
-    seen = [(line, around, container) for line, around, container in lines if around is not None]
-    if not any(around for _, around, _ in seen):
-        return set()
-    if any(container and not around for _, around, container in seen):  # a container stands free of them
-        held = [x for x in seen if x[2] or not x[1]]
-        if 2 * prose(line for line, around, _ in held if not around) >= prose(line for line, _, _ in held):
-            return set()
-        seen = held
-    by_path: dict[tuple[int, ...], list[str]] = {}
-    only = [x for x in seen if x[2]] or seen
+def story_wrappers(lines: list[tuple[str, int | None, str]], parents: list[int], headed: set[int]) -> set[int]:
+    """Frames and forms to be kept, with 0 for no frame: those around the page's only container or heading, or all its prose."""
+    seen = [x for x in lines if x[1] is not None]
+    free = [x for x in seen if not x[1]]
+    # Short pages have no prose; there every character counts.
+    count = prose if prose(line for line, _, _ in seen) else lambda found: sum(map(len, found))
+    if len(free) == len(seen) or count(line for line, _, container in free if container):
+        return {0}
+    within = [x for x in seen if x[1] and x[2]]
+    beside = count(line for line, _, _ in free)
+    if not within and beside and (0 in headed or not headed):
+        return {0}
+    only = within or [x for x in seen if x[1]]
+    sizes = [0] * len(parents)
     for line, around, _ in only:
-        by_path.setdefault(around, []).append(line)
-    sizes = {path: prose(found) for path, found in by_path.items()}
-    if only is not seen and not any(sizes.values()):
-        sizes = {path: sum(map(len, found)) for path, found in by_path.items()}
-    total, out, path = sum(sizes.values()), set(), ()
+        sizes[around] += count([line])
+    held = set(headed)
+    for i in range(len(parents) - 1, 0, -1):  # an element comes after the one around it
+        sizes[parents[i]] += sizes[i]
+        if i in held:
+            held.add(parents[i])
+    total, out, here = sizes[0], {0}, 0
+    if not within and not beside:
+        held = set(range(len(parents)))  # all prose lies in frames
     while total:  # down to the innermost element that holds most of it
-        deeper = Counter()
-        for p, n in sizes.items():
-            if p[: len(path)] == path and len(p) > len(path):
-                deeper[p[: len(path) + 1]] += n
-        best = max(deeper, key=lambda p: deeper[p], default=None)
-        if best is None or 2 * deeper[best] <= total:
+        inner = [i for i in range(here + 1, len(parents)) if parents[i] == here and 2 * sizes[i] > total and (within or i in held)]
+        if not inner:
             break
-        path = best
-        out.add(path[-1])
+        here = inner[0]
+        out.add(here)
     return out
 
 
@@ -235,33 +248,91 @@ def url_prefixes(url: str | None) -> list[int]:
     return [h - (1 << 64) if h >> 63 else h for h in hashes]
 
 
+TABLE_BITS = 1 << 28  # of rows that are kept to read an alignment off them; longer pages are halved first
+
+
+class Places:
+    """Where each line stands in a sequence, as the bits of an integer."""
+
+    def __init__(self, lines: list[int]):
+        self.at: dict[int, list[int]] = {}
+        for j, line in enumerate(lines):
+            self.at.setdefault(line, []).append(j)
+        self.often: dict[int, int] = {}
+
+    def bits(self, line: int) -> int:
+        if line in self.often:
+            return self.often[line]
+        places = self.at.get(line, ())
+        if len(places) < 64:
+            return sum(1 << j for j in places)
+        marks = bytearray(places[-1] // 8 + 1)
+        for j in places:
+            marks[j >> 3] |= 1 << (j & 7)
+        return self.often.setdefault(line, int.from_bytes(marks, "little"))
+
+
+def length_rows(own: list[int], other: list[int], keep: bool) -> list[int]:
+    """Bit rows of the lengths of common subsequences, one for each line of ``own`` (or the last one): a 0 is one more.
+
+    A row is made from the one before by an addition over whole integers.
+    """
+    places, full = Places(other), (1 << len(other)) - 1
+    row, rows = full, []
+    for line in own:
+        met = row & places.bits(line)
+        row = ((row + met) | (row - met)) & full
+        if keep:
+            rows.append(row)
+    return rows if keep else [row]
+
+
+def lengths_until(row: int, width: int) -> np.ndarray:
+    """Length of the common subsequence for each prefix of the other sequence, from the row's zeros."""
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(width // 8 + 1, "little"), np.uint8), count=width, bitorder="little")
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
 def common_lines(own: list[int], other: list[int]) -> list[int]:
-    """Places in ``own`` of a longest common subsequence with ``other`` (Hunt and Szymanski)."""
+    """Places in ``own`` of a longest common subsequence with ``other``.
+
+    Equal ends are taken at once. Between them, lines that only one side has are left out, and the
+    rest is aligned row by row; its rows are kept only up to TABLE_BITS, beyond which ``own`` is halved
+    where the lengths from both ends add up best.
+    """
     start = 0
     while start < min(len(own), len(other)) and own[start] == other[start]:
         start += 1
     end = 0
     while end < min(len(own), len(other)) - start and own[-1 - end] == other[-1 - end]:
         end += 1
-    places: dict[int, list[int]] = {}
-    for j in range(len(other) - end - 1, start - 1, -1):
-        places.setdefault(other[j], []).append(j)
-    tails: list[int] = []
-    links: list[tuple] = []  # (place in own, link to the element before)
-    for i in range(start, len(own) - end):
-        for j in places.get(own[i], ()):
-            k = bisect_left(tails, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(tails):
-                tails.append(j)
-                links.append(link)
-            else:
-                tails[k], links[k] = j, link
-    middle, link = [], links[-1] if links else None
-    while link:
-        middle.append(link[0])
-        link = link[1]
-    return [*range(start), *reversed(middle), *range(len(own) - end, len(own))]
+    mine, theirs = own[start : len(own) - end], other[start : len(other) - end]
+    both = set(mine) & set(theirs)
+    at, theirs = [i for i, line in enumerate(mine) if line in both], [line for line in theirs if line in both]
+    middle = [start + at[i] for i in aligned([mine[i] for i in at], theirs)] if at else []
+    return [*range(start), *middle, *range(len(own) - end, len(own))]
+
+
+def aligned(own: list[int], other: list[int]) -> list[int]:
+    if not own or not other:
+        return []
+    if len(own) * len(other) > TABLE_BITS and len(own) > 1:
+        half = len(own) // 2
+        front = lengths_until(length_rows(own[:half], other, False)[0], len(other))
+        back = lengths_until(length_rows(own[:half - 1 : -1], other[::-1], False)[0], len(other))
+        cut = int((front + back[::-1]).argmax())
+        return aligned(own[:half], other[:cut]) + [half + i for i in aligned(own[half:], other[cut:])]
+    rows, found = length_rows(own, other, True), []
+    i, j = len(own) - 1, len(other) - 1
+    while i >= 0 and j >= 0:
+        if own[i] == other[j]:
+            found.append(i)
+            i, j = i - 1, j - 1
+        elif rows[i] >> j & 1:  # no longer with this line of the other than without it
+            j -= 1
+        else:
+            i -= 1
+    return found[::-1]
 
 
 SIGNS = pa.schema([("key", pa.binary()), ("prefixes", pa.list_(pa.int64())), ("whole", pa.int64()), ("numbers", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64())), ("inside_numbers", pa.list_(pa.int32())), ("inside", pa.list_(pa.int64()))])
