@@ -18,7 +18,7 @@ from json.decoder import scanstring
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,7 @@ from adfeed.functions.dates import epoch_ts
 from adfeed.functions.text import body_documents, html_json_blobs, iso_text
 from adfeed.operators.dedup import dedup_first
 from adfeed.schemas import RECORD
+from adfeed.session import with_computed
 
 
 @dataclass(frozen=True)
@@ -93,6 +94,14 @@ _NUMBER = re.compile(r"-?(?:0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?")
 _WORDS = {"null": None, "true": True, "false": False, "NaN": float("nan"), "Infinity": float("inf"), "-Infinity": float("-inf")}
 
 
+def _integer(digits: str) -> int | str:
+    """A whole number; one with more digits than the interpreter converts stays text."""
+    try:
+        return int(digits)
+    except ValueError:
+        return digits
+
+
 def parse_deep(text: str) -> Any:
     """A JSON text of any depth; open lists and objects stand on a list instead of the call stack.
 
@@ -129,7 +138,7 @@ def parse_deep(text: str) -> Any:
             elif word:
                 value, at = _WORDS[word], at + len(word)
             elif number:
-                value = float(number[0]) if number[1] or number[2] else int(number[0])
+                value = float(number[0]) if number[1] or number[2] else _integer(number[0])
                 at = number.end()
             else:
                 raise ValueError(f"value expected at {at}")
@@ -159,10 +168,18 @@ def parse_deep(text: str) -> Any:
 
 
 def parse_json(text: str) -> Any:
+    """A JSON text of any depth, with numbers of any length; ValueError for other text."""
     try:
         return json.loads(text)
     except RecursionError:
         return parse_deep(text)
+    except json.JSONDecodeError:
+        raise
+    except ValueError:  # a number that is too long; found seldom, so read again with a slower rule for numbers
+        try:
+            return json.loads(text, parse_int=_integer)
+        except RecursionError:
+            return parse_deep(text)
 
 
 def find_records(payload: Any, spec: RecordSpec = RecordSpec()) -> list[dict]:
@@ -227,6 +244,28 @@ def html_blobs(pages: DataFrame, keep: Sequence[str], html: str = "html") -> Dat
     return pages.select(*keep, F.posexplode(html_json_blobs(F.col(html))).alias("blob_pos", "json"))
 
 
+def _readable(col: Column, spec: RecordSpec) -> Column:
+    return records_column(col, spec).isNotNull()
+
+
+def unread_blobs(pages: DataFrame, page_key: Sequence[str], html: str = "html", spec: RecordSpec = RecordSpec()) -> DataFrame:
+    """The embedded scripts of pages that are no JSON: page key, blob_pos, json."""
+    return html_blobs(pages, page_key, html).filter(~_readable(F.col("json"), spec))
+
+
+def unread_bodies(responses: DataFrame, keep: Sequence[str], body: str = "body", spec: RecordSpec = RecordSpec()) -> DataFrame:
+    """What of response bodies gives no record: keep, doc_pos, json.
+
+    Of a body that is one JSON text nothing is unread; of another one, each line that is no JSON.
+    """
+    documents = responses.select(*keep, F.posexplode(body_documents(F.col(body))).alias("doc_pos", "json"))
+    judged = with_computed(documents, "_lisible", _readable(F.col("json"), spec))
+    # The whole body stands first; a body of one line has no other candidate.
+    lines = Window.partitionBy(*keep)
+    counted = judged.withColumn("_documents", F.count("*").over(lines)).withColumn("_entier", F.max(F.when(F.col("doc_pos") == 0, F.col("_lisible"))).over(lines))
+    return counted.filter(~F.col("_entier") & ~F.col("_lisible") & ((F.col("doc_pos") > 0) | (F.col("_documents") == 1))).select(*keep, "doc_pos", "json")
+
+
 def page_records(
     pages: DataFrame, page_key: Sequence[str], scraped_at: Column | datetime, keep: Sequence[str] = (),
     spec: RecordSpec = RecordSpec(),

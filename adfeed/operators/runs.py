@@ -71,6 +71,47 @@ def volume_drift(
     )
 
 
+def drift_intervals(
+    counts: DataFrame,
+    source: Sequence[str] = ("source",),
+    day: str = "horodatage",
+    count: str = "nb_valides",
+    window: int = HISTORY,
+    ratio: float = LOW_RATIO,
+    min_history: int = MIN_HISTORY,
+) -> DataFrame:
+    """Alerts of daily counts as stretches of days: source, debut, fin, nb_valides, moyenne, nb_historique.
+
+    The alerts are those of ``volume_drift`` over ``densify_days``, but a silent day is no row: the
+    history of a day is a range of days, and a gap between two days with results is one stretch
+    of alerts at most, which ends when the history has nothing but zeros. So a wrong date, however
+    far off, adds no rows. ``counts`` is one row per source and day, none of them negative. The
+    means of a silent stretch differ by day and are NULL.
+    """
+    number = F.datediff(F.col(day).cast("date"), F.lit("1970-01-01").cast("date"))
+    end = counts.agg(F.max(number).alias("fin")).select("fin").scalar()
+    ordered = Window.partitionBy(*source).orderBy("_jour")
+    until = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    days = counts.select(*source, number.alias("_jour"), F.col(count).alias("nb_valides")).select(
+        "*",
+        F.coalesce(F.sum("nb_valides").over(ordered.rangeBetween(-window, -1)), F.lit(0)).alias("_somme"),
+        (F.col("_jour") - F.min("_jour").over(until)).alias("_age"),
+        F.lead("_jour").over(ordered).alias("_suivant"),
+        F.max(F.when(F.col("nb_valides") > 0, F.col("_jour"))).over(until).alias("_dernier"),
+    ).withColumn("_fin", F.coalesce("_suivant", end + 1) - 1)
+    history = F.least(F.lit(window), F.col("_age"))
+    mean = F.when(history > 0, F.col("_somme") / history)
+    low = _verdict(F.col("nb_valides"), mean, history, min_history, ratio)
+    own = days.filter(low).select(*source, F.col("_jour").alias("_debut"), F.col("_jour").alias("_fin"), "nb_valides", mean.alias("moyenne"), history.alias("nb_historique"))
+    begin = F.col("_jour") + F.greatest(F.lit(1), min_history - F.col("_age"))
+    stop = F.least("_fin", F.col("_dernier") + window)
+    nothing = F.lit(None).cast("double").alias("moyenne"), F.lit(None).cast("int").alias("nb_historique")
+    silent = days.filter(F.col("_dernier").isNotNull() & (begin <= stop) & F.lit(ratio > 0)).select(*source, begin.alias("_debut"), stop.alias("_fin"), F.lit(0).cast("bigint").alias("nb_valides"), *nothing)
+    return own.unionByName(silent).select(
+        *source, F.date_from_unix_date("_debut").alias("debut"), F.date_from_unix_date("_fin").alias("fin"), "nb_valides", "moyenne", "nb_historique"
+    )
+
+
 def check_drift(
     runs: DataFrame,
     today: Column | int,

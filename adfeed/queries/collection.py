@@ -11,7 +11,7 @@ from adfeed.functions.dates import epoch_ts, parse_relative_ts, window_cutoff
 from adfeed.functions.text import body_documents
 from adfeed.operators.captures import capture_counts, empty_group_samples, oldest_in_step
 from adfeed.operators.catchup import Catchup, new_posts
-from adfeed.operators.records import body_records, html_blobs, page_records, with_group
+from adfeed.operators.records import body_records, html_blobs, page_records, unread_blobs, unread_bodies, with_group
 from adfeed.queries.base import events, table
 from adfeed.session import with_computed
 
@@ -86,6 +86,25 @@ def deep_records(spark, folder):
     return page_records(pages, ["page_id"], NOW).select("page_id", "id", "texte")
 
 
+def long_numbers(spark, folder):
+    """A record for each page beside a number of 5,000 digits and more, which JSON allows."""
+    number = F.concat(F.lit("9"), F.repeat(F.lit("7"), F.lit(5000) + (F.col("page_id") % 7).cast("int")))
+    record = F.concat(F.lit('{"id": "'), F.col("page_id").cast("string"), F.lit('", "comet_sections": '), number, F.lit(', "message": '), F.to_json(F.struct(F.col("url").alias("text"))), F.lit("}"))
+    script = F.concat(F.lit('<script type="application/json">[1, '), record, F.lit("]</script>"))
+    pages = with_computed(table(spark, folder, "pages").select("page_id", "url"), "html", script)
+    return page_records(pages, ["page_id"], NOW).select("page_id", "id", "texte")
+
+
+def unread_scripts(spark, folder):
+    """Scripts of the pages that are no JSON."""
+    return unread_blobs(_pages_with_records(spark, folder), ["page_id"]).select("page_id", "blob_pos", F.md5("json").alias("json_md5"))
+
+
+def unread_lines(spark, folder):
+    """Lines of response bodies that are no JSON."""
+    return unread_bodies(_responses(spark, folder), ["conv_id", "turn"]).select("conv_id", "turn", "json")
+
+
 def _responses(spark, folder) -> DataFrame:
     """Turns as response bodies: one line for users, several lines otherwise."""
     ident = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
@@ -213,6 +232,9 @@ QUERIES = {
     "html_blobs": html_blobs_query,
     "page_records": page_records_query,
     "deep_records": deep_records,
+    "long_numbers": long_numbers,
+    "unread_scripts": unread_scripts,
+    "unread_lines": unread_lines,
     "body_documents": body_documents_query,
     "body_records": body_records_query,
     "relative_dates": relative_dates,
@@ -259,6 +281,9 @@ ORACLE = {
             replace(html, '<', ' ') AS texte, (({BASE_TIME} + page_id) * 1000000)::BIGINT AS publie_us, 0 AS date_incertaine,
             '2024-01-31T00:00:00+00:00' AS scrape_le FROM pages
         UNION ALL SELECT page_id, 2, 1, 'r' || page_id, NULL, url, NULL, 1, '2024-01-31T00:00:00+00:00' FROM pages""",
+    "long_numbers": "SELECT page_id, page_id::VARCHAR AS id, url AS texte FROM pages",
+    "unread_scripts": """SELECT page_id, 1 AS blob_pos, md5('{"a": oops') AS json_md5 FROM pages""",
+    "unread_lines": "SELECT conv_id, turn, '{broken' AS json FROM conversations WHERE role <> 'user'",
     "deep_records": "SELECT page_id, page_id::VARCHAR AS id, url AS texte FROM pages",
     "body_documents": r"""SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id, turn ORDER BY premier) - 1)::INT AS doc_pos, document
         FROM (SELECT conv_id, turn, document, min(i) AS premier FROM

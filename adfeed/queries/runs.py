@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from adfeed.operators.filtering import funnel, tag_posts
 from adfeed.operators.health import source_health
 from adfeed.operators.markers import merge_markers, with_marker
-from adfeed.operators.runs import check_drift, densify_days, run_row, run_summary, volume_drift
+from adfeed.operators.runs import check_drift, densify_days, drift_intervals, run_row, run_summary, volume_drift
 from adfeed.operators.seen import next_seen, retain, unseen
 from adfeed.operators.upsert import latest_first, merge_batch
 from adfeed.queries.base import TEST_RULES, documents, events
 from adfeed.queries.filtering import TAGGED, _KEPT
+from adfeed.session import work_folder
+from adfeed.sinks.tables import save_seen
+from adfeed.sources.state import load_seen
 
 DAY_10, DAY_20 = "2024-01-11", "2024-01-21"
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -101,6 +104,28 @@ def volume_drift_query(spark, folder):
     )
 
 
+def drift_alerts(spark, folder):
+    """The alerts of the same counts as stretches of days; two rows with dates far off stretch nothing."""
+    counts = events(spark, folder).groupBy(F.col("user_id").alias("source"), F.to_date("ts").alias("horodatage")).agg(
+        F.count_if(F.col("event_type") == "purchase").alias("nb_valides")
+    )
+    far = spark.sql("SELECT -1L AS source, DATE'1970-01-01' AS horodatage, 5L AS nb_valides UNION ALL SELECT -2L, DATE'2999-01-01', 5L")
+    found = drift_intervals(counts.unionByName(far.select(F.col("source").cast(counts.schema["source"].dataType), "horodatage", "nb_valides")))
+    return found.filter("source >= 0").select(
+        "source", F.date_format("debut", "yyyy-MM-dd").alias("debut"), F.date_format("fin", "yyyy-MM-dd").alias("fin"), "nb_valides"
+    )
+
+
+def seen_saved(spark, folder):
+    """Two runs save what they saw, and the state is read back; days before the retention go."""
+    path = work_folder(spark, "vus")
+    posts = _posts(spark, folder).select("id", "ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("scrape_le"))
+    late = F.col("ts") >= F.lit(DAY_20).cast("timestamp")
+    save_seen(posts.filter(~late).select("id", "scrape_le"), path, NOW - timedelta(days=11), 20)
+    save_seen(posts.filter(late).select("id", "scrape_le"), path, NOW, 20)
+    return load_seen(spark, path)
+
+
 def _run_log(spark, folder) -> DataFrame:
     """One run per hour with events; errors make it a backfill run."""
     return events(spark, folder).groupBy(F.date_trunc("hour", "ts").alias("horodatage")).agg(
@@ -158,6 +183,8 @@ QUERIES = {
     "master_upsert": master_upsert,
     "master_latest": master_latest,
     "volume_drift": volume_drift_query,
+    "drift_alerts": drift_alerts,
+    "seen_saved": seen_saved,
     "drift_check_last": drift_check_last,
     "source_health": source_health_query,
     "run_log_row": run_log_row,
@@ -233,6 +260,15 @@ ORACLE = {
             (h >= 3 AND coalesce(moyenne > 0 AND n < moyenne * 0.3, false))::INT AS alerte
         FROM (SELECT *, avg(n) OVER w AS moyenne, count(n) OVER w AS h FROM ({_DAILY_SQL})
             WINDOW w AS (PARTITION BY source ORDER BY jour ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""",
+    # Days after a source's last one count as silent here until its history is empty, whatever the last day of all.
+    "drift_alerts": """WITH c AS (SELECT user_id AS source, ts::DATE AS jour, count(*) FILTER (event_type = 'purchase') AS n FROM events GROUP BY 1, 2),
+        u AS (SELECT source, unnest(generate_series(min(jour), max(jour) + INTERVAL 8 DAY, INTERVAL 1 DAY))::DATE AS jour FROM c GROUP BY 1),
+        a AS (SELECT u.source, u.jour, c.n IS NULL AS vide, coalesce(c.n, 0) AS n FROM u LEFT JOIN c ON c.source = u.source AND c.jour = u.jour),
+        v AS (SELECT *, avg(n) OVER w AS moyenne, count(*) OVER w AS h FROM a WINDOW w AS (PARTITION BY source ORDER BY jour ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
+        x AS (SELECT *, jour - (row_number() OVER (PARTITION BY source, vide ORDER BY jour))::INT AS ile FROM v WHERE h >= 3 AND moyenne > 0 AND n < moyenne * 0.3)
+        SELECT source, strftime(min(jour), '%Y-%m-%d') AS debut, strftime(max(jour), '%Y-%m-%d') AS fin, min(n) AS nb_valides
+        FROM x GROUP BY source, CASE WHEN vide THEN ile END, CASE WHEN NOT vide THEN jour END""",
+    "seen_saved": f"""SELECT id, min({_ISO}) AS vu_le_raw FROM ({_POSTS}) GROUP BY 1 HAVING min(ts)::DATE >= DATE '2024-01-11'""",
     "drift_check_last": f"""SELECT t AS nb_valides, moyenne, nb_historique, a::INT AS alerte,
             CASE WHEN a THEN {_message_sql('t')} END AS message
         FROM (SELECT *, {_TODAY_SQL} AS t, nb_historique >= 3 AND moyenne > 0 AND {_TODAY_SQL} < moyenne * 0.3 AS a FROM ({_history_sql(_BEFORE_LAST)}))""",

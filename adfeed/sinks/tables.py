@@ -53,13 +53,14 @@ def upsert_master(batch: DataFrame, path: str, now: datetime, order: Sequence[st
 def save_seen(new_posts: DataFrame, path: str, now: datetime, days: int = RETENTION_DAYS) -> None:
     """Add the ids that are new, and forget the days before the retention.
 
-    Only new ids are written, into the folder of the day they were first seen; old days
-    go as folders. Ids with an unreadable date stay.
+    Only new ids are written, into the folder of the day they were first seen: ids meet by
+    day, and a day of many ids is split over tasks. Old days go as folders. Ids with an
+    unreadable date stay.
     """
     spark = new_posts.sparkSession
     added = unseen(first_sightings(new_posts), load_seen(spark, path))
     day = F.coalesce(F.date_format(seen_at(), "yyyy-MM-dd"), F.lit("inconnu"))
-    added.withColumn("jour", day).repartition("jour").write.mode("append").partitionBy("jour").parquet(path)
+    added.withColumn("jour", day).hint("rebalance", "jour").write.mode("append").partitionBy("jour").parquet(path)
     oldest = (now - timedelta(days=days)).strftime("%Y-%m-%d")
     for name in folders(spark, path):
         if "jour=0" < name < f"jour={oldest}":

@@ -1,11 +1,11 @@
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from adfeed.operators.health import source_health
-from adfeed.operators.runs import check_drift, densify_days, run_row, run_summary, volume_drift
+from adfeed.operators.runs import check_drift, densify_days, drift_intervals, run_row, run_summary, volume_drift
 from adfeed.schemas import HEALTH, RUNS
 
 START = datetime(2026, 7, 1, 23)
@@ -130,3 +130,25 @@ def test_one_fold_equals_two_and_a_hot_source_its_copy(spark):
         assert after[source] == (pytest.approx(score, abs=1e-8), streak, factor), source
     assert all(0.2 <= score <= 1.0 and 0 <= streak < 3 and 1 <= factor <= 8 for score, streak, factor in whole.values())
     assert scores(spark, {"seule": histories["chaude"]})["seule"] == whole["chaude"]
+
+
+def test_intervals_are_the_alerts_of_dense_days(spark):
+    draw = random.Random(7)
+    rows = [(s, date(2026, 1, 1) + timedelta(days=d), draw.choice([0, 0, 1, 9, 30])) for s in "abcdef" for d in sorted(draw.sample(range(60), draw.choice([1, 3, 12, 30])))]
+    counts = spark.createDataFrame(rows, "source STRING, horodatage DATE, nb_valides BIGINT")
+    dense = volume_drift(densify_days(counts, ["source"], "horodatage", "nb_valides")).filter("alerte").collect()
+    want = sorted((r["source"], r["horodatage"], r["nb_valides"]) for r in dense)
+    found = drift_intervals(counts).collect()
+    days = sorted((r["source"], r["debut"] + timedelta(days=i), r["nb_valides"]) for r in found for i in range((r["fin"] - r["debut"]).days + 1))
+    assert days == want and len(found) < len(want)
+    means = {(r["source"], r["horodatage"]): (r["moyenne"], r["nb_historique"]) for r in dense}
+    assert all((r["moyenne"], r["nb_historique"]) == means[r["source"], r["debut"]] for r in found if r["moyenne"] is not None)
+
+
+def test_a_date_far_off_adds_no_rows(spark):
+    rows = [("a", START + timedelta(days=i), 10) for i in range(5)] + [("b", datetime(2999, 1, 1), 4), ("c", datetime(1, 1, 1), 4)]
+    counts = spark.createDataFrame(rows, "source STRING, horodatage TIMESTAMP, nb_valides BIGINT")
+    found = drift_intervals(counts).collect()
+    last = (START + timedelta(days=4)).date()
+    assert sorted((r["source"], r["debut"], r["fin"]) for r in found) == [("a", last + timedelta(days=1), last + timedelta(days=7)), ("c", date(1, 1, 4), date(1, 1, 8))]
+    assert "Generate" not in drift_intervals(counts)._jdf.queryExecution().optimizedPlan().toString()
