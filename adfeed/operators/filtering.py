@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from adfeed.functions.rules import LAND_RULES, RuleSet, reject_reason
 from adfeed.functions.text import clean_text
 from adfeed.operators.dedup import dedup_text, position, text_key
-from adfeed.session import with_computed
+from adfeed.session import spread, with_computed
 
 
 def tag_posts(posts: DataFrame, rules: RuleSet = LAND_RULES) -> DataFrame:
     """Add the cleaned text and the reject reason (NULL for a candidate).
 
-    Map-only.  Write the result once before branching, or every branch runs the
-    patterns again.
+    Map-only, but for an input too small to fill the cores.  Write the result once before
+    branching, or every branch runs the patterns again.
     """
-    cleaned = with_computed(posts, "texte_nettoye", clean_text(F.col("texte")))
+    cleaned = with_computed(spread(posts), "texte_nettoye", clean_text(F.col("texte")))
     return with_computed(cleaned, "motif_rejet", reject_reason(F.col("texte_nettoye"), rules))
 
 

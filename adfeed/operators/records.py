@@ -26,7 +26,7 @@ from adfeed.functions.dates import epoch_ts
 from adfeed.functions.text import body_documents, html_json_blobs, iso_text
 from adfeed.operators.dedup import dedup_first
 from adfeed.schemas import RECORD
-from adfeed.session import with_computed
+from adfeed.session import spread, with_computed
 
 
 @dataclass(frozen=True)
@@ -241,7 +241,7 @@ def extract_records(
 
 def html_blobs(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:
     """One row per embedded JSON script of a page, with its position."""
-    return pages.select(*keep, F.posexplode(html_json_blobs(F.col(html))).alias("blob_pos", "json"))
+    return spread(pages).select(*keep, F.posexplode(html_json_blobs(F.col(html))).alias("blob_pos", "json"))
 
 
 def _readable(col: Column, spec: RecordSpec) -> Column:
@@ -281,7 +281,7 @@ def body_records(
     spec: RecordSpec = RecordSpec(),
 ) -> DataFrame:
     """Records of response bodies that may hold several JSON documents."""
-    documents = responses.select(*keep, F.posexplode(body_documents(F.col(body))).alias("doc_pos", "json"))
+    documents = spread(responses).select(*keep, F.posexplode(body_documents(F.col(body))).alias("doc_pos", "json"))
     return extract_records(documents, "json", [*keep, "doc_pos"], scraped_at, spec)
 
 

@@ -13,7 +13,7 @@ from adfeed.operators.captures import capture_counts, empty_group_samples, oldes
 from adfeed.operators.catchup import Catchup, new_posts
 from adfeed.operators.records import body_records, html_blobs, page_records, unread_blobs, unread_bodies, with_group
 from adfeed.queries.base import events, table
-from adfeed.session import with_computed
+from adfeed.session import spread, with_computed
 
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
 BASE_TIME = 1_700_000_000
@@ -153,7 +153,7 @@ def relative_dates(spark, folder):
         .when(kind == "signup", F.concat(k, F.lit(" "), F.initcap(month), F.lit(" 2023 a 9:05")))
         .otherwise(F.concat(k, F.lit("  "), month))
     )
-    return events(spark, folder).select("event_id", F.unix_micros(parse_relative_ts(text, F.col("ts"))).alias("date_us"))
+    return spread(events(spark, folder)).select("event_id", F.unix_micros(parse_relative_ts(text, F.col("ts"))).alias("date_us"))
 
 
 def epoch_dates(spark, folder):

@@ -16,7 +16,7 @@ from adfeed.queries.base import (
     TEST_RULES, by_language, documents, sql_by_language, sql_clean, sql_land_reason, sql_strip,
     sql_test_reason, sql_words, table,
 )
-from adfeed.session import with_computed
+from adfeed.session import spread, with_computed
 
 # White space that is not a blank: no-break space, file separator, em space.
 NBSP, FILE_SEPARATOR, EM_SPACE = chr(0xA0), chr(0x1C), chr(0x2003)
@@ -39,7 +39,7 @@ def _tagged(spark: SparkSession, folder: str) -> DataFrame:
 
 def clean_text_query(spark, folder):
     texts = F.concat("texte", F.lit(" https://exemple.test/p?"), "groupe_id", F.lit(ODD_SPACES + " fin " + NBSP))
-    return documents(spark, folder).select("id", clean_text(texts).alias("texte_nettoye"))
+    return spread(documents(spark, folder)).select("id", clean_text(texts).alias("texte_nettoye"))
 
 
 def filter_decision(spark, folder):
@@ -64,7 +64,7 @@ def reject_breakdown_query(spark, folder):
 
 
 def _cleaned(spark, folder):
-    return with_computed(documents(spark, folder), "texte_nettoye", clean_text(F.col("texte")))
+    return with_computed(spread(documents(spark, folder)), "texte_nettoye", clean_text(F.col("texte")))
 
 
 def dedup_text_first(spark, folder):

@@ -11,7 +11,7 @@ from adfeed.functions.model_output import validate_output
 from adfeed.functions.text import clean_text
 from adfeed.operators.structure import Permanent, route, structure
 from adfeed.queries.base import TEST_RULES, by_language, documents, events, sql_by_language, sql_clean
-from adfeed.session import with_computed
+from adfeed.session import spread, with_computed
 
 OFFERS = {
     "fr": " Villa de 2,5 ha à 15 000 000 F CFA, Patte d'oie, titre foncier, tel 70 12 34 56",
@@ -22,7 +22,7 @@ OFFERS = {
 
 
 def _offers(spark, folder):
-    posts = documents(spark, folder)
+    posts = spread(documents(spark, folder))
     return with_computed(
         posts.select("id", "lang", "texte"), "t", clean_text(F.concat("texte", by_language(F.col("lang"), OFFERS)))
     )
@@ -72,7 +72,7 @@ def _answers(spark, folder):
                                          '", "superficie_m2": ', value, ', "quartier_zone": null}'))
         .otherwise(answer('{"est_une_annonce_valide": true, "type_bien": "villa", "prix_fcfa": ', k, tail))
     )
-    return events(spark, folder).select("event_id", text.alias("sortie_modele"))
+    return spread(events(spark, folder)).select("event_id", text.alias("sortie_modele"))
 
 
 def validate_output_query(spark, folder):

@@ -83,6 +83,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input to all cores before a step that is costly for each row.
+
+    A table smaller than one scan block for each core leaves cores without a task, and a file of
+    one row group is one task whatever its splits. A larger table fills the cores by itself
+    and is left as it is: its rows are not shuffled.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    block = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * block else df
+
+
 def with_computed(df: DataFrame, name: str, col: Column) -> DataFrame:
     """Add a costly column that is computed once per row.
 

@@ -2,9 +2,11 @@ import random
 
 from pyspark.sql import functions as F
 
-from adfeed.functions.rules import is_candidate, reject_reason, rental_tag
+from adfeed.functions.rules import LAND_RULES, RuleSet, folded, found, is_candidate, reject_reason, rental_tag, stems
+from adfeed.functions.text import matches
 from adfeed.operators.filtering import candidates, funnel, reject_breakdown, rejects, tag_posts
 from adfeed.queries.base import TEST_RULES
+from adfeed.session import spread
 
 
 CASES = [
@@ -93,3 +95,29 @@ def test_funnel_adds_up(spark):
     assert funnel(tagged.filter("false"), ["groupe_id"], ["pos"]).count() == 0
     total = funnel(tagged.withColumn("t", F.lit(1)), ["t"], ["pos"]).first()
     assert total["nb_candidats"] == 2 and total["pct_candidats"] == 25.0
+
+
+def test_stems_are_what_a_match_cannot_do_without():
+    assert stems(LAND_RULES.spam) == ("cliquez", "gagnez", "gratuit", "trading", "投资")
+    assert stems(LAND_RULES.numeric) == ("ha", "m2", "m²")
+    assert "négociable" in stems(LAND_RULES.include) and "negociable" in stems(LAND_RULES.include)
+    assert stems(r"abc|\d+") is None and stems(r"a?b?") is None and stems(r"(abc)*xy") == ("xy",) and stems(r"ab{2,}cd") == ("cd",)
+    assert stems(r"(?:one|two)\s+three") == ("three",) and stems("x") is None
+
+
+def test_gate_agrees_with_the_pattern_alone(evaluate):
+    """Also for letters that only the pattern takes for the same."""
+    draw = random.Random(9)
+    parts = ["PRIX", "prıx", "prİx", "ſuperficie", "PAR", "celle", "TERRAIN", "hectareſ", "NÉGOCIABLE", "Ha", "5", "5 Ha", "M2", "m²", "à", "vendre", "ΣΑΣ", "Ångstrom", "K", " ", "投资", "d'", "habiter", "permiſ"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(1, 6))) for _ in range(600)] + [None, ""]
+    for rules in (LAND_RULES, TEST_RULES, RuleSet("kå|ångstrom", r"\d\s*kg", "sas", "abc|prix", "zz|ſs")):
+        for pattern in (rules.include, rules.numeric, rules.request, rules.override, rules.spam):
+            gated = evaluate(lambda c: found(c, folded(c), pattern), texts)
+            assert gated == evaluate(lambda c: matches(c, pattern), texts), pattern
+
+
+def test_only_small_inputs_are_spread(spark):
+    small = spark.range(10)
+    assert "Exchange" in spread(small)._jdf.queryExecution().executedPlan().toString()
+    large = spark.range(10**12)
+    assert spread(large) is large
