@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from adfeed.sinks.exports import export_ads, export_master, write_rejects
 from adfeed.sinks.tables import append_raw, upsert_master
 from adfeed.sources import journal
 from adfeed.sources.groups import load_groups
-from adfeed.sources.posts import file_issues, line_issues, load_raw_post_lines, load_raw_table, merge_posts, parse_post_files
+from adfeed.sources.posts import file_issues, line_issues, load_large_posts, load_raw_post_lines, load_raw_posts, load_raw_table, merge_posts, parse_post_files
 from adfeed.sources.state import load_health, load_master
 from adfeed.streaming.ingest import first_post_stream, read_new_files, score_stream, upsert_stream
 
@@ -98,6 +98,32 @@ def raw_line_issues(spark, folder):
     return issues.select(F.col("lisible").cast("int").alias("lisible"), F.md5("value").alias("ligne_md5"))
 
 
+def _array_files(spark, folder) -> str:
+    """The documents as array files on disk, one for each source; posts are objects in objects, and texts full of braces."""
+    path = work_folder(spark, "tableaux")
+    post = F.to_json(F.struct(
+        F.concat_ws("-", "source", (F.col("doc_id") % 200).cast("string")).alias("id"), F.col("source").alias("groupe_id"),
+        F.concat(F.col("text"), F.lit('}, {"\\')).alias("texte"), F.struct(F.array(F.lit("]")).alias("}")).alias("autre"),
+    ))
+    order = Window.partitionBy("source").orderBy("doc_id")
+    rows = table(spark, folder, "documents").select(
+        "source", "doc_id", post.alias("p"), F.row_number().over(order).alias("n"), F.lead("doc_id").over(order).isNull().alias("fin")
+    )
+    line = F.concat(F.when(F.col("n") == 1, "[").otherwise(","), "p", F.when(F.col("fin"), "]").otherwise(""))
+    rows.select("source", "doc_id", line.alias("value")).repartition("source").sortWithinPartitions("source", "doc_id").select("source", "value").write.partitionBy("source").text(path)
+    return path
+
+
+def raw_files_load(spark, folder):
+    """Array files read whole: of an id the last post, at the place of its first."""
+    return load_raw_posts(spark, _array_files(spark, folder)).select("id", "groupe_id", F.md5("texte").alias("texte_md5"), "_pos")
+
+
+def raw_files_split(spark, folder):
+    """The same files read block by block."""
+    return load_large_posts(spark, _array_files(spark, folder)).select("id", "groupe_id", F.md5("texte").alias("texte_md5"), "_pos")
+
+
 def raw_append_read(spark, folder):
     """Two runs appended by group; the second corrects some posts of the first."""
     path = work_folder(spark, "brut")
@@ -312,6 +338,8 @@ QUERIES = {
     "raw_post_lines": raw_post_lines,
     "raw_line_issues": raw_line_issues,
     "raw_posts_merge": raw_posts_merge,
+    "raw_files_load": raw_files_load,
+    "raw_files_split": raw_files_split,
     "raw_file_issues": raw_file_issues,
     "raw_append_read": raw_append_read,
     "export_ads_csv": export_ads_csv,
@@ -339,7 +367,12 @@ _ROLE_GROUP = "CASE role WHEN 'user' THEN 'en' WHEN 'assistant' THEN 'fr' ELSE '
 _ADS_SQL = f"""SELECT event_id::VARCHAR AS id, kind, CASE kind WHEN 'purchase' THEN 'ferme' ELSE 'villa' END AS type_bien,
         aire::BIGINT::VARCHAR AS superficie_m2, prix, k FROM ({_ROUTED_SQL}) WHERE issue = 'valide'"""
 
+_ARRAYS_SQL = """SELECT source || '-' || (doc_id % 200) AS id, source AS groupe_id, md5(arg_max(text, doc_id) || '}, {"' || chr(92)) AS texte_md5, min(n) - 1 AS _pos
+    FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents) GROUP BY source, doc_id % 200"""
+
 ORACLE = {
+    "raw_files_load": _ARRAYS_SQL,
+    "raw_files_split": _ARRAYS_SQL,
     "stream_scores": f"""{HEALTH_SQL} SELECT source, round(conf, 9) AS niveau_confiance, serie AS runs_propres_consecutifs,
             mult AS cooldown_multiplicateur FROM fold QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC) = 1""",
     "active_groups": """SELECT s_suppkey::VARCHAR AS id, s_name || ', "suite"' AS nom, 'https://exemple.test/groups' AS url, 1 AS actif

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adfeed.operators.dedup import dedup_last
 from adfeed.schemas import RAW_POST
-from adfeed.session import with_computed
+from adfeed.session import cut_lineage, with_computed
 
 # A post's place in its input: files by name, then position.
 ORDER = ["_file", "_pos"]
@@ -55,6 +55,85 @@ def load_raw_posts(spark: SparkSession, *paths: str) -> DataFrame:
     return merge_posts(parse_post_files(files))
 
 
+_BLOCK = ["_file", "_bloc"]
+
+
+def _sum_before(pieces: DataFrame, value: str, name: str) -> DataFrame:
+    """Add the sum of ``value`` over all pieces of the file before each one: within its block, and over the blocks before."""
+    within = Window.partitionBy(*_BLOCK).orderBy("_rang").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy("_file").orderBy("_bloc").rowsBetween(Window.unboundedPreceding, -1)  # one row for each block
+    blocks = pieces.groupBy(*_BLOCK).agg(F.sum(value).alias("_somme"))
+    starts = blocks.select(*_BLOCK, F.coalesce(F.sum("_somme").over(ahead), F.lit(0)).alias("_avant"))
+    summed = pieces.withColumn("_ici", F.coalesce(F.sum(value).over(within), F.lit(0))).join(starts, _BLOCK)
+    return summed.withColumn(name, F.col("_ici") + F.col("_avant")).drop("_ici", "_avant")
+
+
+def _amount(text: Column, *chars: str) -> Column:
+    """How often some characters stand in a text."""
+    return sum(F.length(text) - F.length(F.replace(text, F.lit(c))) for c in chars)
+
+
+def _structure(piece: Column, inside: Column) -> Column:
+    """A piece of JSON, escapes taken out, without what stands in strings; ``inside``: it starts in one."""
+    begun = F.when(inside, F.regexp_replace(piece, r'(?s)^[^"]*("|$)', "")).otherwise(piece)
+    return F.regexp_replace(begun, r'(?s)"[^"]*("|$)', "")
+
+
+def split_array_files(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]:
+    """The elements of JSON-array files, each file read by as many tasks as it has blocks.
+
+    Returns (_file, _pos, value) for each element, and (_file, lisible) for each file. A file is
+    read in pieces that end at a closing brace, wherever that stands. The quotes of the pieces
+    before a piece tell whether it starts inside a string, and then its brackets tell how it
+    changes the depth; both are sums, taken within each block and over the blocks before, so
+    no task needs more than its block. An element ends at a brace that brings the depth back to
+    one. A file that does not open and close as one array of objects is not readable.
+    """
+    read = spark.read.option("lineSep", "}").text(list(paths))
+    pieces = read.select(
+        _file_order(), F.col("_metadata.file_block_start").alias("_bloc"), F.monotonically_increasing_id().alias("_rang"), F.col("value").alias("_bout")
+    )
+    pieces = with_computed(pieces, "_nu", F.regexp_replace("_bout", r"(?s)\\.", ""))
+    quoted = _sum_before(cut_lineage(pieces.withColumn("_guillemets", _amount(F.col("_nu"), '"') % 2)), "_guillemets", "_q")
+    within = F.col("_q") % 2 == 1
+    bare = with_computed(quoted, "_signes", _structure(F.col("_nu"), within))
+    # The brace after a piece counts outside of strings. Only the last piece of a file has none.
+    place = F.struct("_bloc", "_rang")
+    ends = bare.groupBy("_file").agg(F.max(place).alias("_fin"))
+    marked = bare.join(ends, "_file").withColumn("_dernier", place == F.col("_fin"))
+    braced = ~F.col("_dernier") & ((F.col("_q") + F.col("_guillemets")) % 2 == 0)
+    slope = _amount(F.col("_signes"), "[", "{") - _amount(F.col("_signes"), "]", "}") - F.when(braced, 1).otherwise(0)
+    sloped = cut_lineage(marked.select(*_BLOCK, "_rang", "_bout", "_dernier", braced.alias("_ferme"), slope.alias("_pente")))
+    deep = _sum_before(sloped, "_pente", "_niveau").withColumn("_niveau", F.col("_niveau") + F.col("_pente"))
+    closing = (F.col("_ferme") & (F.col("_niveau") == 1)).cast("int")
+    numbered = cut_lineage(_sum_before(deep.withColumn("_clos", closing), "_clos", "_pos"))
+    # The pieces of one element, and what follows the last one.
+    parts = F.sort_array(F.collect_list(F.struct("_bloc", "_rang", "_bout")))
+    whole = numbered.groupBy("_file", "_pos").agg(
+        F.array_join(F.transform(parts, lambda p: p["_bout"]), "}").alias("_texte"), F.max("_dernier").alias("_reste"), F.max(F.when(F.col("_dernier"), F.col("_niveau"))).alias("_profondeur")
+    )
+    blank = " \t\r\n"
+    lead = F.when(F.col("_pos") == 0, "[").otherwise(",")
+    text = F.btrim("_texte", F.lit(blank))
+    inner = F.when(text.startswith(lead), F.btrim(F.expr("substring(btrim(_texte, ' \t\r\n'), 2)"), F.lit(blank)))
+    tail = F.when(F.col("_pos") == 0, text.rlike(r"^\[[ \t\r\n]*\]$")).otherwise(text == "]")
+    sound = F.when(F.col("_reste"), tail & (F.col("_profondeur") == 0)).otherwise(F.coalesce(inner.startswith("{"), F.lit(False)))
+    judged = cut_lineage(whole.select("_file", "_pos", "_reste", F.concat(inner, F.lit("}")).alias("value"), sound.alias("_bon")))
+    files = judged.groupBy("_file").agg(F.bool_and("_bon").alias("lisible"))
+    elements = judged.filter(~F.col("_reste")).join(files.filter("lisible"), "_file", "left_semi")
+    return elements.select("_file", F.col("_pos").cast("bigint").alias("_pos"), "value"), files
+
+
+def load_large_posts(spark: SparkSession, *paths: str) -> DataFrame:
+    """As ``load_raw_posts``, for files that are too large for one task."""
+    elements, _ = split_array_files(spark, *paths)
+    array = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), T.ArrayType(RAW_POST))  # NULL for one that cannot be read
+    parsed = cut_lineage(elements.select("_file", "_pos", array.alias("_posts")))
+    broken = parsed.filter("_posts IS NULL").select("_file").distinct()
+    posts = parsed.join(broken, "_file", "left_anti").select("_file", "_pos", F.col("_posts")[0].alias("_p"))
+    return merge_posts(posts.filter("_p.id IS NOT NULL").select("_p.*", "_file", "_pos"))
+
+
 def _lines(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
     """Lines of the files with their post (NULL if a line is no JSON object) and their block."""
     read = spark.read.text(list(paths)).filter(F.btrim("value", F.lit(" \t\r")) != "")
