@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from adfeed.llm.common import octets, without, written
 
 ADDED = ("copy", "n_copies", "rate", "order_key")
-# Rates up to this are pure Poisson. Beyond it the excess is repeated outright and
-# only the rest is drawn: the mean stays, the tables of steps stay short.
+# A higher rate is drawn as a sum of independent Poisson numbers of equal rates up to
+# this, which is Poisson again: tables of steps stay short at any rate.
 POISSON_RATE = 512
 # More sources than this are joined by a shuffle instead of a broadcast.
 BROADCAST_SOURCES = 10_000
@@ -50,7 +50,7 @@ def poisson_steps(rate: Column) -> Column:
 
 
 def source_rates(docs: DataFrame, weights: dict[str, float], default_weight: float, source_column: str, text_column: str) -> DataFrame:
-    """_source, rate, _sure, _steps: one row for each source."""
+    """_source, rate, _draws, _steps: one row for each source; a count is the sum of _draws numbers drawn from _steps."""
     sizes = docs.groupBy(F.col(source_column).alias("_source")).agg(F.sum(octets(text_column) + 1).alias("bytes"))
     weight = F.lit(float(default_weight))
     for name, value in weights.items():
@@ -59,8 +59,8 @@ def source_rates(docs: DataFrame, weights: dict[str, float], default_weight: flo
     whole = sizes.agg(F.sum("bytes").alias("all_bytes"), F.sum("weight").alias("all_weight"))
     total = whole.first()
     rate = F.col("weight") / F.lit(total["all_weight"] or 1.0) * F.lit(float(total["all_bytes"] or 0)) / F.col("bytes")
-    rates = sizes.select("_source", rate.alias("rate")).withColumn("_sure", F.floor(F.greatest(F.col("rate") - POISSON_RATE, F.lit(0.0))))
-    rates = rates.withColumn("_steps", poisson_steps(F.col("rate") - F.col("_sure")))
+    rates = sizes.select("_source", rate.alias("rate")).withColumn("_draws", F.greatest(F.ceil(F.col("rate") / POISSON_RATE), F.lit(1)).cast("int"))
+    rates = rates.withColumn("_steps", poisson_steps(F.col("rate") / F.col("_draws")))
     rates = written(rates, "rates")
     return F.broadcast(rates) if rates.count() <= BROADCAST_SOURCES else rates
 
@@ -84,7 +84,14 @@ def mixed_sources(
     name = F.coalesce(F.col(id_column).cast("string"), F.col(text_column), F.lit(""))
     drawn = docs.join(rates, docs[source_column].eqNullSafe(rates["_source"]))
     drawn = drawn.withColumn("_u", hash_uniform(seed, name))
-    drawn = drawn.withColumn("n_copies", F.col("_sure") + F.size(F.filter("_steps", lambda p: p <= F.col("_u")))).where("n_copies > 0")
+
+    def further(total: Column, draw: Column) -> Column:
+        u = hash_uniform(seed, F.concat(F.lit("#"), draw.cast("string")), name)
+        return total + F.size(F.filter("_steps", lambda p: p <= u))
+
+    more = F.aggregate(F.sequence(F.lit(1), F.col("_draws") - 1), F.lit(0), further)
+    count = F.size(F.filter("_steps", lambda p: p <= F.col("_u"))) + F.when(F.col("_draws") > 1, more).otherwise(0)
+    drawn = drawn.withColumn("n_copies", count).where("n_copies > 0")
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("n_copies") - 1).cast("int"))))
     copies = copies.withColumn("order_key", F.xxhash64(F.lit(seed), name, F.col("copy")))
     parts = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

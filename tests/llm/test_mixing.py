@@ -87,11 +87,32 @@ def test_odd_rows(spark):
     sizes, weights = {None: 2, "a": 5, "b": 50_001}, {None: 1, "a": 3, "b": 1}
     for doc_id, text, source in set(rows):
         rate = weights[source] / 5 * 50_008 / sizes[source]
-        sure = max(0, math.floor(rate - 512))
+        draws = max(1, math.ceil(rate / 512))
         name = doc_id if doc_id is not None else text or ""
-        assert got[doc_id, text] == (sure + poisson(rate - sure, uniform(3, name))) * rows.count((doc_id, text, source))
+        uniforms = [uniform(3, name)] + [uniform(3, f"#{j}|{name}") for j in range(1, draws)]
+        assert got[doc_id, text] == sum(poisson(rate / draws, u) for u in uniforms) * rows.count((doc_id, text, source))
 
 
 def test_empty_table(spark):
     ready(spark)
     assert mixed_sources(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []
+
+
+def test_a_high_rate_is_a_sum_of_poisson_numbers(spark):
+    ready(spark)
+    rows = [(i, "tiny", "x") for i in range(60)] + [(1000, "big", "y" * 240_000)]
+    got = mixed_sources(spark.createDataFrame(rows, "doc_id long, source string, text string")).where("source = 'tiny'").groupBy("doc_id").agg(
+        F.first("rate").alias("rate"), F.max("n_copies").alias("n"), F.count("*").alias("copies")
+    ).collect()
+    rate = got[0]["rate"]
+    draws = math.ceil(rate / 512)
+    assert 900 < rate < 1100 and draws == 2 and len(got) == 60
+
+    def drawn(doc_id):
+        texts = [f"29|{doc_id}"] + [f"29|#{j}|{doc_id}" for j in range(1, draws)]
+        return sum(poisson(rate / draws, (int(hashlib.md5(t.encode()).hexdigest()[:13], 16) + 0.5) / 2**52) for t in texts)
+
+    assert all(r["n"] == r["copies"] and abs(r["n"] - drawn(r["doc_id"])) <= 1 for r in got)
+    counts = [r["n"] for r in got]
+    mean = sum(counts) / 60
+    assert abs(mean / rate - 1) < 0.02 and 0.5 < sum((n - mean) ** 2 for n in counts) / 59 / rate < 1.7
