@@ -1,0 +1,76 @@
+"""The registered queries on the smallest tables: their columns and types, and what can be told by brute force."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from adfeed.llm import queries
+
+FOLDER = "/root/testdata/sf0.001"
+COLUMNS = {
+    "op1": "page_id bigint, url string, text string, n_chars bigint",
+    "op2": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
+    "op3": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
+    "op5": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
+    "op6": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
+    "op7": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+    "op8": "doc_id bigint, n_shingles bigint, component_id bigint",
+    "op9": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+    "op10": "doc_id bigint, kept boolean",
+    "op11": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op12": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
+    "op13": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string",
+}
+
+
+def query(number):
+    return next(f for name, f in queries.QUERIES.items() if name.startswith(f"op{number}_"))
+
+
+@pytest.mark.parametrize("name", COLUMNS)
+def test_columns(spark, name):
+    kinds, want = dict(query(name[2:])(spark, FOLDER).dtypes), dict(c.split() for c in COLUMNS[name].split(", "))
+    assert {n: kinds.get(n) for n in want} == want
+
+
+def documents(spark):
+    return {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+
+
+def test_shards(spark):
+    """Sizes and sums of every document, one place each, counts at most one apart."""
+    docs, rows = documents(spark), query(2)(spark, FOLDER).collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in rows} == {i: (len(t.encode()) + 1, zlib.crc32(t.encode())) for i, t in docs.items()}
+    assert len(rows) == len(docs) and {r["law"] for r in rows} == {"rows"} and all(r["grown_shard"] is None for r in rows)
+    held = Counter(r["shard"] for r in rows)
+    assert set(held) == set(range(16)) and max(held.values()) - min(held.values()) <= 1
+    assert all(sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(n)) for s, n in held.items())
+
+
+def test_packing(spark):
+    """Pieces by the tokenizer itself; sequences without gaps, close to as few as there can be."""
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
+    docs, rows = documents(spark), query(9)(spark, FOLDER).collect()
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r["doc_id"], []).append(r)
+    assert set(pieces) == set(docs)
+    for doc_id in random.Random(1).sample(sorted(docs), 60):
+        ids, at = np.array([*encode(docs[doc_id], add_special_tokens=False).ids, 2], "<u4"), 0
+        for n, r in enumerate(sorted(pieces[doc_id], key=lambda r: r["piece"])):
+            part = ids[at : at + r["length"]]
+            assert (r["piece"], r["start"], r["ids_crc32"]) == (n, at, zlib.crc32(part.tobytes())) and (n == 0 or r["length"] == 1024)
+            at += r["length"]
+        assert at == len(ids)
+    places = {}
+    for r in rows:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in places.values():
+        ends = np.cumsum([0, *(length for _, length in sorted(parts))])
+        assert [offset for offset, _ in sorted(parts)] == ends[:-1].tolist() and ends[-1] <= 1024
+    assert len(places) <= 1.02 * -(-sum(r["length"] for r in rows) // 1024) + 1
