@@ -16,6 +16,31 @@ def unseen(posts: DataFrame, seen: DataFrame, key: str = "id") -> DataFrame:
     return posts.join(seen.select(key), key, "left_anti")
 
 
+# Bits of the sketch of a day; a day of many more ids than this has a sketch that says nothing.
+SKETCH_BITS = 1 << 27
+
+
+def _bit(key: Column) -> Column:
+    """A key's bit in a sketch, counted from 1."""
+    return F.pmod(F.xxhash64(key), F.lit(SKETCH_BITS)) + 1
+
+
+def sketch(seen: DataFrame, day: str, key: str = "id") -> DataFrame:
+    """day, seau, bits: bitmaps with a bit for every id of a day, where there are any."""
+    bit = _bit(F.col(key))
+    return seen.groupBy(day, F.bitmap_bucket_number(bit).alias("seau")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+
+
+def days_of(ids: DataFrame, sketches: DataFrame, day: str, key: str = "id") -> DataFrame:
+    """Days that may hold one of the ids; all others hold none of them."""
+    bit = _bit(F.col(key))
+    asked = ids.select(F.bitmap_bucket_number(bit).alias("seau"), F.bitmap_bit_position(bit).alias("_place")).distinct()
+    octet = F.conv(F.hex(F.expr("substring(bits, int(_place div 8) + 1, 1)")), 16, 10).cast("int")
+    held = F.expr("shiftright(_octet, int(_place % 8)) & 1") == 1
+    # Sketches of one day come from several runs; any of them may hold the bit.
+    return asked.join(sketches, "seau").withColumn("_octet", octet).filter(held).select(day).distinct()
+
+
 def seen_at() -> Column:
     """When an id was first seen; NULL for an unreadable date."""
     return F.when(F.col("vu_le_raw").rlike(ISO_DATE), F.col("vu_le_raw").try_cast("timestamp"))

@@ -144,7 +144,7 @@ def collect_posts(
     """
     captures, left_out = captures_of(pages, responses, now)
     spark = captures.sparkSession
-    result = new_posts(captures, load_seen(spark, seen_path), load_markers(spark, marker_path), cutoff)
+    result = new_posts(captures, load_seen(spark, seen_path, captures), load_markers(spark, marker_path), cutoff)
     chosen = cut_lineage(result.posts.select("groupe_id", "id", F.col("step").alias("_etape"), F.col("pos").alias("_place"), "featured"))
     same = [captures["groupe_id"] == chosen["groupe_id"], captures["id"] == chosen["id"], captures["featured"] == chosen["featured"],
             captures["step"].eqNullSafe(chosen["_etape"]), captures["pos"] == chosen["_place"]]

@@ -126,6 +126,16 @@ def seen_saved(spark, folder):
     return load_seen(spark, path)
 
 
+def unseen_sketched(spark, folder):
+    """New posts against a saved state of which only the days that may hold them are read."""
+    path = work_folder(spark, "vus")
+    posts = _posts(spark, folder).select("id", "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("scrape_le"), "ts")
+    late = F.col("ts") >= F.lit(DAY_20).cast("timestamp")
+    save_seen(posts.filter(~late), path, NOW)
+    recent = posts.filter(late)
+    return unseen(recent, load_seen(spark, path, recent)).groupBy("id").agg(F.count("*").alias("nb"), F.min("event_id").alias("premier"))
+
+
 def _run_log(spark, folder) -> DataFrame:
     """One run per hour with events; errors make it a backfill run."""
     return events(spark, folder).groupBy(F.date_trunc("hour", "ts").alias("horodatage")).agg(
@@ -185,6 +195,7 @@ QUERIES = {
     "volume_drift": volume_drift_query,
     "drift_alerts": drift_alerts,
     "seen_saved": seen_saved,
+    "unseen_sketched": unseen_sketched,
     "drift_check_last": drift_check_last,
     "source_health": source_health_query,
     "run_log_row": run_log_row,
@@ -241,9 +252,12 @@ HEALTH_SQL = """
             CASE WHEN issue = 'b' THEN least(8, mult * 2) WHEN issue = 'c' AND serie + 1 >= 3 THEN 1 ELSE mult END
         FROM fold f JOIN runs r ON r.source = f.source AND r.n = f.n + 1)"""
 
+_UNSEEN_SQL = f"""SELECT id, count(*) AS nb, min(event_id) AS premier FROM ({_POSTS}) p WHERE ts >= TIMESTAMP '{DAY_20}'
+        AND NOT EXISTS (SELECT 1 FROM ({_POSTS}) s WHERE s.id = p.id AND s.ts < TIMESTAMP '{DAY_20}') GROUP BY 1"""
+
 ORACLE = {
-    "unseen_posts": f"""SELECT id, count(*) AS nb, min(event_id) AS premier FROM ({_POSTS}) p WHERE ts >= TIMESTAMP '{DAY_20}'
-        AND NOT EXISTS (SELECT 1 FROM ({_POSTS}) s WHERE s.id = p.id AND s.ts < TIMESTAMP '{DAY_20}') GROUP BY 1""",
+    "unseen_posts": _UNSEEN_SQL,
+    "unseen_sketched": _UNSEEN_SQL,
     "seen_retention": f"""SELECT event_id::VARCHAR AS id, CASE WHEN event_type = 'error' THEN 'date illisible' ELSE {_ISO} END AS vu_le_raw
         FROM events WHERE event_type = 'error' OR ts >= TIMESTAMP '2024-01-31' - INTERVAL 12 DAY""",
     "seen_update": f"""SELECT id, min({_ISO}) AS vu_le_raw FROM ({_POSTS}) GROUP BY 1

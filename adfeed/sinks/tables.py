@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from adfeed.operators.dedup import dedup_last
 from adfeed.operators.markers import merge_markers
-from adfeed.operators.seen import RETENTION_DAYS, first_sightings, seen_at, unseen
+from adfeed.operators.seen import RETENTION_DAYS, first_sightings, seen_at, sketch, unseen
 from adfeed.operators.upsert import merge_lots
 from adfeed.schemas import HEALTH, MASTER
+from adfeed.session import cut_lineage
 from adfeed.sources import journal
-from adfeed.sources.state import load_markers, load_seen
+from adfeed.sources.state import SKETCHES, load_markers, load_seen
 from adfeed.sources.tables import delete_folder, folders, write_table
 
 
@@ -54,17 +55,21 @@ def save_seen(new_posts: DataFrame, path: str, now: datetime, days: int = RETENT
     """Add the ids that are new, and forget the days before the retention.
 
     Only new ids are written, into the folder of the day they were first seen: ids meet by
-    day, and a day of many ids is split over tasks. Old days go as folders. Ids with an
-    unreadable date stay.
+    day, and a day of many ids is split over tasks. A sketch of each day tells later runs
+    which days to look into. Old days go as folders. Ids with an unreadable date stay.
     """
     spark = new_posts.sparkSession
-    added = unseen(first_sightings(new_posts), load_seen(spark, path))
+    first = first_sightings(new_posts)
     day = F.coalesce(F.date_format(seen_at(), "yyyy-MM-dd"), F.lit("inconnu"))
-    added.withColumn("jour", day).hint("rebalance", "jour").write.mode("append").partitionBy("jour").parquet(path)
+    added = cut_lineage(unseen(first, load_seen(spark, path, first)).withColumn("jour", day))
+    # The sketch comes first: a bit without its id costs a look, an id without its bit would come again.
+    sketch(added, "jour").write.mode("append").partitionBy("jour").parquet(f"{path}/{SKETCHES}")
+    added.hint("rebalance", "jour").write.mode("append").partitionBy("jour").parquet(path)
     oldest = (now - timedelta(days=days)).strftime("%Y-%m-%d")
-    for name in folders(spark, path):
-        if "jour=0" < name < f"jour={oldest}":
-            delete_folder(spark, f"{path}/{name}")
+    for place in (path, f"{path}/{SKETCHES}"):
+        for name in folders(spark, place):
+            if "jour=0" < name < f"jour={oldest}":
+                delete_folder(spark, f"{place}/{name}")
 
 
 def save_markers(new: DataFrame, path: str) -> int:

@@ -1,11 +1,13 @@
 import csv
 import glob
 import json
+import shutil
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from adfeed.operators.seen import unseen
 from adfeed.operators.upsert import latest_first, merge_batch, merge_lots
 from adfeed.schemas import AD_COLUMNS, MARKERS, MASTER, SEEN
 from adfeed.sinks.exports import export_ads, export_candidates, export_master, protect_contacts, write_rejects
@@ -86,6 +88,23 @@ def test_seen_days_beyond_the_retention_go(spark, folder):
     assert {tuple(r) for r in load_seen(spark, folder).collect()} == {("illisible", "hier"), ("neuf", "2026-08-01T00:00:00+00:00")}
 
 
+def test_only_days_that_may_hold_an_id_are_read(spark, folder):
+    def seen(day, *ids):
+        return spark.createDataFrame([(i, f"2026-07-{day:02d}T10:00:00+00:00") for i in ids], "id STRING, scrape_le STRING")
+
+    for day in range(1, 8):
+        save_seen(seen(day, *[f"{day}-{i}" for i in range(50)], "commun"), folder, DAY1)
+    whole = {tuple(r) for r in load_seen(spark, folder).collect()}
+    assert len(whole) == 351 and ("commun", "2026-07-01T10:00:00+00:00") in whole
+    asked = spark.createDataFrame([("3-7",), ("3-9",), ("5-0",), ("neuf",), ("commun",)], "id STRING")
+    some = load_seen(spark, folder, asked)
+    assert {f.split("jour=")[1][:10] for f in some.inputFiles()} == {"2026-07-01", "2026-07-03", "2026-07-05"}
+    assert [r["id"] for r in unseen(asked, some).collect()] == ["neuf"]
+    assert load_seen(spark, folder, asked.filter("id = 'neuf'")).count() == 0
+    shutil.rmtree(f"{folder}/_esquisses/jour=2026-07-02")  # as written before there were sketches
+    assert {f.split("jour=")[1][:10] for f in load_seen(spark, folder, asked.filter("id = 'neuf'")).inputFiles()} == {"2026-07-02"}
+
+
 def test_a_small_batch_does_not_shuffle_the_master(spark, folder):
     upsert_master(ads(spark, ("a", 1), ("b", 2)), folder, DAY1, ["_pos"])
     master = load_master(spark, folder)
