@@ -2,6 +2,15 @@
 
 STAGES lists (name, function); each takes (spark, docs, sf_dir) and works on all that
 the stage before it has kept. All but the last return the columns of documents.
+
+Defined results. A null text counts as empty: the quality filter keeps empty texts, exact
+dedup keeps one of them (the smallest doc_id; a null doc_id loses against any other), near
+dedup links an empty text with nothing, mixing counts one byte for it, and packing gives it the
+end token alone. Of rows that repeat doc_id and text, one stays after exact dedup. A null
+language is judged by the limits of all languages, a null source is a source of its own. Ties
+between near copies go to the smallest doc_id. Further columns, whatever their names, travel
+through all stages but the last. Empty documents or labels give an empty result, or no limits and so no
+rejects. A text of any length is read whole; its words have to fit one task.
 """
 
 from __future__ import annotations
