@@ -64,6 +64,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c.lower() not in taken])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or a longer one that no column of the rows has (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def rows_of(make: Callable, schema: pa.Schema) -> Callable:
     """A function for mapInArrow out of ``make(columns) -> {name: values}``.
 

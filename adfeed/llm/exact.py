@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import SPACE, written
+from adfeed.llm.common import SPACE, free_name, written
 
 
 def text_sha256(text: Column) -> Column:
@@ -87,7 +87,8 @@ def exact_duplicates(docs: DataFrame, index: DigestIndex, id_column: str = "doc_
 def kept_rows(docs: DataFrame, index: DigestIndex, id_column: str = "doc_id", text_column: str = "text", batch: str | None = None) -> DataFrame:
     """The rows of the batch whose texts stay, with all their columns."""
     verdicts = exact_duplicates(docs, index, id_column, text_column, batch).where("kept")
-    winners = verdicts.select(F.col("text_sha256").alias("_digest"), F.col("doc_id").alias("_keep"))
-    tagged = docs.withColumn("_digest", text_sha256(F.col(text_column)))
-    same = (tagged["_digest"] == winners["_digest"]) & tagged[id_column].cast("long").eqNullSafe(winners["_keep"])
-    return tagged.join(winners, same, "left_semi").dropDuplicates(["_digest"]).select(*docs.columns)
+    digest, keep = free_name(docs, "_digest"), free_name(docs, "_keep")
+    winners = verdicts.select(F.col("text_sha256").alias(digest), F.col("doc_id").alias(keep))
+    tagged = docs.withColumn(digest, text_sha256(F.col(text_column)))
+    same = (tagged[digest] == winners[digest]) & tagged[id_column].cast("long").eqNullSafe(winners[keep])
+    return tagged.join(winners, same, "left_semi").dropDuplicates([digest]).select(*docs.columns)

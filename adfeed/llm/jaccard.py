@@ -390,4 +390,4 @@ def kept_rows(docs: DataFrame, shingle: int = 5, percent: int = 80, id_column: s
     """The rows of one document of each group, that with the smallest id, with all their columns."""
     gone = grouped(docs, shingle, percent, id_column, text_column).where("not first").select(F.col("row_key").alias("_gone")).distinct()
     key = F.xxhash64(F.col(id_column).cast("long"), F.col(text_column).cast("string"))
-    return docs.join(gone, key == F.col("_gone"), "left_anti")
+    return docs.join(gone, key == gone["_gone"], "left_anti")

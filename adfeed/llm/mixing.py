@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeed.llm.common import octets, without, written
+from adfeed.llm.common import free_name, octets, without, written
 
 ADDED = ("copy", "n_copies", "rate", "order_key")
 # A higher rate is drawn as a sum of independent Poisson numbers of equal rates up to
@@ -82,15 +82,16 @@ def mixed_sources(
     docs = without(docs, *ADDED)
     rates = source_rates(docs, weights or {}, default_weight, source_column, text_column)
     name = F.coalesce(F.col(id_column).cast("string"), F.col(text_column), F.lit(""))
-    drawn = docs.join(rates, docs[source_column].eqNullSafe(rates["_source"]))
-    drawn = drawn.withColumn("_u", hash_uniform(seed, name))
+    of, draws, steps = (free_name(docs, n) for n in ("_source", "_draws", "_steps"))
+    drawn = docs.join(rates.withColumnsRenamed({"_source": of, "_draws": draws, "_steps": steps}), F.col(source_column).eqNullSafe(F.col(of)))
+    drawn = drawn.withColumn(u := free_name(drawn, "_u"), hash_uniform(seed, name))
 
     def further(total: Column, draw: Column) -> Column:
-        u = hash_uniform(seed, F.concat(F.lit("#"), draw.cast("string")), name)
-        return total + F.size(F.filter("_steps", lambda p: p <= u))
+        uniform = hash_uniform(seed, F.concat(F.lit("#"), draw.cast("string")), name)
+        return total + F.size(F.filter(steps, lambda p: p <= uniform))
 
-    more = F.aggregate(F.sequence(F.lit(1), F.col("_draws") - 1), F.lit(0), further)
-    count = F.size(F.filter("_steps", lambda p: p <= F.col("_u"))) + F.when(F.col("_draws") > 1, more).otherwise(0)
+    more = F.aggregate(F.sequence(F.lit(1), F.col(draws) - 1), F.lit(0), further)
+    count = F.size(F.filter(steps, lambda p: p <= F.col(u))) + F.when(F.col(draws) > 1, more).otherwise(0)
     drawn = drawn.withColumn("n_copies", count).where("n_copies > 0")
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("n_copies") - 1).cast("int"))))
     copies = copies.withColumn("order_key", F.xxhash64(F.lit(seed), name, F.col("copy")))
