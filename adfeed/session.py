@@ -59,10 +59,14 @@ def local_session(
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting it lies in the warehouse, which is shared as well. What a
-    session has put there goes when the session ends.
+    Without that setting a local session uses its warehouse; on a cluster that may be a
+    folder of one machine, so the setting is required there. What a session has put there
+    goes when the session ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_travail"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors reach")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_travail"
     own = f"{root.rstrip('/')}/adfeed/{spark.sparkContext.applicationId}"
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
     files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
