@@ -92,11 +92,12 @@ def spread(df: DataFrame) -> DataFrame:
 
     A table smaller than one scan block for each core leaves cores without a task, and a file of
     one row group is one task whatever its splits. A larger table fills the cores by itself
-    and is left as it is: its rows are not shuffled.
+    and is left as it is: its rows are not shuffled. ``spark.adfeed.spread=false`` leaves
+    every input as it is.
     """
-    if df.isStreaming:
-        return df
     spark = df.sparkSession
+    if df.isStreaming or spark.conf.get("spark.adfeed.spread", "true") != "true":
+        return df
     cores = spark.sparkContext.defaultParallelism
     block = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -24,7 +24,12 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_no_query_multiplies_tables_or_deals_rows_out(spark, name):
-    text = plan(QUERIES[name](spark, SMALL))
+    """With the plans of large inputs; small ones are dealt to all cores, see test_only_small_inputs_are_spread."""
+    spark.conf.set("spark.adfeed.spread", "false")
+    try:
+        text = plan(QUERIES[name](spark, SMALL))
+    finally:
+        spark.conf.unset("spark.adfeed.spread")
     assert not [w for w in ("CartesianProduct", "BroadcastNestedLoopJoin", "RoundRobinPartitioning") if w in text]
 
 
