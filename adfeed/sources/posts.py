@@ -79,37 +79,39 @@ def _structure(piece: Column, inside: Column) -> Column:
     return F.regexp_replace(begun, r'(?s)"[^"]*("|$)', "")
 
 
-def split_array_files(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]:
-    """The elements of JSON-array files, each file read by as many tasks as it has blocks.
-
-    Returns (_file, _pos, value) for each element, and (_file, lisible) for each file. A file is
-    read in pieces that end at a closing brace, wherever that stands. The quotes of the pieces
-    before a piece tell whether it starts inside a string, and then its brackets tell how it
-    changes the depth; both are sums, taken within each block and over the blocks before, so
-    no task needs more than its block. An element ends at a brace that brings the depth back to
-    one. A file that does not open and close as one array of objects is not readable.
-    """
-    read = spark.read.option("lineSep", "}").text(list(paths))
-    pieces = read.select(
+def _elements(spark: SparkSession, paths: list[str], larger_than: int) -> DataFrame:
+    """(_file, _pos, _reste, value, _bon): the elements of array files, and what follows the last one of each."""
+    read = spark.read.option("lineSep", "}").text(paths).filter(F.col("_metadata.file_size") > larger_than)
+    pieces = cut_lineage(read.select(
         _file_order(), F.col("_metadata.file_block_start").alias("_bloc"), F.monotonically_increasing_id().alias("_rang"), F.col("value").alias("_bout")
-    )
-    pieces = with_computed(pieces, "_nu", F.regexp_replace("_bout", r"(?s)\\.", ""))
-    quoted = _sum_before(cut_lineage(pieces.withColumn("_guillemets", _amount(F.col("_nu"), '"') % 2)), "_guillemets", "_q")
-    within = F.col("_q") % 2 == 1
-    bare = with_computed(quoted, "_signes", _structure(F.col("_nu"), within))
+    ))
+    # What the sums need of a piece are a few numbers, for either start; its text stays where it is.
+    bare = with_computed(pieces, "_nu", F.regexp_replace("_bout", r"(?s)\\.", ""))
+    for name, inside in (("_dehors", False), ("_dedans", True)):
+        bare = with_computed(bare, f"{name}_signes", _structure(F.col("_nu"), F.lit(inside)))
+
+    def slope(signs: Column) -> Column:
+        return _amount(signs, "[", "{") - _amount(signs, "]", "}")
+
+    narrow = cut_lineage(bare.select(
+        *_BLOCK, "_rang", (_amount(F.col("_nu"), '"') % 2).alias("_guillemets"),
+        slope(F.col("_dehors_signes")).alias("_dehors"), slope(F.col("_dedans_signes")).alias("_dedans"),
+    ))
+    quoted = _sum_before(narrow, "_guillemets", "_q")
     # The brace after a piece counts outside of strings. Only the last piece of a file has none.
     place = F.struct("_bloc", "_rang")
-    ends = bare.groupBy("_file").agg(F.max(place).alias("_fin"))
-    marked = bare.join(ends, "_file").withColumn("_dernier", place == F.col("_fin"))
+    ends = narrow.groupBy("_file").agg(F.max(place).alias("_fin"))
+    marked = quoted.join(ends, "_file").withColumn("_dernier", place == F.col("_fin"))
     braced = ~F.col("_dernier") & ((F.col("_q") + F.col("_guillemets")) % 2 == 0)
-    slope = _amount(F.col("_signes"), "[", "{") - _amount(F.col("_signes"), "]", "}") - F.when(braced, 1).otherwise(0)
-    sloped = cut_lineage(marked.select(*_BLOCK, "_rang", "_bout", "_dernier", braced.alias("_ferme"), slope.alias("_pente")))
+    change = F.when(F.col("_q") % 2 == 1, F.col("_dedans")).otherwise(F.col("_dehors")) - F.when(braced, 1).otherwise(0)
+    sloped = cut_lineage(marked.select(*_BLOCK, "_rang", "_dernier", braced.alias("_ferme"), change.alias("_pente")))
     deep = _sum_before(sloped, "_pente", "_niveau").withColumn("_niveau", F.col("_niveau") + F.col("_pente"))
     closing = (F.col("_ferme") & (F.col("_niveau") == 1)).cast("int")
-    numbered = cut_lineage(_sum_before(deep.withColumn("_clos", closing), "_clos", "_pos"))
+    closed = cut_lineage(deep.select(*_BLOCK, "_rang", "_dernier", "_niveau", closing.alias("_clos")))
+    numbered = _sum_before(closed, "_clos", "_pos").drop("_clos")
     # The pieces of one element, and what follows the last one.
     parts = F.sort_array(F.collect_list(F.struct("_bloc", "_rang", "_bout")))
-    whole = numbered.groupBy("_file", "_pos").agg(
+    whole = pieces.join(numbered, [*_BLOCK, "_rang"]).groupBy("_file", "_pos").agg(
         F.array_join(F.transform(parts, lambda p: p["_bout"]), "}").alias("_texte"), F.max("_dernier").alias("_reste"), F.max(F.when(F.col("_dernier"), F.col("_niveau"))).alias("_profondeur")
     )
     blank = " \t\r\n"
@@ -118,20 +120,40 @@ def split_array_files(spark: SparkSession, *paths: str) -> tuple[DataFrame, Data
     inner = F.when(text.startswith(lead), F.btrim(F.expr("substring(btrim(_texte, ' \t\r\n'), 2)"), F.lit(blank)))
     tail = F.when(F.col("_pos") == 0, text.rlike(r"^\[[ \t\r\n]*\]$")).otherwise(text == "]")
     sound = F.when(F.col("_reste"), tail & (F.col("_profondeur") == 0)).otherwise(F.coalesce(inner.startswith("{"), F.lit(False)))
-    judged = cut_lineage(whole.select("_file", "_pos", "_reste", F.concat(inner, F.lit("}")).alias("value"), sound.alias("_bon")))
+    return whole.select("_file", F.col("_pos").cast("bigint").alias("_pos"), "_reste", F.concat(inner, F.lit("}")).alias("value"), sound.alias("_bon"))
+
+
+def split_array_files(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]:
+    """The elements of JSON-array files, each file read by as many tasks as it has blocks.
+
+    Returns (_file, _pos, value) for each element, and (_file, lisible) for each file. A file is
+    read in pieces that end at a closing brace, wherever that stands. The quotes of the pieces
+    before a piece tell whether it starts inside a string, and then its brackets tell how it
+    changes the depth; both are sums, taken within each block and over the blocks before, so
+    no task needs more than its block. An element ends at a brace that brings the depth back to
+    one. A file that does not open and close as one array of objects is not readable.
+    """
+    judged = cut_lineage(_elements(spark, list(paths), -1))
     files = judged.groupBy("_file").agg(F.bool_and("_bon").alias("lisible"))
     elements = judged.filter(~F.col("_reste")).join(files.filter("lisible"), "_file", "left_semi")
-    return elements.select("_file", F.col("_pos").cast("bigint").alias("_pos"), "value"), files
+    return elements.select("_file", "_pos", "value"), files
 
 
-def load_large_posts(spark: SparkSession, *paths: str) -> DataFrame:
-    """As ``load_raw_posts``, for files that are too large for one task."""
-    elements, _ = split_array_files(spark, *paths)
+def _large_posts(spark: SparkSession, paths: list[str], larger_than: int = -1) -> DataFrame:
+    """Posts of the array files above a size, read block by block. Texts are stored twice: as pieces and as posts."""
+    found = _elements(spark, paths, larger_than)
     array = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), T.ArrayType(RAW_POST))  # NULL for one that cannot be read
-    parsed = cut_lineage(elements.select("_file", "_pos", array.alias("_posts")))
-    broken = parsed.filter("_posts IS NULL").select("_file").distinct()
-    posts = parsed.join(broken, "_file", "left_anti").select("_file", "_pos", F.col("_posts")[0].alias("_p"))
-    return merge_posts(posts.filter("_p.id IS NOT NULL").select("_p.*", "_file", "_pos"))
+    parsed = with_computed(found, "_posts", F.when(F.col("_bon") & ~F.col("_reste"), array))
+    sound = F.col("_bon") & (F.col("_reste") | F.col("_posts").isNotNull())
+    stored = cut_lineage(parsed.select("_file", "_pos", F.col("_posts")[0].alias("_p"), sound.alias("_bon")))
+    broken = stored.groupBy("_file").agg(F.bool_and("_bon").alias("_bon")).filter("NOT _bon").select("_file")
+    posts = stored.join(broken, "_file", "left_anti")
+    return posts.filter("_p.id IS NOT NULL").select("_p.*", "_file", "_pos")
+
+
+def load_large_posts(spark: SparkSession, *paths: str) -> DataFrame:
+    """As ``load_raw_posts``, every file block by block, so that none is too large for one task."""
+    return merge_posts(_large_posts(spark, list(paths)))
 
 
 def _lines(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:

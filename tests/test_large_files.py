@@ -6,6 +6,7 @@ import random
 import pytest
 
 from adfeed.schemas import RAW_POST
+from adfeed.sources import posts as sources
 from adfeed.sources.posts import load_large_posts, load_raw_posts, split_array_files
 
 
@@ -56,3 +57,17 @@ def test_unreadable_files_give_nothing(spark, folder, small_blocks):
     for i, text in enumerate([good, *bad]):
         write(f"{folder}/{i:02d}.json", text)
     assert [r["id"] for r in load_large_posts(spark, f"{folder}/*.json").collect()] == ["a"] == [r["id"] for r in load_raw_posts(spark, f"{folder}/*.json").collect()]
+
+
+def test_texts_of_large_files_are_shuffled_once_to_join_their_pieces(spark, folder, small_blocks):
+    """The sums that tell where elements end are taken over numbers; pieces and elements are the only stored texts."""
+    write(f"{folder}/a.json", json.dumps(list(posts(random.Random(3), 60))))
+    stored = []
+    before = sources.cut_lineage
+    sources.cut_lineage = lambda df: stored.append(df.columns) or before(df)
+    try:
+        load_large_posts(spark, f"{folder}/a.json").collect()
+    finally:
+        sources.cut_lineage = before
+    texts = [c for c in stored if {"_bout", "_nu", "value", "_posts", "_p"} & set(c)]
+    assert len(stored) > 3 and len(texts) == 2
