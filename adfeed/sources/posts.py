@@ -47,12 +47,22 @@ def file_issues(files: DataFrame) -> DataFrame:
     return read.filter("NOT lisible OR sans_id > 0")
 
 
-def load_raw_posts(spark: SparkSession, *paths: str) -> DataFrame:
-    """All posts of JSON-array files, one row per id: last value, first position."""
-    files = spark.read.text(list(paths), wholetext=True).select(
-        _file_order(), "value"
-    )
-    return merge_posts(parse_post_files(files))
+# Files of up to so many bytes are read whole, each by one task; larger ones block by block.
+WHOLE_BYTES = 8 << 20
+
+
+def load_raw_posts(spark: SparkSession, *paths: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """All posts of JSON-array files, one row per id: last value, first position.
+
+    A file larger than ``whole_bytes`` doesn't go through one task; it is read as by ``load_large_posts``.
+    """
+    size = F.col("_metadata.file_size")
+    files = spark.read.text(list(paths), wholetext=True).filter(size <= whole_bytes).select(_file_order(), "value")
+    posts = parse_post_files(files)
+    listed = spark.read.format("binaryFile").load(list(paths)).select("length")  # contents are not read
+    if not listed.filter(F.col("length") > whole_bytes).isEmpty():
+        posts = posts.unionByName(_large_posts(spark, list(paths), whole_bytes))
+    return merge_posts(posts)
 
 
 _BLOCK = ["_file", "_bloc"]

@@ -59,6 +59,21 @@ def test_unreadable_files_give_nothing(spark, folder, small_blocks):
     assert [r["id"] for r in load_large_posts(spark, f"{folder}/*.json").collect()] == ["a"] == [r["id"] for r in load_raw_posts(spark, f"{folder}/*.json").collect()]
 
 
+def test_raw_posts_do_not_read_large_files_whole(spark, folder, small_blocks):
+    draw = random.Random(7)
+    for name, n in (("klein", 3), ("gross", 200)):
+        write(f"{folder}/{name}.json", json.dumps(list(posts(draw, n))))
+    write(f"{folder}/unreadable.json", json.dumps(list(posts(draw, 200)))[:-1])
+    whole = load_raw_posts(spark, folder)
+    parts = load_raw_posts(spark, folder, whole_bytes=1000)
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect())) and whole.count() > 30
+    # The large file comes in many blocks, and the reader of whole files leaves it out.
+    assert "file_size" in parts._jdf.queryExecution().optimizedPlan().toString()
+    huge = load_raw_posts(spark, f"{folder}/gross.json", whole_bytes=1000)
+    assert spark.read.text(f"{folder}/gross.json", wholetext=True).filter("_metadata.file_size <= 1000").rdd.getNumPartitions() == 0
+    assert huge.count() == len({p["id"] for p in json.load(open(f"{folder}/gross.json"))})
+
+
 def test_texts_of_large_files_are_shuffled_once_to_join_their_pieces(spark, folder, small_blocks):
     """The sums that tell where elements end are taken over numbers; pieces and elements are the only stored texts."""
     write(f"{folder}/a.json", json.dumps(list(posts(random.Random(3), 60))))
