@@ -14,6 +14,7 @@ from adfeed.sinks.tables import save_health
 from adfeed.sources.posts import ORDER, file_issues, load_raw_posts, load_raw_table
 from adfeed.sources.state import load_health, load_markers, load_master, load_runs, load_seen
 from adfeed.sources import journal
+from adfeed.streaming import ingest
 from adfeed.streaming.ingest import first_post_stream, read_new_files, score_stream, upsert_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -270,3 +271,16 @@ def test_streamed_scores_equal_one_fold(spark, folder):
     columns = ["source", "niveau_confiance", "runs_propres_consecutifs", "cooldown_multiplicateur"]
     streamed = load_health(spark, f"{folder}/sante").select(*columns).orderBy("source").collect()
     assert streamed == source_health(spark.createDataFrame(rows, ddl)).select(*columns).orderBy("source").collect()
+
+
+def test_ids_of_a_bucket_share_their_state(spark, folder, monkeypatch):
+    monkeypatch.setattr(ingest, "BUCKETS", 3)
+    schema = "id LONG, n LONG, _pos LONG"
+    for i, rows in enumerate([[(k, 1, k) for k in range(40)] + [(k, 0, -1) for k in range(5)], [(k, 2, 100 + k) for k in range(30, 60)] + [(None, 3, 9), (None, 2, 8)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = read_new_files(spark, f"{folder}/in", spark.createDataFrame([], schema).schema, 1)
+        query = first_post_stream(stream, f"{folder}/out", f"{folder}/c")
+        query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3
+    got = {r["id"]: r["n"] for r in journal.read(spark, f"{folder}/out", stream.schema).collect()}
+    assert got == {k: 0 if k < 5 else 1 if k < 40 else 2 for k in [*range(60)]} | {None: 2}
