@@ -7,18 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adfeed.functions.rules import LAND_RULES, RuleSet
-from adfeed.functions.text import java_pattern, matches, strip
+from adfeed.functions.binding import let
+from adfeed.functions.rules import LAND_RULES, RuleSet, folded, found, may_hold
+from adfeed.functions.text import java_pattern, strip
 from adfeed.functions.vocab import DOCUMENT_STATUSES, PROPERTY_TYPES, ZONES, canonicalise
 
 SQUARE_METRES_PER_HECTARE = 10_000
 
 # The last group of each amount catches a letter that follows the unit: such a
-# match is no amount ("5 habitants").  No look-around, so any engine agrees.
-PHONE = r"(?i)\+?[0-9][0-9 ()-]*[0-9](\s*f?\s*cfa)?"
+# match is no amount ("5 habitants").  The only look-around asks for the first sign of a
+# match once more, as a table of signs: the engine passes over all other signs at once.
+PHONE = r"(?i)(?=[+0123456789])\+?[0-9][0-9 ()-]*[0-9](\s*f?\s*cfa)?"
 PHONE_DIGITS = (8, 15)
 AREA = r"(?i)([0-9]+(?:[.,][0-9]+)?)\s*(m2|m²|hectares?|ha)([\p{L}\p{N}_]?)"
-PRICE = r"(?i)([0-9]{1,3}(?:[\s.][0-9]{3})+|[0-9]+)\s*(f?\s*cfa)([\p{L}\p{N}_]?)"
+PRICE = r"(?i)(?=[0123456789])([0-9]{1,3}(?:[\s.][0-9]{3})+|[0-9]+)\s*(f?\s*cfa)([\p{L}\p{N}_]?)"
 
 
 def contacts(col: Column) -> Column:
@@ -38,8 +40,7 @@ def contacts(col: Column) -> Column:
 
 def only_value(values: Column) -> Column:
     """The single distinct element of an array; NULL where there is none or a choice."""
-    distinct = F.array_distinct(values)
-    return F.when(F.size(distinct) == 1, F.element_at(distinct, 1))
+    return let(F.array_distinct(values), lambda distinct: F.when(F.size(distinct) == 1, F.element_at(distinct, 1)))
 
 
 def _amounts(col: Column, pattern: str) -> Column:
@@ -65,14 +66,21 @@ def price(col: Column) -> Column:
     def units(item: Column) -> Column:
         return F.regexp_replace(F.regexp_extract(item, PRICE, 1), "[^0-9]", "").try_cast("bigint")
 
-    return only_value(F.transform(_amounts(col, PRICE), units))
+    return F.when(F.lower(col).contains("cfa"), only_value(F.transform(_amounts(col, PRICE), units)))
 
 
-def first_named(col: Column, vocab: Sequence[str]) -> Column:
-    """The first vocabulary entry named as whole words, the longest that starts there."""
-    options = "|".join(_literal(v) for v in sorted(vocab, key=len, reverse=True))
-    named = F.regexp_extract(col, java_pattern(rf"\b(?:{options})\b"), 0)
-    return F.when(named != "", canonicalise(named, vocab))
+def first_named(col: Column, vocab: Sequence[str], fold: Column | None = None) -> Column:
+    """The first vocabulary entry named as whole words, the longest that starts there.
+
+    ``fold``: ``folded(col)`` where the caller has it; texts without a stem of any entry are not searched.
+    """
+    pattern = rf"\b(?:{'|'.join(_literal(v) for v in sorted(vocab, key=len, reverse=True))})\b"
+
+    def searched(fold: Column) -> Column:
+        first = F.when(may_hold(fold, pattern), F.regexp_extract(col, java_pattern(pattern), 0))
+        return let(first, lambda named: F.when(named != "", canonicalise(named, vocab)))
+
+    return let(folded(col), searched) if fold is None else searched(fold)
 
 
 def keywords(col: Column, rules: RuleSet = LAND_RULES) -> Column:
@@ -94,18 +102,21 @@ def rule_extract(
 ) -> Column:
     """JSON answer in the extractor's contract, taken from the text by rules only."""
     kinds = [kind for kind in PROPERTY_TYPES if kind != "autre"]
-    answer = F.struct(
-        matches(col, rules.override).alias("est_une_annonce_valide"),
-        F.coalesce(first_named(col, kinds), F.lit("autre")).alias("type_bien"),
-        first_named(col, zones).alias("quartier_zone"),
-        area_m2(col).alias("superficie_m2"),
-        price(col).alias("prix_fcfa"),
-        first_named(col, statuses).alias("statut_document"),
-        contacts(col).alias("contacts_whatsapp"),
-        keywords(col, rules).alias("mots_cles_pertinents"),
-        first_sentence(col).alias("resume_court"),
-    )
-    return F.to_json(answer, {"ignoreNullFields": "false"})
+
+    def answer(fold: Column) -> Column:
+        return F.struct(
+            found(col, fold, rules.override).alias("est_une_annonce_valide"),
+            F.coalesce(first_named(col, kinds, fold), F.lit("autre")).alias("type_bien"),
+            first_named(col, zones, fold).alias("quartier_zone"),
+            area_m2(col).alias("superficie_m2"),
+            price(col).alias("prix_fcfa"),
+            first_named(col, statuses, fold).alias("statut_document"),
+            contacts(col).alias("contacts_whatsapp"),
+            keywords(col, rules).alias("mots_cles_pertinents"),
+            first_sentence(col).alias("resume_court"),
+        )
+
+    return F.to_json(let(folded(col), answer), {"ignoreNullFields": "false"})
 
 
 def _literal(value: str) -> str:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 from re import _constants as _kind
 from re import _parser
 
@@ -66,8 +67,12 @@ MOST_STEMS = 64
 
 
 def folded(col: Column) -> Column:
-    """A text in which a stem stands wherever its pattern could match ignoring case."""
-    return F.lower(F.translate(col, *ODD_CASES))
+    """A text in which a stem stands wherever its pattern could match ignoring case.
+
+    Few texts hold an odd letter, and to look for them takes a small part of the time to replace them.
+    """
+    odd = reduce(or_, [col.contains(letter) for letter in ODD_CASES[0]])
+    return F.lower(F.when(odd, F.translate(col, *ODD_CASES)).otherwise(col))
 
 
 @lru_cache
@@ -124,15 +129,17 @@ def _needed(sequence) -> set[str] | None:
     return best if min(map(len, best)) else None
 
 
-def found(text: Column, folded_text: Column, pattern: str) -> Column:
-    """``matches``, tried only on texts that hold a stem of the pattern."""
+def may_hold(folded_text: Column, pattern: str) -> Column:
+    """False only for texts without a match: those that hold no stem of the pattern."""
     held = stems(pattern)
     if held is None:
-        return matches(text, pattern)
-    gate = folded_text.contains(held[0])
-    for stem in held[1:]:
-        gate = gate | folded_text.contains(stem)
-    return F.coalesce(gate, F.lit(False)) & matches(text, pattern)
+        return F.lit(True)
+    return F.coalesce(reduce(or_, [folded_text.contains(stem) for stem in held]), F.lit(False))
+
+
+def found(text: Column, folded_text: Column, pattern: str) -> Column:
+    """``matches``, tried only on texts that hold a stem of the pattern."""
+    return may_hold(folded_text, pattern) & matches(text, pattern)
 
 
 def is_candidate(col: Column, rules: RuleSet = LAND_RULES) -> Column:

@@ -17,8 +17,11 @@ TEXTS = ("texte", "texte_nettoye", "resume_court")
 # Eight digits or more with at most two blanks, dots, dashes or brackets between them; no
 # amounts: numbers in groups of three, or before a currency.
 _GAP = r"[ ().\-\u00a0]{0,2}"
-_AMOUNT = r"[0-9]{1,3}(?:[ .\u00a0][0-9]{3})+(?![ .\-()\u00a0]?[0-9])"
-PHONE = rf"(?i)(?<![0-9])(?!{_AMOUNT})\+?[0-9](?:{_GAP}[0-9]){{5,12}}{_GAP}([0-9]){_GAP}([0-9])(?![0-9])(?!\s*(?:f\s*)?cfa)"
+_AMOUNT_AFTER_DIGIT = r"[0-9]{0,2}(?:[ .\u00a0][0-9]{3})+(?![ .\-()\u00a0]?[0-9])"
+# A table of the signs that begin a number comes first, and what has to hold around that sign after it:
+# the engine passes over all other signs at once.
+_FIRST = rf"[+0123456789](?<![0-9][+0-9])(?:(?<=\+)[0-9]|(?<=[0-9])(?!{_AMOUNT_AFTER_DIGIT}))"
+PHONE = rf"(?i){_FIRST}(?:{_GAP}[0-9]){{5,12}}{_GAP}([0-9]){_GAP}([0-9])(?![0-9])(?!\s*(?:f\s*)?cfa)"
 
 
 def protect_contacts(df: DataFrame, contacts: str = "masked") -> DataFrame:
@@ -78,7 +81,8 @@ def export_candidates(candidates: DataFrame, path: str, bom: bool = True, contac
 
 def export_master(master: DataFrame, path: str, bom: bool = True, contacts: str = "masked") -> None:
     """Overwrite the consultation copy: all columns, newest update first, part by part."""
-    write_csv(latest_first(protect_contacts(master, contacts)), path, MASTER.fieldNames(), bom)
+    # Masked after the sort: what sorting first samples would be masked for the sample alone.
+    write_csv(protect_contacts(latest_first(master), contacts), path, MASTER.fieldNames(), bom)
 
 
 def write_rejects(level1: DataFrame, level2: DataFrame, path: str, contacts: str = "masked") -> None:
