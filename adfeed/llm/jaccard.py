@@ -6,16 +6,21 @@ any order of all tokens. Several orders are used, and a candidate has to pass un
 each. All of them put rare tokens first and differ in how they break ties, so that
 passages known to many documents come last.
 
-1. Rarity. Every shingle of every document is counted into one of 2^28 cells. What is
-   kept takes 36 MiB at any size of the corpus, and is broadcast: a bit for each cell that
-   was hit twice or more, and 16 levels of the counts of 32 cells together. A shingle
-   in a cell hit once has one occurrence in the whole corpus: a document whose prefix
-   holds nothing else has no partner and is settled.
-2. Documents with equal token sets become one class, which goes on as one.
-3. Stars: a class is verified against one of those with which it shares a prefix token,
+1. Lone documents. Half of all shingles, chosen by their hash, go to splits of the hash's
+   range, whose number grows with the texts, and the shingles that one document alone
+   holds are counted for it. A document with a whole prefix of them has no partner and
+   is settled. Of the others 16 MiB of bits by row key are kept and broadcast; a
+   settled document that falls on one of them only goes on with them.
+2. Rarity. Every shingle of the documents that are left is counted into one of 2^28 cells.
+   What is kept takes 36 MiB at any size of the corpus, and is broadcast: a bit for each
+   cell that was hit twice or more, and 16 levels of the counts of 32 cells together. A
+   shingle in a cell hit once has one occurrence: a document whose prefix holds nothing
+   else is settled, too.
+3. Documents with equal token sets become one class, which goes on as one.
+4. Stars: a class is verified against one of those with which it shares a prefix token,
    the same one for all where it can be. This joins large groups of near copies without
    making their pairs.
-4. The rest: classes that are not yet connected and share prefix tokens. Tokens with the
+5. The rest: classes that are not yet connected and share prefix tokens. Tokens with the
    same head form a family. In families of up to ``LARGE`` classes, all pairs that share
    prefix tokens under every order and fit in size and place are verified. Larger ones
    are cut into blocks; a block is compared with a block inside a task, which returns
@@ -35,6 +40,7 @@ document and stay or go together. The words of one document have to fit a task.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +56,13 @@ ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 SHINGLES_AT_ONCE = 2_000_000
 LEVEL_BITS = 5  # a level stands for 2^5 cells
 SALTS, PARTS = 16, 16
+SPLIT_BITS, SPLIT_BYTES = 26, 16 << 20  # of one split of the tokens: its cells and the texts it stands for
+DOCUMENTS_AT_ONCE = 200_000
+ROW_BITS, BUCKET_BYTES = 27, 4096  # of the bits by row key, and bytes of one of Spark's bitmaps
 LARGE, BLOCK = 64, 200
 
+PIECES = pa.schema([("split", pa.int32()), ("part", pa.int32()), ("held", pa.int64()), ("places", pa.binary()), ("numbers", pa.binary())])
+PIECES_DDL = "split int, part int, held long, places binary, numbers binary"
 COUNTS = pa.schema([("slice", pa.int32()), ("salt", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())])
 COUNTS_DDL = "slice int, salt int, cells binary, counts binary"
 LEVELS = pa.schema([("slice", pa.int32()), ("twice", pa.binary()), ("levels", pa.binary())])
@@ -84,6 +95,160 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32)[:, 0]
 
 
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def _alone(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted cells, which are the first of their kind and which the only one."""
+    first = np.ones(len(cells), bool)
+    first[1:] = cells[1:] != cells[:-1]
+    return first, first & np.append(first[1:], True)
+
+
+def _dealt(size: int, percent: int, splits: int):
+    """Half of the tokens as rows of PIECES: by split, the places of those that some documents hold, and which of them where it is one (from 1, else 0).
+
+    One more row, in a split of the part, has the row keys of these documents and their prefix sizes.
+    """
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        shift = np.uint64(64 - SPLIT_BITS - (splits.bit_length() - 1))
+        cache, held, keys, lengths, n = WordHashes(), [], [], [], 0
+
+        def flush():
+            # A number of its own for each attempt: pieces of two attempts are never added up.
+            name = int.from_bytes(os.urandom(8), "little") >> 1
+            yield _rows([(splits + part, part, name, np.array(keys, np.int64).tobytes(), _packed(np.array(lengths)))], PIECES)
+            cells = np.concatenate(held)
+            order = np.argsort(cells)
+            owners = np.repeat(np.arange(1, len(held) + 1, dtype=np.uint32), [len(x) for x in held])[order]
+            cells = cells[order]
+            first, alone = _alone(cells)
+            owners = np.where(alone, owners, 0)[first]
+            cells = cells[first]
+            edges = np.searchsorted(cells, np.arange(splits + 1, dtype=np.uint64) << np.uint64(SPLIT_BITS))
+            rows = []
+            for i, (a, b) in enumerate(zip(edges, edges[1:])):
+                if b > a:
+                    places = cells[a:b] & np.uint64((1 << SPLIT_BITS) - 1)
+                    rows.append((i, part, name, _packed(np.diff(places, prepend=np.uint64(0))), _packed(owners[a:b])))
+                if len(rows) == 256:
+                    yield _rows(rows, PIECES)
+                    rows = []
+            if rows:
+                yield _rows(rows, PIECES)
+
+        for batch in batches:
+            for row_key, text in zip(batch.column("row_key").to_pylist(), batch.column("text")):
+                tokens = shingle_set(text.as_py(), cache, size)
+                if len(tokens):
+                    held.append(tokens[tokens & np.uint64(1) == 0] >> shift)
+                    keys.append(row_key)
+                    lengths.append(prefix_size(len(tokens), percent))
+                    n += len(held[-1])
+                    if n >= SHINGLES_AT_ONCE or len(held) >= DOCUMENTS_AT_ONCE:
+                        yield from flush()
+                        held, keys, lengths, n = [], [], [], 0
+        if held:
+            yield from flush()
+
+    return run
+
+
+def _told(splits: int):
+    """Over rows sorted by split: for each row, the documents with tokens that no other one holds, and how many; rows of documents as they are."""
+
+    def out(held: list[tuple]):
+        cells, owners = (np.concatenate([x[i] for x in held]) for i in (2, 3))
+        order = np.argsort(cells)
+        only = np.zeros(len(cells), bool)
+        only[order[_alone(cells[order])[1]]] = True
+        only &= owners > 0
+        rows, end = [], 0
+        for part, name, places, _ in held:
+            start, end = end, end + len(places)
+            found, times = np.unique(owners[start:end][only[start:end]], return_counts=True)
+            if len(found):
+                rows.append((-1, part, name, _packed(np.diff(found - 1, prepend=np.uint32(0))), _packed(times)))
+        return rows
+
+    def run(batches):
+        current, held = None, []
+        for batch in batches:
+            rows = []
+            for split, part, name, places, numbers in zip(*(batch.column(c).to_pylist() for c in PIECES.names)):
+                if split >= splits:
+                    rows.append((split, part, name, places, numbers))
+                    continue
+                if split != current:
+                    rows += out(held) if held else []
+                    current, held = split, []
+                held.append((part, name, np.cumsum(_unpacked(places), dtype=np.int64).astype(np.uint32), _unpacked(numbers)))
+            if rows:
+                yield _rows(rows, PIECES)
+        if held and (rows := out(held)):
+            yield _rows(rows, PIECES)
+
+    return run
+
+
+def _left(batches):
+    """Over rows sorted by the name they were held under: row keys of documents with less than a prefix of tokens of their own."""
+
+    def out(documents: tuple | None, found: list[tuple]):
+        keys, lengths = np.frombuffer(documents[0], np.int64), _unpacked(documents[1])
+        own = np.zeros(len(keys), np.int64)
+        for places, times in found:
+            own[np.cumsum(places, dtype=np.int64)] += times
+        return pa.RecordBatch.from_arrays([pa.array(keys[own < lengths])], names=["row_key"])
+
+    current, documents, found = None, None, []
+    for batch in batches:
+        for split, name, places, numbers in zip(*(batch.column(c).to_pylist() for c in ("split", "held", "places", "numbers"))):
+            if name != current:
+                if documents:
+                    yield out(documents, found)
+                current, documents, found = name, None, []
+            if split < 0:
+                found.append((_unpacked(places), _unpacked(numbers)))
+            else:
+                documents = places, numbers
+    if documents:
+        yield out(documents, found)
+
+
+class Open:
+    """Bits by row key of the documents that may have a partner. Any other document has none."""
+
+    def __init__(self, bits: np.ndarray | None = None):
+        self.bits = np.zeros(1 << (ROW_BITS - 3), np.uint8) if bits is None else bits
+
+    def holds(self, row_keys: list[int]) -> np.ndarray:
+        cells = (np.array(row_keys, np.int64).view(np.uint64) >> np.uint64(64 - ROW_BITS)).astype(np.int64)
+        return (self.bits[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 > 0
+
+
+def open_documents(source: DataFrame, size: int, percent: int) -> Open:
+    """Documents that hold less than a prefix of tokens of their own. The tokens move once, in some 3.5 bytes each for half of them."""
+    texts = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    splits = 16
+    while splits * SPLIT_BYTES < texts:
+        splits *= 2
+    pieces = source.select("row_key", "text").mapInArrow(task(_dealt(size, percent, splits)), PIECES_DDL)
+    told = pieces.repartition("split").sortWithinPartitions("split").mapInArrow(task(_told(splits)), PIECES_DDL)
+    left = told.repartition("part").sortWithinPartitions("part", "held").mapInArrow(task(_left), "row_key long")
+    place = F.shiftrightunsigned("row_key", 64 - ROW_BITS) + 1
+    bits = left.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+    out = Open()
+    for row in bits.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
+        out.bits[(row["bucket"] - 1) * BUCKET_BYTES : row["bucket"] * BUCKET_BYTES] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
 def _slices(cells: np.ndarray, counts: np.ndarray, salt: int) -> Iterator[tuple]:
     """Rows of COUNTS out of sorted cells; places count from the start of the slice."""
     edges = np.searchsorted(cells, np.arange(0, (1 << CELL_BITS) + 1, 1 << SLICE_BITS))
@@ -92,12 +257,12 @@ def _slices(cells: np.ndarray, counts: np.ndarray, salt: int) -> Iterator[tuple]
             yield i, salt, _packed(np.diff(cells[a:b], prepend=i << SLICE_BITS)), _packed(np.minimum(counts[a:b], 0xFFFFFFFF))
 
 
-def _counted(size: int):
+def _counted(size: int, left):
     def run(batches):
         from pyspark import TaskContext
 
         salt = TaskContext.get().partitionId() % SALTS
-        cache, held, n = WordHashes(), [], 0
+        cache, held, n, may = WordHashes(), [], 0, Open(left.value)
 
         def flush():
             cells, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -105,7 +270,7 @@ def _counted(size: int):
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), COUNTS)], schema=COUNTS)
 
         for batch in batches:
-            for text in batch.column("text"):
+            for text in batch.column("text").filter(pa.array(may.holds(batch.column("row_key").to_pylist()))):
                 cells = cells_of(shingle_set(text.as_py(), cache, size))
                 if len(cells):
                     held.append(cells)
@@ -161,7 +326,7 @@ class Rarity:
             target[index * len(data) : (index + 1) * len(data)] = np.frombuffer(data, np.uint8)
 
     def of(self, tokens: np.ndarray) -> np.ndarray:
-        """0 for tokens that occur once in the corpus, else 1 and more, the more the more frequent."""
+        """0 for tokens that occur once among the documents counted, else 1 and more, the more the more frequent."""
         cells = cells_of(tokens)
         twice = (self.twice[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1
         groups = cells >> LEVEL_BITS
@@ -169,8 +334,9 @@ class Rarity:
         return twice * level
 
 
-def rarity(texts: DataFrame, size: int) -> Rarity:
-    counts = texts.select("text").mapInArrow(task(_counted(size)), COUNTS_DDL)
+def rarity(source: DataFrame, size: int, left) -> Rarity:
+    """Of the tokens of the documents that ``left``, the broadcast bits of Open, holds."""
+    counts = source.select("row_key", "text").mapInArrow(task(_counted(size, left)), COUNTS_DDL)
     by_salt = counts.repartition("slice", "salt").sortWithinPartitions("slice", "salt").mapInArrow(task(_summed(False)), COUNTS_DDL)
     rows = by_salt.repartition(PARTS, "slice").sortWithinPartitions("slice").mapInArrow(task(_summed(True)), "slice int, twice binary, levels binary")
     out = Rarity()
@@ -183,17 +349,16 @@ def prefix_size(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _tokens(size: int, percent: int, known):
+def _tokens(size: int, percent: int, left, known):
     def run(batches):
-        cache, rare = WordHashes(), Rarity(*known.value)
+        cache, may, rare = WordHashes(), Open(left.value), Rarity(*known.value)
         for batch in batches:
-            rows = []
-            for doc_id, row_key, text in zip(batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), batch.column("text")):
+            rows, row_keys = [], batch.column("row_key").to_pylist()
+            for doc_id, row_key, text, there in zip(batch.column("doc_id").to_pylist(), row_keys, batch.column("text"), may.holds(row_keys)):
                 tokens = shingle_set(text.as_py(), cache, size)
                 n, row = len(tokens), (doc_id, row_key, len(tokens))
-                level = rare.of(tokens)
                 length = prefix_size(n, percent)
-                if not n or (level == 0).sum() >= length:
+                if not n or not there or ((level := rare.of(tokens)) == 0).sum() >= length:
                     rows.append((*row, *[None] * (len(ORDERS) + 3)))
                     continue
                 orders, place_in_first = [], None
@@ -356,11 +521,13 @@ def grouped(docs: DataFrame, shingle: int = 4, percent: int = 85, id_column: str
     spark = docs.sparkSession
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     source = source.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    counted = rarity(source, shingle)
+    left = spark.sparkContext.broadcast(open_documents(source, shingle, percent).bits)
+    counted = rarity(source, shingle, left)
     known = spark.sparkContext.broadcast((counted.twice, counted.levels))
     del counted
-    tokens = written(source.mapInArrow(task(_tokens(shingle, percent, known)), TOKENS_DDL), "tokens")
+    tokens = written(source.mapInArrow(task(_tokens(shingle, percent, left, known)), TOKENS_DDL), "tokens")
     known.destroy()
+    left.destroy()
 
     # One row for each distinct set. Null ids come last; the row key breaks ties.
     active = tokens.where("digest is not null").withColumn("node", F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long"))
